@@ -1,0 +1,25 @@
+"""Broadcast behind a checked size bound, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True iff ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a ``limit`` stops the scan early), so
+    the check costs little even when the answer is "no".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if it is proven to hold at most ``max_rows`` rows.
+
+    Otherwise the frame is returned as is: Spark plans a shuffle join and AQE
+    may still turn it into a broadcast from runtime sizes, or split skewed
+    partitions (``spark.sql.adaptive.skewJoin.enabled``).
+    """
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
