@@ -114,8 +114,161 @@ SELECT area, product_id, product_name, clickcount, cityremark FROM (
 ) WHERE rk <= 3""")
 
 
-ORACLE: dict[str, str] = {
-    "area_product_clicks": AREA_PRODUCT_CLICKS,
-    "city_remark": CITY_REMARK,
-    "area_top3_product": AREA_TOP3_PRODUCT,
-}
+
+# --- Q1-Q5 (filtered visit log) ----------------------------------------------
+# Fixed job parameters of the registered queries (FIXTURES.md §B).
+TASK_ID = "t1"
+START_DATE, END_DATE, START_AGE, END_AGE = "2024-01-05", "2024-01-25", 20, 50
+PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
+SAMPLE_SEED = "0"
+
+
+def _filtered_cte(conditions_json: str) -> str:
+    return f"""
+filtered AS (
+  SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
+  WHERE v.date >= '{START_DATE}' AND v.date <= '{END_DATE}'
+    AND u.age >= {START_AGE} AND u.age <= {END_AGE}
+),
+kinds AS (
+  SELECT *, CASE WHEN search_keyword IS NOT NULL THEN 'search'
+                 WHEN click_product_id <> -1 THEN 'click'
+                 WHEN order_product_ids IS NOT NULL THEN 'order'
+                 WHEN pay_product_ids IS NOT NULL THEN 'pay' END AS kind
+  FROM filtered
+),
+bounds AS (
+  SELECT session_id, min(action_time) AS start_time, COUNT(*) AS step_length,
+         CAST(round((epoch(strptime(max(action_time), '%Y-%m-%d %H:%M:%S'))
+                   - epoch(strptime(min(action_time), '%Y-%m-%d %H:%M:%S'))) * 1000) AS BIGINT)
+           AS visit_length
+  FROM filtered GROUP BY session_id
+),
+lists AS (
+  SELECT session_id,
+    COALESCE(string_agg(CASE WHEN kind = 'search' THEN search_keyword END, ','
+                         ORDER BY action_time, event_id), '') AS search_keywords,
+    COALESCE(string_agg(CASE WHEN kind = 'click' THEN CAST(click_product_id AS VARCHAR) END, ','
+                         ORDER BY action_time, event_id), '') AS click_product_ids,
+    COALESCE(string_agg(CASE WHEN kind = 'order' THEN order_product_ids END, ','
+                         ORDER BY action_time, event_id), '') AS order_product_ids,
+    COALESCE(string_agg(CASE WHEN kind = 'pay' THEN pay_product_ids END, ','
+                         ORDER BY action_time, event_id), '') AS pay_product_ids
+  FROM kinds GROUP BY session_id
+),
+summary AS (
+  SELECT b.session_id, b.start_time, b.step_length, b.visit_length, l.search_keywords,
+         l.click_product_ids, l.order_product_ids, l.pay_product_ids
+  FROM bounds b JOIN lists l USING (session_id)
+),
+quota AS (
+  SELECT day_hour, session_count,
+         CAST(round(CAST(session_count AS DOUBLE) / CAST(SUM(session_count) OVER () AS DOUBLE)
+                    * 1000) AS BIGINT) AS quota
+  FROM (SELECT substr(start_time, 1, 13) AS day_hour, COUNT(*) AS session_count
+        FROM bounds GROUP BY 1)
+),
+drawn AS (
+  SELECT session_id FROM (
+    SELECT b.session_id, q.quota, q.session_count,
+           row_number() OVER (PARTITION BY q.day_hour
+                              ORDER BY md5(b.session_id || ':' || '{SAMPLE_SEED}')) AS rn
+    FROM bounds b JOIN quota q ON substr(b.start_time, 1, 13) = q.day_hour)
+  WHERE rn <= least(quota, session_count)
+),
+cat_items AS (
+  SELECT unnest(CASE
+           WHEN click_category_id <> -1 THEN [CAST(click_category_id AS VARCHAR)]
+           WHEN order_category_ids IS NOT NULL AND length(order_category_ids) > 0 THEN
+             CASE WHEN regexp_replace(order_category_ids, ',+$', '') = '' THEN []::VARCHAR[]
+                  ELSE string_split(regexp_replace(order_category_ids, ',+$', ''), ',') END
+           WHEN pay_category_ids IS NOT NULL AND length(pay_category_ids) > 0 THEN
+             CASE WHEN regexp_replace(pay_category_ids, ',+$', '') = '' THEN []::VARCHAR[]
+                  ELSE string_split(regexp_replace(pay_category_ids, ',+$', ''), ',') END
+         END) AS category_id,
+         CASE WHEN click_category_id <> -1 THEN 'click'
+              WHEN order_category_ids IS NOT NULL AND length(order_category_ids) > 0 THEN 'order'
+              WHEN pay_category_ids IS NOT NULL AND length(pay_category_ids) > 0 THEN 'pay' END
+           AS action
+  FROM filtered
+),
+cat_counts AS (
+  SELECT category_id,
+         COUNT(*) FILTER (WHERE action = 'click') AS click_count,
+         COUNT(*) FILTER (WHERE action = 'order') AS order_count,
+         COUNT(*) FILTER (WHERE action = 'pay') AS pay_count
+  FROM cat_items GROUP BY category_id
+),
+top10 AS (
+  SELECT * FROM cat_counts
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10
+),
+steps AS (
+  SELECT * FROM (VALUES {", ".join(f"({a}, {b})" for a, b in zip(PAGE_FLOW[:-1], PAGE_FLOW[1:]))})
+    AS s(from_page, to_page)
+),
+visits AS (
+  SELECT page_id AS from_page, COUNT(*) AS visit_count FROM filtered
+  WHERE page_id IN ({", ".join(str(p) for p in sorted(set(PAGE_FLOW[:-1])))})
+  GROUP BY page_id
+),
+jumps AS (
+  SELECT page_id AS from_page, to_page, COUNT(*) AS jump_count FROM (
+    SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id)
+             AS to_page
+    FROM filtered) p
+  WHERE (page_id, to_page) IN (SELECT (from_page, to_page) FROM steps)
+  GROUP BY page_id, to_page
+)"""
+
+
+def session_queries(conditions_json: str) -> dict[str, str]:
+    f = _filtered_cte(conditions_json)
+    pct = ("round(1000.0::DOUBLE * CAST(COUNT(*) FILTER (WHERE {c}) AS DOUBLE) "
+           "/ CAST(COUNT(*) AS DOUBLE)) / 10.0")
+    return {
+        "filter_actions": with_shop(f, "SELECT * FROM filtered"),
+        "session_summary": with_shop(f, "SELECT * FROM summary"),
+        "session_stat": with_shop(f, f"""
+SELECT '{TASK_ID}' AS task_id, '{conditions_json}' AS conditions, COUNT(*) AS session_count,
+       {pct.format(c="visit_length > 10000")} AS visit_length_gt_10_ratio,
+       {pct.format(c="visit_length <= 10000")} AS visit_length_le_10_ratio,
+       {pct.format(c="step_length > 5")} AS step_length_gt_5_ratio,
+       {pct.format(c="step_length <= 5")} AS step_length_le_5_ratio
+FROM bounds"""),
+        "session_quota": with_shop(f, """
+SELECT day_hour, session_count, quota, least(quota, session_count) AS taken FROM quota"""),
+        "session_sample": with_shop(f, f"""
+SELECT '{TASK_ID}' AS task_id, s.* FROM summary s WHERE s.session_id IN (SELECT session_id FROM drawn)"""),
+        "category_action_counts": with_shop(f, """
+SELECT category_id, action, COUNT(*) AS n FROM cat_items WHERE action IS NOT NULL
+GROUP BY category_id, action"""),
+        "category_top10": with_shop(f, f"SELECT '{TASK_ID}' AS task_id, * FROM top10"),
+        "category_session_top10": with_shop(f, f"""
+SELECT '{TASK_ID}' AS task_id, category_id, session_id, click_count FROM (
+  SELECT category_id, session_id, click_count,
+         row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+  FROM (SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id,
+               COUNT(*) AS click_count
+        FROM filtered WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)
+        GROUP BY 1, 2))
+WHERE rn <= 10"""),
+        "page_visits": with_shop(f, "SELECT from_page AS page_id, visit_count FROM visits"),
+        "page_transitions": with_shop(f, "SELECT from_page, to_page, jump_count FROM jumps"),
+        "page_convert_rate": with_shop(f, f"""
+SELECT '{TASK_ID}' AS task_id,
+       CAST(j.from_page AS VARCHAR) || '-' || CAST(j.to_page AS VARCHAR) AS page_jump,
+       round(CAST(j.jump_count * 1000 AS DOUBLE) / CAST(COALESCE(v.visit_count, 1) AS DOUBLE)) / 10.0
+         AS rate
+FROM jumps j LEFT JOIN visits v USING (from_page)"""),
+    }
+
+
+def build_oracle(conditions_json: str) -> dict[str, str]:
+    out = {
+        "area_product_clicks": AREA_PRODUCT_CLICKS,
+        "city_remark": CITY_REMARK,
+        "area_top3_product": AREA_TOP3_PRODUCT,
+    }
+    out.update(session_queries(conditions_json))
+    return out

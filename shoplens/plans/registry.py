@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.plans import regions
+from shoplens import oracle_sql as O
+from shoplens.params import Condition
+from shoplens.plans import categories, funnel, regions, sessions
 from shoplens.session import prepare
 from shoplens.sources.tables import ShopTables
 
@@ -40,8 +42,79 @@ def q_area_top3_product(spark, sf_dir):
     return regions.area_top_products(t.actions(), t.cities(), t.products(), n=3)
 
 
+# --- Q1-Q5 -------------------------------------------------------------------
+
+CONDITION = Condition(start_date=O.START_DATE, end_date=O.END_DATE, start_age=O.START_AGE,
+                      end_age=O.END_AGE, target_page_flow=O.PAGE_FLOW)
+TASK_ID = O.TASK_ID
+
+
+def _filtered(spark, sf_dir, cond: Condition = CONDITION):
+    t = _tables(spark, sf_dir)
+    return sessions.filter_actions(t.actions(cond.start_date, cond.end_date), t.users(), cond)
+
+
+def q_filter_actions(spark, sf_dir):
+    return _filtered(spark, sf_dir)
+
+
+def q_session_summary(spark, sf_dir):
+    return sessions.session_summary(_filtered(spark, sf_dir))
+
+
+def q_session_stat(spark, sf_dir):
+    return sessions.session_stat(_filtered(spark, sf_dir), CONDITION, TASK_ID)
+
+
+def q_session_quota(spark, sf_dir):
+    return sessions.session_quota(_filtered(spark, sf_dir))
+
+
+def q_session_sample(spark, sf_dir):
+    return sessions.session_sample(_filtered(spark, sf_dir), seed=O.SAMPLE_SEED, task_id=TASK_ID)
+
+
+def q_category_action_counts(spark, sf_dir):
+    return categories.category_action_counts(_filtered(spark, sf_dir))
+
+
+def q_category_top10(spark, sf_dir):
+    return categories.category_top(_filtered(spark, sf_dir), 10, TASK_ID)
+
+
+def q_category_session_top10(spark, sf_dir):
+    a = _filtered(spark, sf_dir)
+    return categories.category_session_top(a, categories.category_top(a, 10), 10, TASK_ID)
+
+
+def q_page_visits(spark, sf_dir):
+    return funnel.page_visits(_filtered(spark, sf_dir), CONDITION.target_page_flow)
+
+
+def q_page_transitions(spark, sf_dir):
+    return funnel.page_transitions(_filtered(spark, sf_dir), CONDITION.target_page_flow)
+
+
+def q_page_convert_rate(spark, sf_dir):
+    return funnel.page_convert_rate(_filtered(spark, sf_dir), CONDITION.target_page_flow, TASK_ID)
+
+
 QUERIES: dict[str, Query] = {
+    "filter_actions": q_filter_actions,
+    "session_summary": q_session_summary,
+    "session_stat": q_session_stat,
+    "session_quota": q_session_quota,
+    "session_sample": q_session_sample,
+    "category_action_counts": q_category_action_counts,
+    "category_top10": q_category_top10,
+    "category_session_top10": q_category_session_top10,
+    "page_visits": q_page_visits,
+    "page_transitions": q_page_transitions,
+    "page_convert_rate": q_page_convert_rate,
     "area_product_clicks": q_area_product_clicks,
     "city_remark": q_city_remark,
     "area_top3_product": q_area_top3_product,
 }
+
+
+ORACLE: dict[str, str] = O.build_oracle(CONDITION.to_json())

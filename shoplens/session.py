@@ -23,6 +23,7 @@ def build_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     """A session for tests and the bench; on a cluster use the cluster's own."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shoplens-ckpt-"))
