@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens import oracle_sql as O
 from shoplens.params import Condition
-from shoplens.plans import categories, funnel, regions, sessions
+from shoplens.plans import ads, categories, funnel, regions, sessions
+from shoplens.sources.ads import format_ads_lines, parse_ads_lines
 from shoplens.session import prepare
 from shoplens.sources.tables import ShopTables
 
@@ -99,6 +101,54 @@ def q_page_convert_rate(spark, sf_dir):
     return funnel.page_convert_rate(_filtered(spark, sf_dir), CONDITION.target_page_flow, TASK_ID)
 
 
+# --- Q7-Q10 ------------------------------------------------------------------
+
+def _ads(spark, sf_dir, mod):
+    return _tables(spark, sf_dir).ads(mod)
+
+
+def _kept(spark, sf_dir):
+    return ads.ads_kept_clicks(_ads(spark, sf_dir, O.ADS_MOD), O.BATCH_SECONDS, O.THRESHOLD)
+
+
+KEPT_COLUMNS = ["event_id", "user_id", "ads_id", "area", "city", "day", "ts_ms", "batch"]
+
+
+def q_ads_parse(spark, sf_dir):
+    good, _bad = parse_ads_lines(format_ads_lines(_ads(spark, sf_dir, O.ADS_MOD)))
+    return good.select(F.unix_millis("ts").alias("ts_ms"), "area", "city", "user_id", "ads_id")
+
+
+def q_ads_blacklist(spark, sf_dir):
+    return ads.ads_blacklist(_ads(spark, sf_dir, O.BL_ADS_MOD), O.BL_BATCH_SECONDS,
+                             O.BL_THRESHOLD)
+
+
+def q_ads_kept_clicks(spark, sf_dir):
+    return ads.ads_kept_clicks(_ads(spark, sf_dir, O.BL_ADS_MOD), O.BL_BATCH_SECONDS,
+                               O.BL_THRESHOLD).select(*KEPT_COLUMNS)
+
+
+def q_ads_daily_totals(spark, sf_dir):
+    return ads.ads_daily_totals(_kept(spark, sf_dir))
+
+
+def q_ads_area_top3(spark, sf_dir):
+    return ads.ads_area_top(ads.ads_daily_totals(_kept(spark, sf_dir)), 3)
+
+
+def q_ads_area_top3_json(spark, sf_dir):
+    return ads.ads_area_top_json(ads.ads_area_top(ads.ads_daily_totals(_kept(spark, sf_dir)), 3))
+
+
+def q_ads_last_hour(spark, sf_dir):
+    return ads.ads_last_hour(_kept(spark, sf_dir)).drop("_minute")
+
+
+def q_ads_last_hour_json(spark, sf_dir):
+    return ads.ads_last_hour_json(ads.ads_last_hour(_kept(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
     "session_summary": q_session_summary,
@@ -114,6 +164,14 @@ QUERIES: dict[str, Query] = {
     "area_product_clicks": q_area_product_clicks,
     "city_remark": q_city_remark,
     "area_top3_product": q_area_top3_product,
+    "ads_parse": q_ads_parse,
+    "ads_blacklist": q_ads_blacklist,
+    "ads_kept_clicks": q_ads_kept_clicks,
+    "ads_daily_totals": q_ads_daily_totals,
+    "ads_area_top3": q_ads_area_top3,
+    "ads_area_top3_json": q_ads_area_top3_json,
+    "ads_last_hour": q_ads_last_hour,
+    "ads_last_hour_json": q_ads_last_hour_json,
 }
 
 
