@@ -315,6 +315,13 @@ last_hour AS (
 )"""
 
 
+TOP_JSON_SELECT = """
+SELECT day, area,
+       '[' || string_agg('{"' || CAST(ads_id AS VARCHAR) || '":' || CAST(clicks AS VARCHAR) || '}',
+                         ',' ORDER BY rank) || ']' AS top_ads
+FROM area_top GROUP BY day, area"""
+
+
 def ads_queries() -> dict[str, str]:
     bl = _ads_ctes(BL_ADS_MOD, BL_BATCH_SECONDS, BL_THRESHOLD)
     d = _ads_ctes(ADS_MOD, BATCH_SECONDS, THRESHOLD)
@@ -331,11 +338,7 @@ FROM (SELECT concat_ws(' ', CAST(ts_ms AS VARCHAR), replace(area, ' ', '_'),
 SELECT event_id, user_id, ads_id, area, city, day, ts_ms, batch FROM kept"""),
         "ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
         "ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
-        "ads_area_top3_json": with_shop(d, """
-SELECT day, area,
-       '[' || string_agg('{"' || CAST(ads_id AS VARCHAR) || '":' || CAST(clicks AS VARCHAR) || '}',
-                         ',' ORDER BY rank) || ']' AS top_ads
-FROM area_top GROUP BY day, area"""),
+        "ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
         "ads_last_hour": with_shop(d, "SELECT ads_id, minute, clicks FROM last_hour"),
         "ads_last_hour_json": with_shop(d, """
 SELECT ads_id,
@@ -345,6 +348,34 @@ FROM last_hour GROUP BY ads_id"""),
     }
 
 
+# Stream twins: the replay cuts the clicks into 12-hour micro-batches (the
+# blacklist needs a key to span batches; 60 micro-batches at sf0.01).
+STREAM_BATCH_SECONDS = 43200
+STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1
+
+
+def stream_queries() -> dict[str, str]:
+    bl = _ads_ctes(STREAM_BL_ADS_MOD, STREAM_BATCH_SECONDS, STREAM_BL_THRESHOLD)
+    d = _ads_ctes(ADS_MOD, STREAM_BATCH_SECONDS, THRESHOLD)
+    minute_ms = "(ts_ms // 60000) * 60000"
+    return {
+        "stream_ads_blacklist": with_shop(bl, f"""
+SELECT user_id, strftime(make_timestamp(blocked_batch * {STREAM_BATCH_SECONDS * 1000000}),
+                         '%Y-%m-%d') AS blocked_day
+FROM blacklist"""),
+        "stream_ads_kept_clicks": with_shop(bl, """
+SELECT event_id, user_id, ads_id, area, city, day FROM kept"""),
+        "stream_ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
+        "stream_ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
+        "stream_ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
+        "stream_ads_last_hour": with_shop(d + f""",
+minutes_recent AS (
+  SELECT ads_id, {minute_ms} AS minute_ms, strftime(ts, '%H:%M') AS minute
+  FROM kept WHERE {minute_ms} > (SELECT max(ts_ms) FROM kept) - 3600000
+)""", "SELECT ads_id, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL"),
+    }
+
+
 def build_oracle(conditions_json: str) -> dict[str, str]:
     out = {
         "area_product_clicks": AREA_PRODUCT_CLICKS,
@@ -353,4 +384,5 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
     }
     out.update(session_queries(conditions_json))
     out.update(ads_queries())
+    out.update(stream_queries())
     return out

@@ -6,6 +6,8 @@ DataFrame; parameters are the fixed job parameters of FIXTURES.md §B.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,9 @@ from shoplens import oracle_sql as O
 from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, regions, sessions
 from shoplens.sources.ads import format_ads_lines, parse_ads_lines
-from shoplens.session import prepare
+from shoplens.session import prepare, shared_dir
+from shoplens.streaming import ads_stream as S
+from shoplens.streaming.runner import run_ads_pipeline
 from shoplens.sources.tables import ShopTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +153,57 @@ def q_ads_last_hour_json(spark, sf_dir):
     return ads.ads_last_hour_json(ads.ads_last_hour(_kept(spark, sf_dir)))
 
 
+# --- stream twins (T1-T10): the replayed clicks through both streaming stages ---
+
+_PIPELINES: dict[tuple, str] = {}
+
+
+def _pipeline(spark, sf_dir, mod, threshold):
+    """Run (once per session and parameters) the streaming stages over the
+    clicks of ``sf_dir`` replayed in 12-hour micro-batches; returns the
+    output folder in the shared checkpoint folder."""
+    key = (id(spark.sparkContext), sf_dir, mod, O.STREAM_BATCH_SECONDS, threshold)
+    if key not in _PIPELINES:
+        tag = f"{os.path.basename(sf_dir.rstrip('/'))}-m{mod}-t{threshold}-{uuid.uuid4().hex[:8]}"
+        folder = shared_dir(spark, "stream", tag)
+        _PIPELINES[key] = run_ads_pipeline(_ads(spark, sf_dir, mod), folder,
+                                           O.STREAM_BATCH_SECONDS, threshold)
+    return _PIPELINES[key]
+
+
+def _bl_out(spark, sf_dir):
+    return _pipeline(spark, sf_dir, O.STREAM_BL_ADS_MOD, O.STREAM_BL_THRESHOLD)
+
+
+def _out(spark, sf_dir):
+    return _pipeline(spark, sf_dir, O.ADS_MOD, O.THRESHOLD)
+
+
+def q_stream_ads_blacklist(spark, sf_dir):
+    return S.read_blocked(spark, _bl_out(spark, sf_dir))
+
+
+def q_stream_ads_kept_clicks(spark, sf_dir):
+    return S.read_kept(spark, _bl_out(spark, sf_dir)).select(
+        "event_id", "user_id", "ads_id", "area", "city", "day")
+
+
+def q_stream_ads_daily_totals(spark, sf_dir):
+    return S.read_daily_totals(spark, _out(spark, sf_dir))
+
+
+def q_stream_ads_area_top3(spark, sf_dir):
+    return S.read_area_top(spark, _out(spark, sf_dir))
+
+
+def q_stream_ads_area_top3_json(spark, sf_dir):
+    return S.read_area_top_json(spark, _out(spark, sf_dir))
+
+
+def q_stream_ads_last_hour(spark, sf_dir):
+    return S.read_last_hour(spark, _out(spark, sf_dir)).drop("minute_start")
+
+
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
     "session_summary": q_session_summary,
@@ -172,6 +227,12 @@ QUERIES: dict[str, Query] = {
     "ads_area_top3_json": q_ads_area_top3_json,
     "ads_last_hour": q_ads_last_hour,
     "ads_last_hour_json": q_ads_last_hour_json,
+    "stream_ads_blacklist": q_stream_ads_blacklist,
+    "stream_ads_kept_clicks": q_stream_ads_kept_clicks,
+    "stream_ads_daily_totals": q_stream_ads_daily_totals,
+    "stream_ads_area_top3": q_stream_ads_area_top3,
+    "stream_ads_area_top3_json": q_stream_ads_area_top3_json,
+    "stream_ads_last_hour": q_stream_ads_last_hour,
 }
 
 
