@@ -365,6 +365,8 @@ SELECT user_id, strftime(make_timestamp(blocked_batch * {STREAM_BATCH_SECONDS *
 FROM blacklist"""),
         "stream_ads_kept_clicks": with_shop(bl, """
 SELECT event_id, user_id, ads_id, area, city, day FROM kept"""),
+        "stream_ads_user_counts": with_shop(bl, """
+SELECT user_id, ads_id, day, COUNT(*) AS n FROM kept GROUP BY ALL"""),
         "stream_ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
         "stream_ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
         "stream_ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
@@ -383,6 +385,7 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
         "area_top3_product": AREA_TOP3_PRODUCT,
     }
     out.update(session_queries(conditions_json))
+    out["table_overwrite"] = out["filter_actions"]
     out.update(ads_queries())
     out.update(stream_queries())
     return out

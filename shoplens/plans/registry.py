@@ -17,6 +17,7 @@ from shoplens import oracle_sql as O
 from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, regions, sessions
 from shoplens.sources.ads import format_ads_lines, parse_ads_lines
+from shoplens.sources.sinks import write_table
 from shoplens.session import prepare, shared_dir
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming.runner import run_ads_pipeline
@@ -105,6 +106,16 @@ def q_page_convert_rate(spark, sf_dir):
     return funnel.page_convert_rate(_filtered(spark, sf_dir), CONDITION.target_page_flow, TASK_ID)
 
 
+def q_table_overwrite(spark, sf_dir):
+    """K6: the filtered log saved as a date-partitioned table (replacing any
+    earlier one) and read back with a date bound that prunes folders."""
+    folder = shared_dir(spark, "tables", f"actions-{uuid.uuid4().hex[:8]}")
+    write_table(_filtered(spark, sf_dir), folder, partition_by=["date"])
+    back = spark.read.parquet(folder)
+    return (back.where(F.col("date").between(CONDITION.start_date, CONDITION.end_date))
+            .select(*sessions.ACTION_COLUMNS))
+
+
 # --- Q7-Q10 ------------------------------------------------------------------
 
 def _ads(spark, sf_dir, mod):
@@ -188,6 +199,10 @@ def q_stream_ads_kept_clicks(spark, sf_dir):
         "event_id", "user_id", "ads_id", "area", "city", "day")
 
 
+def q_stream_ads_user_counts(spark, sf_dir):
+    return S.read_user_ad_counts(spark, _bl_out(spark, sf_dir))
+
+
 def q_stream_ads_daily_totals(spark, sf_dir):
     return S.read_daily_totals(spark, _out(spark, sf_dir))
 
@@ -216,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "page_visits": q_page_visits,
     "page_transitions": q_page_transitions,
     "page_convert_rate": q_page_convert_rate,
+    "table_overwrite": q_table_overwrite,
     "area_product_clicks": q_area_product_clicks,
     "city_remark": q_city_remark,
     "area_top3_product": q_area_top3_product,
@@ -229,6 +245,7 @@ QUERIES: dict[str, Query] = {
     "ads_last_hour_json": q_ads_last_hour_json,
     "stream_ads_blacklist": q_stream_ads_blacklist,
     "stream_ads_kept_clicks": q_stream_ads_kept_clicks,
+    "stream_ads_user_counts": q_stream_ads_user_counts,
     "stream_ads_daily_totals": q_stream_ads_daily_totals,
     "stream_ads_area_top3": q_stream_ads_area_top3,
     "stream_ads_area_top3_json": q_stream_ads_area_top3_json,

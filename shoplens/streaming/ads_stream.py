@@ -44,10 +44,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from shoplens.functions import pairs_json
 from shoplens.operators.topn import top_n_per_group
 from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
+from shoplens.sources.sinks import land_batch, latest_per_key
 
 STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean"
 OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, "
-              "ads_id bigint, event_id bigint, day string")
+              "ads_id bigint, event_id bigint, day string, n bigint")
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 KEEP_DAYS = 3
 
@@ -72,16 +73,22 @@ def _blacklist_step(threshold: int, keep_days: int):
                 batch[kk] = batch.get(kk, 0) + int(n)
             d = pdf["day"].max()
             newest_day = d if newest_day is None or d > newest_day else newest_day
-            yield pdf.assign(kind="click")[["kind", *CLICK_COLUMNS]]
+            yield pdf.assign(kind="click", n=None)[["kind", *CLICK_COLUMNS, "n"]]
         if not blocked and batch:
             if any(totals.get(kk, 0) > threshold for kk in batch):
                 blocked = True
                 yield pd.DataFrame({
                     "kind": ["block"], "ts": [pd.NaT], "area": [None], "city": [None],
                     "user_id": [int(key[0])], "ads_id": [None], "event_id": [None],
-                    "day": [newest_day]})
+                    "day": [newest_day], "n": [None]})
             for kk, n in batch.items():
                 totals[kk] = totals.get(kk, 0) + n
+            # the running count of every key this batch touched (user_ads_count_perday)
+            ads, days = zip(*(kk.split("|", 1) for kk in batch))
+            yield pd.DataFrame({
+                "kind": "count", "ts": pd.NaT, "area": None, "city": None,
+                "user_id": int(key[0]), "ads_id": [int(a) for a in ads], "event_id": None,
+                "day": list(days), "n": [totals[kk] for kk in batch]})
             if newest_day is not None and keep_days is not None:
                 cut = (pd.Timestamp(newest_day) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
                 totals = {kk: n for kk, n in totals.items() if kk.split("|", 1)[1] >= cut}
@@ -103,23 +110,22 @@ def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
         GroupStateTimeout.NoTimeout)
 
 
-def _land(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Write one micro-batch to ``folder/batch_id=<id>``; a replay overwrites."""
-    df.write.mode("overwrite").parquet(os.path.join(folder, f"batch_id={batch_id}"))
-
-
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
                     trigger: dict | None = None) -> StreamingQuery:
-    """Stage 1: land kept clicks in ``out_dir/kept`` and blocks in ``out_dir/blocked``."""
+    """Stage 1: land kept clicks in ``out_dir/kept``, blocks in ``out_dir/blocked``
+    and the running per-(user, ad, day) counts in ``out_dir/user_ad_counts``."""
     kept_dir = os.path.join(out_dir, "kept")
     blocked_dir = os.path.join(out_dir, "blocked")
+    counts_dir = os.path.join(out_dir, "user_ad_counts")
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
-        _land(df.where(F.col("kind") == "click").select(*CLICK_COLUMNS), kept_dir, batch_id)
-        _land(df.where(F.col("kind") == "block").select("user_id", F.col("day").alias("blocked_day")),
-              blocked_dir, batch_id)
+        land_batch(df.where(F.col("kind") == "click").select(*CLICK_COLUMNS), kept_dir, batch_id)
+        land_batch(df.where(F.col("kind") == "block")
+                   .select("user_id", F.col("day").alias("blocked_day")), blocked_dir, batch_id)
+        land_batch(df.where(F.col("kind") == "count").select("user_id", "ads_id", "day", "n"),
+                   counts_dir, batch_id)
         df.unpersist()
 
     w = (blacklist_stream(clicks, threshold, keep_days).writeStream
@@ -140,17 +146,18 @@ def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
     return b.groupBy("user_id").agg(F.min_by("blocked_day", "batch_id").alias("blocked_day"))
 
 
+def read_user_ad_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """user_id, ads_id, day, n: kept clicks per user, ad and day so far."""
+    log = spark.read.parquet(os.path.join(out_dir, "user_ad_counts"))
+    return latest_per_key(log, ["user_id", "ads_id", "day"], "n")
+
+
 def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out_dir, "kept"))
 
 
 # --- stage 2: daily totals and the top ads per day and area --------------------
 
-def _latest(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Latest value per key of an append-only change log (by ``batch_id``)."""
-    return df.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
-
-
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
 
 
@@ -167,14 +174,14 @@ def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness:
 
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        _land(df, totals_dir, batch_id)
+        land_batch(df, totals_dir, batch_id)
         touched = df.select("day", "area").distinct()
-        current = _latest(spark.read.parquet(totals_dir).join(touched, ["day", "area"], "left_semi"),
+        current = latest_per_key(spark.read.parquet(totals_dir).join(touched, ["day", "area"], "left_semi"),
                           TOTAL_KEYS, "clicks")
         per_area = current.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks"))
         ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
                                  top, rank_name="rank")
-        _land(ranked, top_dir, batch_id)
+        land_batch(ranked, top_dir, batch_id)
 
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
@@ -182,7 +189,7 @@ def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness:
 
 
 def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    return _latest(spark.read.parquet(os.path.join(out_dir, "totals")), TOTAL_KEYS, "clicks")
+    return latest_per_key(spark.read.parquet(os.path.join(out_dir, "totals")), TOTAL_KEYS, "clicks")
 
 
 def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -211,7 +218,7 @@ def start_minute_counts(kept: DataFrame, out_dir: str, checkpoint: str,
            .select(F.col("w.start").alias("minute_start"), "ads_id", "clicks", "newest"))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        _land(df, minutes_dir, batch_id)
+        land_batch(df, minutes_dir, batch_id)
 
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
