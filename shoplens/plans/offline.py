@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.params import Condition
 from shoplens.plans import categories, funnel, regions, sessions
+from shoplens.schemas import USER_VISIT_ACTION
 from shoplens.session import shared_dir
 from shoplens.sources.sinks import write_table
 from shoplens.sources.tables import ShopTables
@@ -30,7 +31,7 @@ def land_filtered_actions(spark: SparkSession, tables: ShopTables, cond: Conditi
     acts = sessions.filter_actions(tables.actions(cond.start_date, cond.end_date),
                                    tables.users(), cond)
     write_table(acts, folder, partition_by=["date"])
-    return spark.read.parquet(folder).select(*sessions.ACTION_COLUMNS)
+    return spark.read.schema(USER_VISIT_ACTION).parquet(folder).select(*sessions.ACTION_COLUMNS)
 
 
 def run_offline(spark: SparkSession, sf_dir: str, cond: Condition, task_id: str | None = None,

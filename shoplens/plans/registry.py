@@ -18,6 +18,7 @@ from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, regions, sessions
 from shoplens.sources.ads import format_ads_lines, parse_ads_lines
 from shoplens.sources.sinks import write_table
+from shoplens.schemas import USER_VISIT_ACTION
 from shoplens.session import prepare, shared_dir
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming.runner import run_ads_pipeline
@@ -111,7 +112,7 @@ def q_table_overwrite(spark, sf_dir):
     earlier one) and read back with a date bound that prunes folders."""
     folder = shared_dir(spark, "tables", f"actions-{uuid.uuid4().hex[:8]}")
     write_table(_filtered(spark, sf_dir), folder, partition_by=["date"])
-    back = spark.read.parquet(folder)
+    back = spark.read.schema(USER_VISIT_ACTION).parquet(folder)
     return (back.where(F.col("date").between(CONDITION.start_date, CONDITION.end_date))
             .select(*sessions.ACTION_COLUMNS))
 
