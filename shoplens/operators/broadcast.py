@@ -23,3 +23,16 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     partitions (``spark.sql.adaptive.skewJoin.enabled``).
     """
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """For a side derived from the big data (e.g. a blacklist of users).
+
+    The side is computed once and written to the shared checkpoint folder
+    (``checkpoint()``: a lost executor re-reads it instead of recomputing the
+    aggregation behind it); the size check then reads only those files.
+    Broadcast iff at most ``max_rows`` rows, else a shuffle join.
+    """
+    from shoplens.session import shared_dir
+    shared_dir(df.sparkSession)  # make sure a checkpoint folder is set
+    return sized_broadcast(df.checkpoint(eager=True), max_rows)

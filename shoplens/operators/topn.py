@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.broadcast import sized_broadcast
-
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
                     rank_name: str | None = None, ties: bool = False) -> DataFrame:
@@ -31,15 +29,16 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 
 def proportional_sample(items: DataFrame, stratum: str, key: str, total: int,
-                        seed: str = "0", quota_max_rows: int = 1_000_000) -> DataFrame:
+                        seed: str = "0") -> DataFrame:
     """Take ``round(n_stratum / n_all * total)`` items of every stratum,
     uniformly at random, without repetition (never more than the stratum has).
 
     The draw is a seeded hash order: ``md5(key || ':' || seed)``, so a run is
     repeatable and equal to the SQL statement of the same rule. Every quota is
     at most ``total``, so the ``row_number() <= total`` bound lets Spark cut
-    each stratum per partition before the shuffle; the per-stratum quota
-    table holds one row per stratum and is broadcast behind a size check.
+    each stratum per partition before the shuffle; the quota table (one row
+    per stratum) joins the ranked items on the stratum, which both sides are
+    already partitioned by, so the join adds no shuffle.
     Output: the item columns plus ``quota``.
     """
     per = items.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
@@ -51,6 +50,6 @@ def proportional_sample(items: DataFrame, stratum: str, key: str, total: int,
     w = Window.partitionBy(stratum).orderBy(F.md5(F.concat(F.col(key).cast("string"),
                                                            F.lit(":" + seed))))
     ranked = items.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= total)
-    return (ranked.join(sized_broadcast(quota, quota_max_rows), stratum)
+    return (ranked.join(quota, stratum)
             .where(F.col("_rn") <= F.col("quota"))
             .drop("_rn"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import pairs_json
-from shoplens.operators.broadcast import sized_broadcast
+from shoplens.operators.broadcast import materialized_broadcast
 from shoplens.operators.topn import top_n_per_group
 
 # Fixed values of the reference's streaming job.
@@ -65,7 +65,7 @@ def ads_kept_clicks(clicks: DataFrame, batch_seconds: int = BATCH_SECONDS,
     """The clicks that pass the blacklist (input columns + ts_ms, day, batch)."""
     bl = blacklist if blacklist is not None else ads_blacklist(clicks, batch_seconds, threshold)
     c = with_labels(clicks, batch_seconds)
-    bl = sized_broadcast(bl, USER_BROADCAST_MAX_ROWS)
+    bl = materialized_broadcast(bl, USER_BROADCAST_MAX_ROWS)
     return (c.join(bl, "user_id", "left")
             .where(F.col("blocked_batch").isNull() | (F.col("batch") <= F.col("blocked_batch")))
             .drop("blocked_batch"))

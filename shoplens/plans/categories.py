@@ -32,9 +32,12 @@ def category_actions(actions: DataFrame) -> DataFrame:
            .when(pay, comma_list("pay_category_ids")))
     action = (F.when(click, F.lit("click")).when(order, F.lit("order"))
               .when(pay, F.lit("pay")))
-    return (actions.select(ids.alias("_ids"), action.alias("action"))
-            .where(F.col("action").isNotNull())
-            .select(F.explode("_ids").alias("category_id"), "action"))
+    # explode_outer + a filter on the generated column: a row without an
+    # action (ids null) or with an empty list gives one null category, which
+    # the filter drops. Filtering before the generator would be pushed into
+    # the scan with the whole CASE inlined (and re-evaluated) there.
+    return (actions.select(F.explode_outer(ids).alias("category_id"), action.alias("action"))
+            .where(F.col("category_id").isNotNull()))
 
 
 def category_action_counts(actions: DataFrame) -> DataFrame:
