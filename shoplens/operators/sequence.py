@@ -9,7 +9,7 @@ tasks as it has buckets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,31 +24,31 @@ def successor_pairs(df: DataFrame, group: Sequence[str], bucket: str, order: Seq
     The last row of a group gets null. Output: all input columns plus
     ``next_name`` (default ``next_<value>``).
 
-    Plan: ``lead`` in a window per (group, bucket); for the last row of each
-    bucket, the first value of the next non-empty bucket comes from a
-    per-(group, bucket) aggregate (one row each) and a ``lead`` over those.
+    Plan: one shuffle of the rows by (group, bucket) and a window there
+    (``lead`` inside the bucket, ``row_number`` to mark each bucket's first
+    row). The first rows, one per (group, bucket), get the first value of the
+    next non-empty bucket by a ``lead`` over the buckets of their group, and
+    join back to the bucket's last row (null ``lead``) by (group, bucket).
     """
     group = list(group)
     order = list(order)
     next_name = next_name or f"next_{value}"
     gb = group + [bucket]
     w_in = Window.partitionBy(*gb).orderBy(*order)
-    rows = df.withColumn("_next_in", F.lead(value).over(w_in))
-
-    firsts = (df.groupBy(*gb)
-              .agg(F.min_by(F.col(value), F.struct(*order)).alias("_first")))
+    rows = df.select("*", F.lead(value).over(w_in).alias("_next_in"),
+                     F.row_number().over(w_in).alias("_pos"))
     w_b = Window.partitionBy(*group).orderBy(bucket)
-    bridges = firsts.select(*gb, F.lead("_first").over(w_b).alias("_next_bucket"))
-
-    # Only the last row of every bucket needs the bridge; a left join keyed by
-    # (group, bucket) is one-to-one on the bridge side.
+    bridges = (rows.where(F.col("_pos") == 1)
+               .select(*gb, F.lead(value).over(w_b).alias("_next_bucket")))
     joined = rows.join(bridges, gb, "left")
     out = joined.withColumn(next_name, F.coalesce(F.col("_next_in"), F.col("_next_bucket")))
-    return out.drop("_next_in", "_next_bucket")
+    return out.drop("_next_in", "_next_bucket", "_pos")
 
 
 def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str],
-                   lists: dict[str, Column], sep: str = ",") -> DataFrame:
+                   lists: dict[str, Column], sep: str = ",",
+                   extra: dict[str, tuple[Column, Callable[[str], Column]]] | None = None
+                   ) -> DataFrame:
     """Per group, each ``lists`` expression's non-null values joined by ``sep``
     in the order ``(bucket, *order)``; a list with no value gives ``''``.
 
@@ -61,16 +61,19 @@ def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
     order = list(order)
     names = list(lists)
     items = F.struct(*[F.col(c) for c in order], *[e.alias(n) for n, e in lists.items()])
+    extra = extra or {}
     per_bucket = (df.groupBy(*group, bucket)
-                  .agg(F.array_sort(F.collect_list(items)).alias("_items")))
+                  .agg(F.array_sort(F.collect_list(items)).alias("_items"),
+                       *[agg.alias(n) for n, (agg, _m) in extra.items()]))
     parts = []
     for n in names:
         vals = F.transform(F.filter("_items", _not_null_field(n)), _field(n))
         parts.append(F.when(F.size(vals) > 0, F.array_join(vals, sep)).alias(n))
-    partial = per_bucket.select(*group, bucket, *parts)
+    partial = per_bucket.select(*group, bucket, *parts, *extra)
     merged = (partial.groupBy(*group)
-              .agg(F.array_sort(F.collect_list(F.struct(bucket, *names))).alias("_parts")))
-    return merged.select(*group, *[
+              .agg(F.array_sort(F.collect_list(F.struct(bucket, *names))).alias("_parts"),
+                   *[merge(n).alias(n) for n, (_a, merge) in extra.items()]))
+    return merged.select(*group, *extra, *[
         F.coalesce(F.array_join(F.transform("_parts", _field(n)), sep),
                    F.lit("")).alias(n) for n in names])
 

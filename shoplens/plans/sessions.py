@@ -94,7 +94,9 @@ def session_stat(actions: DataFrame, cond: Condition | None = None,
                       pct1("sle", "n").alias("step_length_le_5_ratio"))
 
 
-def _lists(actions: DataFrame) -> DataFrame:
+def _lists(actions: DataFrame, with_bounds: bool = False) -> DataFrame:
+    """Per session the four ordered lists (and, if asked, the bounds in the
+    same two aggregation passes)."""
     kind = action_kind()
     a = actions.select("session_id", "action_time", "event_id",
                        F.substring("action_time", 1, 16).alias("_minute"),
@@ -106,7 +108,9 @@ def _lists(actions: DataFrame) -> DataFrame:
         {"search_keywords": F.when(k == "search", F.col("search_keyword")),
          "click_product_ids": F.when(k == "click", F.col("click_product_id").cast("string")),
          "order_product_ids": F.when(k == "order", F.col("order_product_ids")),
-         "pay_product_ids": F.when(k == "pay", F.col("pay_product_ids"))})
+         "pay_product_ids": F.when(k == "pay", F.col("pay_product_ids"))},
+        extra=({"start_time": (F.min("action_time"), F.min), "_end": (F.max("action_time"), F.max),
+                "step_length": (F.count(F.lit(1)), F.sum)} if with_bounds else None))
 
 
 SUMMARY_COLUMNS = ["session_id", "start_time", "step_length", "visit_length", "search_keywords",
@@ -115,8 +119,14 @@ SUMMARY_COLUMNS = ["session_id", "start_time", "step_length", "visit_length", "s
 
 def session_summary(actions: DataFrame) -> DataFrame:
     """Per session: bounds and the comma-joined search words, clicked products,
-    order lists and pay lists, in time order (event id breaks ties)."""
-    return session_bounds(actions).join(_lists(actions), "session_id").select(*SUMMARY_COLUMNS)
+    order lists and pay lists, in time order (event id breaks ties).
+
+    One read and two aggregation passes: per (session, minute), then per
+    session, with the bounds merged along the lists."""
+    s = _lists(actions, with_bounds=True)
+    return s.select("session_id", "start_time", "step_length",
+                    (time_ms("_end") - time_ms("start_time")).alias("visit_length"),
+                    *SUMMARY_COLUMNS[4:])
 
 
 def session_quota(actions: DataFrame, total: int = SAMPLE_SIZE) -> DataFrame:
