@@ -358,6 +358,11 @@ def stream_queries() -> dict[str, str]:
     bl = _ads_ctes(STREAM_BL_ADS_MOD, STREAM_BATCH_SECONDS, STREAM_BL_THRESHOLD)
     d = _ads_ctes(ADS_MOD, STREAM_BATCH_SECONDS, THRESHOLD)
     minute_ms = "(ts_ms // 60000) * 60000"
+    recent = f""",
+minutes_recent AS (
+  SELECT ads_id, {minute_ms} AS minute_ms, strftime(ts, '%H:%M') AS minute
+  FROM kept WHERE {minute_ms} > (SELECT max(ts_ms) FROM kept) - 3600000
+)"""
     return {
         "stream_ads_blacklist": with_shop(bl, f"""
 SELECT user_id, strftime(make_timestamp(blocked_batch * {STREAM_BATCH_SECONDS * 1000000}),
@@ -370,11 +375,14 @@ SELECT user_id, ads_id, day, COUNT(*) AS n FROM kept GROUP BY ALL"""),
         "stream_ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
         "stream_ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
         "stream_ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
-        "stream_ads_last_hour": with_shop(d + f""",
-minutes_recent AS (
-  SELECT ads_id, {minute_ms} AS minute_ms, strftime(ts, '%H:%M') AS minute
-  FROM kept WHERE {minute_ms} > (SELECT max(ts_ms) FROM kept) - 3600000
-)""", "SELECT ads_id, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL"),
+        "stream_ads_last_hour": with_shop(d + recent, """
+SELECT ads_id, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL"""),
+        "stream_ads_last_hour_json": with_shop(d + recent, """
+SELECT ads_id,
+       '[' || string_agg('{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}', ','
+                         ORDER BY minute_ms) || ']' AS minutes
+FROM (SELECT ads_id, minute_ms, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL)
+GROUP BY ads_id"""),
     }
 
 

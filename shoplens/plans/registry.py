@@ -220,6 +220,10 @@ def q_stream_ads_last_hour(spark, sf_dir):
     return S.read_last_hour(spark, _out(spark, sf_dir)).drop("minute_start")
 
 
+def q_stream_ads_last_hour_json(spark, sf_dir):
+    return S.read_last_hour_json(spark, _out(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
     "session_summary": q_session_summary,
@@ -251,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "stream_ads_area_top3": q_stream_ads_area_top3,
     "stream_ads_area_top3_json": q_stream_ads_area_top3_json,
     "stream_ads_last_hour": q_stream_ads_last_hour,
+    "stream_ads_last_hour_json": q_stream_ads_last_hour_json,
 }
 
 

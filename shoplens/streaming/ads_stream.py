@@ -44,6 +44,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from shoplens.functions import pairs_json
 from shoplens.operators.topn import top_n_per_group
 from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
+from shoplens.sources.ads import parse_ads_lines
 from shoplens.sources.sinks import land_batch, latest_per_key
 
 STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean"
@@ -51,6 +52,8 @@ OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigi
               "ads_id bigint, event_id bigint, day string, n bigint")
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 KEEP_DAYS = 3
+KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
+               "event_id bigint, day string")
 
 
 def _blacklist_step(threshold: int, keep_days: int):
@@ -100,6 +103,24 @@ def _blacklist_step(threshold: int, keep_days: int):
     return step
 
 
+def clicks_from_lines(lines: DataFrame, bad_dir: str | None = None,
+                      checkpoint: str | None = None) -> tuple[DataFrame, StreamingQuery | None]:
+    """Parse a stream of ad lines (Kafka ``value`` or text files).
+
+    Returns the stream of good clicks (ts, area, city, user_id, ads_id, and a
+    null event_id: lines carry none) and, if ``bad_dir`` is given, a started
+    query that appends the bad lines with their reason there (a counted side
+    output instead of a failed batch).
+    """
+    good, bad = parse_ads_lines(lines)
+    q = None
+    if bad_dir is not None:
+        q = (bad.writeStream.format("parquet").option("path", bad_dir)
+             .option("checkpointLocation", checkpoint or bad_dir + "_checkpoint")
+             .outputMode("append").start())
+    return good.withColumn("event_id", F.lit(None).cast("bigint")), q
+
+
 def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
                      keep_days: int = KEEP_DAYS) -> DataFrame:
     """Stage-1 transformation: rows of kind 'click' (kept) and 'block'."""
@@ -128,6 +149,12 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                    counts_dir, batch_id)
         df.unpersist()
 
+    # Seed each output folder with an empty batch so that stage 2's file
+    # stream can start (with its partition layout) before the first batch.
+    spark = clicks.sparkSession
+    for folder, schema in [(kept_dir, KEPT_SCHEMA), (blocked_dir, "user_id bigint, blocked_day string"),
+                           (counts_dir, "user_id bigint, ads_id bigint, day string, n bigint")]:
+        land_batch(spark.createDataFrame([], schema), folder, -1)
     w = (blacklist_stream(clicks, threshold, keep_days).writeStream
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
@@ -135,9 +162,8 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
 
 def read_kept_stream(spark: SparkSession, out_dir: str) -> DataFrame:
     """Stage-1 output as a file stream (input of stage 2)."""
-    schema = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
-              "event_id bigint, day string, batch_id bigint")
-    return spark.readStream.schema(schema).parquet(os.path.join(out_dir, "kept"))
+    return (spark.readStream.schema(KEPT_SCHEMA + ", batch_id bigint")
+            .parquet(os.path.join(out_dir, "kept")))
 
 
 def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:

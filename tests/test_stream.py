@@ -63,3 +63,23 @@ def test_late_click_adds_to_its_own_day(spark):
     _await(q)
     got = _rows(S.read_daily_totals(spark, d), ["day", "clicks"])
     assert got == [("2024-01-01", 1), ("2024-01-02", 1)]
+
+
+def test_text_lines_stream_with_bad_lines(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    src = os.path.join(d, "lines")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("1704067200000 A c 1 5\n1704067200000 A c 1\nxx A c 1 5\n"
+                "1704067260000 A c 2 5 extra\n")
+    lines = spark.readStream.text(src)
+    good, bad_q = S.clicks_from_lines(lines, os.path.join(d, "bad"), os.path.join(d, "ck_bad"))
+    q = S.start_blacklist(good, os.path.join(d, "out"), os.path.join(d, "ck1"), threshold=20,
+                          trigger=AVAILABLE_NOW)
+    _await(q)
+    bad_q.processAllAvailable()
+    bad_q.stop()
+    kept = S.read_kept(spark, os.path.join(d, "out"))
+    assert _rows(kept, ["user_id", "ads_id"]) == [(1, 5), (2, 5)]
+    reasons = sorted(r.reason for r in spark.read.parquet(os.path.join(d, "bad")).collect())
+    assert reasons == ["fewer than 5 fields", "time is not an integer"]
