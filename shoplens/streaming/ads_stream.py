@@ -11,8 +11,9 @@ Stage 1 (``start_blacklist``): clicks -> per-user state -> kept clicks.
   rows, a key present in this batch whose earlier total exceeds the
   threshold blocks the user for good, then the batch is added. Counters of
   days older than ``keep_days`` before the user's newest day are dropped.
-  ``foreachBatch`` lands kept clicks and block events under ``batch_id=<id>``
-  folders, overwritten on replay, so a restarted batch writes the same data.
+  ``foreachBatch`` lands kept clicks, block events and the touched keys'
+  running counts in one write under ``stage1/batch_id=<id>/kind=<k>``,
+  overwritten on replay, so a restarted batch writes the same data.
 
 Stage 2 reads the landed kept clicks as a file stream:
   - ``start_daily_totals``: ``groupBy(window(ts, "1 day"), area, city, ads_id)
@@ -60,7 +61,9 @@ def _blacklist_step(threshold: int, keep_days: int):
     """The per-user state function of stage 1."""
 
     def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        warnings.filterwarnings("ignore", category=FutureWarning)
+        # PySpark pads its output batches with empty pandas frames, which
+        # pandas warns about on every concat; the warning is not ours.
+        warnings.simplefilter("ignore", FutureWarning)
         if state.exists:
             keys, counts, blocked = state.get
             totals = dict(zip(keys, counts))
@@ -131,55 +134,64 @@ def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
         GroupStateTimeout.NoTimeout)
 
 
+KINDS = ("click", "block", "count")
+
+
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
                     trigger: dict | None = None) -> StreamingQuery:
-    """Stage 1: land kept clicks in ``out_dir/kept``, blocks in ``out_dir/blocked``
-    and the running per-(user, ad, day) counts in ``out_dir/user_ad_counts``."""
-    kept_dir = os.path.join(out_dir, "kept")
-    blocked_dir = os.path.join(out_dir, "blocked")
-    counts_dir = os.path.join(out_dir, "user_ad_counts")
+    """Stage 1: land each micro-batch in ``out_dir/stage1/batch_id=<id>/kind=<k>``:
+    kept clicks (``click``), newly blocked users (``block``) and the running
+    per-(user, ad, day) counts of the keys the batch touched (``count``).
+
+    One write per micro-batch (partitioned by kind), overwritten on replay.
+    """
+    stage1 = os.path.join(out_dir, "stage1")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        land_batch(df.where(F.col("kind") == "click").select(*CLICK_COLUMNS), kept_dir, batch_id)
-        land_batch(df.where(F.col("kind") == "block")
-                   .select("user_id", F.col("day").alias("blocked_day")), blocked_dir, batch_id)
-        land_batch(df.where(F.col("kind") == "count").select("user_id", "ads_id", "day", "n"),
-                   counts_dir, batch_id)
-        df.unpersist()
-
-    # Seed each output folder with an empty batch so that stage 2's file
-    # stream can start (with its partition layout) before the first batch.
+        (df.write.mode("overwrite").partitionBy("kind")
+         .parquet(os.path.join(stage1, f"batch_id={batch_id}")))
+
+    # Seed one empty batch per kind so that stage 2's file stream can start
+    # (with its partition layout) before the first micro-batch lands.
     spark = clicks.sparkSession
-    for folder, schema in [(kept_dir, KEPT_SCHEMA), (blocked_dir, "user_id bigint, blocked_day string"),
-                           (counts_dir, "user_id bigint, ads_id bigint, day string, n bigint")]:
-        land_batch(spark.createDataFrame([], schema), folder, -1)
+    empty = spark.createDataFrame([], OUT_SCHEMA).drop("kind")
+    for k in KINDS:
+        empty.write.mode("overwrite").parquet(os.path.join(stage1, "batch_id=-1", f"kind={k}"))
     w = (blacklist_stream(clicks, threshold, keep_days).writeStream
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+STAGE1_READ_SCHEMA = OUT_SCHEMA.replace("kind string, ", "") + ", batch_id bigint, kind string"
+
+
+def _stage1(spark: SparkSession, out_dir: str, kind: str) -> DataFrame:
+    return (spark.read.schema(STAGE1_READ_SCHEMA).parquet(os.path.join(out_dir, "stage1"))
+            .where(F.col("kind") == kind))
+
+
 def read_kept_stream(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Stage-1 output as a file stream (input of stage 2)."""
-    return (spark.readStream.schema(KEPT_SCHEMA + ", batch_id bigint")
-            .parquet(os.path.join(out_dir, "kept")))
+    """Stage-1 kept clicks as a file stream (input of stage 2)."""
+    return (spark.readStream.schema(STAGE1_READ_SCHEMA)
+            .parquet(os.path.join(out_dir, "stage1"))
+            .where(F.col("kind") == "click")
+            .select(*CLICK_COLUMNS, "batch_id"))
 
 
 def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
     """The blacklist: user_id, blocked_day (first block wins)."""
-    b = spark.read.parquet(os.path.join(out_dir, "blocked"))
-    return b.groupBy("user_id").agg(F.min_by("blocked_day", "batch_id").alias("blocked_day"))
+    b = _stage1(spark, out_dir, "block")
+    return b.groupBy("user_id").agg(F.min_by("day", "batch_id").alias("blocked_day"))
 
 
 def read_user_ad_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """user_id, ads_id, day, n: kept clicks per user, ad and day so far."""
-    log = spark.read.parquet(os.path.join(out_dir, "user_ad_counts"))
-    return latest_per_key(log, ["user_id", "ads_id", "day"], "n")
+    return latest_per_key(_stage1(spark, out_dir, "count"), ["user_id", "ads_id", "day"], "n")
 
 
 def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_dir, "kept"))
+    return _stage1(spark, out_dir, "click").select(*CLICK_COLUMNS, "batch_id")
 
 
 # --- stage 2: daily totals and the top ads per day and area --------------------

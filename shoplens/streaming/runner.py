@@ -29,10 +29,28 @@ def _await(q) -> None:
 
 
 def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
-                     files_per_batch: int = 1, keep_days: int = S.KEEP_DAYS) -> str:
+                     files_per_batch: int = 1, keep_days: int = S.KEEP_DAYS,
+                     state_partitions: int | None = None) -> str:
     """Replay ``clicks`` in windows of ``batch_seconds`` through stage 1 and
-    stage 2; returns the output folder (read it with ``ads_stream.read_*``)."""
+    stage 2; returns the output folder (read it with ``ads_stream.read_*``).
+
+    A stateful query fixes its number of state partitions at its first start
+    (from ``spark.sql.shuffle.partitions``), and every micro-batch runs one
+    task per state partition. The replay sets it to ``state_partitions``
+    (default: the context's parallelism) for the queries it starts and then
+    restores the session setting.
+    """
     spark = clicks.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days) -> str:
     replay = os.path.join(folder, "replay")
     out = os.path.join(folder, "out")
     ckpt = os.path.join(folder, "checkpoints")
