@@ -2,6 +2,7 @@
 
     python -m shoplens.jobs offline --data DIR --condition '{"startDate": ...}' --out DIR
     python -m shoplens.jobs area    --data DIR [--top 3]
+    python -m shoplens.jobs ads-batch --data DIR --out DIR [--batch-seconds 5 --threshold 20]
     python -m shoplens.jobs stream  --lines DIR | --kafka BROKERS --out DIR
 
 ``offline`` runs Q1-Q5 for one condition (JSON with the reference's keys:
@@ -44,6 +45,11 @@ def main(argv: list[str] | None = None) -> None:
     area = sub.add_parser("area")
     area.add_argument("--data", required=True)
     area.add_argument("--top", type=int, default=3)
+    ab = sub.add_parser("ads-batch")
+    ab.add_argument("--data", required=True)
+    ab.add_argument("--out", required=True)
+    ab.add_argument("--batch-seconds", type=int, default=5)
+    ab.add_argument("--threshold", type=int, default=20)
     st = sub.add_parser("stream")
     src = st.add_mutually_exclusive_group(required=True)
     src.add_argument("--lines", help="folder of text files of ad lines")
@@ -58,6 +64,9 @@ def main(argv: list[str] | None = None) -> None:
         from shoplens.plans.offline import run_offline
         run_offline(spark, args.data, Condition.from_json(args.condition), args.task_id,
                     out_dir=args.out)
+    elif args.job == "ads-batch":
+        from shoplens.plans.offline import run_ads_batch
+        run_ads_batch(spark, args.data, args.out, args.batch_seconds, args.threshold)
     elif args.job == "area":
         from shoplens.plans.offline import run_area_top
         show_console(run_area_top(spark, args.data, args.top), 100)

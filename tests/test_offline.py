@@ -21,3 +21,12 @@ def test_offline_job_equals_registered_queries(spark):
     assert _rows(res["page_convert_rate"]) == _rows(R.q_page_convert_rate(spark, sf))
     back = spark.read.parquet(f"{out}/page_convert_rate")
     assert back.count() == res["page_convert_rate"].count()
+
+
+def test_ads_batch_job_equals_registered_queries(spark):
+    from shoplens.plans.offline import run_ads_batch
+    sf = "/root/testdata/sf0.001"
+    res = run_ads_batch(spark, sf, tempfile.mkdtemp(prefix="run-"))
+    assert _rows(res["area_city_ads_day_clickcount"]) == _rows(R.q_ads_daily_totals(spark, sf))
+    assert _rows(res["top3_ads_per_day"]) == _rows(R.q_ads_area_top3_json(spark, sf))
+    assert _rows(res["last_hour_ads_click"]) == _rows(R.q_ads_last_hour_json(spark, sf))
