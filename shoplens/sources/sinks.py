@@ -63,9 +63,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
     w.save()
 
 
-def land_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Write one micro-batch to ``folder/batch_id=<id>``; a replay overwrites."""
-    df.write.mode("overwrite").parquet(os.path.join(folder, f"batch_id={batch_id}"))
+def land_batch(df: DataFrame, folder: str, batch_id: int,
+               partition_by: Sequence[str] | None = None) -> None:
+    """Write one micro-batch to ``folder/batch_id=<id>`` (optionally split by
+    ``partition_by`` inside, so readers can prune); a replay overwrites."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(os.path.join(folder, f"batch_id={batch_id}"))
 
 
 def latest_per_key(log: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -197,6 +197,13 @@ def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
 # --- stage 2: daily totals and the top ads per day and area --------------------
 
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
+TOTALS_SCHEMA = "area string, city string, ads_id bigint, clicks bigint, batch_id bigint, day string"
+MINUTES_SCHEMA = ("minute_start timestamp, ads_id bigint, clicks bigint, newest timestamp, "
+                  "batch_id bigint, day string")
+
+
+def _read_totals(spark: SparkSession, totals_dir: str) -> DataFrame:
+    return spark.read.schema(TOTALS_SCHEMA).parquet(totals_dir)
 
 
 def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness: str = "2 days",
@@ -212,14 +219,21 @@ def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness:
 
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        land_batch(df, totals_dir, batch_id)
+        df = df.persist()
+        land_batch(df, totals_dir, batch_id, partition_by=["day"])
         touched = df.select("day", "area").distinct()
-        current = latest_per_key(spark.read.parquet(totals_dir).join(touched, ["day", "area"], "left_semi"),
-                          TOTAL_KEYS, "clicks")
+        # The days one micro-batch can touch lie within the watermark delay of
+        # its newest click (a handful), so their labels are collected to prune
+        # the log's day folders; only those days are read.
+        days = [r[0] for r in touched.select("day").distinct().collect()]
+        log = _read_totals(spark, totals_dir).where(F.col("day").isin(days))
+        current = latest_per_key(log.join(touched, ["day", "area"], "left_semi"),
+                                 TOTAL_KEYS, "clicks")
         per_area = current.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks"))
         ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
                                  top, rank_name="rank")
         land_batch(ranked, top_dir, batch_id)
+        df.unpersist()
 
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
@@ -227,7 +241,8 @@ def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness:
 
 
 def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    return latest_per_key(spark.read.parquet(os.path.join(out_dir, "totals")), TOTAL_KEYS, "clicks")
+    return latest_per_key(_read_totals(spark, os.path.join(out_dir, "totals")), TOTAL_KEYS,
+                          "clicks")
 
 
 def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -249,14 +264,20 @@ def read_area_top_json(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def start_minute_counts(kept: DataFrame, out_dir: str, checkpoint: str,
                         lateness: str = "2 hours", trigger: dict | None = None) -> StreamingQuery:
+    """Stage 2b: clicks per (minute, ad), landed by day, plus each batch's newest click."""
     minutes_dir = os.path.join(out_dir, "minutes")
+    newest_dir = os.path.join(out_dir, "minutes_newest")
     agg = (kept.withWatermark("ts", lateness)
            .groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
            .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
-           .select(F.col("w.start").alias("minute_start"), "ads_id", "clicks", "newest"))
+           .select(F.col("w.start").alias("minute_start"), "ads_id", "clicks", "newest",
+                   F.date_format("w.start", "yyyy-MM-dd").alias("day")))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        land_batch(df, minutes_dir, batch_id)
+        df = df.persist()
+        land_batch(df, minutes_dir, batch_id, partition_by=["day"])
+        land_batch(df.agg(F.max("newest").alias("newest")), newest_dir, batch_id)
+        df.unpersist()
 
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
@@ -265,10 +286,17 @@ def start_minute_counts(kept: DataFrame, out_dir: str, checkpoint: str,
 
 def read_last_hour(spark: SparkSession, out_dir: str, minutes: int = 60) -> DataFrame:
     """ads_id, minute (HH:mm), clicks, minute_start: the minutes that start
-    after ``newest - minutes`` (whole minutes only)."""
-    log = spark.read.parquet(os.path.join(out_dir, "minutes"))
-    newest = log.select(F.max("newest")).scalar()
-    recent = log.where(F.col("minute_start") > newest - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    after ``newest - minutes`` (whole minutes only).
+
+    The newest click comes from the one-row-per-batch summary; the minute log
+    is read only in the day folders the hour spans."""
+    newest = (spark.read.schema("newest timestamp, batch_id bigint")
+              .parquet(os.path.join(out_dir, "minutes_newest")).select(F.max("newest")).scalar())
+    since = newest - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    log = spark.read.schema(MINUTES_SCHEMA).parquet(os.path.join(out_dir, "minutes"))
+    recent = log.where(F.col("day").between(F.date_format(since, "yyyy-MM-dd"),
+                                            F.date_format(newest, "yyyy-MM-dd"))
+                       & (F.col("minute_start") > since))
     cur = (recent.groupBy("minute_start", "ads_id")
            .agg(F.max_by("clicks", "batch_id").alias("clicks")))
     return cur.select("ads_id", F.date_format("minute_start", "HH:mm").alias("minute"), "clicks",

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from shoplens.functions import action_kind, comma_list, pairs_json, pct1, time_ms, whole_pct
 
