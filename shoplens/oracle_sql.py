@@ -9,6 +9,11 @@ column types match Spark's.
 
 from __future__ import annotations
 
+from shoplens.params import (ADS_MOD, BATCH_SECONDS, BL_ADS_MOD, BL_BATCH_SECONDS,  # noqa: F401
+                             BL_THRESHOLD, END_AGE, END_DATE, PAGE_FLOW, SAMPLE_SEED,
+                             START_AGE, START_DATE, STREAM_BATCH_SECONDS, STREAM_BL_ADS_MOD,
+                             STREAM_BL_THRESHOLD, TASK_ID, THRESHOLD)
+
 # Shop tables over the given ones (FIXTURES.md §B), DuckDB dialect.
 SHOP_CTES = """
 ev AS (
@@ -116,11 +121,6 @@ SELECT area, product_id, product_name, clickcount, cityremark FROM (
 
 
 # --- Q1-Q5 (filtered visit log) ----------------------------------------------
-# Fixed job parameters of the registered queries (FIXTURES.md §B).
-TASK_ID = "t1"
-START_DATE, END_DATE, START_AGE, END_AGE = "2024-01-05", "2024-01-25", 20, 50
-PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
-SAMPLE_SEED = "0"
 
 
 def _filtered_cte(conditions_json: str) -> str:
@@ -265,10 +265,6 @@ FROM jumps j LEFT JOIN visits v USING (from_page)"""),
 
 
 # --- Q7-Q10 (ad clicks) -------------------------------------------------------
-# Blacklist parameters of FIXTURES.md §B (the default threshold is never
-# reached by the given data) and the reference's own streaming defaults.
-BL_ADS_MOD, BL_BATCH_SECONDS, BL_THRESHOLD = 2, 3600, 2
-ADS_MOD, BATCH_SECONDS, THRESHOLD = 6, 5, 20
 
 
 def _ads_ctes(mod: int, batch_seconds: int, threshold: int) -> str:
@@ -348,10 +344,6 @@ FROM last_hour GROUP BY ads_id"""),
     }
 
 
-# Stream twins: the replay cuts the clicks into 12-hour micro-batches (the
-# blacklist needs a key to span batches; 60 micro-batches at sf0.01).
-STREAM_BATCH_SECONDS = 43200
-STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1
 
 
 def stream_queries() -> dict[str, str]:

@@ -47,3 +47,20 @@ class Condition:
         d["professionals"] = list(d["professionals"]) if d["professionals"] else None
         d["target_page_flow"] = list(d["target_page_flow"])
         return json.dumps(d, sort_keys=True, separators=(",", ":"))
+
+
+# --- Fixed parameters of the registered queries ---------------------------
+# The condition and flow of FIXTURES.md §B for the given test tables.
+TASK_ID = "t1"
+START_DATE, END_DATE, START_AGE, END_AGE = "2024-01-05", "2024-01-25", 20, 50
+PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
+SAMPLE_SEED = "0"
+# Blacklist: ads_id = k % 2 + 1, 1-hour batches, threshold 2 (FIXTURES.md §B;
+# the reference's threshold 20 is never reached by the given data).
+BL_ADS_MOD, BL_BATCH_SECONDS, BL_THRESHOLD = 2, 3600, 2
+# Q8-Q10: ads_id = k % 6 + 1 and the reference's own 5-second batches, threshold 20.
+ADS_MOD, BATCH_SECONDS, THRESHOLD = 6, 5, 20
+# Stream twins: the replay cuts the clicks into 12-hour micro-batches (a
+# blacklist key must span batches; 60 micro-batches over the month).
+STREAM_BATCH_SECONDS = 43200
+STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1

@@ -13,16 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens import oracle_sql as O
+from shoplens import oracle_sql
+from shoplens import params as P
 from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, regions, sessions
-from shoplens.sources.ads import format_ads_lines, parse_ads_lines
-from shoplens.sources.sinks import write_table
 from shoplens.schemas import USER_VISIT_ACTION
 from shoplens.session import prepare, shared_dir
+from shoplens.sources.ads import format_ads_lines, parse_ads_lines
+from shoplens.sources.sinks import write_table
+from shoplens.sources.tables import ShopTables
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming.runner import run_ads_pipeline
-from shoplens.sources.tables import ShopTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +53,9 @@ def q_area_top3_product(spark, sf_dir):
 
 # --- Q1-Q5 -------------------------------------------------------------------
 
-CONDITION = Condition(start_date=O.START_DATE, end_date=O.END_DATE, start_age=O.START_AGE,
-                      end_age=O.END_AGE, target_page_flow=O.PAGE_FLOW)
-TASK_ID = O.TASK_ID
+CONDITION = Condition(start_date=P.START_DATE, end_date=P.END_DATE, start_age=P.START_AGE,
+                      end_age=P.END_AGE, target_page_flow=P.PAGE_FLOW)
+TASK_ID = P.TASK_ID
 
 
 def _filtered(spark, sf_dir, cond: Condition = CONDITION):
@@ -79,7 +80,7 @@ def q_session_quota(spark, sf_dir):
 
 
 def q_session_sample(spark, sf_dir):
-    return sessions.session_sample(_filtered(spark, sf_dir), seed=O.SAMPLE_SEED, task_id=TASK_ID)
+    return sessions.session_sample(_filtered(spark, sf_dir), seed=P.SAMPLE_SEED, task_id=TASK_ID)
 
 
 def q_category_action_counts(spark, sf_dir):
@@ -124,25 +125,25 @@ def _ads(spark, sf_dir, mod):
 
 
 def _kept(spark, sf_dir):
-    return ads.ads_kept_clicks(_ads(spark, sf_dir, O.ADS_MOD), O.BATCH_SECONDS, O.THRESHOLD)
+    return ads.ads_kept_clicks(_ads(spark, sf_dir, P.ADS_MOD), P.BATCH_SECONDS, P.THRESHOLD)
 
 
 KEPT_COLUMNS = ["event_id", "user_id", "ads_id", "area", "city", "day", "ts_ms", "batch"]
 
 
 def q_ads_parse(spark, sf_dir):
-    good, _bad = parse_ads_lines(format_ads_lines(_ads(spark, sf_dir, O.ADS_MOD)))
+    good, _bad = parse_ads_lines(format_ads_lines(_ads(spark, sf_dir, P.ADS_MOD)))
     return good.select(F.unix_millis("ts").alias("ts_ms"), "area", "city", "user_id", "ads_id")
 
 
 def q_ads_blacklist(spark, sf_dir):
-    return ads.ads_blacklist(_ads(spark, sf_dir, O.BL_ADS_MOD), O.BL_BATCH_SECONDS,
-                             O.BL_THRESHOLD)
+    return ads.ads_blacklist(_ads(spark, sf_dir, P.BL_ADS_MOD), P.BL_BATCH_SECONDS,
+                             P.BL_THRESHOLD)
 
 
 def q_ads_kept_clicks(spark, sf_dir):
-    return ads.ads_kept_clicks(_ads(spark, sf_dir, O.BL_ADS_MOD), O.BL_BATCH_SECONDS,
-                               O.BL_THRESHOLD).select(*KEPT_COLUMNS)
+    return ads.ads_kept_clicks(_ads(spark, sf_dir, P.BL_ADS_MOD), P.BL_BATCH_SECONDS,
+                               P.BL_THRESHOLD).select(*KEPT_COLUMNS)
 
 
 def q_ads_daily_totals(spark, sf_dir):
@@ -174,21 +175,21 @@ def _pipeline(spark, sf_dir, mod, threshold):
     """Run (once per session and parameters) the streaming stages over the
     clicks of ``sf_dir`` replayed in 12-hour micro-batches; returns the
     output folder in the shared checkpoint folder."""
-    key = (id(spark.sparkContext), sf_dir, mod, O.STREAM_BATCH_SECONDS, threshold)
+    key = (id(spark.sparkContext), sf_dir, mod, P.STREAM_BATCH_SECONDS, threshold)
     if key not in _PIPELINES:
         tag = f"{os.path.basename(sf_dir.rstrip('/'))}-m{mod}-t{threshold}-{uuid.uuid4().hex[:8]}"
         folder = shared_dir(spark, "stream", tag)
         _PIPELINES[key] = run_ads_pipeline(_ads(spark, sf_dir, mod), folder,
-                                           O.STREAM_BATCH_SECONDS, threshold)
+                                           P.STREAM_BATCH_SECONDS, threshold)
     return _PIPELINES[key]
 
 
 def _bl_out(spark, sf_dir):
-    return _pipeline(spark, sf_dir, O.STREAM_BL_ADS_MOD, O.STREAM_BL_THRESHOLD)
+    return _pipeline(spark, sf_dir, P.STREAM_BL_ADS_MOD, P.STREAM_BL_THRESHOLD)
 
 
 def _out(spark, sf_dir):
-    return _pipeline(spark, sf_dir, O.ADS_MOD, O.THRESHOLD)
+    return _pipeline(spark, sf_dir, P.ADS_MOD, P.THRESHOLD)
 
 
 def q_stream_ads_blacklist(spark, sf_dir):
@@ -259,4 +260,4 @@ QUERIES: dict[str, Query] = {
 }
 
 
-ORACLE: dict[str, str] = O.build_oracle(CONDITION.to_json())
+ORACLE: dict[str, str] = oracle_sql.build_oracle(CONDITION.to_json())
