@@ -48,11 +48,13 @@ from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
 from shoplens.sources.ads import parse_ads_lines
 from shoplens.sources.sinks import land_batch, latest_per_key
 
-STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean"
+STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean, last_ms bigint"
 OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, "
               "ads_id bigint, event_id bigint, day string, n bigint")
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 KEEP_DAYS = 3
+LATENESS = "1 day"
+DAY_MS = 86_400_000
 KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
                "event_id bigint, day string")
 
@@ -64,16 +66,22 @@ def _blacklist_step(threshold: int, keep_days: int):
         # PySpark pads its output batches with empty pandas frames, which
         # pandas warns about on every concat; the warning is not ours.
         warnings.simplefilter("ignore", FutureWarning)
+        if state.hasTimedOut:
+            # an unblocked user idle for keep_days: its counters are all
+            # older than any key a new click can touch, so the state goes
+            state.remove()
+            return
         if state.exists:
-            keys, counts, blocked = state.get
+            keys, counts, blocked, last_ms = state.get
             totals = dict(zip(keys, counts))
         else:
-            totals, blocked = {}, False
+            totals, blocked, last_ms = {}, False, 0
         batch: dict[str, int] = {}
         newest_day = None
         for pdf in chunks:
             if blocked:  # blocked before this batch: drop, do not count
                 continue
+            last_ms = max(last_ms, int(pdf["ts"].max().value // 1_000_000))
             k = pdf["ads_id"].astype("int64").astype(str) + "|" + pdf["day"]
             for kk, n in k.value_counts().items():
                 batch[kk] = batch.get(kk, 0) + int(n)
@@ -98,10 +106,13 @@ def _blacklist_step(threshold: int, keep_days: int):
             if newest_day is not None and keep_days is not None:
                 cut = (pd.Timestamp(newest_day) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
                 totals = {kk: n for kk, n in totals.items() if kk.split("|", 1)[1] >= cut}
-        # a blocked user keeps only the flag
+        # a blocked user keeps only the flag, for good (no timeout); an
+        # unblocked one times out keep_days after its newest click
         if blocked:
             totals = {}
-        state.update((list(totals.keys()), list(totals.values()), blocked))
+        state.update((list(totals.keys()), list(totals.values()), blocked, last_ms))
+        if not blocked:
+            state.setTimeoutTimestamp(last_ms + keep_days * DAY_MS)
 
     return step
 
@@ -125,13 +136,18 @@ def clicks_from_lines(lines: DataFrame, bad_dir: str | None = None,
 
 
 def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
-                     keep_days: int = KEEP_DAYS) -> DataFrame:
-    """Stage-1 transformation: rows of kind 'click' (kept) and 'block'."""
-    c = clicks.select(*[x for x in CLICK_COLUMNS if x != "day"],
-                      F.date_format("ts", "yyyy-MM-dd").alias("day"))
+                     keep_days: int = KEEP_DAYS, lateness: str = LATENESS) -> DataFrame:
+    """Stage-1 transformation: rows of kind 'click' (kept), 'block' and 'count'.
+
+    The watermark (``lateness``) drops clicks older than it before the state
+    and drives the event-time timeout that removes idle unblocked users;
+    ``keep_days`` should exceed the lateness.
+    """
+    c = clicks.withWatermark("ts", lateness).select(
+        *[x for x in CLICK_COLUMNS if x != "day"], F.date_format("ts", "yyyy-MM-dd").alias("day"))
     return c.groupBy("user_id").applyInPandasWithState(
         _blacklist_step(threshold, keep_days), OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+        GroupStateTimeout.EventTimeTimeout)
 
 
 KINDS = ("click", "block", "count")
@@ -139,7 +155,7 @@ KINDS = ("click", "block", "count")
 
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
     """Stage 1: land each micro-batch in ``out_dir/stage1/batch_id=<id>/kind=<k>``:
     kept clicks (``click``), newly blocked users (``block``) and the running
     per-(user, ad, day) counts of the keys the batch touched (``count``).
@@ -158,7 +174,7 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
     empty = spark.createDataFrame([], OUT_SCHEMA).drop("kind")
     for k in KINDS:
         empty.write.mode("overwrite").parquet(os.path.join(stage1, "batch_id=-1", f"kind={k}"))
-    w = (blacklist_stream(clicks, threshold, keep_days).writeStream
+    w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

@@ -83,3 +83,23 @@ def test_text_lines_stream_with_bad_lines(spark):
     assert _rows(kept, ["user_id", "ads_id"]) == [(1, 5), (2, 5)]
     reasons = sorted(r.reason for r in spark.read.parquet(os.path.join(d, "bad")).collect())
     assert reasons == ["fewer than 5 fields", "time is not an integer"]
+
+
+def test_idle_user_state_times_out_blocked_user_stays(spark):
+    from shoplens.streaming.replay import read_replay, write_replay
+    d = tempfile.mkdtemp(prefix="run-")
+    day = 86400
+    # user 1 is blocked on day 0 (threshold 0: 2nd batch sees 1 > 0), user 2 clicks
+    # once on day 0 and goes idle, user 3 clicks on days 10 and 11
+    rows = [(0, 1, 1), (3600, 1, 1), (60, 2, 1), (10 * day, 3, 1), (11 * day, 3, 1),
+            (12 * day, 3, 1)]
+    c = clicks_df(spark, rows)
+    write_replay(c, os.path.join(d, "replay"), 3600)
+    q = S.start_blacklist(read_replay(spark, os.path.join(d, "replay")), os.path.join(d, "out"),
+                          os.path.join(d, "ck"), threshold=0, keep_days=3, trigger=AVAILABLE_NOW)
+    _await(q)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress
+              if p.get("stateOperators")]
+    # at the end: user 1 (blocked, kept for good) and user 3; user 2 timed out
+    assert states[-1] == 2
+    assert {r.user_id for r in S.read_blocked(spark, os.path.join(d, "out")).collect()} == {1}
