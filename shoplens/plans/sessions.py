@@ -58,14 +58,22 @@ def filter_actions(actions: DataFrame, users: DataFrame, cond: Condition,
     return a.join(keys, "user_id", "left_semi").select(*ACTION_COLUMNS)
 
 
+def _ms_to_text(ms) -> F.Column:
+    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
+
+
 def session_bounds(actions: DataFrame) -> DataFrame:
-    """session_id, start_time, step_length, visit_length (ms, second resolution)."""
+    """session_id, start_time, step_length, visit_length (ms, second resolution).
+
+    The bounds are aggregated as epoch milliseconds (LONG) so the aggregation
+    stays a hash aggregate (a min / max over strings would sort every map
+    task's input); the start is formatted back afterwards.
+    """
+    ms = time_ms("action_time")
     agg = actions.groupBy("session_id").agg(
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("_end"),
-        F.count(F.lit(1)).alias("step_length"))
-    return agg.select("session_id", "start_time", "step_length",
-                      (time_ms("_end") - time_ms("start_time")).alias("visit_length"))
+        F.min(ms).alias("_start"), F.max(ms).alias("_end"), F.count(F.lit(1)).alias("step_length"))
+    return agg.select("session_id", _ms_to_text("_start").alias("start_time"), "step_length",
+                      (F.col("_end") - F.col("_start")).alias("visit_length"))
 
 
 def session_stat(actions: DataFrame, cond: Condition | None = None,
@@ -109,7 +117,8 @@ def _lists(actions: DataFrame, with_bounds: bool = False) -> DataFrame:
          "click_product_ids": F.when(k == "click", F.col("click_product_id").cast("string")),
          "order_product_ids": F.when(k == "order", F.col("order_product_ids")),
          "pay_product_ids": F.when(k == "pay", F.col("pay_product_ids"))},
-        extra=({"start_time": (F.min("action_time"), F.min), "_end": (F.max("action_time"), F.max),
+        extra=({"_start": (F.min(time_ms("action_time")), F.min),
+                "_end": (F.max(time_ms("action_time")), F.max),
                 "step_length": (F.count(F.lit(1)), F.sum)} if with_bounds else None))
 
 
@@ -124,8 +133,8 @@ def session_summary(actions: DataFrame) -> DataFrame:
     One read and two aggregation passes: per (session, minute), then per
     session, with the bounds merged along the lists."""
     s = _lists(actions, with_bounds=True)
-    return s.select("session_id", "start_time", "step_length",
-                    (time_ms("_end") - time_ms("start_time")).alias("visit_length"),
+    return s.select("session_id", _ms_to_text("_start").alias("start_time"), "step_length",
+                    (F.col("_end") - F.col("_start")).alias("visit_length"),
                     *SUMMARY_COLUMNS[4:])
 
 
