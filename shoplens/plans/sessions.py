@@ -132,6 +132,10 @@ def session_summary(actions: DataFrame) -> DataFrame:
 
     One read and two aggregation passes: per (session, minute), then per
     session, with the bounds merged along the lists."""
+    return _summary(actions)
+
+
+def _summary(actions: DataFrame) -> DataFrame:
     s = _lists(actions, with_bounds=True)
     return s.select("session_id", _ms_to_text("_start").alias("start_time"), "step_length",
                     (F.col("_end") - F.col("_start")).alias("visit_length"),
@@ -154,12 +158,13 @@ def session_sample(actions: DataFrame, total: int = SAMPLE_SIZE, seed: str = "0"
                    task_id: str | None = None) -> DataFrame:
     """The proportional sample of session summaries (random_session_info)."""
     b = session_bounds(actions).withColumn("day_hour", F.substring("start_time", 1, 13))
-    drawn = proportional_sample(b, "day_hour", "session_id", total, seed).drop("quota", "day_hour")
+    drawn = proportional_sample(b, "day_hour", "session_id", total, seed)
     # Proven size bound: sum over hours of round(n_h / n * total) is at most
     # total + (number of start hours) / 2, whatever the log size.
     ids = F.broadcast(drawn.select("session_id"))
-    lists = _lists(actions.join(ids, "session_id", "left_semi"))
-    out = drawn.join(lists, "session_id").select(*SUMMARY_COLUMNS)
+    # the semi join keeps every action of a drawn session, so the summary of
+    # those actions carries the same bounds as the draw: no join back
+    out = _summary(actions.join(ids, "session_id", "left_semi"))
     if task_id is not None:
         out = out.select(F.lit(task_id).alias("task_id"), *SUMMARY_COLUMNS)
     return out
