@@ -150,36 +150,116 @@ def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
         GroupStateTimeout.EventTimeTimeout)
 
 
-KINDS = ("click", "block", "count")
+KINDS = ("click", "block")
+COUNTS_SCHEMA = "user_id bigint, ads_id bigint, n bigint, batch_id bigint, day string"
+
+
+def _seed(spark: SparkSession, out_dir: str) -> None:
+    """Seed empty batch -1 folders so that readers and stage 2's file stream
+    can start (with their partition layout) before the first batch lands."""
+    empty = spark.createDataFrame([], OUT_SCHEMA).drop("kind", "n")
+    for k in KINDS:
+        empty.write.mode("overwrite").parquet(
+            os.path.join(out_dir, "stage1", "batch_id=-1", f"kind={k}"))
+    (spark.createDataFrame([], COUNTS_SCHEMA).drop("batch_id", "day").write.mode("overwrite")
+     .parquet(os.path.join(out_dir, "user_ad_counts", "batch_id=-1", "day=1970-01-01")))
+
+
+def _land_stage1(rows: DataFrame, counts: DataFrame, out_dir: str, batch_id: int) -> None:
+    """Kept clicks and blocks under ``stage1/batch_id=<id>/kind=<k>``; the running
+    counts of the touched keys under ``user_ad_counts/batch_id=<id>/day=<d>``."""
+    (rows.write.mode("overwrite").partitionBy("kind")
+     .parquet(os.path.join(out_dir, "stage1", f"batch_id={batch_id}")))
+    land_batch(counts, os.path.join(out_dir, "user_ad_counts"), batch_id, partition_by=["day"])
 
 
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
                     trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
-    """Stage 1: land each micro-batch in ``out_dir/stage1/batch_id=<id>/kind=<k>``:
-    kept clicks (``click``), newly blocked users (``block``) and the running
-    per-(user, ad, day) counts of the keys the batch touched (``count``).
+    """Stage 1 with Spark-managed state (``applyInPandasWithState`` per user).
 
-    One write per micro-batch (partitioned by kind), overwritten on replay.
+    Lands kept clicks (``click``), newly blocked users (``block``) and the
+    running per-(user, ad, day) counts of the keys each batch touched;
+    overwritten on replay.
     """
-    stage1 = os.path.join(out_dir, "stage1")
+    spark = clicks.sparkSession
+    _seed(spark, out_dir)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        (df.write.mode("overwrite").partitionBy("kind")
-         .parquet(os.path.join(stage1, f"batch_id={batch_id}")))
+        df = df.persist()
+        _land_stage1(df.where(F.col("kind") != "count").drop("n"),
+                     df.where(F.col("kind") == "count").select("user_id", "ads_id", "n", "day"),
+                     out_dir, batch_id)
+        df.unpersist()
 
-    # Seed one empty batch per kind so that stage 2's file stream can start
-    # (with its partition layout) before the first micro-batch lands.
-    spark = clicks.sparkSession
-    empty = spark.createDataFrame([], OUT_SCHEMA).drop("kind")
-    for k in KINDS:
-        empty.write.mode("overwrite").parquet(os.path.join(stage1, "batch_id=-1", f"kind={k}"))
     w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-STAGE1_READ_SCHEMA = OUT_SCHEMA.replace("kind string, ", "") + ", batch_id bigint, kind string"
+def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
+                           threshold: int = BLACKLIST_THRESHOLD,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """Stage 1 on the JVM only, with its state in the landed tables.
+
+    Each micro-batch b is a static DataFrame in ``foreachBatch``:
+
+    1. the users blocked before b are the landed blocks of batches < b (a
+       broadcast when the file statistics are under the threshold, else a
+       shuffle anti join that AQE splits when one user is hot); the batch's
+       clicks of other users are kept;
+    2. kept clicks are counted per (user, ad, day) with partial aggregation, so
+       a user holding a third of the batch is one row per key and task;
+    3. the running totals before b come from the landed counts of batches < b,
+       read only in the day folders the batch touches (latest per key);
+    4. a key whose total before b exceeds the threshold blocks its user;
+       totals + counts are landed as the new running counts.
+
+    Reads filter ``batch_id < b`` and writes overwrite batch b, so a replayed
+    batch reproduces the same output. No Python runs per row, and there is
+    no watermark: late clicks count to their own day, as in the reference.
+    """
+    spark = clicks.sparkSession
+    _seed(spark, out_dir)
+    keys = ["user_id", "ads_id", "day"]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        c = batch.select(*[x for x in CLICK_COLUMNS if x != "day"],
+                         F.date_format("ts", "yyyy-MM-dd").alias("day")).persist()
+        blocked = (spark.read.schema(STAGE1_READ_SCHEMA).parquet(os.path.join(out_dir, "stage1"))
+                   .where((F.col("kind") == "block") & (F.col("batch_id") < batch_id))
+                   .select("user_id").distinct())
+        # a file read: the planner sizes it from file statistics and broadcasts
+        # it only under spark.sql.autoBroadcastJoinThreshold (no extra job)
+        kept = c.join(blocked, "user_id", "left_anti")
+        counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")).persist()
+        # the days one micro-batch touches: its own time span plus late clicks' days
+        days = [r[0] for r in counts.select("day").distinct().collect()]
+        log = (spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(out_dir, "user_ad_counts"))
+               .where(F.col("day").isin(days) & (F.col("batch_id") < batch_id)))
+        before = latest_per_key(log, keys, "n").withColumnRenamed("n", "_before")
+        joined = counts.join(before, keys, "left")
+        newly = (joined.where(F.col("_before") > threshold).select("user_id").distinct()
+                 .join(counts.groupBy("user_id").agg(F.max("day").alias("day")), "user_id"))
+        rows = kept.select(F.lit("click").alias("kind"), *CLICK_COLUMNS).unionByName(
+            newly.select(F.lit("block").alias("kind"), F.lit(None).cast("timestamp").alias("ts"),
+                         F.lit(None).cast("string").alias("area"),
+                         F.lit(None).cast("string").alias("city"), "user_id",
+                         F.lit(None).cast("bigint").alias("ads_id"),
+                         F.lit(None).cast("bigint").alias("event_id"), "day"))
+        totals = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
+        _land_stage1(rows, totals.select("user_id", "ads_id", "n", "day"), out_dir, batch_id)
+        counts.unpersist()
+        c.unpersist()
+
+    w = (clicks.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(sink))
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+STAGE1_READ_SCHEMA = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
+                      "event_id bigint, day string, batch_id bigint, kind string")
 
 
 def _stage1(spark: SparkSession, out_dir: str, kind: str) -> DataFrame:
@@ -203,7 +283,8 @@ def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_user_ad_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """user_id, ads_id, day, n: kept clicks per user, ad and day so far."""
-    return latest_per_key(_stage1(spark, out_dir, "count"), ["user_id", "ads_id", "day"], "n")
+    log = spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(out_dir, "user_ad_counts"))
+    return latest_per_key(log, ["user_id", "ads_id", "day"], "n")
 
 
 def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ def _await(q) -> None:
 
 def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
                      files_per_batch: int = 1, keep_days: int = S.KEEP_DAYS,
-                     state_partitions: int | None = None) -> str:
+                     state_partitions: int | None = None, stage1: str = "tables") -> str:
     """Replay ``clicks`` in windows of ``batch_seconds`` through stage 1 and
     stage 2; returns the output folder (read it with ``ads_stream.read_*``).
 
@@ -38,27 +38,35 @@ def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, thresho
     (from ``spark.sql.shuffle.partitions``), and every micro-batch runs one
     task per state partition. The replay sets it to ``state_partitions``
     (default: the context's parallelism) for the queries it starts and then
-    restores the session setting.
+    restores the session setting. ``stage1`` picks the blacklist stage:
+    ``"tables"`` (JVM only, state in the landed tables) or ``"state"``
+    (``applyInPandasWithState``).
     """
     spark = clicks.sparkSession
     n = state_partitions or spark.sparkContext.defaultParallelism
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
-        return _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days)
+        return _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days,
+                    stage1)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days) -> str:
+def _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days,
+         stage1) -> str:
     replay = os.path.join(folder, "replay")
     out = os.path.join(folder, "out")
     ckpt = os.path.join(folder, "checkpoints")
     write_replay(clicks, replay, batch_seconds, files_per_batch)
-    stage1 = S.start_blacklist(read_replay(spark, replay, files_per_batch), out,
-                               os.path.join(ckpt, "blacklist"), threshold, keep_days,
+    src = read_replay(spark, replay, files_per_batch)
+    if stage1 == "tables":
+        q1 = S.start_blacklist_tables(src, out, os.path.join(ckpt, "blacklist"), threshold,
+                                      trigger=AVAILABLE_NOW)
+    else:
+        q1 = S.start_blacklist(src, out, os.path.join(ckpt, "blacklist"), threshold, keep_days,
                                trigger=AVAILABLE_NOW)
-    _await(stage1)
+    _await(q1)
     kept = S.read_kept_stream(spark, out)
     q_tot = S.start_daily_totals(kept, out, os.path.join(ckpt, "totals"), trigger=AVAILABLE_NOW)
     q_min = S.start_minute_counts(kept, out, os.path.join(ckpt, "minutes"), trigger=AVAILABLE_NOW)

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from shoplens.plans import ads
@@ -15,12 +16,16 @@ def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
 
 
-def test_stream_blacklist_edge_rows(spark):
+VARIANTS = ["tables", "state"]
+
+
+@pytest.mark.parametrize("stage1", VARIANTS)
+def test_stream_blacklist_edge_rows(spark, stage1):
     h = 3600
     rows = [(i, 1, 1) for i in range(21)] + [(h, 1, 1), (2 * h, 1, 1)]
     rows += [(i, 2, 1) for i in range(20)] + [(h, 2, 1), (2 * h, 2, 1), (3 * h, 2, 1)]
     c = clicks_df(spark, rows)
-    out = run_ads_pipeline(c, tempfile.mkdtemp(prefix="run-"), h, 20)
+    out = run_ads_pipeline(c, tempfile.mkdtemp(prefix="run-"), h, 20, stage1=stage1)
     blocked = {r.user_id: r.blocked_day for r in S.read_blocked(spark, out).collect()}
     assert blocked == {1: "2024-01-01", 2: "2024-01-01"}
     assert _rows(S.read_kept(spark, out), ["event_id"]) == \
@@ -29,10 +34,11 @@ def test_stream_blacklist_edge_rows(spark):
     assert counts == {(1, 1): 22, (2, 1): 22}
 
 
-def test_stream_equals_batch(spark):
+@pytest.mark.parametrize("stage1", VARIANTS)
+def test_stream_equals_batch(spark, stage1):
     c = ShopTables(spark, "/root/testdata/sf0.001").ads(2)
     secs = 5 * 86400  # six micro-batches over the month
-    out = run_ads_pipeline(c, tempfile.mkdtemp(prefix="run-"), secs, 1)
+    out = run_ads_pipeline(c, tempfile.mkdtemp(prefix="run-"), secs, 1, stage1=stage1)
     kept = ads.ads_kept_clicks(c, secs, 1)
     assert _rows(S.read_kept(spark, out), ["event_id"]) == _rows(kept, ["event_id"])
     tot = ads.ads_daily_totals(kept)
@@ -65,7 +71,8 @@ def test_late_click_adds_to_its_own_day(spark):
     assert got == [("2024-01-01", 1), ("2024-01-02", 1)]
 
 
-def test_text_lines_stream_with_bad_lines(spark):
+@pytest.mark.parametrize("stage1", VARIANTS)
+def test_text_lines_stream_with_bad_lines(spark, stage1):
     d = tempfile.mkdtemp(prefix="run-")
     src = os.path.join(d, "lines")
     os.makedirs(src)
@@ -74,8 +81,9 @@ def test_text_lines_stream_with_bad_lines(spark):
                 "1704067260000 A c 2 5 extra\n")
     lines = spark.readStream.text(src)
     good, bad_q = S.clicks_from_lines(lines, os.path.join(d, "bad"), os.path.join(d, "ck_bad"))
-    q = S.start_blacklist(good, os.path.join(d, "out"), os.path.join(d, "ck1"), threshold=20,
-                          trigger=AVAILABLE_NOW)
+    start = S.start_blacklist_tables if stage1 == "tables" else S.start_blacklist
+    q = start(good, os.path.join(d, "out"), os.path.join(d, "ck1"), threshold=20,
+              trigger=AVAILABLE_NOW)
     _await(q)
     bad_q.processAllAvailable()
     bad_q.stop()
