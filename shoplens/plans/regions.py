@@ -12,7 +12,8 @@ Plan shape (what makes it hold at scale):
 3. The city remark (``city_remark``) is two-level grouping with built-ins:
    counts per (area, product, city), then one window per (area, product)
    whose size is bounded by the number of cities (a dimension), keeping the
-   top two cities.
+   top two cities. One repartition by (area, product) serves the city-level
+   aggregation, the window and the final grouping (no shuffle between).
 4. ``rank() <= n`` per area is planned with ``WindowGroupLimit``: each map
    partition keeps its own top-n per area before the shuffle, so the area
    partitions stay small even though the product count grows.
@@ -50,7 +51,10 @@ def city_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFra
                            product_broadcast_max_rows)
     joined = (pre.join(city, "city_id")
               .join(prod, pre.click_product_id == prod.product_id))
-    return (joined.groupBy("area", "product_id", "product_name", "city_name")
+    # One shuffle by (area, product) serves both this aggregation (its keys are
+    # a superset) and the remark window / totals that follow.
+    return (joined.repartition("area", "product_id", "product_name")
+            .groupBy("area", "product_id", "product_name", "city_name")
             .agg(F.sum("n").alias("n")))
 
 
@@ -79,7 +83,7 @@ def city_remark(city_clicks: DataFrame, top: int = REMARK_TOP_CITIES) -> DataFra
         F.count(F.when(named, F.lit(1))).over(w_all).alias("n_cities"),
         F.row_number().over(w_rank).alias("rn"),
     )
-    top_rows = per_city.where((F.col("rn") <= top) | (F.col("rn") == 1))
+    top_rows = per_city.where(F.col("rn") <= top)  # rn 1 keeps every product
     share = whole_pct(F.col("n"), F.col("named_total"))
     agg = (top_rows.groupBy(*keys)
            .agg(F.first("clickcount").alias("clickcount"),
