@@ -295,6 +295,7 @@ def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
 
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
 TOTALS_SCHEMA = "area string, city string, ads_id bigint, clicks bigint, batch_id bigint, day string"
+AREA_TOP_SCHEMA = "area string, ads_id bigint, clicks bigint, rank int, batch_id bigint, day string"
 MINUTES_SCHEMA = ("minute_start timestamp, ads_id bigint, clicks bigint, newest timestamp, "
                   "batch_id bigint, day string")
 
@@ -329,7 +330,7 @@ def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness:
         per_area = current.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks"))
         ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
                                  top, rank_name="rank")
-        land_batch(ranked, top_dir, batch_id)
+        land_batch(ranked, top_dir, batch_id, partition_by=["day"])
         df.unpersist()
 
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -344,7 +345,7 @@ def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
     """day, area, ads_id, clicks, rank from the newest ranking of each pair."""
-    t = spark.read.parquet(os.path.join(out_dir, "area_top"))
+    t = spark.read.schema(AREA_TOP_SCHEMA).parquet(os.path.join(out_dir, "area_top"))
     newest = t.groupBy("day", "area").agg(F.max("batch_id").alias("batch_id"))
     return t.join(newest, ["day", "area", "batch_id"]).select("day", "area", "ads_id", "clicks",
                                                                "rank")
