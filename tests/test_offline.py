@@ -30,3 +30,24 @@ def test_ads_batch_job_equals_registered_queries(spark):
     assert _rows(res["area_city_ads_day_clickcount"]) == _rows(R.q_ads_daily_totals(spark, sf))
     assert _rows(res["top3_ads_per_day"]) == _rows(R.q_ads_area_top3_json(spark, sf))
     assert _rows(res["last_hour_ads_click"]) == _rows(R.q_ads_last_hour_json(spark, sf))
+
+
+def test_result_tables_match_declared_schemas(spark):
+    from shoplens import schemas as SC
+    sf = "/root/testdata/sf0.001"
+    res = run_offline(spark, sf, R.CONDITION, task_id="t2")
+    declared = {"session_stat_info": SC.SESSION_STAT_INFO,
+                "random_session_info": SC.RANDOM_SESSION_INFO,
+                "category_top10": SC.CATEGORY_TOP10,
+                "category_top10_session_count": SC.CATEGORY_TOP10_SESSION_COUNT,
+                "page_convert_rate": SC.PAGE_CONVERT_RATE}
+    for name, schema in declared.items():
+        got = [(f.name, f.dataType.simpleString()) for f in res[name].schema.fields]
+        want = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+        assert sorted(got) == sorted(want), name
+    q6 = R.q_area_top3_product(spark, sf)
+    assert [(f.name, f.dataType.simpleString()) for f in q6.schema.fields] == \
+        [(f.name, f.dataType.simpleString()) for f in SC.AREA_TOP3_PRODUCT.fields]
+    acts = R._filtered(spark, sf)
+    assert [(f.name, f.dataType.simpleString()) for f in acts.schema.fields] == \
+        [(f.name, f.dataType.simpleString()) for f in SC.USER_VISIT_ACTION.fields]
