@@ -44,7 +44,7 @@ def test_result_tables_match_declared_schemas(spark):
     for name, schema in declared.items():
         got = [(f.name, f.dataType.simpleString()) for f in res[name].schema.fields]
         want = [(f.name, f.dataType.simpleString()) for f in schema.fields]
-        assert sorted(got) == sorted(want), name
+        assert got == want, name
     q6 = R.q_area_top3_product(spark, sf)
     assert [(f.name, f.dataType.simpleString()) for f in q6.schema.fields] == \
         [(f.name, f.dataType.simpleString()) for f in SC.AREA_TOP3_PRODUCT.fields]
