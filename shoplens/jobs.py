@@ -78,10 +78,8 @@ def main(argv: list[str] | None = None) -> None:
         ckpt = shared_dir(spark, "stream-checkpoints")
         clicks, _bad = S.clicks_from_lines(lines, os.path.join(args.out, "bad_lines"),
                                            os.path.join(ckpt, "bad_lines"))
-        S.start_blacklist(clicks, args.out, os.path.join(ckpt, "blacklist"), args.threshold)
-        kept = S.read_kept_stream(spark, args.out)
-        S.start_daily_totals(kept, args.out, os.path.join(ckpt, "totals"))
-        S.start_minute_counts(kept, args.out, os.path.join(ckpt, "minutes"))
+        S.start_blacklist_tables(clicks, args.out, os.path.join(ckpt, "blacklist"),
+                                 args.threshold)
         spark.streams.awaitAnyTermination()
 
 

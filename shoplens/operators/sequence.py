@@ -28,21 +28,25 @@ def successor_pairs(df: DataFrame, group: Sequence[str], bucket: str, order: Seq
     (``lead`` inside the bucket, ``row_number`` to mark each bucket's first
     row). The first rows, one per (group, bucket), get the first value of the
     next non-empty bucket by a ``lead`` over the buckets of their group, and
-    join back to the bucket's last row (null ``lead``) by (group, bucket).
+    join back to the bucket's last row by (group, bucket).
     """
     group = list(group)
     order = list(order)
     next_name = next_name or f"next_{value}"
     gb = group + [bucket]
     w_in = Window.partitionBy(*gb).orderBy(*order)
+    # "last row of its bucket" is tested on a marker, not on the value, so a
+    # null value of the next row is not mistaken for the end of the bucket
     rows = df.select("*", F.lead(value).over(w_in).alias("_next_in"),
+                     F.lead(F.lit(1)).over(w_in).isNull().alias("_last"),
                      F.row_number().over(w_in).alias("_pos"))
     w_b = Window.partitionBy(*group).orderBy(bucket)
     bridges = (rows.where(F.col("_pos") == 1)
                .select(*gb, F.lead(value).over(w_b).alias("_next_bucket")))
     joined = rows.join(bridges, gb, "left")
-    out = joined.withColumn(next_name, F.coalesce(F.col("_next_in"), F.col("_next_bucket")))
-    return out.drop("_next_in", "_next_bucket", "_pos")
+    out = joined.withColumn(next_name, F.when(F.col("_last"), F.col("_next_bucket"))
+                            .otherwise(F.col("_next_in")))
+    return out.drop("_next_in", "_next_bucket", "_pos", "_last")
 
 
 def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str],

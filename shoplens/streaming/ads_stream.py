@@ -1,33 +1,34 @@
 """Structured Streaming twins of the ad-click questions Q7-Q10.
 
-Two stages, each one stateful operator at most:
-
-Stage 1 (``start_blacklist``): clicks -> per-user state -> kept clicks.
-  ``groupBy("user_id").applyInPandasWithState``: the state of a user is the
-  running count per (ad, day) and a blocked flag. Per micro-batch the user's
-  rows stream through in Arrow chunks: if the user was blocked before this
-  batch they are dropped, else emitted; the batch's counts per (ad, day) are
-  summed on the way (memory: one counter per key, not per row). After the
-  rows, a key present in this batch whose earlier total exceeds the
-  threshold blocks the user for good, then the batch is added. Counters of
-  days older than ``keep_days`` before the user's newest day are dropped.
-  ``foreachBatch`` lands kept clicks, block events and the touched keys'
-  running counts in one write under ``stage1/batch_id=<id>/kind=<k>``,
-  overwritten on replay, so a restarted batch writes the same data.
-
-Stage 2 reads the landed kept clicks as a file stream:
-  - ``start_daily_totals``: ``groupBy(window(ts, "1 day"), area, city, ads_id)
-    .count()`` with a watermark, ``update`` mode. ``foreachBatch`` appends the
-    changed totals (latest per key wins on read) and ranks the top ads of the
-    (day, area) pairs the batch touched, reading only those pairs.
-  - ``start_minute_counts``: 1-minute tumbling counts per ad (plus the newest
-    click), ``update`` mode; the last hour is the minutes after
-    ``newest - 60 min``, taken on read. A 60-minute window sliding every 10 s
-    would copy each click 360 times; minute buckets hold each click once.
-
-Late clicks: the day and minute come from the click's own time, so a late
-click adds to its own day / minute, up to the watermark delay ``lateness``
-(a parameter; the reference had no bound).
+One streaming query over the click stream; everything is landed per
+micro-batch under ``batch_id=<id>`` folders that a replayed batch overwrites
+with the same content, so the outputs are exactly once with the query's
+checkpointed offsets and there is no file hand-off between queries.
+
+Q7, the blacklist, in one of two forms:
+
+- ``start_blacklist_tables`` (default): JVM only, ``foreachBatch`` over the
+  micro-batch as a static DataFrame, the state in the landed tables (users
+  blocked before the batch; running per-(user, ad, day) counts read in the
+  touched day folders). Counts are pre-aggregated, so a hot user is one row
+  per key and task; joins with the blacklist are broadcast or AQE-split.
+- ``start_blacklist``: ``groupBy("user_id").applyInPandasWithState``; the
+  state of a user is the running count per (ad, day) of the last
+  ``keep_days`` days and a blocked flag; the user's rows stream through one
+  task in Arrow chunks (memory per key, not per row); an event-time timeout
+  removes idle unblocked users.
+
+Both land kept clicks and block events under ``stage1/batch_id=<id>/kind=<k>``
+and the touched keys' running counts under ``user_ad_counts``, and both hand
+the batch's kept clicks to ``land_ad_stats`` (Q8-Q10): increments of the daily
+totals per (day, area, city, ad) and of the clicks per (minute, ad), summed on
+read, plus the top ads of the touched (day, area) pairs re-ranked each batch.
+Minute buckets keep the last hour at one row per (minute, ad): a 60-minute
+window sliding every 10 s would copy each click 360 times.
+
+Late clicks: day and minute come from the click's own time, so a late click
+adds to its own day and minute. The table form has no lateness bound (as the
+reference); the state form drops clicks older than its watermark (``lateness``).
 """
 
 from __future__ import annotations
@@ -190,6 +191,7 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
         _land_stage1(df.where(F.col("kind") != "count").drop("n"),
                      df.where(F.col("kind") == "count").select("user_id", "ads_id", "n", "day"),
                      out_dir, batch_id)
+        land_ad_stats(df.where(F.col("kind") == "click"), out_dir, batch_id)
         df.unpersist()
 
     w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
@@ -232,7 +234,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                    .select("user_id").distinct())
         # a file read: the planner sizes it from file statistics and broadcasts
         # it only under spark.sql.autoBroadcastJoinThreshold (no extra job)
-        kept = c.join(blocked, "user_id", "left_anti")
+        kept = c.join(blocked, "user_id", "left_anti").persist()
         counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")).persist()
         # the days one micro-batch touches: its own time span plus late clicks' days
         days = [r[0] for r in counts.select("day").distinct().collect()]
@@ -250,7 +252,9 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                          F.lit(None).cast("bigint").alias("event_id"), "day"))
         totals = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
         _land_stage1(rows, totals.select("user_id", "ads_id", "n", "day"), out_dir, batch_id)
+        land_ad_stats(kept, out_dir, batch_id)
         counts.unpersist()
+        kept.unpersist()
         c.unpersist()
 
     w = (clicks.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -267,14 +271,6 @@ def _stage1(spark: SparkSession, out_dir: str, kind: str) -> DataFrame:
             .where(F.col("kind") == kind))
 
 
-def read_kept_stream(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Stage-1 kept clicks as a file stream (input of stage 2)."""
-    return (spark.readStream.schema(STAGE1_READ_SCHEMA)
-            .parquet(os.path.join(out_dir, "stage1"))
-            .where(F.col("kind") == "click")
-            .select(*CLICK_COLUMNS, "batch_id"))
-
-
 def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
     """The blacklist: user_id, blocked_day (first block wins)."""
     b = _stage1(spark, out_dir, "block")
@@ -291,7 +287,7 @@ def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
     return _stage1(spark, out_dir, "click").select(*CLICK_COLUMNS, "batch_id")
 
 
-# --- stage 2: daily totals and the top ads per day and area --------------------
+# --- Q8-Q10: per-batch increments landed by the stage-1 sinks -----------------
 
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
 TOTALS_SCHEMA = "area string, city string, ads_id bigint, clicks bigint, batch_id bigint, day string"
@@ -304,43 +300,45 @@ def _read_totals(spark: SparkSession, totals_dir: str) -> DataFrame:
     return spark.read.schema(TOTALS_SCHEMA).parquet(totals_dir)
 
 
-def start_daily_totals(kept: DataFrame, out_dir: str, checkpoint: str, lateness: str = "2 days",
-                       top: int = TOP_ADS, trigger: dict | None = None) -> StreamingQuery:
-    """Stage 2a: totals per (day, area, city, ad) and the top ads per (day, area)."""
-    totals_dir = os.path.join(out_dir, "totals")
-    top_dir = os.path.join(out_dir, "area_top")
-    agg = (kept.withWatermark("ts", lateness)
-           .groupBy(F.window("ts", "1 day").alias("w"), "area", "city", "ads_id")
-           .agg(F.count(F.lit(1)).alias("clicks"))
-           .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "area", "city",
-                   "ads_id", "clicks"))
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        df = df.persist()
-        land_batch(df, totals_dir, batch_id, partition_by=["day"])
-        touched = df.select("day", "area").distinct()
-        # The days one micro-batch can touch lie within the watermark delay of
-        # its newest click (a handful), so their labels are collected to prune
-        # the log's day folders; only those days are read.
-        days = [r[0] for r in touched.select("day").distinct().collect()]
-        log = _read_totals(spark, totals_dir).where(F.col("day").isin(days))
-        current = latest_per_key(log.join(touched, ["day", "area"], "left_semi"),
-                                 TOTAL_KEYS, "clicks")
-        per_area = current.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks"))
-        ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
-                                 top, rank_name="rank")
-        land_batch(ranked, top_dir, batch_id, partition_by=["day"])
-        df.unpersist()
+def land_ad_stats(kept: DataFrame, out_dir: str, batch_id: int, top: int = TOP_ADS) -> None:
+    """Q8-Q10 for one micro-batch of kept clicks (ts, area, city, ads_id, day).
 
-    w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(sink))
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    Lands the batch's increments under ``batch_id=<id>`` (overwritten when a
+    batch is replayed, so a reader summing over batches counts every click
+    once): clicks per (day, area, city, ad) and per (minute, ad), both split
+    by day folder, and the batch's newest click. Then re-ranks the top ads of
+    the (day, area) pairs this batch touched, summing the increments of those
+    days only (day-folder pruning). Day and minute come from the click's own
+    time, so a late click adds to its own day and minute, with no lateness
+    bound (as the reference's running totals).
+    """
+    spark = kept.sparkSession
+    totals_dir = os.path.join(out_dir, "totals")
+    inc = (kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks"))).persist()
+    land_batch(inc, totals_dir, batch_id, partition_by=["day"])
+    minutes = (kept.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id")
+               .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
+               .withColumn("day", F.date_format("minute_start", "yyyy-MM-dd")))
+    land_batch(minutes, os.path.join(out_dir, "minutes"), batch_id, partition_by=["day"])
+    land_batch(kept.agg(F.max("ts").alias("newest")), os.path.join(out_dir, "minutes_newest"),
+               batch_id)
+    touched = inc.select("day", "area").distinct()
+    # the days one micro-batch touches: its own time span plus late clicks' days
+    days = [r[0] for r in touched.select("day").distinct().collect()]
+    log = _read_totals(spark, totals_dir).where(F.col("day").isin(days)
+                                                & (F.col("batch_id") <= batch_id))
+    per_area = (log.join(touched, ["day", "area"], "left_semi")
+                .groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks")))
+    ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
+                             top, rank_name="rank")
+    land_batch(ranked, os.path.join(out_dir, "area_top"), batch_id, partition_by=["day"])
+    inc.unpersist()
 
 
 def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    return latest_per_key(_read_totals(spark, os.path.join(out_dir, "totals")), TOTAL_KEYS,
-                          "clicks")
+    """day, area, city, ads_id, clicks: the sum of the landed increments."""
+    log = _read_totals(spark, os.path.join(out_dir, "totals"))
+    return log.groupBy(*TOTAL_KEYS).agg(F.sum("clicks").alias("clicks"))
 
 
 def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -358,29 +356,7 @@ def read_area_top_json(spark: SparkSession, out_dir: str) -> DataFrame:
     return g.select("day", "area", pairs_json("_l").alias("top_ads"))
 
 
-# --- stage 2: clicks per ad and minute, the last hour -------------------------
-
-def start_minute_counts(kept: DataFrame, out_dir: str, checkpoint: str,
-                        lateness: str = "2 hours", trigger: dict | None = None) -> StreamingQuery:
-    """Stage 2b: clicks per (minute, ad), landed by day, plus each batch's newest click."""
-    minutes_dir = os.path.join(out_dir, "minutes")
-    newest_dir = os.path.join(out_dir, "minutes_newest")
-    agg = (kept.withWatermark("ts", lateness)
-           .groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
-           .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
-           .select(F.col("w.start").alias("minute_start"), "ads_id", "clicks", "newest",
-                   F.date_format("w.start", "yyyy-MM-dd").alias("day")))
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        land_batch(df, minutes_dir, batch_id, partition_by=["day"])
-        land_batch(df.agg(F.max("newest").alias("newest")), newest_dir, batch_id)
-        df.unpersist()
-
-    w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(sink))
-    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
-
+# --- readers of the landed increments -------------------------------------------
 
 def read_last_hour(spark: SparkSession, out_dir: str, minutes: int = 60) -> DataFrame:
     """ads_id, minute (HH:mm), clicks, minute_start: the minutes that start
@@ -395,8 +371,7 @@ def read_last_hour(spark: SparkSession, out_dir: str, minutes: int = 60) -> Data
     recent = log.where(F.col("day").between(F.date_format(since, "yyyy-MM-dd"),
                                             F.date_format(newest, "yyyy-MM-dd"))
                        & (F.col("minute_start") > since))
-    cur = (recent.groupBy("minute_start", "ads_id")
-           .agg(F.max_by("clicks", "batch_id").alias("clicks")))
+    cur = recent.groupBy("minute_start", "ads_id").agg(F.sum("clicks").alias("clicks"))
     return cur.select("ads_id", F.date_format("minute_start", "HH:mm").alias("minute"), "clicks",
                       "minute_start")
 

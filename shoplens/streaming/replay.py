@@ -21,11 +21,13 @@ from shoplens.sources.ads import ADS_FILE_SCHEMA, read_ads_file_stream
 REPLAY_COLUMNS = ["ts_ms", "area", "city", "user_id", "ads_id", "event_id"]
 
 
-def write_replay(clicks: DataFrame, folder: str, batch_seconds: int,
-                 files_per_batch: int = 1) -> int:
+def write_replay(clicks: DataFrame, folder: str, batch_seconds: int) -> int:
     """Write click rows (ts, area, city, user_id, ads_id, event_id) so that a
-    file stream with ``maxFilesPerTrigger=files_per_batch`` sees exactly one
-    ``batch_seconds`` window per micro-batch. Returns the number of windows."""
+    file stream with ``maxFilesPerTrigger=1`` sees exactly one
+    ``batch_seconds`` window per micro-batch (one file per window: a window
+    split into several files could land fewer files than asked when small,
+    and the next window's file would join its micro-batch). Returns the
+    number of windows."""
     spark = clicks.sparkSession
     staging = os.path.join(folder, "_staging")
     ms = F.unix_millis("ts")
@@ -35,12 +37,13 @@ def write_replay(clicks: DataFrame, folder: str, batch_seconds: int,
     windows = sorted(r[0] for r in spark.read.parquet(staging).select("window").distinct().collect())
     for w in windows:
         (spark.read.schema(ADS_FILE_SCHEMA).parquet(os.path.join(staging, f"window={w}"))
-         .repartition(files_per_batch)
+         .coalesce(1)
          .write.mode("overwrite").parquet(os.path.join(folder, "files", f"w={w:012d}")))
     return len(windows)
 
 
-def read_replay(spark, folder: str, files_per_batch: int = 1) -> DataFrame:
-    """The replay folder as a stream of clicks (``ts`` TIMESTAMP)."""
-    return read_ads_file_stream(spark, os.path.join(folder, "files"), files_per_batch).select(
+def read_replay(spark, folder: str) -> DataFrame:
+    """The replay folder as a stream of clicks (``ts`` TIMESTAMP), one window
+    per micro-batch."""
+    return read_ads_file_stream(spark, os.path.join(folder, "files"), 1).select(
         "ts", "area", "city", "user_id", "ads_id", "event_id")

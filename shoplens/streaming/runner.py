@@ -1,9 +1,9 @@
-"""Run the two streaming stages over a replay, to completion (``availableNow``).
+"""Run the streaming job over a replay, to completion (``availableNow``).
 
-In production both stages run continuously on their triggers (5 s for the
-blacklist and totals, as the reference's micro-batches); for checks and the
-registered ``stream_*`` queries the same queries are run with
-``availableNow`` so they process what is there and stop.
+In production the query runs continuously on its trigger (5 s, as the
+reference's micro-batches); for checks and the registered ``stream_*``
+queries the same query runs with ``availableNow`` so it processes what is
+there and stops.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ def _await(q) -> None:
 
 
 def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
-                     files_per_batch: int = 1, keep_days: int = S.KEEP_DAYS,
+                     keep_days: int = S.KEEP_DAYS,
                      state_partitions: int | None = None, stage1: str = "tables") -> str:
-    """Replay ``clicks`` in windows of ``batch_seconds`` through stage 1 and
-    stage 2; returns the output folder (read it with ``ads_stream.read_*``).
+    """Replay ``clicks`` in windows of ``batch_seconds`` through the streaming
+    job; returns the output folder (read it with ``ads_stream.read_*``).
 
     A stateful query fixes its number of state partitions at its first start
     (from ``spark.sql.shuffle.partitions``), and every micro-batch runs one
@@ -47,29 +47,22 @@ def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, thresho
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
-        return _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days,
-                    stage1)
+        return _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def _run(spark, clicks, folder, batch_seconds, threshold, files_per_batch, keep_days,
-         stage1) -> str:
+def _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1) -> str:
     replay = os.path.join(folder, "replay")
     out = os.path.join(folder, "out")
     ckpt = os.path.join(folder, "checkpoints")
-    write_replay(clicks, replay, batch_seconds, files_per_batch)
-    src = read_replay(spark, replay, files_per_batch)
+    write_replay(clicks, replay, batch_seconds)
+    src = read_replay(spark, replay)
     if stage1 == "tables":
-        q1 = S.start_blacklist_tables(src, out, os.path.join(ckpt, "blacklist"), threshold,
-                                      trigger=AVAILABLE_NOW)
+        q = S.start_blacklist_tables(src, out, os.path.join(ckpt, "blacklist"), threshold,
+                                     trigger=AVAILABLE_NOW)
     else:
-        q1 = S.start_blacklist(src, out, os.path.join(ckpt, "blacklist"), threshold, keep_days,
-                               trigger=AVAILABLE_NOW)
-    _await(q1)
-    kept = S.read_kept_stream(spark, out)
-    q_tot = S.start_daily_totals(kept, out, os.path.join(ckpt, "totals"), trigger=AVAILABLE_NOW)
-    q_min = S.start_minute_counts(kept, out, os.path.join(ckpt, "minutes"), trigger=AVAILABLE_NOW)
-    _await(q_tot)
-    _await(q_min)
+        q = S.start_blacklist(src, out, os.path.join(ckpt, "blacklist"), threshold, keep_days,
+                              trigger=AVAILABLE_NOW)
+    _await(q)
     return out

@@ -44,3 +44,10 @@ def test_successor_pairs_equal_plain_lead(spark):
     cols = ["session_id", "event_id", "page_id", "nxt"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_successor_pairs_with_null_values(spark):
+    rows = [("s", "m1", 1, 3), ("s", "m1", 2, None), ("s", "m1", 3, 5), ("s", "m2", 4, 7)]
+    df = spark.createDataFrame(rows, "g string, b string, o long, v long")
+    got = {r.o: r.nxt for r in successor_pairs(df, ["g"], "b", ["o"], "v", "nxt").collect()}
+    assert got == {1: None, 2: 5, 3: 7, 4: None}

@@ -55,19 +55,22 @@ def test_stream_equals_batch(spark, stage1):
 
 
 def test_late_click_adds_to_its_own_day(spark):
+    from shoplens.sources.ads import read_ads_file_stream
     d = tempfile.mkdtemp(prefix="run-")
-    src = os.path.join(d, "kept")
-    schema = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
-              "event_id bigint, day string, batch_id bigint")
-    day2 = dt.datetime(2024, 1, 2, 12, 0, 0)
-    late = dt.datetime(2024, 1, 1, 23, 0, 0)
-    for i, (ts, eid) in enumerate([(day2, 1), (late, 2)]):
-        spark.createDataFrame([(ts, "A", "c", 1, 1, eid, ts.strftime("%Y-%m-%d"), i)], schema) \
-            .drop("batch_id").write.parquet(os.path.join(src, f"batch_id={i}"))
-    kept = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = S.start_daily_totals(kept, d, os.path.join(d, "ckpt"), trigger=AVAILABLE_NOW)
+    src = os.path.join(d, "clicks")
+    schema = "ts_ms bigint, area string, city string, user_id bigint, ads_id bigint, event_id bigint"
+    day2 = int(dt.datetime(2024, 1, 2, 12, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    late = int(dt.datetime(2024, 1, 1, 23, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    for i, (ms, eid) in enumerate([(day2, 1), (late, 2)]):  # the late click comes second
+        spark.createDataFrame([(ms, "A", "c", 1, 1, eid)], schema).coalesce(1) \
+            .write.parquet(os.path.join(src, f"w={i:03d}"))
+    clicks = read_ads_file_stream(spark, src).select("ts", "area", "city", "user_id", "ads_id",
+                                                     "event_id")
+    q = S.start_blacklist_tables(clicks, os.path.join(d, "out"), os.path.join(d, "ck"),
+                                 threshold=20, trigger=AVAILABLE_NOW)
     _await(q)
-    got = _rows(S.read_daily_totals(spark, d), ["day", "clicks"])
+    assert len(q.recentProgress) == 2  # two micro-batches: the late click arrived later
+    got = _rows(S.read_daily_totals(spark, os.path.join(d, "out")), ["day", "clicks"])
     assert got == [("2024-01-01", 1), ("2024-01-02", 1)]
 
 
