@@ -347,8 +347,8 @@ FROM last_hour GROUP BY ads_id"""),
 
 
 def stream_queries() -> dict[str, str]:
-    bl = _ads_ctes(STREAM_BL_ADS_MOD, STREAM_BATCH_SECONDS, STREAM_BL_THRESHOLD)
-    d = _ads_ctes(ADS_MOD, STREAM_BATCH_SECONDS, THRESHOLD)
+    # one replayed pipeline for all stream twins (blocks do happen in it)
+    bl = d = _ads_ctes(STREAM_BL_ADS_MOD, STREAM_BATCH_SECONDS, STREAM_BL_THRESHOLD)
     minute_ms = "(ts_ms // 60000) * 60000"
     recent = f""",
 minutes_recent AS (

@@ -60,7 +60,8 @@ SAMPLE_SEED = "0"
 BL_ADS_MOD, BL_BATCH_SECONDS, BL_THRESHOLD = 2, 3600, 2
 # Q8-Q10: ads_id = k % 6 + 1 and the reference's own 5-second batches, threshold 20.
 ADS_MOD, BATCH_SECONDS, THRESHOLD = 6, 5, 20
-# Stream twins: the replay cuts the clicks into 12-hour micro-batches (a
-# blacklist key must span batches; 60 micro-batches over the month).
+# Stream twins: the replay cuts the clicks (ads_id = k % 2 + 1) into 12-hour
+# micro-batches (a blacklist key must span batches; 60 micro-batches over the
+# month); threshold 1 so that users are blocked; Q8-Q10 twins read the same run.
 STREAM_BATCH_SECONDS = 43200
 STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1

@@ -189,7 +189,8 @@ def _bl_out(spark, sf_dir):
 
 
 def _out(spark, sf_dir):
-    return _pipeline(spark, sf_dir, P.ADS_MOD, P.THRESHOLD)
+    # Q8-Q10 twins read the same pipeline: the kept clicks after real blocks
+    return _bl_out(spark, sf_dir)
 
 
 def q_stream_ads_blacklist(spark, sf_dir):
