@@ -252,7 +252,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                          F.lit(None).cast("bigint").alias("event_id"), "day"))
         totals = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
         _land_stage1(rows, totals.select("user_id", "ads_id", "n", "day"), out_dir, batch_id)
-        land_ad_stats(kept, out_dir, batch_id)
+        land_ad_stats(kept, out_dir, batch_id, days=days)
         counts.unpersist()
         kept.unpersist()
         c.unpersist()
@@ -300,7 +300,8 @@ def _read_totals(spark: SparkSession, totals_dir: str) -> DataFrame:
     return spark.read.schema(TOTALS_SCHEMA).parquet(totals_dir)
 
 
-def land_ad_stats(kept: DataFrame, out_dir: str, batch_id: int, top: int = TOP_ADS) -> None:
+def land_ad_stats(kept: DataFrame, out_dir: str, batch_id: int, top: int = TOP_ADS,
+                  days: list[str] | None = None) -> None:
     """Q8-Q10 for one micro-batch of kept clicks (ts, area, city, ads_id, day).
 
     Lands the batch's increments under ``batch_id=<id>`` (overwritten when a
@@ -323,8 +324,9 @@ def land_ad_stats(kept: DataFrame, out_dir: str, batch_id: int, top: int = TOP_A
     land_batch(kept.agg(F.max("ts").alias("newest")), os.path.join(out_dir, "minutes_newest"),
                batch_id)
     touched = inc.select("day", "area").distinct()
-    # the days one micro-batch touches: its own time span plus late clicks' days
-    days = [r[0] for r in touched.select("day").distinct().collect()]
+    if days is None:
+        # the days one micro-batch touches: its own time span plus late clicks' days
+        days = [r[0] for r in touched.select("day").distinct().collect()]
     log = _read_totals(spark, totals_dir).where(F.col("day").isin(days)
                                                 & (F.col("batch_id") <= batch_id))
     per_area = (log.join(touched, ["day", "area"], "left_semi")
