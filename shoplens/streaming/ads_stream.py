@@ -18,11 +18,12 @@ Q7, the blacklist, in one of two forms:
   task in Arrow chunks (memory per key, not per row); an event-time timeout
   removes idle unblocked users.
 
-Both land kept clicks and block events under ``stage1/batch_id=<id>/kind=<k>``
-and the touched keys' running counts under ``user_ad_counts``, and both hand
-the batch's kept clicks to ``land_ad_stats`` (Q8-Q10): increments of the daily
-totals per (day, area, city, ad) and of the clicks per (minute, ad), summed on
-read, plus the top ads of the touched (day, area) pairs re-ranked each batch.
+Both land, in one write per micro-batch under ``log/batch_id=<id>/kind=<k>/
+day=<d>``: kept clicks, block events, the touched keys' running counts, and
+the Q8-Q10 rows of ``ad_stats`` (increments of the daily totals per (day,
+area, city, ad) and of the clicks per (minute, ad), summed on read, the
+batch's newest click, and the top ads of the touched (day, area) pairs
+re-ranked each batch). Readers select a kind and prune by day.
 Minute buckets keep the last hour at one row per (minute, ad): a 60-minute
 window sliding every 10 s would copy each click 360 times.
 
@@ -47,7 +48,7 @@ from shoplens.functions import pairs_json
 from shoplens.operators.topn import top_n_per_group
 from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
 from shoplens.sources.ads import parse_ads_lines
-from shoplens.sources.sinks import land_batch, latest_per_key
+from shoplens.sources.sinks import latest_per_key
 
 STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean, last_ms bigint"
 OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, "
@@ -56,8 +57,6 @@ CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 KEEP_DAYS = 3
 LATENESS = "1 day"
 DAY_MS = 86_400_000
-KEPT_SCHEMA = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
-               "event_id bigint, day string")
 
 
 def _blacklist_step(threshold: int, keep_days: int):
@@ -151,47 +150,104 @@ def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
         GroupStateTimeout.EventTimeTimeout)
 
 
-KINDS = ("click", "block")
-COUNTS_SCHEMA = "user_id bigint, ads_id bigint, n bigint, batch_id bigint, day string"
+# --- the landed output log --------------------------------------------------
+# One write per micro-batch: every output row carries its kind and day and
+# goes to log/batch_id=<b>/kind=<k>/day=<d>; readers select a kind and prune
+# by day; a replayed batch overwrites its batch folder with the same rows.
+
+LOG_FIELDS = [("ts", "timestamp"), ("area", "string"), ("city", "string"),
+              ("user_id", "bigint"), ("ads_id", "bigint"), ("event_id", "bigint"),
+              ("n", "bigint"), ("clicks", "bigint"), ("minute_start", "timestamp"),
+              ("newest", "timestamp"), ("rank", "int")]
+LOG_SCHEMA = ", ".join(f"{n} {t}" for n, t in LOG_FIELDS) + ", batch_id bigint, kind string, day string"
+TOTAL_KEYS = ["day", "area", "city", "ads_id"]
+
+
+def _typed(df: DataFrame, kind: str) -> DataFrame:
+    """Rows of one kind in the log's column layout (missing columns null)."""
+    cols = [F.col(n).cast(t).alias(n) if n in df.columns else F.lit(None).cast(t).alias(n)
+            for n, t in LOG_FIELDS]
+    return df.select(*cols, F.lit(kind).alias("kind"), F.col("day"))
+
+
+def _land(parts: list[DataFrame], out_dir: str, batch_id: int) -> None:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    (out.write.mode("overwrite").partitionBy("kind", "day")
+     .parquet(os.path.join(out_dir, "log", f"batch_id={batch_id}")))
+
+
+def _log(spark: SparkSession, out_dir: str, kind: str, days: list[str] | None = None,
+         before: int | None = None) -> DataFrame:
+    """One kind of the landed log; ``days`` prunes day folders, ``before``
+    keeps batches < before (what a batch may see of its past)."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(os.path.join(out_dir, "log"))
+    cond = F.col("kind") == kind
+    if days is not None:
+        cond = cond & F.col("day").isin(days)
+    if before is not None:
+        cond = cond & (F.col("batch_id") < before)
+    return log.where(cond)
 
 
 def _seed(spark: SparkSession, out_dir: str) -> None:
-    """Seed empty batch -1 folders so that readers and stage 2's file stream
-    can start (with their partition layout) before the first batch lands."""
-    empty = spark.createDataFrame([], OUT_SCHEMA).drop("kind", "n")
-    for k in KINDS:
-        empty.write.mode("overwrite").parquet(
-            os.path.join(out_dir, "stage1", "batch_id=-1", f"kind={k}"))
-    (spark.createDataFrame([], COUNTS_SCHEMA).drop("batch_id", "day").write.mode("overwrite")
-     .parquet(os.path.join(out_dir, "user_ad_counts", "batch_id=-1", "day=1970-01-01")))
+    """An empty batch -1 so readers find the log before the first batch."""
+    (spark.createDataFrame([], LOG_SCHEMA).drop("batch_id", "kind", "day").write
+     .mode("overwrite").parquet(os.path.join(out_dir, "log", "batch_id=-1", "kind=seed",
+                                             "day=1970-01-01")))
+
 
+def ad_stats(kept: DataFrame, out_dir: str, batch_id: int, days: list[str],
+             top: int = TOP_ADS) -> list[DataFrame]:
+    """Q8-Q10 rows of one micro-batch of kept clicks (ts, area, city, ads_id, day).
 
-def _land_stage1(rows: DataFrame, counts: DataFrame, out_dir: str, batch_id: int) -> None:
-    """Kept clicks and blocks under ``stage1/batch_id=<id>/kind=<k>``; the running
-    counts of the touched keys under ``user_ad_counts/batch_id=<id>/day=<d>``."""
-    (rows.write.mode("overwrite").partitionBy("kind")
-     .parquet(os.path.join(out_dir, "stage1", f"batch_id={batch_id}")))
-    land_batch(counts, os.path.join(out_dir, "user_ad_counts"), batch_id, partition_by=["day"])
+    - ``total``: increments of clicks per (day, area, city, ad), summed on read;
+    - ``minute``: increments of clicks per (minute, ad) with the newest click;
+    - ``newest``: the batch's newest click (one row);
+    - ``top``: the top ads of the (day, area) pairs this batch touched,
+      ranked over the earlier batches' totals of those days (day-pruned) plus
+      this batch's increments.
+
+    Day and minute come from the click's own time, so a late click adds to
+    its own day and minute, with no lateness bound (as the reference).
+    """
+    spark = kept.sparkSession
+    inc = kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks")).persist()
+    minutes = (kept.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id")
+               .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
+               .withColumn("day", F.date_format("minute_start", "yyyy-MM-dd")))
+    newest = (kept.agg(F.max("ts").alias("newest")).where(F.col("newest").isNotNull())
+              .withColumn("day", F.date_format("newest", "yyyy-MM-dd")))
+    touched = inc.select("day", "area").distinct()
+    earlier = _log(spark, out_dir, "total", days, before=batch_id).select(*TOTAL_KEYS, "clicks")
+    per_area = (earlier.unionByName(inc).join(touched, ["day", "area"], "left_semi")
+                .groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks")))
+    ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
+                             top, rank_name="rank")
+    return [_typed(inc, "total"), _typed(minutes, "minute"), _typed(newest, "newest"),
+            _typed(ranked, "top")]
 
 
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
                     trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
-    """Stage 1 with Spark-managed state (``applyInPandasWithState`` per user).
+    """The streaming job with Spark-managed state (``applyInPandasWithState``).
 
-    Lands kept clicks (``click``), newly blocked users (``block``) and the
-    running per-(user, ad, day) counts of the keys each batch touched;
-    overwritten on replay.
+    Lands kept clicks, newly blocked users, the running per-(user, ad, day)
+    counts of the keys each batch touched, and the Q8-Q10 rows of ``ad_stats``
+    in one write per micro-batch; overwritten on replay.
     """
     spark = clicks.sparkSession
     _seed(spark, out_dir)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
-        _land_stage1(df.where(F.col("kind") != "count").drop("n"),
-                     df.where(F.col("kind") == "count").select("user_id", "ads_id", "n", "day"),
-                     out_dir, batch_id)
-        land_ad_stats(df.where(F.col("kind") == "click"), out_dir, batch_id)
+        kept = df.where(F.col("kind") == "click")
+        days = [r[0] for r in df.select("day").distinct().collect()]
+        _land([_typed(kept, "click"), _typed(df.where(F.col("kind") == "block"), "block"),
+               _typed(df.where(F.col("kind") == "count"), "count"),
+               *ad_stats(kept, out_dir, batch_id, days)], out_dir, batch_id)
         df.unpersist()
 
     w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
@@ -202,7 +258,7 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
 def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                            threshold: int = BLACKLIST_THRESHOLD,
                            trigger: dict | None = None) -> StreamingQuery:
-    """Stage 1 on the JVM only, with its state in the landed tables.
+    """The streaming job on the JVM only, with its state in the landed log.
 
     Each micro-batch b is a static DataFrame in ``foreachBatch``:
 
@@ -215,9 +271,10 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
     3. the running totals before b come from the landed counts of batches < b,
        read only in the day folders the batch touches (latest per key);
     4. a key whose total before b exceeds the threshold blocks its user;
-       totals + counts are landed as the new running counts.
+       total + batch count is landed as the key's new running count, with the
+       kept clicks, the blocks and the Q8-Q10 rows, in one write.
 
-    Reads filter ``batch_id < b`` and writes overwrite batch b, so a replayed
+    Reads keep ``batch_id < b`` and the write overwrites batch b, so a replayed
     batch reproduces the same output. No Python runs per row, and there is
     no watermark: late clicks count to their own day, as in the reference.
     """
@@ -228,124 +285,55 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         c = batch.select(*[x for x in CLICK_COLUMNS if x != "day"],
-                         F.date_format("ts", "yyyy-MM-dd").alias("day")).persist()
-        blocked = (spark.read.schema(STAGE1_READ_SCHEMA).parquet(os.path.join(out_dir, "stage1"))
-                   .where((F.col("kind") == "block") & (F.col("batch_id") < batch_id))
-                   .select("user_id").distinct())
+                         F.date_format("ts", "yyyy-MM-dd").alias("day"))
         # a file read: the planner sizes it from file statistics and broadcasts
         # it only under spark.sql.autoBroadcastJoinThreshold (no extra job)
+        blocked = _log(spark, out_dir, "block", before=batch_id).select("user_id").distinct()
         kept = c.join(blocked, "user_id", "left_anti").persist()
         counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")).persist()
         # the days one micro-batch touches: its own time span plus late clicks' days
         days = [r[0] for r in counts.select("day").distinct().collect()]
-        log = (spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(out_dir, "user_ad_counts"))
-               .where(F.col("day").isin(days) & (F.col("batch_id") < batch_id)))
-        before = latest_per_key(log, keys, "n").withColumnRenamed("n", "_before")
-        joined = counts.join(before, keys, "left")
+        before = latest_per_key(_log(spark, out_dir, "count", days, before=batch_id), keys, "n")
+        joined = counts.join(before.withColumnRenamed("n", "_before"), keys, "left")
         newly = (joined.where(F.col("_before") > threshold).select("user_id").distinct()
                  .join(counts.groupBy("user_id").agg(F.max("day").alias("day")), "user_id"))
-        rows = kept.select(F.lit("click").alias("kind"), *CLICK_COLUMNS).unionByName(
-            newly.select(F.lit("block").alias("kind"), F.lit(None).cast("timestamp").alias("ts"),
-                         F.lit(None).cast("string").alias("area"),
-                         F.lit(None).cast("string").alias("city"), "user_id",
-                         F.lit(None).cast("bigint").alias("ads_id"),
-                         F.lit(None).cast("bigint").alias("event_id"), "day"))
-        totals = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
-        _land_stage1(rows, totals.select("user_id", "ads_id", "n", "day"), out_dir, batch_id)
-        land_ad_stats(kept, out_dir, batch_id, days=days)
+        running = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
+        _land([_typed(kept, "click"), _typed(newly, "block"), _typed(running, "count"),
+               *ad_stats(kept, out_dir, batch_id, days)], out_dir, batch_id)
         counts.unpersist()
         kept.unpersist()
-        c.unpersist()
 
     w = (clicks.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-STAGE1_READ_SCHEMA = ("ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
-                      "event_id bigint, day string, batch_id bigint, kind string")
-
+# --- readers of the landed log ------------------------------------------------
 
-def _stage1(spark: SparkSession, out_dir: str, kind: str) -> DataFrame:
-    return (spark.read.schema(STAGE1_READ_SCHEMA).parquet(os.path.join(out_dir, "stage1"))
-            .where(F.col("kind") == kind))
+def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
+    return _log(spark, out_dir, "click").select(*CLICK_COLUMNS, "batch_id")
 
 
 def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
     """The blacklist: user_id, blocked_day (first block wins)."""
-    b = _stage1(spark, out_dir, "block")
+    b = _log(spark, out_dir, "block")
     return b.groupBy("user_id").agg(F.min_by("day", "batch_id").alias("blocked_day"))
 
 
 def read_user_ad_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """user_id, ads_id, day, n: kept clicks per user, ad and day so far."""
-    log = spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(out_dir, "user_ad_counts"))
-    return latest_per_key(log, ["user_id", "ads_id", "day"], "n")
-
-
-def read_kept(spark: SparkSession, out_dir: str) -> DataFrame:
-    return _stage1(spark, out_dir, "click").select(*CLICK_COLUMNS, "batch_id")
-
-
-# --- Q8-Q10: per-batch increments landed by the stage-1 sinks -----------------
-
-TOTAL_KEYS = ["day", "area", "city", "ads_id"]
-TOTALS_SCHEMA = "area string, city string, ads_id bigint, clicks bigint, batch_id bigint, day string"
-AREA_TOP_SCHEMA = "area string, ads_id bigint, clicks bigint, rank int, batch_id bigint, day string"
-MINUTES_SCHEMA = ("minute_start timestamp, ads_id bigint, clicks bigint, newest timestamp, "
-                  "batch_id bigint, day string")
-
-
-def _read_totals(spark: SparkSession, totals_dir: str) -> DataFrame:
-    return spark.read.schema(TOTALS_SCHEMA).parquet(totals_dir)
-
-
-def land_ad_stats(kept: DataFrame, out_dir: str, batch_id: int, top: int = TOP_ADS,
-                  days: list[str] | None = None) -> None:
-    """Q8-Q10 for one micro-batch of kept clicks (ts, area, city, ads_id, day).
-
-    Lands the batch's increments under ``batch_id=<id>`` (overwritten when a
-    batch is replayed, so a reader summing over batches counts every click
-    once): clicks per (day, area, city, ad) and per (minute, ad), both split
-    by day folder, and the batch's newest click. Then re-ranks the top ads of
-    the (day, area) pairs this batch touched, summing the increments of those
-    days only (day-folder pruning). Day and minute come from the click's own
-    time, so a late click adds to its own day and minute, with no lateness
-    bound (as the reference's running totals).
-    """
-    spark = kept.sparkSession
-    totals_dir = os.path.join(out_dir, "totals")
-    inc = (kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks"))).persist()
-    land_batch(inc, totals_dir, batch_id, partition_by=["day"])
-    minutes = (kept.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id")
-               .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
-               .withColumn("day", F.date_format("minute_start", "yyyy-MM-dd")))
-    land_batch(minutes, os.path.join(out_dir, "minutes"), batch_id, partition_by=["day"])
-    land_batch(kept.agg(F.max("ts").alias("newest")), os.path.join(out_dir, "minutes_newest"),
-               batch_id)
-    touched = inc.select("day", "area").distinct()
-    if days is None:
-        # the days one micro-batch touches: its own time span plus late clicks' days
-        days = [r[0] for r in touched.select("day").distinct().collect()]
-    log = _read_totals(spark, totals_dir).where(F.col("day").isin(days)
-                                                & (F.col("batch_id") <= batch_id))
-    per_area = (log.join(touched, ["day", "area"], "left_semi")
-                .groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks")))
-    ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
-                             top, rank_name="rank")
-    land_batch(ranked, os.path.join(out_dir, "area_top"), batch_id, partition_by=["day"])
-    inc.unpersist()
+    return latest_per_key(_log(spark, out_dir, "count"), ["user_id", "ads_id", "day"], "n")
 
 
 def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
     """day, area, city, ads_id, clicks: the sum of the landed increments."""
-    log = _read_totals(spark, os.path.join(out_dir, "totals"))
-    return log.groupBy(*TOTAL_KEYS).agg(F.sum("clicks").alias("clicks"))
+    return (_log(spark, out_dir, "total").groupBy(*TOTAL_KEYS)
+            .agg(F.sum("clicks").alias("clicks")))
 
 
 def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
     """day, area, ads_id, clicks, rank from the newest ranking of each pair."""
-    t = spark.read.schema(AREA_TOP_SCHEMA).parquet(os.path.join(out_dir, "area_top"))
+    t = _log(spark, out_dir, "top")
     newest = t.groupBy("day", "area").agg(F.max("batch_id").alias("batch_id"))
     return t.join(newest, ["day", "area", "batch_id"]).select("day", "area", "ads_id", "clicks",
                                                                "rank")
@@ -358,18 +346,15 @@ def read_area_top_json(spark: SparkSession, out_dir: str) -> DataFrame:
     return g.select("day", "area", pairs_json("_l").alias("top_ads"))
 
 
-# --- readers of the landed increments -------------------------------------------
-
 def read_last_hour(spark: SparkSession, out_dir: str, minutes: int = 60) -> DataFrame:
     """ads_id, minute (HH:mm), clicks, minute_start: the minutes that start
     after ``newest - minutes`` (whole minutes only).
 
-    The newest click comes from the one-row-per-batch summary; the minute log
-    is read only in the day folders the hour spans."""
-    newest = (spark.read.schema("newest timestamp, batch_id bigint")
-              .parquet(os.path.join(out_dir, "minutes_newest")).select(F.max("newest")).scalar())
+    The newest click comes from the one-row-per-batch ``newest`` rows; the
+    minute increments are read only in the day folders the hour spans."""
+    newest = _log(spark, out_dir, "newest").select(F.max("newest")).scalar()
     since = newest - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    log = spark.read.schema(MINUTES_SCHEMA).parquet(os.path.join(out_dir, "minutes"))
+    log = _log(spark, out_dir, "minute")
     recent = log.where(F.col("day").between(F.date_format(since, "yyyy-MM-dd"),
                                             F.date_format(newest, "yyyy-MM-dd"))
                        & (F.col("minute_start") > since))
