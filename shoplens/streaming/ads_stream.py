@@ -191,6 +191,25 @@ def _log(spark: SparkSession, out_dir: str, kind: str, days: list[str] | None =
     return log.where(cond)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds anything, asked through Spark's own file system."""
+    try:
+        spark.read.format("binaryFile").load(path).limit(1).count()
+        return True
+    except Exception:
+        return False
+
+
+def _guard_resume(spark: SparkSession, out_dir: str, checkpoint: str) -> None:
+    """Refuse to resume a checkpoint whose landed log is missing: the blacklist
+    state lives in that log (and the counts of the other form, in its state
+    store, belong to that checkpoint), so resuming would unblock every user."""
+    if _exists(spark, os.path.join(checkpoint, "offsets")) and \
+            not _exists(spark, os.path.join(out_dir, "log")):
+        raise RuntimeError(f"checkpoint {checkpoint} has progress but {out_dir}/log is missing; "
+                           "use a new checkpoint or restore the log")
+
+
 def _seed(spark: SparkSession, out_dir: str) -> None:
     """An empty batch -1 so readers find the log before the first batch."""
     (spark.createDataFrame([], LOG_SCHEMA).drop("batch_id", "kind", "day").write
@@ -213,7 +232,10 @@ def ad_stats(kept: DataFrame, out_dir: str, batch_id: int, days: list[str],
     its own day and minute, with no lateness bound (as the reference).
     """
     spark = kept.sparkSession
-    inc = kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks")).persist()
+    # ``kept`` is cached by the caller; the increments are cheap to aggregate
+    # for both their own rows and the ranking (nothing cached here, nothing
+    # left behind per micro-batch)
+    inc = kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks"))
     minutes = (kept.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id")
                .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
                .withColumn("day", F.date_format("minute_start", "yyyy-MM-dd")))
@@ -239,6 +261,7 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
     in one write per micro-batch; overwritten on replay.
     """
     spark = clicks.sparkSession
+    _guard_resume(spark, out_dir, checkpoint)
     _seed(spark, out_dir)
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -279,6 +302,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
     no watermark: late clicks count to their own day, as in the reference.
     """
     spark = clicks.sparkSession
+    _guard_resume(spark, out_dir, checkpoint)
     _seed(spark, out_dir)
     keys = ["user_id", "ads_id", "day"]
 

@@ -114,3 +114,18 @@ def test_idle_user_state_times_out_blocked_user_stays(spark):
     # at the end: user 1 (blocked, kept for good) and user 3; user 2 timed out
     assert states[-1] == 2
     assert {r.user_id for r in S.read_blocked(spark, os.path.join(d, "out")).collect()} == {1}
+
+
+def test_resume_without_the_log_is_refused(spark):
+    from shoplens.streaming.replay import read_replay, write_replay
+    d = tempfile.mkdtemp(prefix="run-")
+    c = clicks_df(spark, [(0, 1, 1), (3600, 1, 1)])
+    write_replay(c, os.path.join(d, "replay"), 3600)
+    ck = os.path.join(d, "ck")
+    q = S.start_blacklist_tables(read_replay(spark, os.path.join(d, "replay")),
+                                 os.path.join(d, "out"), ck, threshold=0, trigger=AVAILABLE_NOW)
+    _await(q)
+    with pytest.raises(RuntimeError, match="log is missing"):
+        S.start_blacklist_tables(read_replay(spark, os.path.join(d, "replay")),
+                                 os.path.join(d, "other_out"), ck, threshold=0,
+                                 trigger=AVAILABLE_NOW)
