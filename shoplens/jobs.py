@@ -3,7 +3,7 @@
     python -m shoplens.jobs offline --data DIR --condition '{"startDate": ...}' --out DIR
     python -m shoplens.jobs area    --data DIR [--top 3]
     python -m shoplens.jobs ads-batch --data DIR --out DIR [--batch-seconds 5 --threshold 20]
-    python -m shoplens.jobs stream  --lines DIR | --kafka BROKERS --out DIR
+    python -m shoplens.jobs stream  --lines DIR | --kafka BROKERS --out DIR [--available-now]
 
 ``offline`` runs Q1-Q5 for one condition (JSON with the reference's keys:
 startDate, endDate, startAge, endAge, professionals, targetPageFlow) and
@@ -57,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--topic", default="ads_log")
     st.add_argument("--out", required=True)
     st.add_argument("--threshold", type=int, default=20)
+    st.add_argument("--available-now", action="store_true",
+                    help="process what has arrived, then stop (catch-up run)")
     args = ap.parse_args(argv)
     spark = _spark(args.master)
 
@@ -78,9 +80,16 @@ def main(argv: list[str] | None = None) -> None:
         ckpt = shared_dir(spark, "stream-checkpoints")
         clicks, _bad = S.clicks_from_lines(lines, os.path.join(args.out, "bad_lines"),
                                            os.path.join(ckpt, "bad_lines"))
-        S.start_blacklist_tables(clicks, args.out, os.path.join(ckpt, "blacklist"),
-                                 args.threshold)
-        spark.streams.awaitAnyTermination()
+        trigger = {"availableNow": True} if args.available_now else None
+        q = S.start_blacklist_tables(clicks, args.out, os.path.join(ckpt, "blacklist"),
+                                     args.threshold, trigger=trigger)
+        if args.available_now:
+            q.awaitTermination()
+            if _bad is not None:
+                _bad.processAllAvailable()
+                _bad.stop()
+        else:
+            spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":
