@@ -129,3 +129,16 @@ def test_resume_without_the_log_is_refused(spark):
         S.start_blacklist_tables(read_replay(spark, os.path.join(d, "replay")),
                                  os.path.join(d, "other_out"), ck, threshold=0,
                                  trigger=AVAILABLE_NOW)
+
+
+def test_hot_user_through_the_table_form_equals_closed_form(spark):
+    # user 7 holds a third of the clicks, spread over four 1-hour micro-batches
+    h = 3600
+    rows = [(i * 4 * h // 3000, 7, 1 + i % 2) for i in range(3000)]
+    rows += [(i * 4 * h // 6000, 100 + i % 50, 1 + i % 2) for i in range(6000)]
+    c = clicks_df(spark, rows)
+    out = run_ads_pipeline(c, tempfile.mkdtemp(prefix="run-"), h, 500, stage1="tables")
+    assert _rows(S.read_kept(spark, out), ["event_id"]) == \
+        _rows(ads.ads_kept_clicks(c, h, 500), ["event_id"])
+    blocked = {r.user_id for r in S.read_blocked(spark, out).collect()}
+    assert blocked == {r.user_id for r in ads.ads_blacklist(c, h, 500).collect()} == {7}
