@@ -37,8 +37,9 @@ def proportional_sample(items: DataFrame, stratum: str, key: str, total: int,
     repeatable and equal to the SQL statement of the same rule. Every quota is
     at most ``total``, so the ``row_number() <= total`` bound lets Spark cut
     each stratum per partition before the shuffle; the quota table (one row
-    per stratum) joins the ranked items on the stratum, which both sides are
-    already partitioned by, so the join adds no shuffle.
+    per stratum) joins the ranked items on the stratum: broadcast by the
+    planner when small, else co-partitioned with them (both are keyed by the
+    stratum), so the items are not shuffled again.
     Output: the item columns plus ``quota``.
     """
     per = items.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
