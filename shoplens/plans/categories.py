@@ -7,7 +7,8 @@
 - ``category_top``: a pivot by conditional sums, then ``orderBy().limit(n)``
   (``TakeOrderedAndProject``: each task keeps its own top n).
 - ``category_session_top``: the clicks of the top categories (a semi join
-  with at most n ids, broadcast) counted per (category, session), then
+  with at most n ids, broadcast by the planner from the limit's row bound)
+  counted per (category, session), then
   ``row_number() <= n`` per category with ``WindowGroupLimit``.
 """
 
@@ -68,7 +69,10 @@ def category_session_top(actions: DataFrame, top_categories: DataFrame, n: int =
                          task_id: str | None = None) -> DataFrame:
     """Per top category, the n sessions with most clicks in it (ties by
     session id): category_id, session_id, click_count."""
-    cats = F.broadcast(top_categories.select("category_id").distinct())  # at most n rows
+    # No hint: a top-n frame carries its row bound (the limit) and a written
+    # top-10 table its file size, so the planner broadcasts it from those
+    # statistics; any larger frame given here gets a shuffle join instead.
+    cats = top_categories.select("category_id").distinct()
     clicks = actions.select(F.col("click_category_id").cast("string").alias("category_id"),
                             "session_id")
     counts = (clicks.join(cats, "category_id", "left_semi")
