@@ -34,6 +34,11 @@ def write_table(df: DataFrame, target: str, partition_by: Sequence[str] | None =
     ``as_path=True``: ``target`` is a folder (e.g. in the shared checkpoint
     folder); else a catalog table name for ``saveAsTable``.
     """
+    if partition_by:
+        # rows of one partition value go to few tasks (AQE splits a hot value
+        # and merges small ones), so each folder gets a few sized files rather
+        # than one small file per task and value
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
