@@ -174,7 +174,9 @@ def _land(parts: list[DataFrame], out_dir: str, batch_id: int) -> None:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    (out.write.mode("overwrite").partitionBy("kind", "day")
+    # rebalance by the folder keys: a few files per (kind, day) folder, not
+    # one tiny file per task and folder every micro-batch
+    (out.hint("rebalance", "kind", "day").write.mode("overwrite").partitionBy("kind", "day")
      .parquet(os.path.join(out_dir, "log", f"batch_id={batch_id}")))
 
 
