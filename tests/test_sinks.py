@@ -39,3 +39,12 @@ def test_size_checks(spark):
 def test_shared_dir_from_checkpoint_setting(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(base)
+
+
+def test_partitioned_write_is_rebalanced(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="run-"), "t")
+    df = spark.range(3000).selectExpr("CAST(id % 3 AS STRING) AS date", "id AS v").repartition(8)
+    write_table(df, d, partition_by=["date"])
+    for folder in ("date=0", "date=1", "date=2"):
+        files = [f for f in os.listdir(os.path.join(d, folder)) if f.endswith(".parquet")]
+        assert len(files) == 1, folder  # not one small file per input task
