@@ -91,15 +91,3 @@ def test_hot_session_concat_equals_plain_order(spark):
     r = got.where(F.col("session_id") == "hot").first()
     assert r.n == 3000
     assert r.pages == ",".join(str(i % 7) for i in range(3000))
-
-
-def test_bucketed_landed_log_needs_no_session_shuffle(spark):
-    import tempfile
-    from shoplens.plans.offline import land_filtered_actions
-    from shoplens.sources.tables import ShopTables
-    folder = tempfile.mkdtemp(prefix="run-") + "/plans_test/actions"
-    acts = land_filtered_actions(spark, ShopTables(spark, SF), R.CONDITION, folder)
-    p = plan(sessions.session_summary(acts))
-    assert "Exchange" not in p and "Bucketed: true" in p
-    assert _rows(sessions.session_summary(acts)) == \
-        _rows(sessions.session_summary(R._filtered(spark, SF)))
