@@ -32,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", list(E.queries()))
 def test_query_equals_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rel = con.sql(E.oracle_sql()[name])
