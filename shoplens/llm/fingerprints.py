@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoplens.llm.common import WordHasher, map_arrow, mix, read, schema_with, text_batches, word_hashes
+from shoplens.llm.common import WordHasher, map_arrow, mix, read, schema_with, staged, text_batches, word_hashes
 
 BITS = 256
 _TERMS_AT_ONCE = 512  # their unpacked bits stay in a core's cache
@@ -98,10 +98,11 @@ def with_next(df: DataFrame, key: str, carried: list[str], prefix: str = "next_"
     whole = Window.orderBy(F.col("__bin").desc_nulls_last())
     every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # the first row of the first bin visits the last bin, any other the bin before its own
-    visits = keyed.groupBy("__bin").agg(F.max(key).alias("__top")).select(
+    # (stored: by its file size Spark sees beforehand whether this table can be broadcast)
+    visits = staged(df.sparkSession, keyed.groupBy("__bin").agg(F.max(key).alias("__top")).select(
         "__top", F.col("__bin").alias("__own"),
         F.when(F.row_number().over(whole) > 1, F.lag("__bin").over(whole))
-        .otherwise(F.last("__bin").over(every)).alias("__to"))
+        .otherwise(F.last("__bin").over(every)).alias("__to")), "visits")
     guests = (keyed.withColumnRenamed("__bin", "__home")
               .join(visits, F.col("__home").eqNullSafe(F.col("__own"))
                     & F.col(key).eqNullSafe(F.col("__top")))
