@@ -17,12 +17,12 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from shoplens.session import build_spark  # noqa: E402
+from shoplens.session import build_spark, shared_dir  # noqa: E402
 
 
 def main() -> None:
@@ -33,10 +33,9 @@ def main() -> None:
     spark = build_spark(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
                         app_name="shoplens-bench",
                         extra={"spark.eventLog.enabled": "false"})
-    import __spark_entry__ as E
     from shoplens.plans import registry as R
 
-    qs = {k: v for k, v in E.queries().items() if not k.startswith("stream_")}
+    qs = {k: v for k, v in R.QUERIES.items() if not k.startswith("stream_")}
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name, fn in qs.items():
@@ -60,12 +59,14 @@ def main() -> None:
         "rows": rows,
     }
     if with_stream:
+        from shoplens import params as P
         from shoplens.streaming.runner import run_ads_pipeline
-        clicks = R._ads(spark, sf_dir, 6)
+        clicks = R._ads(spark, sf_dir, P.STREAM_BL_ADS_MOD)
         n_in = clicks.count()
-        folder = tempfile.mkdtemp(prefix="run-bench-stream-")
+        folder = shared_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
         t0 = time.perf_counter()
-        run_ads_pipeline(clicks, folder, 43200, 20)
+        run_ads_pipeline(clicks, folder, P.STREAM_BATCH_SECONDS, P.STREAM_BL_THRESHOLD,
+                         state_partitions=R.REPLAY_PARTITIONS)
         dt = time.perf_counter() - t0
         result["queries"]["stream_pipeline"] = round(dt, 3)
         result["stream_input_rows"] = n_in

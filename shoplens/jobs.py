@@ -11,7 +11,8 @@ writes the five result tables; ``area`` prints Q6; ``stream`` runs Q7-Q10
 continuously on the ad lines of a folder or a Kafka topic.
 
 On a cluster, submit with the cluster's own settings; the shared folder for
-lineage cuts and stream state is ``spark.checkpoint.dir``.
+lineage cuts is ``spark.checkpoint.dir``; a stream's checkpoint lies beside its
+log under ``--out``.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import os
 from pyspark.sql import SparkSession
 
 from shoplens.params import Condition
-from shoplens.session import prepare, shared_dir
+from shoplens.session import prepare
 from shoplens.sources.sinks import show_console
 
 
@@ -77,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         from shoplens.streaming import ads_stream as S
         lines = (read_ads_text_stream(spark, args.lines) if args.lines
                  else read_ads_kafka(spark, args.kafka, args.topic))
-        ckpt = shared_dir(spark, "stream-checkpoints")
+        ckpt = os.path.join(args.out, "_checkpoint")  # beside the log it belongs to
         clicks, _bad = S.clicks_from_lines(lines, os.path.join(args.out, "bad_lines"),
                                            os.path.join(ckpt, "bad_lines"))
         trigger = {"availableNow": True} if args.available_now else None

@@ -21,12 +21,12 @@ def successor_pairs(df: DataFrame, group: Sequence[str], bucket: str, order: Seq
 
     The order is ``(bucket, *order)`` and must be total (add a tie column such
     as an event id). ``bucket`` must grow with the order (e.g. a time prefix).
-    The last row of a group gets null. Output: all input columns plus
+    The last row of a group gets null; a row whose group or bucket is null has
+    no place in an order and is left out. Output: all input columns plus
     ``next_name`` (default ``next_<value>``).
 
     Plan: one shuffle of the rows by (group, bucket) and a window there
-    (``lead`` inside the bucket, ``row_number`` to mark each bucket's first
-    row). The first rows, one per (group, bucket), get the first value of the
+    (``lead`` inside the bucket, ``lag`` to mark each bucket's first row). The first rows, one per (group, bucket), get the first value of the
     next non-empty bucket by a ``lead`` over the buckets of their group, and
     join back to the bucket's last row by (group, bucket).
     """
@@ -37,16 +37,22 @@ def successor_pairs(df: DataFrame, group: Sequence[str], bucket: str, order: Seq
     w_in = Window.partitionBy(*gb).orderBy(*order)
     # "last row of its bucket" is tested on a marker, not on the value, so a
     # null value of the next row is not mistaken for the end of the bucket
+    for c in gb:
+        df = df.where(F.col(c).isNotNull())
     rows = df.select("*", F.lead(value).over(w_in).alias("_next_in"),
                      F.lead(F.lit(1)).over(w_in).isNull().alias("_last"),
-                     F.row_number().over(w_in).alias("_pos"))
+                     F.lag(F.lit(1)).over(w_in).isNull().alias("_first"))
     w_b = Window.partitionBy(*group).orderBy(bucket)
-    bridges = (rows.where(F.col("_pos") == 1)
+    # the same shuffle serves both uses of ``rows`` (a row_number limit here
+    # would be planned below the shuffle and make it a second one)
+    bridges = (rows.where(F.col("_first"))
                .select(*gb, F.lead(value).over(w_b).alias("_next_bucket")))
-    joined = rows.join(bridges, gb, "left")
+    # every bucket has a bridge row; an inner join asks the same of both sides,
+    # so both read one shuffle
+    joined = rows.join(bridges, gb)
     out = joined.withColumn(next_name, F.when(F.col("_last"), F.col("_next_bucket"))
                             .otherwise(F.col("_next_in")))
-    return out.drop("_next_in", "_next_bucket", "_pos", "_last")
+    return out.drop("_next_in", "_next_bucket", "_first", "_last")
 
 
 def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str],
@@ -67,7 +73,7 @@ def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
     items = F.struct(*[F.col(c) for c in order], *[e.alias(n) for n, e in lists.items()])
     extra = extra or {}
     per_bucket = (df.groupBy(*group, bucket)
-                  .agg(F.array_sort(F.collect_list(items)).alias("_items"),
+                  .agg(F.sort_array(F.collect_list(items)).alias("_items"),
                        *[agg.alias(n) for n, (agg, _m) in extra.items()]))
     parts = []
     for n in names:
@@ -75,7 +81,7 @@ def ordered_concat(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
         parts.append(F.when(F.size(vals) > 0, F.array_join(vals, sep)).alias(n))
     partial = per_bucket.select(*group, bucket, *parts, *extra)
     merged = (partial.groupBy(*group)
-              .agg(F.array_sort(F.collect_list(F.struct(bucket, *names))).alias("_parts"),
+              .agg(F.sort_array(F.collect_list(F.struct(bucket, *names))).alias("_parts"),
                    *[merge(n).alias(n) for n, (_a, merge) in extra.items()]))
     return merged.select(*group, *extra, *[
         F.coalesce(F.array_join(F.transform("_parts", _field(n)), sep),

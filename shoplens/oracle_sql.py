@@ -318,6 +318,14 @@ SELECT day, area,
 FROM area_top GROUP BY day, area"""
 
 
+LAST_HOUR_SELECT = "SELECT ads_id, minute, clicks FROM last_hour"
+LAST_HOUR_JSON_SELECT = """
+SELECT ads_id,
+       '[' || string_agg('{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}', ','
+                         ORDER BY minute_start) || ']' AS minutes
+FROM last_hour GROUP BY ads_id"""
+
+
 def ads_queries() -> dict[str, str]:
     bl = _ads_ctes(BL_ADS_MOD, BL_BATCH_SECONDS, BL_THRESHOLD)
     d = _ads_ctes(ADS_MOD, BATCH_SECONDS, THRESHOLD)
@@ -329,18 +337,27 @@ SELECT CAST(split_part(value, ' ', 1) AS BIGINT) AS ts_ms, split_part(value, ' '
 FROM (SELECT concat_ws(' ', CAST(ts_ms AS VARCHAR), replace(area, ' ', '_'),
                        replace(city, ' ', '_'), CAST(user_id AS VARCHAR),
                        CAST(ads_id AS VARCHAR)) AS value FROM ads)"""),
+        "ads_parse_bad": with_shop(d, """
+SELECT reason, COUNT(*) AS n, COUNT(line) AS n_lines FROM (
+  SELECT CASE event_id % 6 WHEN 1 THEN 'fewer than 5 fields' WHEN 2 THEN 'time is not an integer'
+              WHEN 3 THEN 'user is not an integer' WHEN 4 THEN 'ad is not an integer'
+              WHEN 5 THEN 'null line' END AS reason,
+         CASE WHEN event_id % 6 <> 5 THEN 'line' END AS line
+  FROM ads)
+WHERE reason IS NOT NULL GROUP BY reason"""),
+        "ads_daily_totals_blocking": with_shop(bl, "SELECT * FROM totals"),
+        "ads_area_top3_blocking": with_shop(bl, "SELECT * FROM area_top"),
+        "ads_area_top3_json_blocking": with_shop(bl, TOP_JSON_SELECT),
+        "ads_last_hour_blocking": with_shop(bl, LAST_HOUR_SELECT),
+        "ads_last_hour_json_blocking": with_shop(bl, LAST_HOUR_JSON_SELECT),
         "ads_blacklist": with_shop(bl, "SELECT user_id, blocked_batch FROM blacklist"),
         "ads_kept_clicks": with_shop(bl, """
 SELECT event_id, user_id, ads_id, area, city, day, ts_ms, batch FROM kept"""),
         "ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
         "ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
         "ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
-        "ads_last_hour": with_shop(d, "SELECT ads_id, minute, clicks FROM last_hour"),
-        "ads_last_hour_json": with_shop(d, """
-SELECT ads_id,
-       '[' || string_agg('{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}', ','
-                         ORDER BY minute_start) || ']' AS minutes
-FROM last_hour GROUP BY ads_id"""),
+        "ads_last_hour": with_shop(d, LAST_HOUR_SELECT),
+        "ads_last_hour_json": with_shop(d, LAST_HOUR_JSON_SELECT),
     }
 
 
@@ -349,32 +366,22 @@ FROM last_hour GROUP BY ads_id"""),
 def stream_queries() -> dict[str, str]:
     # one replayed pipeline for all stream twins (blocks do happen in it)
     bl = d = _ads_ctes(STREAM_BL_ADS_MOD, STREAM_BATCH_SECONDS, STREAM_BL_THRESHOLD)
-    minute_ms = "(ts_ms // 60000) * 60000"
-    recent = f""",
-minutes_recent AS (
-  SELECT ads_id, {minute_ms} AS minute_ms, strftime(ts, '%H:%M') AS minute
-  FROM kept WHERE {minute_ms} > (SELECT max(ts_ms) FROM kept) - 3600000
-)"""
     return {
         "stream_ads_blacklist": with_shop(bl, f"""
 SELECT user_id, strftime(make_timestamp(blocked_batch * {STREAM_BATCH_SECONDS * 1000000}),
                          '%Y-%m-%d') AS blocked_day
 FROM blacklist"""),
         "stream_ads_kept_clicks": with_shop(bl, """
+SELECT event_id, user_id, ads_id, area, city, day FROM kept"""),
+        "stream_state_ads_kept_clicks": with_shop(bl, """
 SELECT event_id, user_id, ads_id, area, city, day FROM kept"""),
         "stream_ads_user_counts": with_shop(bl, """
 SELECT user_id, ads_id, day, COUNT(*) AS n FROM kept GROUP BY ALL"""),
         "stream_ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
         "stream_ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
         "stream_ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
-        "stream_ads_last_hour": with_shop(d + recent, """
-SELECT ads_id, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL"""),
-        "stream_ads_last_hour_json": with_shop(d + recent, """
-SELECT ads_id,
-       '[' || string_agg('{"' || minute || '":' || CAST(clicks AS VARCHAR) || '}', ','
-                         ORDER BY minute_ms) || ']' AS minutes
-FROM (SELECT ads_id, minute_ms, minute, COUNT(*) AS clicks FROM minutes_recent GROUP BY ALL)
-GROUP BY ads_id"""),
+        "stream_ads_last_hour": with_shop(d, LAST_HOUR_SELECT),
+        "stream_ads_last_hour_json": with_shop(d, LAST_HOUR_JSON_SELECT),
     }
 
 

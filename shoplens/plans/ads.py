@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import pairs_json
-from shoplens.operators.broadcast import materialized_broadcast
 from shoplens.operators.topn import top_n_per_group
 
 # Fixed values of the reference's streaming job.
@@ -34,8 +33,6 @@ BLACKLIST_THRESHOLD = 20
 LAST_MINUTES = 60
 TOP_ADS = 3
 
-USER_BROADCAST_MAX_ROWS = 2_000_000
-
 
 def with_labels(clicks: DataFrame, batch_seconds: int = BATCH_SECONDS) -> DataFrame:
     """Add ts_ms, day (``yyyy-MM-dd``) and the micro-batch index."""
@@ -65,7 +62,6 @@ def ads_kept_clicks(clicks: DataFrame, batch_seconds: int = BATCH_SECONDS,
     """The clicks that pass the blacklist (input columns + ts_ms, day, batch)."""
     bl = blacklist if blacklist is not None else ads_blacklist(clicks, batch_seconds, threshold)
     c = with_labels(clicks, batch_seconds)
-    bl = materialized_broadcast(bl, USER_BROADCAST_MAX_ROWS)
     return (c.join(bl, "user_id", "left")
             .where(F.col("blocked_batch").isNull() | (F.col("batch") <= F.col("blocked_batch")))
             .drop("blocked_batch"))
@@ -90,7 +86,7 @@ def ads_area_top(totals: DataFrame, n: int = TOP_ADS) -> DataFrame:
 def ads_area_top_json(top: DataFrame) -> DataFrame:
     """day, area, top_ads: ``[{"ad":clicks},...]`` in rank order."""
     g = top.groupBy("day", "area").agg(
-        F.array_sort(F.collect_list(F.struct("rank", F.col("ads_id").alias("k"),
+        F.sort_array(F.collect_list(F.struct("rank", F.col("ads_id").alias("k"),
                                              F.col("clicks").alias("v")))).alias("_l"))
     return g.select("day", "area", pairs_json("_l").alias("top_ads"))
 
@@ -110,6 +106,6 @@ def ads_last_hour(kept: DataFrame, minutes: int = LAST_MINUTES) -> DataFrame:
 def ads_last_hour_json(last_hour: DataFrame) -> DataFrame:
     """ads_id, minutes: ``[{"HH:mm":clicks},...]`` in time order."""
     g = last_hour.groupBy("ads_id").agg(
-        F.array_sort(F.collect_list(F.struct("_minute", F.col("minute").alias("k"),
+        F.sort_array(F.collect_list(F.struct("_minute", F.col("minute").alias("k"),
                                              F.col("clicks").alias("v")))).alias("_l"))
     return g.select("ads_id", pairs_json("_l").alias("minutes"))

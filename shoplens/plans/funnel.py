@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.sequence import successor_pairs
@@ -33,15 +33,19 @@ def page_visits(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("visit_count")))
 
 
-def page_transitions(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
-    """from_page, to_page, jump_count for the flow's steps that occur."""
+def _pairs(actions: DataFrame) -> DataFrame:
+    """(from_page, to_page) of every action; the last of a session has no successor."""
     a = actions.select("session_id", "page_id", "action_time", "event_id",
                        F.substring("action_time", 1, 16).alias("_minute"))
     pairs = successor_pairs(a, ["session_id"], "_minute", ["action_time", "event_id"],
                             "page_id", "to_page")
+    return pairs.select(F.col("page_id").alias("from_page"), "to_page")
+
+
+def page_transitions(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """from_page, to_page, jump_count for the flow's steps that occur."""
     steps = F.broadcast(flow_steps(actions.sparkSession, flow))
-    return (pairs.where(F.col("to_page").isNotNull())
-            .select(F.col("page_id").alias("from_page"), "to_page")
+    return (_pairs(actions).where(F.col("to_page").isNotNull())
             .join(steps, ["from_page", "to_page"], "left_semi")
             .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("jump_count")))
 
@@ -49,11 +53,16 @@ def page_transitions(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
 def page_convert_rate(actions: DataFrame, flow: Sequence[int],
                       task_id: str | None = None) -> DataFrame:
     """page_jump ``'a-b'`` and rate (percent, one decimal)."""
-    t = page_transitions(actions, flow)
-    v = page_visits(actions, flow).withColumnRenamed("page_id", "from_page")
-    j = t.join(F.broadcast(v), "from_page", "left")  # at most n-1 rows
-    rate = F.round(F.col("jump_count") * F.lit(1000) / F.coalesce(F.col("visit_count"), F.lit(1))
-                   .cast("double")) / F.lit(10.0)
+    # the pairs hold every action with its page (the last ones with a null
+    # successor), so visits and jumps are counted in one pass over the log
+    starts = sorted(set(int(p) for p in flow[:-1]))
+    counted = (_pairs(actions).where(F.col("from_page").isin(starts))
+               .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("jump_count")))
+    visits = F.sum("jump_count").over(Window.partitionBy("from_page"))
+    j = (counted.withColumn("visit_count", visits)
+         .join(F.broadcast(flow_steps(actions.sparkSession, flow).distinct()),
+               ["from_page", "to_page"], "left_semi"))
+    rate = F.round(F.col("jump_count") * F.lit(1000) / F.col("visit_count").cast("double")) / F.lit(10.0)
     cols = [F.concat(F.col("from_page").cast("string"), F.lit("-"),
                      F.col("to_page").cast("string")).alias("page_jump"), rate.alias("rate")]
     if task_id is not None:

@@ -79,9 +79,8 @@ def run_ads_batch(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                   run_id: str | None = None) -> dict[str, DataFrame]:
     """Q7-Q10 over stored clicks (the batch twin of the streaming job).
 
-    The kept clicks feed three questions, so they are written once to the
-    shared folder (the blacklist itself is checkpointed inside
-    ``ads_kept_clicks``) and Q8-Q10 read that table: the click scan and the
+    The blacklist is written once and joined from there; the kept clicks feed
+    three questions, so they are written once too and Q8-Q10 read that table: the click scan and the
     blacklist join run once, and the newest-click subquery of Q10 reads the
     landed table.
     """
@@ -91,7 +90,10 @@ def run_ads_batch(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     clicks = ShopTables(spark, sf_dir).ads(ads_mod)
     blacklist = ads.ads_blacklist(clicks, batch_seconds, threshold)
     kept_dir = os.path.join(work, "kept")
-    write_table(ads.ads_kept_clicks(clicks, batch_seconds, threshold), kept_dir)
+    blacklist_dir = os.path.join(work, "blacklist")
+    write_table(blacklist, blacklist_dir)
+    blacklist = spark.read.schema(blacklist.schema).parquet(blacklist_dir)
+    write_table(ads.ads_kept_clicks(clicks, batch_seconds, threshold, blacklist), kept_dir)
     kept = spark.read.parquet(kept_dir)
     totals = ads.ads_daily_totals(kept)
     results = {

@@ -6,9 +6,8 @@ Plan shape (what makes it hold at scale):
    with map-side partial aggregation. Everything after works on at most
    cities x products rows, whatever the log size; a hot key is one row after
    the partial aggregate.
-2. The city dimension joins by a size-checked broadcast; the product
-   dimension grows with the data, so it gets a broadcast only when its row
-   count is proven small, else a shuffle join of two keyed aggregates.
+2. The dimensions join without a hint: file statistics and AQE decide between
+   a broadcast and a shuffle join of two keyed aggregates.
 3. The city remark (``city_remark``) is two-level grouping with built-ins:
    counts per (area, product, city), then one window per (area, product)
    whose size is bounded by the number of cities (a dimension), keeping the
@@ -25,30 +24,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import whole_pct
-from shoplens.operators.broadcast import sized_broadcast
 
 # Fixed values that must equal the reference's output text.
 OTHER_CITIES_LABEL = "其他"  # "others": the rest after the two top cities
 REMARK_TOP_CITIES = 2
 
-CITY_MAX_ROWS = 10_000
-PRODUCT_BROADCAST_MAX_ROWS = 2_000_000
 
-
-def city_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame,
-                        product_broadcast_max_rows: int = PRODUCT_BROADCAST_MAX_ROWS
-                        ) -> DataFrame:
+def city_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """Clicks per (area, product, city): the inner joins of log, city, product.
 
     Columns: area, product_id, product_name, city_name, n. An action whose
-    city or clicked product is unknown finds no partner and is dropped; the
-    no-click sentinel -1 is such an unknown product.
+    city or clicked product is unknown finds no partner and is dropped, as are
+    actions without a click (product -1).
     """
-    pre = (actions.groupBy("city_id", "click_product_id")
+    pre = (actions.where(F.col("click_product_id") != -1).groupBy("city_id", "click_product_id")
            .agg(F.count(F.lit(1)).alias("n")))
-    city = sized_broadcast(cities.select("city_id", "city_name", "area"), CITY_MAX_ROWS)
-    prod = sized_broadcast(products.select("product_id", "product_name"),
-                           product_broadcast_max_rows)
+    city = cities.select("city_id", "city_name", "area")
+    prod = products.select("product_id", "product_name")
     joined = (pre.join(city, "city_id")
               .join(prod, pre.click_product_id == prod.product_id))
     # One shuffle by (area, product) serves both this aggregation (its keys are
@@ -104,9 +96,13 @@ def city_remark(city_clicks: DataFrame, top: int = REMARK_TOP_CITIES) -> DataFra
 def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame,
                       n: int = 3) -> DataFrame:
     """Products with ``rank() <= n`` by clicks per area (ties share a rank, so
-    an area may show more than n rows), with their city remark."""
-    remarks = city_remark(city_product_clicks(actions, cities, products))
+    an area may show more than n rows), with their city remark. The clicks are
+    ranked first; remarks are built for the products that remain."""
+    clicks = city_product_clicks(actions, cities, products)
     w = Window.partitionBy("area").orderBy(F.desc("clickcount"))
-    return (remarks.withColumn("rk", F.rank().over(w))
-            .where(F.col("rk") <= n)
+    top = (area_product_clicks(clicks).withColumn("rk", F.rank().over(w)).where(F.col("rk") <= n)
+           .select("area", "product_id", "product_name"))
+    # null-safe: an area or a name may be null
+    same = [clicks[c].eqNullSafe(top[c]) for c in ("area", "product_id", "product_name")]
+    return (city_remark(clicks.join(top, same[0] & same[1] & same[2], "left_semi"))
             .select("area", "product_id", "product_name", "clickcount", "cityremark"))

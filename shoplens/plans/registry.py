@@ -109,9 +109,12 @@ def q_page_convert_rate(spark, sf_dir):
 
 
 def q_table_overwrite(spark, sf_dir):
-    """K6: the filtered log saved as a date-partitioned table (replacing any
-    earlier one) and read back with a date bound that prunes folders."""
+    """K6: other rows (the users outside the bounds) are saved to the target
+    first; the filtered log then replaces them, date-partitioned, and is read
+    back with a date bound that prunes folders."""
     folder = shared_dir(spark, "tables", f"actions-{uuid.uuid4().hex[:8]}")
+    others = _filtered(spark, sf_dir, Condition(start_age=CONDITION.end_age + 1))
+    write_table(others, folder, partition_by=["date"])
     write_table(_filtered(spark, sf_dir), folder, partition_by=["date"])
     back = spark.read.schema(USER_VISIT_ACTION).parquet(folder)
     return (back.where(F.col("date").between(CONDITION.start_date, CONDITION.end_date))
@@ -136,6 +139,21 @@ def q_ads_parse(spark, sf_dir):
     return good.select(F.unix_millis("ts").alias("ts_ms"), "area", "city", "user_id", "ads_id")
 
 
+def q_ads_parse_bad(spark, sf_dir):
+    """C19: lines of which most are broken in one of five ways; how many of each."""
+    clicks = _ads(spark, sf_dir, P.ADS_MOD)
+    kind = F.col("event_id") % 6
+    lines = format_ads_lines(clicks, keep=["event_id"]).select(
+        F.when(kind == 0, F.col("value"))
+        .when(kind == 1, F.substring_index("value", " ", 4))
+        .when(kind == 2, F.concat(F.lit("x"), "value"))
+        .when(kind == 3, F.concat_ws(" ", F.substring_index("value", " ", 3), F.lit("u1"),
+                                     F.substring_index("value", " ", -1)))
+        .when(kind == 4, F.concat("value", F.lit("a"))).alias("value"))
+    _good, bad = parse_ads_lines(lines)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.count("line").alias("n_lines"))
+
+
 def q_ads_blacklist(spark, sf_dir):
     return ads.ads_blacklist(_ads(spark, sf_dir, P.BL_ADS_MOD), P.BL_BATCH_SECONDS,
                              P.BL_THRESHOLD)
@@ -166,21 +184,51 @@ def q_ads_last_hour_json(spark, sf_dir):
     return ads.ads_last_hour_json(ads.ads_last_hour(_kept(spark, sf_dir)))
 
 
+def _blocked_kept(spark, sf_dir):
+    """Kept clicks under a setting that does block users (as ads_blacklist's)."""
+    return ads.ads_kept_clicks(_ads(spark, sf_dir, P.BL_ADS_MOD), P.BL_BATCH_SECONDS, P.BL_THRESHOLD)
+
+
+def q_ads_daily_totals_blocking(spark, sf_dir):
+    return ads.ads_daily_totals(_blocked_kept(spark, sf_dir))
+
+
+def q_ads_area_top3_blocking(spark, sf_dir):
+    return ads.ads_area_top(ads.ads_daily_totals(_blocked_kept(spark, sf_dir)), 3)
+
+
+def q_ads_area_top3_json_blocking(spark, sf_dir):
+    return ads.ads_area_top_json(q_ads_area_top3_blocking(spark, sf_dir))
+
+
+def q_ads_last_hour_blocking(spark, sf_dir):
+    return ads.ads_last_hour(_blocked_kept(spark, sf_dir)).drop("_minute")
+
+
+def q_ads_last_hour_json_blocking(spark, sf_dir):
+    return ads.ads_last_hour_json(ads.ads_last_hour(_blocked_kept(spark, sf_dir)))
+
+
 # --- stream twins (T1-T10): the replayed clicks through both streaming stages ---
 
 _PIPELINES: dict[tuple, str] = {}
 
 
-def _pipeline(spark, sf_dir, mod, threshold):
+# tasks per shuffle of a replayed micro-batch (at most a few thousand rows)
+REPLAY_PARTITIONS = 2
+
+
+def _pipeline(spark, sf_dir, mod, threshold, stage1="tables"):
     """Run (once per session and parameters) the streaming stages over the
     clicks of ``sf_dir`` replayed in 12-hour micro-batches; returns the
     output folder in the shared checkpoint folder."""
-    key = (id(spark.sparkContext), sf_dir, mod, P.STREAM_BATCH_SECONDS, threshold)
+    key = (id(spark.sparkContext), sf_dir, mod, P.STREAM_BATCH_SECONDS, threshold, stage1)
     if key not in _PIPELINES:
         tag = f"{os.path.basename(sf_dir.rstrip('/'))}-m{mod}-t{threshold}-{uuid.uuid4().hex[:8]}"
         folder = shared_dir(spark, "stream", tag)
         _PIPELINES[key] = run_ads_pipeline(_ads(spark, sf_dir, mod), folder,
-                                           P.STREAM_BATCH_SECONDS, threshold)
+                                           P.STREAM_BATCH_SECONDS, threshold,
+                                           state_partitions=REPLAY_PARTITIONS, stage1=stage1)
     return _PIPELINES[key]
 
 
@@ -197,6 +245,12 @@ def q_stream_ads_blacklist(spark, sf_dir):
     return S.read_blocked(spark, _bl_out(spark, sf_dir))
 
 
+def q_stream_state_ads_kept_clicks(spark, sf_dir):
+    """The state form of the blacklist (applyInPandasWithState) over the same replay."""
+    out = _pipeline(spark, sf_dir, P.STREAM_BL_ADS_MOD, P.STREAM_BL_THRESHOLD, "state")
+    return S.read_kept(spark, out).select("event_id", "user_id", "ads_id", "area", "city", "day")
+
+
 def q_stream_ads_kept_clicks(spark, sf_dir):
     return S.read_kept(spark, _bl_out(spark, sf_dir)).select(
         "event_id", "user_id", "ads_id", "area", "city", "day")
@@ -243,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "city_remark": q_city_remark,
     "area_top3_product": q_area_top3_product,
     "ads_parse": q_ads_parse,
+    "ads_parse_bad": q_ads_parse_bad,
     "ads_blacklist": q_ads_blacklist,
     "ads_kept_clicks": q_ads_kept_clicks,
     "ads_daily_totals": q_ads_daily_totals,
@@ -250,6 +305,11 @@ QUERIES: dict[str, Query] = {
     "ads_area_top3_json": q_ads_area_top3_json,
     "ads_last_hour": q_ads_last_hour,
     "ads_last_hour_json": q_ads_last_hour_json,
+    "ads_daily_totals_blocking": q_ads_daily_totals_blocking,
+    "ads_area_top3_blocking": q_ads_area_top3_blocking,
+    "ads_area_top3_json_blocking": q_ads_area_top3_json_blocking,
+    "ads_last_hour_blocking": q_ads_last_hour_blocking,
+    "ads_last_hour_json_blocking": q_ads_last_hour_json_blocking,
     "stream_ads_blacklist": q_stream_ads_blacklist,
     "stream_ads_kept_clicks": q_stream_ads_kept_clicks,
     "stream_ads_user_counts": q_stream_ads_user_counts,
@@ -258,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "stream_ads_area_top3_json": q_stream_ads_area_top3_json,
     "stream_ads_last_hour": q_stream_ads_last_hour,
     "stream_ads_last_hour_json": q_stream_ads_last_hour_json,
+    "stream_state_ads_kept_clicks": q_stream_state_ads_kept_clicks,
 }
 
 

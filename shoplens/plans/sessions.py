@@ -1,8 +1,8 @@
 """Q1 session statistics and Q2 proportional session sample (plus the filter).
 
 - ``filter_actions``: the condition's bounds on the visit log; the user
-  bounds become a semi join with the filtered users (size-checked broadcast,
-  else a shuffle join that AQE can split when one user is hot).
+  bounds become a semi join with the filtered users (broadcast or shuffled as
+  file statistics and AQE say; AQE splits the shuffle when one user is hot).
 - ``session_bounds``: one row per session from plain aggregates (min / max
   time, count): partial aggregation makes a hot session one row per task.
 - ``session_stat``: one row of ratios over the session bounds.
@@ -18,12 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import action_kind, pct1, time_ms
-from shoplens.operators.broadcast import sized_broadcast
 from shoplens.operators.sequence import ordered_concat
 from shoplens.operators.topn import proportional_sample
 from shoplens.params import Condition
 
-USER_BROADCAST_MAX_ROWS = 2_000_000
 # Fixed values of the reference's session buckets.
 VISIT_LENGTH_LIMIT_MS = 10_000
 STEP_LENGTH_LIMIT = 5
@@ -35,8 +33,7 @@ ACTION_COLUMNS = ["date", "user_id", "session_id", "page_id", "action_time", "se
                   "event_id"]
 
 
-def filter_actions(actions: DataFrame, users: DataFrame, cond: Condition,
-                   user_broadcast_max_rows: int = USER_BROADCAST_MAX_ROWS) -> DataFrame:
+def filter_actions(actions: DataFrame, users: DataFrame, cond: Condition) -> DataFrame:
     """Actions of known users inside the condition's bounds (all inclusive).
 
     ``user_info`` is keyed by ``user_id``, so the reference's inner join with
@@ -54,8 +51,7 @@ def filter_actions(actions: DataFrame, users: DataFrame, cond: Condition,
         u = u.where(F.col("age") <= F.lit(cond.end_age))
     if cond.professionals:
         u = u.where(F.col("professional").isin(list(cond.professionals)))
-    keys = sized_broadcast(u.select("user_id"), user_broadcast_max_rows)
-    return a.join(keys, "user_id", "left_semi").select(*ACTION_COLUMNS)
+    return a.join(u.select("user_id"), "user_id", "left_semi").select(*ACTION_COLUMNS)
 
 
 def _ms_to_text(ms) -> F.Column:

@@ -25,6 +25,14 @@ USER_INFO = _s(("user_id", L), ("username", S), ("name", S), ("age", I), ("profe
                ("gender", S))
 PRODUCT_INFO = _s(("product_id", L), ("product_name", S), ("extend_info", S))
 CITY_INFO = _s(("city_id", L), ("city_name", S), ("area", S))
+# The given tables that the shop's tables are derived from.
+GIVEN_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
 ADS_LINE = _s(("value", S))
 
 SESSION_STAT_INFO = _s(

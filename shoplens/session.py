@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,8 @@ SESSION_CONF = {
 def build_spark(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "shoplens", extra: dict | None = None) -> SparkSession:
     """A session for tests and the bench; on a cluster use the cluster's own."""
+    if not master.startswith("local"):
+        raise ValueError("build_spark is for local runs; on a cluster use the cluster's session")
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -39,11 +42,8 @@ def build_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the jobs need to a session someone else built."""
-    for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: keep theirs
-            pass
+    for k, v in SESSION_CONF.items():  # all of them can be set at run time
+        spark.conf.set(k, v)
     return spark
 
 
@@ -54,17 +54,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
     On a cluster this setting names the shared checkpoint folder and is used
-    as is. Only when it is unset (local tests) is a scratch folder made and
-    used for this session, so lineage cuts and sinks still have a home.
+    as is. Only when it is unset and the master is one local process (tests)
+    is a scratch folder made; elsewhere an unset folder is an error, as each
+    executor would write to its own disk.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:
-            base = None
+        base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         key = id(sc)
         if key not in _LOCAL_SHARED:
             _LOCAL_SHARED[key] = tempfile.mkdtemp(prefix="shoplens-ckpt-")

@@ -25,9 +25,10 @@ def _token(c: Column) -> Column:
     return F.regexp_replace(c, SEP, "_")
 
 
-def format_ads_lines(ads: DataFrame) -> DataFrame:
-    """``value`` lines from click rows (ts, area, city, user_id, ads_id)."""
-    return ads.select(F.concat_ws(
+def format_ads_lines(ads: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``value`` lines from click rows (ts, area, city, user_id, ads_id), beside
+    the columns to ``keep``."""
+    return ads.select(*(keep or []), F.concat_ws(
         SEP, F.unix_millis("ts").cast("string"), _token(F.col("area")), _token(F.col("city")),
         F.col("user_id").cast("string"), F.col("ads_id").cast("string")).alias("value"))
 
@@ -69,10 +70,15 @@ def read_ads_kafka(spark: SparkSession, brokers: str, topic: str = "ads_log",
             .select(F.col("value").cast("string").alias("value")))
 
 
-def read_ads_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Replayable twin of the Kafka source: a folder of text files of lines."""
-    return (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-            .text(path))
+def read_ads_text_stream(spark: SparkSession, path: str,
+                         files_per_trigger: int | None = None) -> DataFrame:
+    """Replayable twin of the Kafka source: a folder of text files of lines.
+    ``files_per_trigger`` limits a micro-batch (for replays); by default each
+    takes all that has arrived."""
+    reader = spark.readStream
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path)
 
 
 def read_ads_file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

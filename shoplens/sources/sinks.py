@@ -10,21 +10,16 @@ Here every result stays a DataFrame until a writer that runs on executors:
 - ``write_jdbc``: Spark's JDBC writer (batched inserts per partition, one
   connection per task); needs a driver jar and a reachable database, neither
   exists in this repository's test setting, so it is not exercised here.
-- ``land_batch`` / ``latest_per_key``: the keyed sink of the streaming jobs.
-  Each micro-batch's changed rows go to ``<folder>/batch_id=<id>`` (overwrite,
-  so a replayed batch writes the same files), and a reader takes the newest
-  value per key. This replaces Redis ``hset`` / ``hincrBy`` / ``sadd`` without
-  a driver collect and without a separate store.
+- the keyed sink of the streaming jobs (instead of Redis ``hset`` / ``hincrBy``
+  / ``sadd``) is the landed log of ``streaming.ads_stream``.
 - ``show_console``: ``show(n, truncate=False)``.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, target: str, partition_by: Sequence[str] | None = None,
@@ -68,26 +63,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
     w.save()
 
 
-def land_batch(df: DataFrame, folder: str, batch_id: int,
-               partition_by: Sequence[str] | None = None) -> None:
-    """Write one micro-batch to ``folder/batch_id=<id>`` (optionally split by
-    ``partition_by`` inside, so readers can prune); a replay overwrites."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(folder, f"batch_id={batch_id}"))
-
-
-def latest_per_key(log: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Newest ``value`` per key of a landed change log (by ``batch_id``)."""
-    return log.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
-
-
-def read_change_log(spark: SparkSession, folder: str, keys: Sequence[str],
-                    value: str) -> DataFrame:
-    return latest_per_key(spark.read.parquet(folder), keys, value)
-
-
 def show_console(df: DataFrame, n: int = 100) -> None:
     """Print up to ``n`` rows untruncated (a display sink, not a data path)."""
     df.show(n, truncate=False)

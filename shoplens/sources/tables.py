@@ -15,18 +15,17 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.operators.broadcast import sized_broadcast
+from shoplens.schemas import GIVEN_TABLES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Size bound of the city dimension (nation x region): TPC-H fixes 25 nations.
-CITY_MAX_ROWS = 10_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A given table; the shop's sources have known schemas, so no job reads a footer first."""
+    reader = spark.read.schema(GIVEN_TABLES[name]) if name in GIVEN_TABLES else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _k(props: Column) -> Column:
@@ -49,7 +48,8 @@ def user_visit_action(events: DataFrame, start_date: str | None = None,
     if end_date is not None:
         ev = ev.where(F.col("ts") < F.date_add(F.to_date(F.lit(end_date)), 1)
                       .cast("timestamp_ntz"))
-    k = _k(F.col("props"))
+    ev = ev.select("event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("_k"))
+    k = F.col("_k")
     eid = F.col("event_id")
     et = F.col("event_type")
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -118,8 +118,7 @@ def ads_log(events: DataFrame, cities: DataFrame, ads_mod: int = 6) -> DataFrame
         (k % ads_mod + 1).alias("ads_id"),
         F.col("event_id"),
     )
-    city = sized_broadcast(cities.select("city_id", F.col("city_name").alias("city"), "area"),
-                           CITY_MAX_ROWS)
+    city = cities.select("city_id", F.col("city_name").alias("city"), "area")
     return (clicks.join(city, "city_id")
             .select("ts", "area", "city", "user_id", "ads_id", "event_id"))
 

@@ -1,35 +1,36 @@
 """Structured Streaming twins of the ad-click questions Q7-Q10.
 
-One streaming query over the click stream; everything is landed per
-micro-batch under ``batch_id=<id>`` folders that a replayed batch overwrites
-with the same content, so the outputs are exactly once with the query's
-checkpointed offsets and there is no file hand-off between queries.
+One streaming query over the click stream; every output of a micro-batch is
+landed in one write under ``log/batch_id=<id>/kind=<k>/day=<d>``, which a
+replayed batch overwrites with the same rows, so the outputs are exactly once
+with the query's checkpointed offsets.
 
 Q7, the blacklist, in one of two forms:
 
 - ``start_blacklist_tables`` (default): JVM only, ``foreachBatch`` over the
-  micro-batch as a static DataFrame, the state in the landed tables (users
-  blocked before the batch; running per-(user, ad, day) counts read in the
-  touched day folders). Counts are pre-aggregated, so a hot user is one row
-  per key and task; joins with the blacklist are broadcast or AQE-split.
+  micro-batch as a static DataFrame, the state in the landed tables.
 - ``start_blacklist``: ``groupBy("user_id").applyInPandasWithState``; the
-  state of a user is the running count per (ad, day) of the last
-  ``keep_days`` days and a blocked flag; the user's rows stream through one
-  task in Arrow chunks (memory per key, not per row); an event-time timeout
-  removes idle unblocked users.
-
-Both land, in one write per micro-batch under ``log/batch_id=<id>/kind=<k>/
-day=<d>``: kept clicks, block events, the touched keys' running counts, and
-the Q8-Q10 rows of ``ad_stats`` (increments of the daily totals per (day,
-area, city, ad) and of the clicks per (minute, ad), summed on read, the
-batch's newest click, and the top ads of the touched (day, area) pairs
-re-ranked each batch). Readers select a kind and prune by day.
+  state of a user is the running count per (ad, day) and a blocked flag; the
+  user's rows stream through one task in Arrow chunks (memory per key, not
+  per row).
+
+Kinds of rows: ``click`` (kept), ``block`` (user, day), and increments of one
+batch: ``count`` per (user, ad, day), ``total`` per (day, area, city, ad) and
+``minute`` per (minute, ad), which readers sum; ``newest`` (the batch's newest
+click) and ``top`` (the top ads of the touched days, ranked again each batch).
 Minute buckets keep the last hour at one row per (minute, ad): a 60-minute
 window sliding every 10 s would copy each click 360 times.
 
+What a batch must know of its past comes from snapshots: after every
+``SNAPSHOT_EVERY`` batches the sums of the days touched since the last one (and
+the whole blacklist) are written under ``snap/batch_id=<id>``. A batch then reads
+by explicit path the newest snapshot of each day it touches and the few batches
+since, never the log's root; the work of a batch does not grow with their
+number. ``SNAPSHOT_EVERY`` changes the cost, never the result.
+
 Late clicks: day and minute come from the click's own time, so a late click
-adds to its own day and minute. The table form has no lateness bound (as the
-reference); the state form drops clicks older than its watermark (``lateness``).
+adds to its own day and minute. Neither form has a lateness bound unless the
+caller asks the state form for one (``lateness`` and ``keep_days``).
 """
 
 from __future__ import annotations
@@ -45,21 +46,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shoplens.functions import pairs_json
-from shoplens.operators.topn import top_n_per_group
 from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
 from shoplens.sources.ads import parse_ads_lines
-from shoplens.sources.sinks import latest_per_key
 
 STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean, last_ms bigint"
 OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, "
               "ads_id bigint, event_id bigint, day string, n bigint")
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
-KEEP_DAYS = 3
-LATENESS = "1 day"
 DAY_MS = 86_400_000
+SNAPSHOT_EVERY = 10
+CLICK_FILES = 4
 
 
-def _blacklist_step(threshold: int, keep_days: int):
+def _blacklist_step(threshold: int, keep_days: int | None):
     """The per-user state function of stage 1."""
 
     def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -97,21 +96,21 @@ def _blacklist_step(threshold: int, keep_days: int):
                     "day": [newest_day], "n": [None]})
             for kk, n in batch.items():
                 totals[kk] = totals.get(kk, 0) + n
-            # the running count of every key this batch touched (user_ads_count_perday)
+            # what this batch adds to user_ads_count_perday
             ads, days = zip(*(kk.split("|", 1) for kk in batch))
             yield pd.DataFrame({
                 "kind": "count", "ts": pd.NaT, "area": None, "city": None,
                 "user_id": int(key[0]), "ads_id": [int(a) for a in ads], "event_id": None,
-                "day": list(days), "n": [totals[kk] for kk in batch]})
+                "day": list(days), "n": list(batch.values())})
             if newest_day is not None and keep_days is not None:
                 cut = (pd.Timestamp(newest_day) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
                 totals = {kk: n for kk, n in totals.items() if kk.split("|", 1)[1] >= cut}
-        # a blocked user keeps only the flag, for good (no timeout); an
-        # unblocked one times out keep_days after its newest click
+        # a blocked user keeps only the flag, for good (no timeout); with
+        # keep_days, an unblocked one times out so long after its newest click
         if blocked:
             totals = {}
         state.update((list(totals.keys()), list(totals.values()), blocked, last_ms))
-        if not blocked:
+        if not blocked and keep_days is not None:
             state.setTimeoutTimestamp(last_ms + keep_days * DAY_MS)
 
     return step
@@ -136,143 +135,249 @@ def clicks_from_lines(lines: DataFrame, bad_dir: str | None = None,
 
 
 def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
-                     keep_days: int = KEEP_DAYS, lateness: str = LATENESS) -> DataFrame:
+                     keep_days: int | None = None, lateness: str | None = None) -> DataFrame:
     """Stage-1 transformation: rows of kind 'click' (kept), 'block' and 'count'.
 
-    The watermark (``lateness``) drops clicks older than it before the state
-    and drives the event-time timeout that removes idle unblocked users;
-    ``keep_days`` should exceed the lateness.
+    By default nothing is dropped or forgotten. ``lateness`` sets a watermark:
+    clicks older than it are dropped before the state. ``keep_days`` (which
+    needs ``lateness`` and should exceed it) removes unblocked users idle that
+    long, by an event-time timeout.
     """
-    c = clicks.withWatermark("ts", lateness).select(
-        *[x for x in CLICK_COLUMNS if x != "day"], F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    if keep_days is not None and lateness is None:
+        raise ValueError("keep_days needs a lateness: its timeout follows the watermark")
+    c = clicks if lateness is None else clicks.withWatermark("ts", lateness)
+    c = c.select(*[x for x in CLICK_COLUMNS if x != "day"],
+                 F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    timeout = GroupStateTimeout.NoTimeout if keep_days is None else GroupStateTimeout.EventTimeTimeout
     return c.groupBy("user_id").applyInPandasWithState(
-        _blacklist_step(threshold, keep_days), OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+        _blacklist_step(threshold, keep_days), OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 # --- the landed output log --------------------------------------------------
-# One write per micro-batch: every output row carries its kind and day and
-# goes to log/batch_id=<b>/kind=<k>/day=<d>; readers select a kind and prune
-# by day; a replayed batch overwrites its batch folder with the same rows.
 
 LOG_FIELDS = [("ts", "timestamp"), ("area", "string"), ("city", "string"),
               ("user_id", "bigint"), ("ads_id", "bigint"), ("event_id", "bigint"),
               ("n", "bigint"), ("clicks", "bigint"), ("minute_start", "timestamp"),
               ("newest", "timestamp"), ("rank", "int")]
-LOG_SCHEMA = ", ".join(f"{n} {t}" for n, t in LOG_FIELDS) + ", batch_id bigint, kind string, day string"
+ROW_SCHEMA = ", ".join(f"{n} {t}" for n, t in LOG_FIELDS)
+LOG_SCHEMA = ROW_SCHEMA + ", batch_id bigint, kind string, day string"
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
+COUNT_KEYS = ["user_id", "ads_id", "day"]
+ALL_DAYS = "all"  # the folder of a snapshot's whole blacklist
+
+
+def _rows(kind: str, source: str, **given: str) -> str:
+    """SELECT of one kind in the log's column layout; ``given`` names the
+    expressions of the columns it has (``day`` among them), the others are null."""
+    cols = [f"CAST({given.get(n, 'NULL')} AS {t}) AS {n}" for n, t in LOG_FIELDS]
+    return f"SELECT {', '.join(cols)}, '{kind}' AS kind, {given['day']} AS day FROM {source}"
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, by Spark's own file system; none if it is absent."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def _typed(df: DataFrame, kind: str) -> DataFrame:
-    """Rows of one kind in the log's column layout (missing columns null)."""
-    cols = [F.col(n).cast(t).alias(n) if n in df.columns else F.lit(None).cast(t).alias(n)
-            for n, t in LOG_FIELDS]
-    return df.select(*cols, F.lit(kind).alias("kind"), F.col("day"))
+def _value(name: str) -> str:
+    return name.split("=", 1)[1]
 
 
-def _land(parts: list[DataFrame], out_dir: str, batch_id: int) -> None:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # rebalance by the folder keys: a few files per (kind, day) folder, not
-    # one tiny file per task and folder every micro-batch
-    (out.hint("rebalance", "kind", "day").write.mode("overwrite").partitionBy("kind", "day")
-     .parquet(os.path.join(out_dir, "log", f"batch_id={batch_id}")))
+def _sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
+    """``query`` over views of the frames (view ``_name``). One statement is
+    analysed once, where dozens of DataFrame calls are analysed one by one. The
+    views stay until the next batch replaces them: dropping a view would drop
+    the cached data behind it."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(f"_{name}")
+    return spark.sql(query)
 
 
-def _log(spark: SparkSession, out_dir: str, kind: str, days: list[str] | None = None,
-         before: int | None = None) -> DataFrame:
-    """One kind of the landed log; ``days`` prunes day folders, ``before``
-    keeps batches < before (what a batch may see of its past)."""
+class Landing:
+    """The landed log and snapshots of one streaming query, and which folders a
+    batch reads. The index of folders is kept on the driver (a few names per
+    day and batch since the last snapshot) and is rebuilt by listing when the
+    query starts or replays a batch."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, every: int = SNAPSHOT_EVERY):
+        self.out_dir, self.every = out_dir, every
+        self.next: int | None = None
+        self.snap: dict[tuple[str, str], int] = {}        # (kind, day) -> newest snapshot
+        self.since: list[tuple[int, set[tuple[str, str]]]] = []  # batches after it, their folders
+
+    def _folders(self, spark: SparkSession, path: str) -> set[tuple[str, str]]:
+        return {(_value(k), _value(d)) for k in _children(spark, path) if k.startswith("kind=")
+                for d in _children(spark, os.path.join(path, k)) if d.startswith("day=")}
+
+    def locate(self, spark: SparkSession, batch_id: int) -> None:
+        """Make the index describe the batches before ``batch_id``."""
+        if self.next == batch_id:
+            return
+        self.snap, self.since = {}, []
+        done = sorted(int(_value(x)) for x in _children(spark, os.path.join(self.out_dir, "snap"))
+                      if x.startswith("batch_id="))
+        done = [s for s in done if s < batch_id]
+        for s in done:
+            for key in self._folders(spark, os.path.join(self.out_dir, "snap", f"batch_id={s}")):
+                self.snap[key] = s
+        for b in range(max(done, default=-1) + 1, batch_id):
+            self.since.append((b, self._folders(spark, os.path.join(self.out_dir, "log", f"batch_id={b}"))))
+        self.next = batch_id
+
+    def before(self, spark: SparkSession, kind: str, days: list[str] | None) -> DataFrame:
+        """Rows of a kind before the next batch: the newest snapshot of each day
+        and the increments since; ``days`` None: the blacklist. With ``day``."""
+        paths = []
+        for (k, d), s in self.snap.items():
+            if k == kind and (d == ALL_DAYS if days is None else d in days):
+                paths.append(f"snap/batch_id={s}/kind={k}/day={d}")
+        for b, folders in self.since:
+            paths += [f"log/batch_id={b}/kind={k}/day={d}" for k, d in sorted(folders)
+                      if k == kind and (days is None or d in days)]
+        if not paths:
+            return spark.createDataFrame([], ROW_SCHEMA + ", day string")
+        rows = spark.read.schema(ROW_SCHEMA).parquet(*[os.path.join(self.out_dir, p) for p in paths])
+        return rows.withColumn("day", F.regexp_extract(F.input_file_name(), "/day=([^/]+)/[^/]*$", 1))
+
+    def land(self, spark: SparkSession, out: DataFrame, batch_id: int) -> None:
+        """One write; the clicks of a day go to ``CLICK_FILES`` tasks and files,
+        the aggregated kinds to one per folder, without relying on AQE."""
+        salt = F.when(F.col("kind") == "click",
+                      F.pmod(F.xxhash64("event_id", "user_id", "ts"), F.lit(CLICK_FILES))).otherwise(0)
+        path = os.path.join(self.out_dir, "log", f"batch_id={batch_id}")
+        (out.repartition("kind", "day", salt).write.mode("overwrite").partitionBy("kind", "day").parquet(path))
+        self.since.append((batch_id, self._folders(spark, path)))
+        self.next = batch_id + 1
+        if self.next % self.every == 0:
+            self._snapshot(spark, batch_id)
+
+    def _snapshot(self, spark: SparkSession, batch_id: int) -> None:
+        """Sums of the days touched since the last snapshot, and the blacklist."""
+        touched = sorted({d for _, folders in self.since for k, d in folders if k == "total"})
+        path = os.path.join(self.out_dir, "snap", f"batch_id={batch_id}")
+        out = _sql(spark, " UNION ALL ".join([
+            _rows("block", "(SELECT DISTINCT user_id FROM _blocks)", user_id="user_id", day=f"'{ALL_DAYS}'"),
+            _rows("count", "(SELECT user_id, ads_id, day, sum(n) AS n FROM _counts GROUP BY ALL)",
+                  **_same(*COUNT_KEYS, "n")),
+            _rows("total", "(SELECT day, area, city, ads_id, sum(clicks) AS clicks FROM _totals GROUP BY ALL)",
+                  **_same(*TOTAL_KEYS, "clicks"))]),
+            blocks=self.before(spark, "block", None), counts=self.before(spark, "count", touched),
+            totals=self.before(spark, "total", touched))
+        out.repartition("kind", "day").write.mode("overwrite").partitionBy("kind", "day").parquet(path)
+        for key in self._folders(spark, path):
+            self.snap[key] = batch_id
+        self.since = []
+
+
+def _log(spark: SparkSession, out_dir: str, kind: str, days: list[str] | None = None) -> DataFrame:
+    """One kind of the whole landed log (for readers of results)."""
     log = spark.read.schema(LOG_SCHEMA).parquet(os.path.join(out_dir, "log"))
     cond = F.col("kind") == kind
-    if days is not None:
-        cond = cond & F.col("day").isin(days)
-    if before is not None:
-        cond = cond & (F.col("batch_id") < before)
-    return log.where(cond)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path holds anything, asked through Spark's own file system."""
-    try:
-        spark.read.format("binaryFile").load(path).limit(1).count()
-        return True
-    except Exception:
-        return False
-
-
-def _guard_resume(spark: SparkSession, out_dir: str, checkpoint: str) -> None:
-    """Refuse to resume a checkpoint whose landed log is missing: the blacklist
-    state lives in that log (and the counts of the other form, in its state
-    store, belong to that checkpoint), so resuming would unblock every user."""
-    if _exists(spark, os.path.join(checkpoint, "offsets")) and \
-            not _exists(spark, os.path.join(out_dir, "log")):
+    return log.where(cond if days is None else cond & F.col("day").isin(days))
+
+
+def _guard_start(spark: SparkSession, out_dir: str, checkpoint: str) -> None:
+    """Refuse a checkpoint and a log that do not belong together. The state
+    (blacklist, counts) lives in the log and the position in the checkpoint:
+    a checkpoint without its log would unblock every user, a log without its
+    checkpoint would be overwritten from batch 0 on."""
+    progress = _children(spark, os.path.join(checkpoint, "offsets"))
+    landed = [x for x in _children(spark, os.path.join(out_dir, "log"))
+              if x.startswith("batch_id=") and int(_value(x)) >= 0]
+    if progress and not _children(spark, os.path.join(out_dir, "log")):
         raise RuntimeError(f"checkpoint {checkpoint} has progress but {out_dir}/log is missing; "
                            "use a new checkpoint or restore the log")
+    if landed and not progress:
+        raise RuntimeError(f"{out_dir}/log holds landed batches but checkpoint {checkpoint} has no "
+                           "progress; use the log's own checkpoint or another output folder")
 
 
 def _seed(spark: SparkSession, out_dir: str) -> None:
     """An empty batch -1 so readers find the log before the first batch."""
-    (spark.createDataFrame([], LOG_SCHEMA).drop("batch_id", "kind", "day").write
+    (spark.createDataFrame([], ROW_SCHEMA).write
      .mode("overwrite").parquet(os.path.join(out_dir, "log", "batch_id=-1", "kind=seed",
                                              "day=1970-01-01")))
 
 
-def ad_stats(kept: DataFrame, out_dir: str, batch_id: int, days: list[str],
-             top: int = TOP_ADS) -> list[DataFrame]:
-    """Q8-Q10 rows of one micro-batch of kept clicks (ts, area, city, ads_id, day).
-
-    - ``total``: increments of clicks per (day, area, city, ad), summed on read;
-    - ``minute``: increments of clicks per (minute, ad) with the newest click;
-    - ``newest``: the batch's newest click (one row);
-    - ``top``: the top ads of the (day, area) pairs this batch touched,
-      ranked over the earlier batches' totals of those days (day-pruned) plus
-      this batch's increments.
-
-    Day and minute come from the click's own time, so a late click adds to
-    its own day and minute, with no lateness bound (as the reference).
-    """
-    spark = kept.sparkSession
-    # ``kept`` is cached by the caller; the increments are cheap to aggregate
-    # for both their own rows and the ranking (nothing cached here, nothing
-    # left behind per micro-batch)
-    inc = kept.groupBy(*TOTAL_KEYS).agg(F.count(F.lit(1)).alias("clicks"))
-    minutes = (kept.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id")
-               .agg(F.count(F.lit(1)).alias("clicks"), F.max("ts").alias("newest"))
-               .withColumn("day", F.date_format("minute_start", "yyyy-MM-dd")))
-    newest = (kept.agg(F.max("ts").alias("newest")).where(F.col("newest").isNotNull())
-              .withColumn("day", F.date_format("newest", "yyyy-MM-dd")))
-    touched = inc.select("day", "area").distinct()
-    earlier = _log(spark, out_dir, "total", days, before=batch_id).select(*TOTAL_KEYS, "clicks")
-    per_area = (earlier.unionByName(inc).join(touched, ["day", "area"], "left_semi")
-                .groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks")))
-    ranked = top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")],
-                             top, rank_name="rank")
-    return [_typed(inc, "total"), _typed(minutes, "minute"), _typed(newest, "newest"),
-            _typed(ranked, "top")]
+def _no_aqe(spark: SparkSession) -> None:
+    """For the sink's own session: a micro-batch is one job per action instead
+    of one per shuffle. Nothing in it needs runtime splitting: rows are
+    aggregated before they are dealt by user, area or minute."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+
+CELLS = """
+SELECT user_id, ads_id, day, area, city, date_trunc('minute', ts) AS minute_start,
+       count(*) AS c, max(ts) AS newest
+FROM _kept GROUP BY ALL"""
+
+# Q8-Q10 rows of one micro-batch, from its cells and the totals before it of
+# the days it touches (``earlier``)
+AD_STATS = [
+    _rows("total", "(SELECT day, area, city, ads_id, sum(c) AS clicks FROM _cells GROUP BY ALL)",
+          **_same(*TOTAL_KEYS, "clicks")),
+    _rows("minute", """(SELECT day, minute_start, ads_id, sum(c) AS clicks, max(newest) AS newest
+                        FROM _cells GROUP BY ALL)""",
+          **_same("day", "minute_start", "ads_id", "clicks", "newest")),
+    _rows("top", f"""(
+        SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY day, area ORDER BY clicks DESC, ads_id) AS rank
+          FROM (SELECT day, area, ads_id, sum(clicks) AS clicks
+                FROM (SELECT day, area, ads_id, clicks FROM _earlier
+                      UNION ALL SELECT day, area, ads_id, c FROM _cells) GROUP BY ALL))
+        WHERE rank <= {TOP_ADS})""", **_same("day", "area", "ads_id", "clicks", "rank")),
+]
+
+
+def _span(cells: DataFrame) -> tuple[list[str], str | None]:
+    """The days a micro-batch touches (its own time span plus late clicks'
+    days), and a VALUES list with its newest click."""
+    rows = cells.groupBy("day").agg(F.unix_micros(F.max("newest")).alias("us")).collect()
+    days = {r["day"]: r["us"] for r in rows if r["day"] is not None}
+    if not days:
+        return [], None
+    us = max(days.values())
+    return sorted(days), f"(SELECT timestamp_micros({us}) AS newest)"
+
+
+def _newest(values: str | None) -> list[str]:
+    return [] if values is None else [
+        _rows("newest", values, newest="newest", day="date_format(newest, 'yyyy-MM-dd')")]
 
 
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
-                    threshold: int = BLACKLIST_THRESHOLD, keep_days: int = KEEP_DAYS,
-                    trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
+                    threshold: int = BLACKLIST_THRESHOLD, keep_days: int | None = None,
+                    trigger: dict | None = None, lateness: str | None = None,
+                    snapshot_every: int = SNAPSHOT_EVERY) -> StreamingQuery:
     """The streaming job with Spark-managed state (``applyInPandasWithState``).
 
-    Lands kept clicks, newly blocked users, the running per-(user, ad, day)
-    counts of the keys each batch touched, and the Q8-Q10 rows of ``ad_stats``
-    in one write per micro-batch; overwritten on replay.
+    Lands kept clicks, newly blocked users, the batch's counts per (user, ad,
+    day), and the Q8-Q10 rows in one write per micro-batch.
     """
     spark = clicks.sparkSession
-    _guard_resume(spark, out_dir, checkpoint)
+    _guard_start(spark, out_dir, checkpoint)
     _seed(spark, out_dir)
+    landing = Landing(spark, out_dir, snapshot_every)
 
     def sink(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        _no_aqe(spark)
+        landing.locate(spark, batch_id)
         df = df.persist()
-        kept = df.where(F.col("kind") == "click")
-        days = [r[0] for r in df.select("day").distinct().collect()]
-        _land([_typed(kept, "click"), _typed(df.where(F.col("kind") == "block"), "block"),
-               _typed(df.where(F.col("kind") == "count"), "count"),
-               *ad_stats(kept, out_dir, batch_id, days)], out_dir, batch_id)
+        cells = _sql(spark, CELLS, kept=df.where(F.col("kind") == "click")).persist()
+        days, newest = _span(cells)
+        landing.land(spark, _sql(spark, " UNION ALL ".join([
+            _rows("click", "_out WHERE kind = 'click'", **_same(*CLICK_COLUMNS)),
+            _rows("block", "_out WHERE kind = 'block'", **_same("user_id", "day")),
+            _rows("count", "_out WHERE kind = 'count'", **_same(*COUNT_KEYS, "n")),
+            *AD_STATS, *_newest(newest)]),
+            out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id)
+        cells.unpersist()
         df.unpersist()
 
     w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
@@ -281,52 +386,54 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
 
 
 def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
-                           threshold: int = BLACKLIST_THRESHOLD,
-                           trigger: dict | None = None) -> StreamingQuery:
+                           threshold: int = BLACKLIST_THRESHOLD, trigger: dict | None = None,
+                           snapshot_every: int = SNAPSHOT_EVERY) -> StreamingQuery:
     """The streaming job on the JVM only, with its state in the landed log.
 
     Each micro-batch b is a static DataFrame in ``foreachBatch``:
 
-    1. the users blocked before b are the landed blocks of batches < b (a
-       broadcast when the file statistics are under the threshold, else a
-       shuffle anti join that AQE splits when one user is hot); the batch's
-       clicks of other users are kept;
-    2. kept clicks are counted per (user, ad, day) with partial aggregation, so
-       a user holding a third of the batch is one row per key and task;
-    3. the running totals before b come from the landed counts of batches < b,
-       read only in the day folders the batch touches (latest per key);
-    4. a key whose total before b exceeds the threshold blocks its user;
-       total + batch count is landed as the key's new running count, with the
-       kept clicks, the blocks and the Q8-Q10 rows, in one write.
-
-    Reads keep ``batch_id < b`` and the write overwrites batch b, so a replayed
-    batch reproduces the same output. No Python runs per row, and there is
-    no watermark: late clicks count to their own day, as in the reference.
+    1. the users blocked before b are the newest blacklist snapshot and the
+       blocks since (a broadcast when the file statistics are under the
+       threshold, else a shuffle join); the batch's clicks of others are kept;
+    2. kept clicks are counted into cells with partial aggregation, so a user
+       holding a third of the batch is few rows per task before any shuffle;
+    3. the counts before b of the touched days and the batch's own are summed
+       side by side per (user, ad, day): a key of this batch whose count before
+       it exceeds the threshold blocks its user;
+    4. kept clicks, blocks, increments and the Q8-Q10 rows land in one write.
+
+    Reads see batches < b only and the write overwrites batch b, so a replayed
+    batch reproduces the same output. No Python runs per row.
     """
     spark = clicks.sparkSession
-    _guard_resume(spark, out_dir, checkpoint)
+    _guard_start(spark, out_dir, checkpoint)
     _seed(spark, out_dir)
-    keys = ["user_id", "ads_id", "day"]
+    landing = Landing(spark, out_dir, snapshot_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _no_aqe(spark)
+        landing.locate(spark, batch_id)
         c = batch.select(*[x for x in CLICK_COLUMNS if x != "day"],
                          F.date_format("ts", "yyyy-MM-dd").alias("day"))
-        # a file read: the planner sizes it from file statistics and broadcasts
-        # it only under spark.sql.autoBroadcastJoinThreshold (no extra job)
-        blocked = _log(spark, out_dir, "block", before=batch_id).select("user_id").distinct()
+        blocked = landing.before(spark, "block", None).select("user_id").distinct()
         kept = c.join(blocked, "user_id", "left_anti").persist()
-        counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")).persist()
-        # the days one micro-batch touches: its own time span plus late clicks' days
-        days = [r[0] for r in counts.select("day").distinct().collect()]
-        before = latest_per_key(_log(spark, out_dir, "count", days, before=batch_id), keys, "n")
-        joined = counts.join(before.withColumnRenamed("n", "_before"), keys, "left")
-        newly = (joined.where(F.col("_before") > threshold).select("user_id").distinct()
-                 .join(counts.groupBy("user_id").agg(F.max("day").alias("day")), "user_id"))
-        running = joined.select(*keys, (F.coalesce("_before", F.lit(0)) + F.col("_b")).alias("n"))
-        _land([_typed(kept, "click"), _typed(newly, "block"), _typed(running, "count"),
-               *ad_stats(kept, out_dir, batch_id, days)], out_dir, batch_id)
-        counts.unpersist()
+        cells = _sql(spark, CELLS, kept=kept).persist()
+        days, newest = _span(cells)
+        keys = """
+            SELECT user_id, ads_id, day, sum(before) AS before, sum(now) AS now
+            FROM (SELECT user_id, ads_id, day, n AS before, 0L AS now FROM _counts
+                  UNION ALL SELECT user_id, ads_id, day, 0L, c FROM _cells) GROUP BY ALL"""
+        landing.land(spark, _sql(spark, " UNION ALL ".join([
+            _rows("click", "_kept", **_same(*CLICK_COLUMNS)),
+            _rows("block", f"""(SELECT user_id, max(day) AS day FROM ({keys}) WHERE now > 0
+                                GROUP BY user_id HAVING max(before) > {int(threshold)})""",
+                  **_same("user_id", "day")),
+            _rows("count", f"({keys}) WHERE now > 0", user_id="user_id", ads_id="ads_id", day="day", n="now"),
+            *AD_STATS, *_newest(newest)]),
+            kept=kept, cells=cells, counts=landing.before(spark, "count", days),
+            earlier=landing.before(spark, "total", days)), batch_id)
+        cells.unpersist()
         kept.unpersist()
 
     w = (clicks.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -348,7 +455,7 @@ def read_blocked(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_user_ad_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """user_id, ads_id, day, n: kept clicks per user, ad and day so far."""
-    return latest_per_key(_log(spark, out_dir, "count"), ["user_id", "ads_id", "day"], "n")
+    return _log(spark, out_dir, "count").groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n"))
 
 
 def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -367,30 +474,35 @@ def read_area_top(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_area_top_json(spark: SparkSession, out_dir: str) -> DataFrame:
     top = read_area_top(spark, out_dir)
-    g = top.groupBy("day", "area").agg(F.array_sort(F.collect_list(F.struct(
+    g = top.groupBy("day", "area").agg(F.sort_array(F.collect_list(F.struct(
         "rank", F.col("ads_id").alias("k"), F.col("clicks").alias("v")))).alias("_l"))
     return g.select("day", "area", pairs_json("_l").alias("top_ads"))
 
 
 def read_last_hour(spark: SparkSession, out_dir: str, minutes: int = 60) -> DataFrame:
-    """ads_id, minute (HH:mm), clicks, minute_start: the minutes that start
-    after ``newest - minutes`` (whole minutes only).
+    """ads_id, minute (HH:mm), clicks, minute_start: the clicks of each minute in
+    the last ``minutes`` before the newest click, cut at the raw click.
 
-    The newest click comes from the one-row-per-batch ``newest`` rows; the
-    minute increments are read only in the day folders the hour spans."""
+    The newest click comes from the one-row-per-batch ``newest`` rows. Whole
+    minutes are sums of the minute increments; only the oldest minute, which
+    the hour cuts, is counted from its kept clicks. Both are read only in the
+    day folders the hour spans."""
     newest = _log(spark, out_dir, "newest").select(F.max("newest")).scalar()
     since = newest - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    log = _log(spark, out_dir, "minute")
-    recent = log.where(F.col("day").between(F.date_format(since, "yyyy-MM-dd"),
-                                            F.date_format(newest, "yyyy-MM-dd"))
-                       & (F.col("minute_start") > since))
-    cur = recent.groupBy("minute_start", "ads_id").agg(F.sum("clicks").alias("clicks"))
+    span = F.col("day").between(F.date_format(since, "yyyy-MM-dd"), F.date_format(newest, "yyyy-MM-dd"))
+    whole = (_log(spark, out_dir, "minute").where(span & (F.col("minute_start") > since))
+             .select("minute_start", "ads_id", "clicks"))
+    cut = (_log(spark, out_dir, "click").where(span & (F.col("ts") > since))
+           .select(F.date_trunc("minute", "ts").alias("minute_start"), "ads_id",
+                   F.lit(1).cast("bigint").alias("clicks"))
+           .where(F.col("minute_start") <= since))
+    cur = whole.unionByName(cut).groupBy("minute_start", "ads_id").agg(F.sum("clicks").alias("clicks"))
     return cur.select("ads_id", F.date_format("minute_start", "HH:mm").alias("minute"), "clicks",
                       "minute_start")
 
 
 def read_last_hour_json(spark: SparkSession, out_dir: str, minutes: int = 60) -> DataFrame:
     last = read_last_hour(spark, out_dir, minutes)
-    g = last.groupBy("ads_id").agg(F.array_sort(F.collect_list(F.struct(
+    g = last.groupBy("ads_id").agg(F.sort_array(F.collect_list(F.struct(
         "minute_start", F.col("minute").alias("k"), F.col("clicks").alias("v")))).alias("_l"))
     return g.select("ads_id", pairs_json("_l").alias("minutes"))

@@ -2,11 +2,10 @@
 
 The Kafka topic of the reference cannot be run here; its replayable twin is
 a folder of parquet files read with ``maxFilesPerTrigger``. The file source
-takes files in modification-time order, so the clicks of each batch window
-are written one window after the other: first all clicks in one job,
-partitioned by window, then each window's folder copied in time order (one
-small job per window; the number of windows is the replayed time span over
-the batch length, not the data size).
+takes files in modification-time order, so all windows are written by one job,
+one file each, and the files' times are then set in window order (file system
+calls, no Spark job). The whole of a window is one file by design, as the
+source counts files; this is a test and check tool, not an ingestion path.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.sources.ads import ADS_FILE_SCHEMA, read_ads_file_stream
+from shoplens.sources.ads import read_ads_file_stream
 
 REPLAY_COLUMNS = ["ts_ms", "area", "city", "user_id", "ads_id", "event_id"]
 
@@ -29,21 +28,27 @@ def write_replay(clicks: DataFrame, folder: str, batch_seconds: int) -> int:
     and the next window's file would join its micro-batch). Returns the
     number of windows."""
     spark = clicks.sparkSession
-    staging = os.path.join(folder, "_staging")
+    files = os.path.join(folder, "files")
     ms = F.unix_millis("ts")
     (clicks.select(ms.alias("ts_ms"), "area", "city", "user_id", "ads_id", "event_id",
                    F.floor(ms / F.lit(batch_seconds * 1000)).alias("window"))
-     .write.mode("overwrite").partitionBy("window").parquet(staging))
-    windows = sorted(r[0] for r in spark.read.parquet(staging).select("window").distinct().collect())
-    for w in windows:
-        (spark.read.schema(ADS_FILE_SCHEMA).parquet(os.path.join(staging, f"window={w}"))
-         .coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(folder, "files", f"w={w:012d}")))
+     .repartition("window").sortWithinPartitions("window")
+     .write.mode("overwrite").partitionBy("window").parquet(files))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(files).getFileSystem(spark._jsc.hadoopConfiguration())
+    windows = sorted(int(x.getPath().getName().split("=")[1]) for x in fs.listStatus(path(files))
+                     if x.getPath().getName().startswith("window="))
+    for i, w in enumerate(windows):
+        inside = [x.getPath() for x in fs.listStatus(path(os.path.join(files, f"window={w}")))]
+        data = [x for x in inside if x.getName().endswith(".parquet")]
+        if len(data) != 1:
+            raise RuntimeError(f"window {w} has {len(data)} files; a replay needs one each")
+        fs.setTimes(data[0], 1_000_000_000_000 + i * 1000, -1)
     return len(windows)
 
 
 def read_replay(spark, folder: str) -> DataFrame:
     """The replay folder as a stream of clicks (``ts`` TIMESTAMP), one window
     per micro-batch."""
-    return read_ads_file_stream(spark, os.path.join(folder, "files"), 1).select(
+    return read_ads_file_stream(spark, os.path.join(folder, "files", "*"), 1).select(
         "ts", "area", "city", "user_id", "ads_id", "event_id")

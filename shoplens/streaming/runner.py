@@ -29,7 +29,7 @@ def _await(q) -> None:
 
 
 def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
-                     keep_days: int = S.KEEP_DAYS,
+                     keep_days: int | None = None,
                      state_partitions: int | None = None, stage1: str = "tables") -> str:
     """Replay ``clicks`` in windows of ``batch_seconds`` through the streaming
     job; returns the output folder (read it with ``ads_stream.read_*``).
@@ -63,6 +63,7 @@ def _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1) ->
                                      trigger=AVAILABLE_NOW)
     else:
         q = S.start_blacklist(src, out, os.path.join(ckpt, "blacklist"), threshold, keep_days,
-                              trigger=AVAILABLE_NOW)
+                              trigger=AVAILABLE_NOW,
+                              lateness=None if keep_days is None else "1 day")
     _await(q)
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 
 import __spark_entry__ as E
 from shoplens.operators.sequence import ordered_concat, successor_pairs
-from shoplens.plans import ads, registry as R, sessions
+from shoplens.plans import registry as R
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,21 +48,26 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_user_join_falls_back_to_shuffle_beyond_the_bound(spark):
-    t = R._tables(spark, SF)
-    acts = t.actions(R.CONDITION.start_date, R.CONDITION.end_date)
-    # no hint beyond the bound: Spark chooses from statistics (here the small
-    # file is still broadcast by the planner); the result must not change
-    small = sessions.filter_actions(acts, t.users(), R.CONDITION, user_broadcast_max_rows=1)
-    assert _rows(small) == _rows(sessions.filter_actions(acts, t.users(), R.CONDITION))
+def test_building_a_batch_query_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in [q for q in R.QUERIES if not q.startswith("stream_") and q != "table_overwrite"]:
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        R.QUERIES[name](spark, SF)
+        assert tracker.getJobIdsForGroup(f"build-{name}") == [], name
+    spark.sparkContext.setJobGroup("tests", "tests")
 
 
-def test_blacklist_join_beyond_the_bound(spark, monkeypatch):
-    c = R._ads(spark, SF, 2)
-    want = _rows(ads.ads_kept_clicks(c, 3600, 1).select("event_id"))
-    monkeypatch.setattr(ads, "USER_BROADCAST_MAX_ROWS", 0)
-    got = _rows(ads.ads_kept_clicks(c, 3600, 1).select("event_id"))
-    assert got == want
+def _scans(df, table):
+    """Scans of a table in the plan that ran (an exchange that is used again is read once)."""
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    tree = final.split("\n\n\n")[0]
+    return sum(line.count("Scan parquet") for line in tree.splitlines()), tree
+
+
+def test_log_is_scanned_once_for_the_conversion_rate(spark):
+    n, tree = _scans(R.QUERIES["page_convert_rate"](spark, SF), "events")
+    assert n == 2, tree  # the log and the users
 
 
 def _hot(spark):

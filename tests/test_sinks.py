@@ -1,9 +1,9 @@
 import os
 import tempfile
+import uuid
 
-from shoplens.operators.broadcast import materialized_broadcast, row_count_at_most, sized_broadcast
 from shoplens.session import shared_dir
-from shoplens.sources.sinks import land_batch, latest_per_key, write_table
+from shoplens.sources.sinks import write_table
 
 
 def test_write_table_replaces_and_partitions(spark):
@@ -16,24 +16,12 @@ def test_write_table_replaces_and_partitions(spark):
     assert [tuple(r) for r in back.collect()] == [(2, "2024-01-02")]
 
 
-def test_land_batch_replay_overwrites_and_latest_wins(spark):
-    d = tempfile.mkdtemp(prefix="run-")
-    a = spark.createDataFrame([("k1", 1), ("k2", 5)], "k string, v long")
-    land_batch(a, d, 0)
-    land_batch(spark.createDataFrame([("k1", 3)], "k string, v long"), d, 1)
-    land_batch(spark.createDataFrame([("k1", 3)], "k string, v long"), d, 1)  # replayed batch
-    log = spark.read.schema("k string, v long, batch_id long").parquet(d)
-    assert log.count() == 3
-    got = {r.k: r.v for r in latest_per_key(log, ["k"], "v").collect()}
-    assert got == {"k1": 3, "k2": 5}
-
-
-def test_size_checks(spark):
-    df = spark.range(10)
-    assert row_count_at_most(df, 10) and not row_count_at_most(df, 9)
-    assert sized_broadcast(df, 5).count() == 10  # over the bound: unchanged frame
-    m = materialized_broadcast(spark.range(100).selectExpr("id % 7 AS k").distinct(), 10)
-    assert m.count() == 7
+def test_write_table_replaces_a_catalog_table(spark):
+    name = f"sink_{uuid.uuid4().hex[:8]}"
+    write_table(spark.createDataFrame([(1, "old")], "v long, date string"), name, ["date"], as_path=False)
+    write_table(spark.createDataFrame([(2, "new")], "v long, date string"), name, ["date"], as_path=False)
+    assert [(r.v, r.date) for r in spark.table(name).collect()] == [(2, "new")]
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_shared_dir_from_checkpoint_setting(spark):
@@ -48,3 +36,13 @@ def test_partitioned_write_is_rebalanced(spark):
     for folder in ("date=0", "date=1", "date=2"):
         files = [f for f in os.listdir(os.path.join(d, folder)) if f.endswith(".parquet")]
         assert len(files) == 1, folder  # not one small file per input task
+
+
+def test_shared_dir_unset_is_an_error_off_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+    conf = SimpleNamespace(get=lambda *a: None)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
