@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from shoplens.plans.registry import QUERIES  # noqa: E402
 from shoplens.session import build_spark  # noqa: E402
 
 
@@ -21,7 +21,7 @@ def main() -> None:
            "AQE may still coalesce partitions, switch joins or split skew at runtime), generated "
            "by `tools/plans.py`. `Exchange` is a shuffle; `BroadcastExchange` a broadcast; "
            "`WindowGroupLimit` a top-n cut before / after a shuffle.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
