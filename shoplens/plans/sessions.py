@@ -72,6 +72,17 @@ def session_bounds(actions: DataFrame) -> DataFrame:
                       (F.col("_end") - F.col("_start")).alias("visit_length"))
 
 
+def unparsed_times(actions: DataFrame) -> DataFrame:
+    """One row: actions whose time cannot be parsed, and sessions in which none
+    can. Such a session has no length, so it counts in ``session_count`` but in
+    neither of Q1's length buckets."""
+    bad = F.max(time_ms("action_time")).isNull()
+    per = actions.groupBy("session_id").agg(
+        F.count(F.when(time_ms("action_time").isNull(), 1)).alias("n"), bad.alias("lost"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unparsed_actions"),
+                   F.count(F.when(F.col("lost"), 1)).alias("sessions_without_time"))
+
+
 def session_stat(actions: DataFrame, cond: Condition | None = None,
                  task_id: str | None = None) -> DataFrame:
     """One row: session count and the four ratios in percent, one decimal.

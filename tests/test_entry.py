@@ -1,4 +1,8 @@
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -44,3 +48,19 @@ def test_query_equals_oracle(spark, con, name):
     idx = [rel.columns.index(c) for c in cols]
     want = sorted(repr(tuple(_norm(r[i]) for i in idx)) for r in rel.fetchall())
     assert got == want
+
+
+def test_entry_works_without_the_corpus_part():
+    code = """
+import sys
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("shoplens.llm"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as E
+from shoplens.plans.registry import ORACLE, QUERIES
+assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(ORACLE)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)

@@ -87,3 +87,10 @@ def test_condition_from_json():
                                         "startAge": "20", "endAge": "50",
                                         "professionals": "'a','b'", "targetPageFlow": "1,2,3"}))
     assert c.start_age == 20 and c.professionals == ("a", "b") and c.target_page_flow == (1, 2, 3)
+
+
+def test_unparsed_times_are_counted(spark, actions_df):
+    rows = [action("a", "2024-01-01 00:00:00", eid=1), action("a", "not a time", eid=2),
+            action("b", "not a time", eid=3), action("c", "2024-01-01 00:00:05", eid=4)]
+    assert tuple(sessions.unparsed_times(actions_df(rows)).first()) == (2, 1)
+    assert tuple(sessions.unparsed_times(actions_df([])).first()) == (0, 0)
