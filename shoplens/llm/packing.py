@@ -31,7 +31,7 @@ from shoplens.llm.common import distributed_rank, map_arrow, read, schema_with,
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-RUN_ROWS = 20_000
+RUN_ROWS = 1_000
 
 
 def byte_alphabet() -> dict[str, int]:
