@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from shoplens.llm.common import distributed_rank, read
 
 BITS = 4
-RUN_ROWS = 2_000
+RUN_ROWS = 500
 SHARDS = 16
 
 
