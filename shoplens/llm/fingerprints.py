@@ -81,6 +81,32 @@ def likeness(a, b):
     return 1.0 - differ / F.lit(float(BITS))
 
 
+def bin_visits(bins: DataFrame) -> DataFrame:
+    """(__top, __own, __to) of a (__bin, __top) table: the bin that the first row
+    of each bin visits, which is the one before it in descending order (nulls
+    last), and for the first bin the last one.
+
+    The bins may be as many as the keys are sparse, so they are sorted into
+    range parts; a window inside each part finds the bin before, and only the
+    parts' ends (a row per shuffle partition) are ordered as a whole. The parts
+    are stored, so every later read sees the same ones.
+    """
+    order = F.col("__bin").desc_nulls_last()
+    parts = staged(bins.sparkSession, bins.orderBy(order).withColumn("__part", F.spark_partition_id()), "bins")
+    inside = Window.partitionBy("__part").orderBy(order)
+    placed = (parts.withColumn("__nth", F.row_number().over(inside))
+              .withColumn("__before", F.lag("__bin").over(inside))
+              .withColumn("__more", F.lead(F.lit(True)).over(inside)))
+    whole = Window.orderBy("__part")
+    every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = placed.where("__more is null").select(
+        "__part", F.when(F.row_number().over(whole) > 1, F.lag("__bin").over(whole))
+        .otherwise(F.last("__bin").over(every)).alias("__end"))
+    return placed.join(F.broadcast(ends), "__part").select(
+        "__top", F.col("__bin").alias("__own"),
+        F.when(F.col("__nth") > 1, F.col("__before")).otherwise(F.col("__end")).alias("__to"))
+
+
 def with_next(df: DataFrame, key: str, carried: list[str], prefix: str = "next_",
               span_bits: int = 11, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` with the ``carried`` columns of the row that follows in descending
@@ -89,20 +115,15 @@ def with_next(df: DataFrame, key: str, carried: list[str], prefix: str = "next_"
 
     Keys are binned by ``key >> span_bits``, so a bin holds at most 2**span_bits
     different keys. Each bin is sorted in its own window; its last row is
-    followed by a visiting copy of the first row of the next bin. Only the bins
-    table (one row per bin) is ordered as a whole. Rows with equal keys follow
-    each other by the hash of the carried columns. ``prepare`` adds columns to
-    rows and visitors before they are dealt, so costly ones are made once.
+    followed by a visiting copy of the first row of the next bin (see
+    ``bin_visits``). Rows with equal keys follow each other by the hash of the
+    carried columns and stay in one bin, as do rows without a key: ``key`` is to
+    be an identifier. ``prepare`` adds columns to rows and visitors before they
+    are dealt, so costly ones are made once.
     """
     keyed = df.withColumn("__bin", F.shiftright(F.col(key).cast("long"), span_bits))
-    whole = Window.orderBy(F.col("__bin").desc_nulls_last())
-    every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # the first row of the first bin visits the last bin, any other the bin before its own
     # (stored: by its file size Spark sees beforehand whether this table can be broadcast)
-    visits = staged(df.sparkSession, keyed.groupBy("__bin").agg(F.max(key).alias("__top")).select(
-        "__top", F.col("__bin").alias("__own"),
-        F.when(F.row_number().over(whole) > 1, F.lag("__bin").over(whole))
-        .otherwise(F.last("__bin").over(every)).alias("__to")), "visits")
+    visits = staged(df.sparkSession, bin_visits(keyed.groupBy("__bin").agg(F.max(key).alias("__top"))), "visits")
     guests = (keyed.withColumnRenamed("__bin", "__home")
               .join(visits, F.col("__home").eqNullSafe(F.col("__own"))
                     & F.col(key).eqNullSafe(F.col("__top")))
