@@ -100,13 +100,14 @@ class Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(text, toxic, order) of at most ``rows`` labelled documents outside the
-    held-out fold; a doc_id with several labels counts as its largest."""
+    held-out fold. A doc_id with several labels counts as its largest, one with
+    several texts by its least text, so a repeated doc_id is one document."""
     chosen = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(f"{FOLD} <> 0")
               .groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
               .withColumn("__order", F.xxhash64("doc_id")).orderBy("__order", "doc_id").limit(rows))
     return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select(F.col("text").alias("text"), F.col("__toxic").alias("toxic"),
-                    F.col("__order").alias("order")))
+            .groupBy("doc_id", "__toxic", "__order").agg(F.min("text").alias("text"))
+            .select("text", F.col("__toxic").alias("toxic"), F.col("__order").alias("order")))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
