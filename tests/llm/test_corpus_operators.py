@@ -1,5 +1,6 @@
 """The operators' own parts: properties, brute force on small inputs, round trips, held-out accuracy."""
 
+import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -187,6 +188,21 @@ def test_near_fingerprints_equal_brute_force(spark):
     assert got == want and want
 
 
+@pytest.mark.parametrize("with_null", [False, True])
+def test_sparse_keys_find_their_next(spark, with_null):
+    rng = np.random.default_rng(8)
+    keys = [int(k) for k in np.unique(rng.integers(-2**62, 2**62, 300))] + list(range(4000, 9000, 7))
+    keys += [None] if with_null else []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several parts of few bins
+    try:
+        docs = spark.createDataFrame([(k, str(k)) for k in keys], "key long, t string").repartition(5)
+        got = {r["key"]: r["next_t"] for r in fingerprints.with_next(docs, "key", ["t"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted([k for k in keys if k is not None], reverse=True) + ([None] if with_null else [])
+    assert got == {a: str(b) for a, b in zip(order, order[1:] + order[:1])}
+
+
 def test_simhash_votes_equal_a_plain_loop():
     rng = np.random.default_rng(9)
     for text in (sentence(rng, 40), sentence(rng, 700), "one", "a b", "a b a b a b"):
@@ -259,6 +275,9 @@ def test_toxicity_sample_is_bounded(spark):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
     labels = spark.range(50).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
     assert toxicity.labelled_sample(docs, labels, 7).count() == 7
+    copies = docs.unionByName(spark.range(300).select(F.lit(5).cast("long").alias("doc_id"), F.lit("b").alias("text")))
+    held = sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50))
+    assert zlib.crc32(b"5") % 5 and toxicity.labelled_sample(copies, labels, 50).count() == 50 - held
 
 
 def test_winnowing_keeps_one_gram_of_every_window():
