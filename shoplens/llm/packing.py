@@ -16,6 +16,7 @@ times per length, so it has at most about capacity * ln(capacity) combinations.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -32,6 +33,8 @@ CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 RUN_ROWS = 1_000
+LONG_SPACE = 250_000  # characters of white space from which a run is encoded apart
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -59,6 +62,26 @@ def encoder(path: str) -> tiktoken.Encoding:
                              special_tokens=special)
 
 
+def token_ids(enc: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of ``text``. The engine's regex keeps a step per character of a
+    white-space run and gives up at 1,000,000, so a long run is encoded apart,
+    as the one token candidate the pattern makes of it: all of it before a
+    special string or the end, else all but its last character."""
+    if len(text) < LONG_SPACE:
+        return enc.encode_to_numpy(text, allowed_special="all")
+    special = tuple(enc.special_tokens_set)
+    parts, start = [], 0
+    for run in _SPACES.finditer(text):
+        if run.end() - run.start() < LONG_SPACE:
+            continue
+        end = run.end() - (run.end() < len(text) and not text.startswith(special, run.end()))
+        parts += [enc.encode_to_numpy(text[start:run.start()], allowed_special="all"),
+                  enc._encode_single_piece(text[run.start():end])]
+        start = end
+    parts.append(enc.encode_to_numpy(text[start:], allowed_special="all"))
+    return np.concatenate(parts)
+
+
 def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                  key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, piece, start, length, ids_crc32): each text's ids with ``end_id``
@@ -73,7 +96,7 @@ def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         for b, texts in text_batches(batches, 1):
             row, piece, start, length, crc = [], [], [], [], []
             for r, t in enumerate(texts):
-                ids = enc.encode_to_numpy(t.decode(), allowed_special="all")
+                ids = token_ids(enc, t.decode())
                 ids = np.append(ids, end_id).astype("<u4")
                 n = len(ids)
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]

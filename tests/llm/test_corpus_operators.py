@@ -38,6 +38,25 @@ def test_byte_ids_equal_the_library(text):
     assert enc.encode(text, allowed_special="all") == BYTE.encode(text, add_special_tokens=False).ids
 
 
+LONG = st.lists(st.one_of(st.sampled_from([" " * 5, "\n" * 6, " \t\u3000\x85\xa0 \u2003", "<|endoftext|>", "\x1c" * 5, " a", "'s", "!"]), TEXT), max_size=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(LONG.map("".join), st.integers(2, 7))
+def test_byte_ids_of_space_runs_encoded_apart(text, long_space):
+    enc = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "LONG_SPACE", long_space)
+        assert packing.token_ids(enc, text).tolist() == BYTE.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 1_200_000 + "b", "\n" * 1_200_000, " \n" * 600_000 + "<|endoftext|>x",
+                                  "it " + "\u3000 \r\n" * 300_000 + "'s" + " " * 1_100_000])
+def test_byte_ids_of_very_long_space_runs(text):
+    enc = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.token_ids(enc, text).tolist() == BYTE.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(TEXT, max_size=5))
 def test_transducer_counts_equal_the_library(texts):
