@@ -206,20 +206,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies, one row with the smallest
-    doc_id. A group whose doc_ids are all null keeps one row by text order."""
-    found = staged(spark, near_duplicates(spark, docs), "near")
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = (docs.join(kept, "doc_id", "left_semi")
-             .withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth"))
-    unnamed = (found.where("doc_id is null and component_id is null")
-               .select(F.col("fp").alias("__fp"), F.col("label").alias("__label")).distinct())
-    loose = with_simhash(docs.where("doc_id is null").withColumn("__text", F.col("text")), "__text", "__fp")
-    nth = Window.partitionBy("__label").orderBy(F.xxhash64("text"))
-    loose = (loose.join(unnamed, "__fp")
-             .withColumn("__nth", F.row_number().over(nth)).where("__nth = 1"))
-    return named.select(*docs.columns).unionByName(loose.select(*docs.columns))
+    """Pipeline stage: of each group of near copies, the row with the smallest
+    doc_id (rows without one last), then the least text hash. Rows equal in both
+    are interchangeable. A doc_id with unrelated texts keeps a row in each group."""
+    marks = {"__mark": F.xxhash64("text"), "__check": F.xxhash64(F.lit(1), "text")}
+    rows = docs.withColumns(marks)
+    fps = staged(spark, with_simhash(rows.select("doc_id", *marks, F.col("text").alias("__text")), "__text"),
+                 "simhash")
+    first = F.struct(F.isnull("doc_id").alias("__unnamed"), F.col("doc_id").alias("__id"),
+                     *[F.col(m).alias(m + "_of") for m in marks])
+    firsts = fps.groupBy("fp").agg(F.min(first).alias("__first"))
+    chosen = (firsts.join(classes(spark, fps), "fp").groupBy("label")
+              .agg(F.min("__first").alias("__first")).select("__first.*").drop("__unnamed"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    for m in marks:
+        same = same & (F.col(m) == F.col(m + "_of"))
+    nth = Window.partitionBy("doc_id", *marks).orderBy("__mark")
+    return (rows.join(chosen, same, "left_semi")
+            .withColumn("__nth", F.row_number().over(nth)).where("__nth = 1").select(*docs.columns))
 
 
 def op5_golay_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

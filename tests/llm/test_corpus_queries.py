@@ -274,5 +274,14 @@ def test_near_dedup_stage_without_keys(spark, folder):
     assert len(out.collect()) == len({c for c in near_groups([r[1] for r in rows_])})
 
 
+def test_near_dedup_stage_with_one_id_on_unrelated_texts(spark, tmp_path):
+    from corpus import DOCS
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(80)) for k in "abcd")
+    pairs = [(1, a), (1, b), (2, b), (3, c), (5, c), (5, d), (5, d), (None, d), (4, None), (4, a)]
+    rows_ = [(i, t, None, None, 1, "", 1, 1.0, 1, "", 1, 1) for i, t in pairs]
+    out = corpus_pipeline.STAGES[2][1](spark, spark.createDataFrame(rows_, DOCS), str(tmp_path))
+    assert counted((r["doc_id"], r["text"]) for r in out.collect()) == counted([(1, a), (1, b), (3, c), (5, d), (4, None)])
+
+
 def near_groups(texts):
     return [c for _, _, c in brute_classes([(i, t) for i, t in enumerate(texts)])]
