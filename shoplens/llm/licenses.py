@@ -1,11 +1,13 @@
-"""License scans: winnowed template fingerprints pick candidates, banded alignment measures them.
+"""License scans: keys of the templates pick candidates, banded alignment measures them.
 
-Templates are word sequences. Their word 3-grams are hashed and winnowed
-(windows of ``WINDOW`` hashes keep their least), which gives an inverted index
-hash -> (template, position); it is as small as the templates. A text's 3-grams
-are all looked up; hits on the same template and about the same diagonal make a
-candidate, which is aligned word by word in a band around the diagonal. A match
-reports the share of the template's words that align and the span in the text.
+Templates are word sequences. Each has keys that no passage with enough of its
+words can lack (``Index``): winnowed word 3-grams where such a passage must hold
+an unbroken run of GRAM + WINDOW - 1 words, else its rarest single words. At 0.8
+no length is enough for the grams, as every fifth word may be changed. All keys
+in a text are looked up; each gives a diagonal, and the template is aligned word
+by word in a band around it. A match reports the share of the template's words
+that align and the span in the text. Complete for passages that drift at most
+``BAND`` words.
 
 Words are runs without ASCII spaces, in lower case, outer punctuation off. Null
 and empty texts match nothing. Every passage that matches is a row.
@@ -13,7 +15,9 @@ and empty texts match nothing. Every passage that matches is a row.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -85,20 +89,15 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> list[int]:
     return sorted(kept)
 
 
-class Index:
-    """The templates' words, and their winnowed 3-grams as sorted arrays."""
+class Keys:
+    """Hashes of runs of ``width`` words, each with its template and position, as sorted arrays."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...]):
-        self.names = [n for n, _ in templates]
-        self.words = [words_of(t.encode()) for _, t in templates]
-        found = []
-        for t, words in enumerate(self.words):
-            h = grams(np.array([_HASHER[w] for w in words], dtype=np.uint64))
-            found += [(int(h[i]), t, i) for i in winnow(h)]
-        found.sort()
+    def __init__(self, found: list[tuple[int, int, int]], width: int):
+        found = sorted(found)
+        self.width = width
         self.keys = np.array([k for k, _, _ in found], dtype=np.uint64)
-        self.template = np.array([t for _, t, _ in found])
-        self.position = np.array([i for _, _, i in found])
+        self.template = np.array([t for _, t, _ in found], dtype=np.int64)
+        self.position = np.array([i for _, _, i in found], dtype=np.int64)
         self.small = np.zeros(1 << 16, dtype=bool)
         self.small[(self.keys & np.uint64(0xFFFF)).astype(np.int64)] = True
 
@@ -113,9 +112,53 @@ class Index:
         return at, entry
 
 
+class Index:
+    """The templates' words, and the keys that every passage of enough words has one of.
+
+    ``lost`` words of a template may be missing. With the words added between
+    them (at most ``BAND`` more than are missing) they cut the others into at
+    most 2 * lost + BAND + 1 runs. Where the longest run must hold a window of
+    grams, the winnowed grams are keys; else ``lost + 1`` single words are, of
+    which one is always there: those in the fewest templates, long ones first.
+    """
+
+    def __init__(self, templates: tuple[tuple[str, str], ...], min_coverage: float):
+        self.names = [n for n, _ in templates]
+        self.words = [words_of(t.encode()) for _, t in templates]
+        self.known = [frozenset(ws) for ws in self.words]
+        self.need = [max(math.ceil(min_coverage * len(ws)), 1) for ws in self.words]
+        times = Counter(w for ws in self.known for w in ws)
+        runs, single = [], []
+        for t, (words, need) in enumerate(zip(self.words, self.need)):
+            lost = len(words) - need
+            h = np.array([_HASHER[w] for w in words], dtype=np.uint64)
+            if -(-need // (2 * lost + BAND + 1)) >= GRAM + WINDOW - 1:
+                g = grams(h)
+                runs += [(int(g[i]), t, i) for i in winnow(g)]
+            else:
+                rare = sorted(range(len(words)), key=lambda i: (times[words[i]], -len(words[i]), i))
+                single += [(int(h[i]), t, j) for i in rare[:lost + 1]
+                           for j, w in enumerate(words) if w == words[i]]
+        self.runs, self.single = Keys(runs, GRAM), Keys(list(set(single)), 1)
+
+    def candidates(self, h: np.ndarray, first: np.ndarray) -> dict[int, set[tuple[int, int]]]:
+        """Text -> (template, diagonal) of the keys in the word hashes ``h`` of texts
+        that begin at ``first``; a diagonal is text position - template position."""
+        out: dict[int, set[tuple[int, int]]] = {}
+        for keys, hashes in ((self.runs, grams(h) if len(self.runs.keys) else h[:0]), (self.single, h)):
+            at, entry = keys.hits(hashes)
+            text = np.searchsorted(first, at, side="right") - 1
+            inside = at + keys.width <= first[text + 1]
+            text, at, entry = text[inside], at[inside], entry[inside]
+            for d, t, x in zip(text.tolist(), keys.template[entry].tolist(),
+                               (at - first[text] - keys.position[entry]).tolist()):
+                out.setdefault(d, set()).add((t, x))
+        return out
+
+
 @lru_cache(maxsize=4)
-def index_of(templates: tuple[tuple[str, str], ...]) -> Index:
-    return Index(templates)
+def index_of(templates: tuple[tuple[str, str], ...], min_coverage: float) -> Index:
+    return Index(templates, min_coverage)
 
 
 def align(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int, int, int]:
@@ -142,29 +185,28 @@ def align(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int
     return best[1], best[2], best[3]
 
 
-def matches(text: bytes, index: Index, hits: list[tuple[int, int]],
-            min_coverage: float = MIN_COVERAGE) -> list[tuple[str, float, int, int, int]]:
-    """(license, coverage, matched words, start, end) of a text with ``hits``
-    (word position, index entry); start and end count code points."""
-    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", text)]
-    words = words_of(text)
-    diagonals: dict[int, list[int]] = {}
-    for at, entry in hits:
-        diagonals.setdefault(int(index.template[entry]), []).append(at - int(index.position[entry]))
+def matches(text: bytes, words: list[bytes], index: Index,
+            candidates: set[tuple[int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """(license, coverage, matched words, start, end) of a text with ``candidates``
+    (template, diagonal); start and end count code points. A band that holds too
+    few words of the template is not aligned."""
     found = []
-    for t, ds in diagonals.items():
-        template, last = index.words[t], None
-        taken: list[tuple[int, int]] = []
-        for d in sorted(ds):
-            if last is not None and d - last <= BAND // 2:
-                continue  # the band of the diagonal before covers it
-            last = d
-            n, first, end = align(template, words, d)
-            if n >= min_coverage * len(template) and all(end < a or first > b for a, b in taken):
-                taken.append((first, end))
-                found.append((index.names[t], n / len(template), n, len(text[:spans[first][0]].decode()),
-                              len(text[:spans[end][1]].decode())))
-    return sorted(found, key=lambda x: (x[3], x[4], x[0]))
+    taken: dict[int, list[tuple[int, int]]] = {}
+    for t, d in sorted(candidates):
+        template, known, need = index.words[t], index.known[t], index.need[t]
+        band = words[max(d - BAND, 0):max(d + len(template) + BAND, 0)]
+        if sum(map(known.__contains__, band)) < need:
+            continue
+        n, first, end = align(template, words, d)
+        if n >= need and all(end < a or first > b for a, b in taken.get(t, ())):
+            taken.setdefault(t, []).append((first, end))
+            found.append((t, n, first, end))
+    if not found:
+        return []
+    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", text)]
+    rows = [(index.names[t], n / len(index.words[t]), n, len(text[:spans[first][0]].decode()),
+             len(text[:spans[end][1]].decode())) for t, n, first, end in found]
+    return sorted(rows, key=lambda x: (x[3], x[4], x[0]))
 
 
 def license_spans(df: DataFrame, key: str = "doc_id", text: str = "text",
@@ -177,19 +219,14 @@ def license_spans(df: DataFrame, key: str = "doc_id", text: str = "text",
     names = schema.names
 
     def run(batches):
-        index = index_of(chosen)
+        index = index_of(chosen, min_coverage)
         for b, texts in text_batches(batches, 1):
             words = [words_of(t) for t in texts]
             flat = [w for ws in words for w in ws]
             first = np.cumsum([0, *map(len, words)])
-            h = grams(np.fromiter(map(_HASHER.__getitem__, flat), np.uint64, len(flat)))
-            at, entry = index.hits(h)
-            doc = np.searchsorted(first, at, side="right") - 1
-            inside = at + GRAM <= first[doc + 1]
-            by_doc: dict[int, list[tuple[int, int]]] = {}
-            for d, a, e in zip(doc[inside].tolist(), at[inside].tolist(), entry[inside].tolist()):
-                by_doc.setdefault(d, []).append((a - int(first[d]), e))
-            rows = [(d, *m) for d, hits in by_doc.items() for m in matches(texts[d], index, hits, min_coverage)]
+            h = np.fromiter(map(_HASHER.__getitem__, flat), np.uint64, len(flat))
+            rows = [(d, *m) for d, where in sorted(index.candidates(h, first).items())
+                    for m in matches(texts[d], words[d], index, where)]
             owner, *columns = zip(*rows) if rows else [()] * 6
             kinds = (pa.string(), pa.float64(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -314,6 +314,43 @@ def test_alignment_bridges_changed_words():
     assert (n, first, last) == (8, 2, 11)
 
 
+def license_rows(spark, texts, **how):
+    got = licenses.license_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **how)
+    return [r.asDict() for r in got.orderBy("doc_id", "start", "license").collect()]
+
+
+def test_license_candidates_equal_aligning_everywhere():
+    rng = np.random.default_rng(11)
+    index = licenses.index_of(tuple(licenses.TEMPLATES.items()), licenses.MIN_COVERAGE)
+    for t, template in enumerate(index.words):
+        lost = len(template) - index.need[t]
+        for _ in range(40):
+            passage = list(template)
+            for i in rng.choice(len(template), lost, replace=False):
+                passage[i] = b"changed"
+            words = [b"before"] * int(rng.integers(0, 9)) + passage + [b"after"] * 3
+            h = np.array([licenses._HASHER[w] for w in words], dtype=np.uint64)
+            near = index.candidates(h, np.array([0, len(words)])).get(0, set())
+            best = {licenses.align(template, words, d) for d in range(-len(template), len(words))}
+            best = {x for x in best if x[0] >= index.need[t]}
+            assert {licenses.align(template, words, d) for u, d in near if u == t} & best or not best
+
+
+def test_license_found_with_any_word_changed(spark):
+    texts = ["Released under an MIT License.", "Licensed beneath CC BY-NC 4.0.",
+             "Licensed under the Apache Software, Version 2.0.", "Licensed under an Apache License, Version 2.0."]
+    found = {(r["doc_id"], r["license"]) for r in license_rows(spark, texts)}
+    assert {(0, "MIT"), (1, "CC-BY-NC-4.0"), (2, "Apache-2.0"), (3, "Apache-2.0")} <= found
+
+
+def test_license_grams_of_a_high_coverage(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    index = licenses.index_of((("long", text),), 1.0)
+    assert len(index.runs.keys) and not len(index.single.keys)
+    got = license_rows(spark, ["a b " + text.replace("w30", "x w30"), text], templates={"long": text}, min_coverage=1.0)
+    assert [(r["doc_id"], r["matched_words"]) for r in got] == [(0, 60), (1, 60)]
+
+
 def test_archive_round_trip_and_damage(spark, tmp_path):
     pages = spark.createDataFrame([(2, "u", "same"), (1, "v", "same"), (3, None, None)], "page_id long, url string, html string")
     path = str(tmp_path / "a")
