@@ -48,10 +48,44 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the "
         "GNU General Public License as published by the Free Software Foundation, either version 3 of "
         "the License, or (at your option) any later version.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header":
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU General Public License as published by the Free Software Foundation, either version 2 of "
+        "the License, or (at your option) any later version.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-header":
+        "This library is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License, or (at your option) any later version.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-header":
+        "This library is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of "
+        "the License, or (at your option) any later version.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-header":
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License, or (at your option) any later version.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-4.0":
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
     "CC-BY-SA-4.0":
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-ND-4.0-long":
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-long":
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-SA-4.0-long":
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-ND-4.0-long":
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
     "BSD-text":
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met:",
@@ -66,6 +100,22 @@ TEMPLATES = {
 }
 
 
+# words of a template without which a passage is of another license (as words_of gives them)
+_NOTICES = {
+    "Apache-2.0": "apache 2.0", "Apache-2.0-header": "apache 2.0", "MIT": "mit", "MPL-2.0": "mozilla 2.0",
+    **{f"{k}{form}": told for form in ("", "-header") for k, told in {
+        "GPL-3.0": "general 3", "GPL-2.0": "general 2", "LGPL-3.0": "lesser 3", "LGPL-2.1": "lesser 2.1",
+        "AGPL-3.0": "affero 3"}.items()},
+    "CC-BY-4.0-short": "cc by 4.0", "CC-BY-4.0": "attribution 4.0",
+    "CC-BY-SA-4.0-short": "cc by-sa 4.0", "CC-BY-SA-4.0": "attribution-sharealike 4.0",
+    "CC-BY-ND-4.0": "cc by-nd 4.0", "CC-BY-ND-4.0-long": "attribution-noderivatives 4.0",
+    "CC-BY-NC-4.0": "cc by-nc 4.0", "CC-BY-NC-4.0-long": "attribution-noncommercial 4.0",
+    "CC-BY-NC-SA-4.0": "cc by-nc-sa 4.0", "CC-BY-NC-SA-4.0-long": "attribution-noncommercial-sharealike 4.0",
+    "CC-BY-NC-ND-4.0": "cc by-nc-nd 4.0", "CC-BY-NC-ND-4.0-long": "attribution-noncommercial-noderivatives 4.0",
+}
+TELLING = {TEMPLATES[name]: told for name, told in _NOTICES.items()}
+
+
 def words_of(text: bytes) -> list[bytes]:
     return [w.strip(EDGES) for w in text.lower().split()]
 
@@ -127,6 +177,9 @@ class Index:
         self.words = [words_of(t.encode()) for _, t in templates]
         self.known = [frozenset(ws) for ws in self.words]
         self.need = [max(math.ceil(min_coverage * len(ws)), 1) for ws in self.words]
+        # per telling word of a template, the bits of its positions
+        self.telling = [[sum(1 << i for i, x in enumerate(ws) if x == w) for w in told.encode().split()]
+                        for ws, told in zip(self.words, (TELLING.get(t, "") for _, t in templates))]
         times = Counter(w for ws in self.known for w in ws)
         runs, single = [], []
         for t, (words, need) in enumerate(zip(self.words, self.need)):
@@ -161,10 +214,11 @@ def index_of(templates: tuple[tuple[str, str], ...], min_coverage: float) -> Ind
     return Index(templates, min_coverage)
 
 
-def align(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int, int, int]:
-    """(matched words, first, last) of the best local alignment in the band
-    around ``diagonal`` (text position - template position). A match scores 2,
-    a replaced, missing or added word -1; of equal scores the earliest ends it."""
+def alignment(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int, int, int, int]:
+    """(score, bits of the matched template words, first, last) of the best local
+    alignment in the band around ``diagonal`` (text position - template position).
+    A match scores 2, a replaced, missing or added word -1; of equal scores the
+    earliest ends it."""
     best = (0, 0, -1, -1)
     row: dict[int, tuple[int, int, int]] = {}  # text position -> (score, matched, first) ending there
     for i, t in enumerate(template):
@@ -173,23 +227,39 @@ def align(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int
             score, matched, first = row.get(j - 1, (0, 0, j))
             if score <= 0:
                 score, matched, first = 0, 0, j
-            cell = (score + 2, matched + 1, first) if words[j] == t else (score - 1, matched, first)
+            cell = (score + 2, matched | 1 << i, first) if words[j] == t else (score - 1, matched, first)
             for other in (row.get(j), now.get(j - 1)):
                 if other and other[0] - 1 > cell[0]:
                     cell = (other[0] - 1, other[1], other[2])
             if cell[0] > 0:
                 now[j] = cell
                 if cell[0] > best[0]:
-                    best = (cell[0], cell[1], cell[2], j)
+                    best = (*cell, j)
         row = now
-    return best[1], best[2], best[3]
+    return best
+
+
+def align(template: list[bytes], words: list[bytes], diagonal: int) -> tuple[int, int, int]:
+    """(matched words, first, last) of the ``alignment``."""
+    _, matched, first, last = alignment(template, words, diagonal)
+    return matched.bit_count(), first, last
+
+
+def best_of(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Of the (score, template, matched, first, last) that overlap in the text, the best aligned."""
+    kept: list[tuple[int, int, int, int, int]] = []
+    for x in sorted(found, key=lambda x: (-x[0], x[3], x[1])):
+        if all(x[4] < k[3] or x[3] > k[4] for k in kept):
+            kept.append(x)
+    return kept
 
 
 def matches(text: bytes, words: list[bytes], index: Index,
             candidates: set[tuple[int, int]]) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, matched words, start, end) of a text with ``candidates``
     (template, diagonal); start and end count code points. A band that holds too
-    few words of the template is not aligned."""
+    few words of the template is not aligned. A passage must align with each of
+    the template's telling words; of templates that overlap the best one counts."""
     found = []
     taken: dict[int, list[tuple[int, int]]] = {}
     for t, d in sorted(candidates):
@@ -197,15 +267,16 @@ def matches(text: bytes, words: list[bytes], index: Index,
         band = words[max(d - BAND, 0):max(d + len(template) + BAND, 0)]
         if sum(map(known.__contains__, band)) < need:
             continue
-        n, first, end = align(template, words, d)
-        if n >= need and all(end < a or first > b for a, b in taken.get(t, ())):
+        score, bits, first, end = alignment(template, words, d)
+        n = bits.bit_count()
+        if n >= need and all(bits & told for told in index.telling[t]) and all(end < a or first > b for a, b in taken.get(t, ())):
             taken.setdefault(t, []).append((first, end))
-            found.append((t, n, first, end))
+            found.append((score, t, n, first, end))
     if not found:
         return []
     spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", text)]
     rows = [(index.names[t], n / len(index.words[t]), n, len(text[:spans[first][0]].decode()),
-             len(text[:spans[end][1]].decode())) for t, n, first, end in found]
+             len(text[:spans[end][1]].decode())) for _, t, n, first, end in best_of(found)]
     return sorted(rows, key=lambda x: (x[3], x[4], x[0]))
 
 

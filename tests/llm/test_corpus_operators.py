@@ -343,6 +343,21 @@ def test_license_found_with_any_word_changed(spark):
     assert {(0, "MIT"), (1, "CC-BY-NC-4.0"), (2, "Apache-2.0"), (3, "Apache-2.0")} <= found
 
 
+def test_license_neighbours_are_told_apart(spark):
+    for name, text in licenses.TEMPLATES.items():
+        for told in licenses.TELLING.get(text, "").encode().split():
+            assert told in licenses.words_of(text.encode()), (name, told)
+    # whole notices as one would meet them, each of its own license only
+    names = list(licenses.TEMPLATES)
+    got = license_rows(spark, [licenses.TEMPLATES[n] for n in names])
+    assert [(names[r["doc_id"]], r["coverage"]) for r in got] == [(n, 1.0) for n in names]
+    assert [r["license"] for r in got] == names
+    others = ["Released under the BSD License.", "This work is licensed under the GNU General Public License, version 1.",
+              "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+              "Licensed under the Apache License, Version 1.1.", "Licensed under CC BY-NC 3.0."]
+    assert license_rows(spark, others) == []
+
+
 def test_license_grams_of_a_high_coverage(spark):
     text = " ".join(f"w{i}" for i in range(60))
     index = licenses.index_of((("long", text),), 1.0)
