@@ -9,7 +9,13 @@ by word in a band around it. A match reports the share of the template's words
 that align and the span in the text. Complete for passages that drift at most
 ``BAND`` words.
 
-Words are runs without ASCII spaces, in lower case, outer punctuation off. Null
+Templates are of three kinds: notices (also ``-header``), whole texts
+(``-text``), and ``-opening``, the first sentence of a text that may go on
+otherwise. The whole table is held by every worker: some 20,000 words, and a
+longer one costs memory in proportion.
+
+Words are runs without ASCII spaces, in lower case, outer punctuation off, and
+those of punctuation alone (comment marks, bullets) are passed over. Null
 and empty texts match nothing. Every passage that matches is a row.
 """
 
@@ -25,19 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.llm.common import WordHasher, map_arrow, mix, read, schema_with, text_batches
+from shoplens.llm.license_texts import TEXTS
 
 GRAM, WINDOW, BAND = 3, 3, 6
+LONG = 64  # words from which a template has more keys
 MIN_COVERAGE = 0.8
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_/\\"
 _HASHER = WordHasher(seed=13)
-# license notices to look for (fixed values: public license texts)
+# license notices and texts to look for (fixed values: public license texts)
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header":
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
         "except in compliance with the License. You may obtain a copy of the License at",
     "MIT": "Released under the MIT License.",
-    "MIT-text":
+    "MIT-opening":
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
         "and associated documentation files (the \"Software\"), to deal in the Software without "
         "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
@@ -86,17 +94,18 @@ TEMPLATES = {
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
     "CC-BY-NC-ND-4.0-long":
         "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
-    "BSD-text":
+    "BSD-opening":
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met:",
-    "ISC":
+    "ISC-opening":
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
         "fee is hereby granted, provided that the above copyright notice and this permission notice "
         "appear in all copies.",
     "MPL-2.0":
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "Unlicense":
+    "Unlicense-opening":
         "This is free and unencumbered software released into the public domain.",
+    **TEXTS,
 }
 
 
@@ -113,11 +122,13 @@ _NOTICES = {
     "CC-BY-NC-SA-4.0": "cc by-nc-sa 4.0", "CC-BY-NC-SA-4.0-long": "attribution-noncommercial-sharealike 4.0",
     "CC-BY-NC-ND-4.0": "cc by-nc-nd 4.0", "CC-BY-NC-ND-4.0-long": "attribution-noncommercial-noderivatives 4.0",
 }
+# GPL-3.0's section 13 names the Affero license, the Affero license's the GPL
+_NOTICES |= {"GPL-3.0-text": "affero", "BSD-3-Clause-text": "neither", "BSD-4-Clause-text": "neither advertising"}
 TELLING = {TEMPLATES[name]: told for name, told in _NOTICES.items()}
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return [w.strip(EDGES) for w in text.lower().split()]
+    return [w for w in (x.strip(EDGES) for x in text.lower().split()) if w]
 
 
 def grams(h: np.ndarray) -> np.ndarray:
@@ -170,6 +181,8 @@ class Index:
     most 2 * lost + BAND + 1 runs. Where the longest run must hold a window of
     grams, the winnowed grams are keys; else ``lost + 1`` single words are, of
     which one is always there: those in the fewest templates, long ones first.
+    Long templates have more of them as keys, of which a passage then must have
+    ``votes`` in its band.
     """
 
     def __init__(self, templates: tuple[tuple[str, str], ...], min_coverage: float):
@@ -182,6 +195,7 @@ class Index:
                         for ws, told in zip(self.words, (TELLING.get(t, "") for _, t in templates))]
         times = Counter(w for ws in self.known for w in ws)
         runs, single = [], []
+        self.votes = np.ones(len(templates), dtype=np.int64)
         for t, (words, need) in enumerate(zip(self.words, self.need)):
             lost = len(words) - need
             h = np.array([_HASHER[w] for w in words], dtype=np.uint64)
@@ -190,9 +204,19 @@ class Index:
                 runs += [(int(g[i]), t, i) for i in winnow(g)]
             else:
                 rare = sorted(range(len(words)), key=lambda i: (times[words[i]], -len(words[i]), i))
-                single += [(int(h[i]), t, j) for i in rare[:lost + 1]
-                           for j, w in enumerate(words) if w == words[i]]
-        self.runs, self.single = Keys(runs, GRAM), Keys(list(set(single)), 1)
+                more = 0
+                if len(words) >= LONG:
+                    own = Counter(words)
+                    rare.sort(key=lambda i: own[words[i]])
+                    more = (need - 1) // 2
+                chosen = {words[i] for i in rare[:lost + 1 + more]}
+                entries = [(int(h[j]), t, j) for j, w in enumerate(words) if w in chosen]
+                self.votes[t] = len(entries) - lost
+                single += entries
+        self.runs, self.single = Keys(runs, GRAM), Keys(single, 1)
+        self.hashes = [np.array([_HASHER[w] for w in ws], dtype=np.uint64) for ws in self.words]
+        self.least = np.array(self.need, dtype=np.int64)
+        self.length = np.array([len(ws) for ws in self.words], dtype=np.int64)
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> dict[int, set[tuple[int, int]]]:
         """Text -> (template, diagonal) of the keys in the word hashes ``h`` of texts
@@ -203,9 +227,22 @@ class Index:
             text = np.searchsorted(first, at, side="right") - 1
             inside = at + keys.width <= first[text + 1]
             text, at, entry = text[inside], at[inside], entry[inside]
-            for d, t, x in zip(text.tolist(), keys.template[entry].tolist(),
-                               (at - first[text] - keys.position[entry]).tolist()):
-                out.setdefault(d, set()).add((t, x))
+            which = keys.template[entry]
+            d = at - first[text] - keys.position[entry]
+            size = first[text + 1] - first[text]
+            room = np.minimum(size, d + self.length[which] + BAND) - np.maximum(d - BAND, 0)
+            fits = room >= self.least[which]
+            text, which, d = text[fits], which[fits], d[fits]
+            if not len(d):
+                continue
+            low, wide = d.min() - BAND, d.max() - d.min() + 4 * BAND
+            place = np.sort((text * len(self.names) + which) * wide + (d - low))
+            votes = np.searchsorted(place, place + BAND, "right") - np.searchsorted(place, place - BAND, "left")
+            enough = votes >= self.votes[place // wide % len(self.names)]
+            place = np.unique(place[enough])
+            for p in place.tolist():
+                pair, x = divmod(p, int(wide))
+                out.setdefault(pair // len(self.names), set()).add((pair % len(self.names), x + int(low)))
         return out
 
 
@@ -254,7 +291,17 @@ def best_of(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int,
     return kept
 
 
-def matches(text: bytes, words: list[bytes], index: Index,
+def in_band(template: np.ndarray, h: np.ndarray, diagonal: int) -> int:
+    """How many words of a template have an equal one in the band around ``diagonal``."""
+    n = len(template) + 2 * BAND
+    band = np.zeros(n, dtype=np.uint64)
+    a, b = max(diagonal - BAND, 0), min(diagonal - BAND + n, len(h))
+    band[a - diagonal + BAND:b - diagonal + BAND] = h[a:b]
+    same = np.lib.stride_tricks.sliding_window_view(band, 2 * BAND + 1) == template[:, None]
+    return int(same.any(axis=1).sum())
+
+
+def matches(text: bytes, words: list[bytes], h: np.ndarray, index: Index,
             candidates: set[tuple[int, int]]) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, matched words, start, end) of a text with ``candidates``
     (template, diagonal); start and end count code points. A band that holds too
@@ -265,7 +312,7 @@ def matches(text: bytes, words: list[bytes], index: Index,
     for t, d in sorted(candidates):
         template, known, need = index.words[t], index.known[t], index.need[t]
         band = words[max(d - BAND, 0):max(d + len(template) + BAND, 0)]
-        if sum(map(known.__contains__, band)) < need:
+        if sum(map(known.__contains__, band)) < need or in_band(index.hashes[t], h, d) < need:
             continue
         score, bits, first, end = alignment(template, words, d)
         n = bits.bit_count()
@@ -274,7 +321,7 @@ def matches(text: bytes, words: list[bytes], index: Index,
             found.append((score, t, n, first, end))
     if not found:
         return []
-    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", text)]
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", text) if m[0].strip(EDGES)]
     rows = [(index.names[t], n / len(index.words[t]), n, len(text[:spans[first][0]].decode()),
              len(text[:spans[end][1]].decode())) for _, t, n, first, end in best_of(found)]
     return sorted(rows, key=lambda x: (x[3], x[4], x[0]))
@@ -297,7 +344,7 @@ def license_spans(df: DataFrame, key: str = "doc_id", text: str = "text",
             first = np.cumsum([0, *map(len, words)])
             h = np.fromiter(map(_HASHER.__getitem__, flat), np.uint64, len(flat))
             rows = [(d, *m) for d, where in sorted(index.candidates(h, first).items())
-                    for m in matches(texts[d], words[d], index, where)]
+                    for m in matches(texts[d], words[d], h[first[d]:first[d + 1]], index, where)]
             owner, *columns = zip(*rows) if rows else [()] * 6
             kinds = (pa.string(), pa.float64(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
