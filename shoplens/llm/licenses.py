@@ -306,19 +306,27 @@ def matches(text: bytes, words: list[bytes], h: np.ndarray, index: Index,
     """(license, coverage, matched words, start, end) of a text with ``candidates``
     (template, diagonal); start and end count code points. A band that holds too
     few words of the template is not aligned. A passage must align with each of
-    the template's telling words; of templates that overlap the best one counts."""
+    the template's telling words; of templates that overlap the best one counts.
+    The band is aligned again without a passage found, for others in it."""
     found = []
-    taken: dict[int, list[tuple[int, int]]] = {}
+    left: dict[int, tuple[list, np.ndarray]] = {}  # template -> words and hashes without its passages
     for t, d in sorted(candidates):
         template, known, need = index.words[t], index.known[t], index.need[t]
         band = words[max(d - BAND, 0):max(d + len(template) + BAND, 0)]
-        if sum(map(known.__contains__, band)) < need or in_band(index.hashes[t], h, d) < need:
+        if sum(map(known.__contains__, band)) < need:
             continue
-        score, bits, first, end = alignment(template, words, d)
-        n = bits.bit_count()
-        if n >= need and all(bits & told for told in index.telling[t]) and all(end < a or first > b for a, b in taken.get(t, ())):
-            taken.setdefault(t, []).append((first, end))
-            found.append((score, t, n, first, end))
+        some, hashes = left.get(t, (words, h))
+        while in_band(index.hashes[t], hashes, d) >= need:
+            score, bits, first, end = alignment(template, some, d)
+            n = bits.bit_count()
+            if n < need:
+                break
+            some, hashes = list(some), hashes.copy()
+            some[first:end + 1] = [None] * (end + 1 - first)
+            hashes[first:end + 1] = 0
+            if all(bits & told for told in index.telling[t]):
+                left[t] = some, hashes
+                found.append((score, t, n, first, end))
     if not found:
         return []
     spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", text) if m[0].strip(EDGES)]

@@ -375,6 +375,13 @@ def test_whole_license_texts(spark):
         (0, "MIT-text"), (1, "MIT-opening"), (2, "MIT-text")]
 
 
+def test_license_passages_back_to_back(spark):
+    one = "Released under the MIT License."
+    docs = [f"{one} {one}", f"{one} and {one}", f"{one} {one} x {one}\n{one}", "Licensed under CC BY-SA 3.0. Licensed under CC BY-SA 4.0."]
+    got = [(r["doc_id"], docs[r["doc_id"]][r["start"]:r["end"]]) for r in license_rows(spark, docs)]
+    assert got == [(0, one)] * 2 + [(1, one)] * 2 + [(2, one)] * 4 + [(3, "Licensed under CC BY-SA 4.0.")]
+
+
 def test_license_grams_of_a_high_coverage(spark):
     text = " ".join(f"w{i}" for i in range(60))
     index = licenses.index_of((("long", text),), 1.0)
