@@ -3,8 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
+from rows import ACTION_SCHEMA  # noqa: E402
 from shoplens.session import build_spark  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -18,18 +20,6 @@ def spark():
     s.stop()
 
 
-ACTION_SCHEMA = ("date string, user_id bigint, session_id string, page_id bigint, "
-                 "action_time string, search_keyword string, click_category_id bigint, "
-                 "click_product_id bigint, order_category_ids string, order_product_ids string, "
-                 "pay_category_ids string, pay_product_ids string, city_id bigint, event_id bigint")
-
-
-def action(session="s1", t="2024-01-01 00:00:00", page=1, kw=None, ccat=-1, cprod=-1,
-           ocats=None, oprods=None, pcats=None, pprods=None, user=1, city=0, eid=0):
-    return (t[:10], user, session, page, t, kw, ccat, cprod, ocats, oprods, pcats, pprods,
-            city, eid)
-
-
 @pytest.fixture
 def actions_df(spark):
     def make(rows):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import action
+from rows import action
 from shoplens.plans import categories
 
 

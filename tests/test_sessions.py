@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import action
+from rows import action
 from shoplens.params import Condition
 from shoplens.plans import sessions
 
