@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from shoplens.llm import (fingerprints, golay, hilbert, licenses, packing, quality, rankbpe,
-                          tokencount, toxicity, warc)
-from shoplens.llm.oracle_sql import OP3_SQL, OP10_SQL
+from shoplens.llm import (fingerprints, golay, hilbert, licenses, merkle, negatives, packing, quality,
+                          rankbpe, tokencount, toxicity, warc, wavelet)
+from shoplens.llm.oracle_sql import OP3_SQL, OP10_SQL, OP12_SQL, OP13_SQL
 
 _FUNCTIONS = (
     fingerprints.op1_simhash_fingerprints,
@@ -18,6 +18,9 @@ _FUNCTIONS = (
     licenses.op8_license_scan,
     tokencount.op9_transducer_token_counts,
     warc.op10_content_addressed_warc,
+    wavelet.op11_wavelet_token_shards,
+    negatives.op12_secondary_sort_negatives,
+    merkle.op13_slot_pivot_merkle,
 )
 
 QUERIES = {f.__name__: f for f in _FUNCTIONS} | {"pipeline": corpus_pipeline.run}
@@ -27,6 +30,8 @@ QUERIES = {f.__name__: f for f in _FUNCTIONS} | {"pipeline": corpus_pipeline.run
 ORACLE = {
     "op3_rule_ledger": OP3_SQL,
     "op10_content_addressed_warc": OP10_SQL,
+    "op12_secondary_sort_negatives": OP12_SQL,
+    "op13_slot_pivot_merkle": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

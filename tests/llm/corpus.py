@@ -5,6 +5,7 @@ import numpy as np
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
         "fingerprint string, piece int, score double, fp long, label string, component_id long, shard int")
 LABELS = "doc_id long, quality int, toxic int"
+VECTORS = "vec_id long, embedding array<float>, label int, score double, rank int, block long, id long"
 PAGES = "page_id long, url string, html string, digest string, copies int"
 ODD = ["Hello <|endoftext|> wörld 123 don't ’s 　 x", "ΑΣ ΟΔΟΣ İstanbul ǅ",
        "a" * 500 + "'re''s 'll!!'d", "x́̀ é ½ Ⅷ ①२ 漢字かな 👩‍👩‍👧 \x1c\x85​ z", "ſ K Å",
@@ -33,10 +34,23 @@ def documents():
     return rows
 
 
-def write(spark, folder, docs=None, labels=None, pages=None):
+def embeddings():
+    """Rows (vec_id, embedding, label, ...): nulls, non-finite, short and large vectors, ties, a hot vector, repeated ids."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), (rng.normal(size=6) / 2).tolist(), int(rng.integers(0, 10))) for i in rng.permutation(500)]
+    rows += [(1000 + i, [0.5, 0.5, 0.5, 0.5, 0.0, 0.0], i % 3) for i in range(200)]
+    rows += [(200, [1.0, 1.0], 1), (300, [0.0] * 6, 2), (301, [0.0] * 6, 3), (302, [0.0] * 6, 2), (-100, [0.25] * 6, 4),
+             (600, None, 1), (700, [0.1] * 6, None), (800, [0.1, None, 0.1], 1), (900, [float("nan")] * 6, 1),
+             (901, [float("inf")] * 6, 1), (None, [0.5] * 6, 1), (2000, [], 1), (2100, [3e38] * 6, 5), (2101, [2e9] * 6, 5),
+             (2102, [-3e38] * 6, 6), (5, [0.5] * 6, 1), (5, [0.5] * 6, 1), (100, [0.3] * 6, 7)]
+    return [r + (0.5, 1, 2, 3) for r in rows]
+
+
+def write(spark, folder, docs=None, labels=None, pages=None, vectors=None):
     spark.createDataFrame(docs if docs is not None else [], DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels if labels is not None else [], LABELS).write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(pages if pages is not None else [], PAGES).write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(vectors if vectors is not None else [], VECTORS).repartition(3).write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 
 
