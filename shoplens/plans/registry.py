@@ -222,7 +222,7 @@ def _pipeline(spark, sf_dir, mod, threshold, stage1="tables"):
     """Run (once per session and parameters) the streaming stages over the
     clicks of ``sf_dir`` replayed in 12-hour micro-batches; returns the
     output folder in the shared checkpoint folder."""
-    key = (id(spark.sparkContext), sf_dir, mod, P.STREAM_BATCH_SECONDS, threshold, stage1)
+    key = (spark.sparkContext.applicationId, sf_dir, mod, P.STREAM_BATCH_SECONDS, threshold, stage1)
     if key not in _PIPELINES:
         tag = f"{os.path.basename(sf_dir.rstrip('/'))}-m{mod}-t{threshold}-{uuid.uuid4().hex[:8]}"
         folder = shared_dir(spark, "stream", tag)

@@ -35,20 +35,26 @@ def format_ads_lines(ads: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 def parse_ads_lines(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good, bad): good has ts (TIMESTAMP), area, city, user_id, ads_id;
-    bad has the line and a reason."""
-    parts = F.split(F.col(col), SEP)
-    ms = F.get(parts, 0).try_cast("bigint")
-    user = F.get(parts, 3).try_cast("bigint")
-    ad = F.get(parts, 4).try_cast("bigint")
-    reason = (F.when(F.col(col).isNull(), F.lit("null line"))
-              .when(F.size(parts) < 5, F.lit("fewer than 5 fields"))
-              .when(ms.isNull(), F.lit("time is not an integer"))
-              .when(user.isNull(), F.lit("user is not an integer"))
-              .when(ad.isNull(), F.lit("ad is not an integer")))
-    staged = lines.select(F.col(col).alias("_line"), reason.alias("_reason"),
-                          F.timestamp_millis(ms).alias("ts"), F.get(parts, 1).alias("area"),
-                          F.get(parts, 2).alias("city"), user.alias("user_id"),
-                          ad.alias("ads_id"))
+    bad has the line and a reason.
+
+    A line is split and its fields are cast once: each step is a ``transform``
+    of the one-element array that holds the line, and ``inline`` keeps later
+    filters from pulling the steps back in at each use."""
+    cut = F.transform(F.array(col), lambda x: F.struct(x.alias("line"), F.split(x, SEP).alias("parts")))
+    typed = F.transform(cut, lambda x: F.struct(
+        x["line"].alias("line"), F.size(x["parts"]).alias("fields"),
+        F.get(x["parts"], F.lit(0)).try_cast("bigint").alias("ms"), F.get(x["parts"], F.lit(1)).alias("area"),
+        F.get(x["parts"], F.lit(2)).alias("city"), F.get(x["parts"], F.lit(3)).try_cast("bigint").alias("user_id"),
+        F.get(x["parts"], F.lit(4)).try_cast("bigint").alias("ads_id")))
+    judged = F.transform(typed, lambda x: F.struct(
+        x["line"].alias("_line"),
+        F.when(x["line"].isNull(), F.lit("null line"))
+        .when(x["fields"] < 5, F.lit("fewer than 5 fields"))
+        .when(x["ms"].isNull(), F.lit("time is not an integer"))
+        .when(x["user_id"].isNull(), F.lit("user is not an integer"))
+        .when(x["ads_id"].isNull(), F.lit("ad is not an integer")).alias("_reason"),
+        F.timestamp_millis(x["ms"]).alias("ts"), *[x[c].alias(c) for c in ADS_COLUMNS[1:]]))
+    staged = lines.select(F.inline(judged))
     good = staged.where(F.col("_reason").isNull()).select(*ADS_COLUMNS)
     bad = staged.where(F.col("_reason").isNotNull()).select(
         F.col("_line").alias("line"), F.col("_reason").alias("reason"))

@@ -96,3 +96,10 @@ def test_hot_session_concat_equals_plain_order(spark):
     r = got.where(F.col("session_id") == "hot").first()
     assert r.n == 3000
     assert r.pages == ",".join(str(i % 7) for i in range(3000))
+
+
+def test_a_line_is_split_once(spark):
+    for name in ["ads_parse", "ads_parse_bad"]:
+        p = plan(R.QUERIES[name](spark, SF))
+        # one split for the parser in each generated row; the format step has none
+        assert p.count("split(") == 1, (name, p.count("split("))
