@@ -10,9 +10,10 @@ column types match Spark's.
 from __future__ import annotations
 
 from shoplens.params import (ADS_MOD, BATCH_SECONDS, BL_ADS_MOD, BL_BATCH_SECONDS,  # noqa: F401
-                             BL_THRESHOLD, END_AGE, END_DATE, PAGE_FLOW, SAMPLE_SEED,
-                             START_AGE, START_DATE, STREAM_BATCH_SECONDS, STREAM_BL_ADS_MOD,
-                             STREAM_BL_THRESHOLD, TASK_ID, THRESHOLD)
+                             BL_THRESHOLD, END_AGE, END_DATE, NATIVE_BATCH_SECONDS, PAGE_FLOW,
+                             SAMPLE_SEED, SLIDE, SLIDE_LATENESS, START_AGE, START_DATE,
+                             STREAM_BATCH_SECONDS, STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD, TASK_ID,
+                             THRESHOLD, TOTALS_LATENESS)
 
 # Shop tables over the given ones (FIXTURES.md §B), DuckDB dialect.
 SHOP_CTES = """
@@ -385,6 +386,33 @@ SELECT user_id, ads_id, day, COUNT(*) AS n FROM kept GROUP BY ALL"""),
     }
 
 
+def native_queries() -> dict[str, str]:
+    n = _ads_ctes(STREAM_BL_ADS_MOD, NATIVE_BATCH_SECONDS, STREAM_BL_THRESHOLD)
+    return {
+        "stream_native_blacklist": with_shop(n, """
+SELECT b.user_id, max(a.day) AS blocked_day
+FROM blacklist b JOIN ads a ON a.user_id = b.user_id AND a.batch = b.blocked_batch GROUP BY b.user_id"""),
+        "stream_native_kept_clicks": with_shop(n, """
+SELECT event_id, user_id, ads_id, area, city, day FROM kept"""),
+        "stream_native_user_counts": with_shop(n, """
+SELECT user_id, ads_id, day, COUNT(*) AS n FROM kept GROUP BY ALL"""),
+        "stream_native_daily_totals": with_shop(n, "SELECT * FROM totals"),
+        "stream_native_open_totals": with_shop(n, f"""
+SELECT * FROM totals
+WHERE CAST(day AS DATE) + INTERVAL 1 DAY > (SELECT max(ts) FROM kept) - INTERVAL '{TOTALS_LATENESS}'"""),
+        "stream_native_area_top3": with_shop(n, "SELECT * FROM area_top"),
+        "stream_native_sliding_hour": with_shop(n, f"""
+SELECT ads_id, slide_ms, strftime(make_timestamp(minute_ms * 1000), '%H:%M') AS minute, SUM(n)::BIGINT AS clicks
+FROM (SELECT ads_id, minute_ms, n, unnest(range(
+               (minute_ms + 60000 + step - 1) // step * step, minute_ms + 3600000 + 1, step)) AS slide_ms, over_ms
+      FROM (SELECT ads_id, ts_ms // 60000 * 60000 AS minute_ms, COUNT(*) AS n,
+                   CAST(epoch(INTERVAL '{SLIDE}') * 1000 AS BIGINT) AS step,
+                   (SELECT epoch_ms(max(ts) - INTERVAL '{SLIDE_LATENESS}') FROM kept) AS over_ms
+            FROM kept GROUP BY ALL))
+WHERE slide_ms <= over_ms GROUP BY ads_id, slide_ms, minute_ms"""),
+    }
+
+
 def build_oracle(conditions_json: str) -> dict[str, str]:
     out = {
         "area_product_clicks": AREA_PRODUCT_CLICKS,
@@ -395,4 +423,5 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
     out["table_overwrite"] = out["filter_actions"]
     out.update(ads_queries())
     out.update(stream_queries())
+    out.update(native_queries())
     return out

@@ -65,3 +65,7 @@ ADS_MOD, BATCH_SECONDS, THRESHOLD = 6, 5, 20
 # month); threshold 1 so that users are blocked; Q8-Q10 twins read the same run.
 STREAM_BATCH_SECONDS = 43200
 STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1
+# The same questions from native state: 52-hour micro-batches, whose ends fall into days at
+# many hours (a blacklist key must span batches), and a slide every ten minutes.
+NATIVE_BATCH_SECONDS = 187200
+SLIDE, SLIDE_LATENESS, TOTALS_LATENESS = "10 minutes", "30 minutes", "1 day"

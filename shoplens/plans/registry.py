@@ -23,7 +23,9 @@ from shoplens.sources.ads import format_ads_lines, parse_ads_lines
 from shoplens.sources.sinks import write_table
 from shoplens.sources.tables import ShopTables
 from shoplens.streaming import ads_stream as S
-from shoplens.streaming.runner import run_ads_pipeline
+from shoplens.streaming import blacklist, sliding, totals
+from shoplens.streaming.runner import (run_ads_pipeline, run_native_blacklist, run_native_sliding,
+                                       run_native_totals)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -280,6 +282,61 @@ def q_stream_ads_last_hour_json(spark, sf_dir):
     return S.read_last_hour_json(spark, _out(spark, sf_dir))
 
 
+# --- the same questions from native state: blacklist cells -> kept clicks -> totals, sliding hour ---
+
+KEPT_FILES = 12  # files of kept clicks in a micro-batch of the later queries
+
+
+def _native(spark, sf_dir, part="blacklist"):
+    """Run (once per application and table) a native streaming query and, before it, the blacklist it reads."""
+    key = (spark.sparkContext.applicationId, sf_dir, "native", part)
+    if key not in _PIPELINES:
+        if part == "blacklist":
+            folder = shared_dir(spark, "stream", f"native-{uuid.uuid4().hex[:12]}")
+            run_native_blacklist(_ads(spark, sf_dir, P.STREAM_BL_ADS_MOD), folder, P.NATIVE_BATCH_SECONDS,
+                                 P.STREAM_BL_THRESHOLD, REPLAY_PARTITIONS)
+        else:
+            folder = os.path.dirname(_native(spark, sf_dir))
+            if part == "totals":
+                run_native_totals(spark, folder, P.TOTALS_LATENESS, KEPT_FILES, REPLAY_PARTITIONS)
+            else:
+                run_native_sliding(spark, folder, P.SLIDE, P.SLIDE_LATENESS, KEPT_FILES, REPLAY_PARTITIONS)
+        _PIPELINES[key] = folder
+    return os.path.join(_PIPELINES[key], part)
+
+
+def q_stream_native_blacklist(spark, sf_dir):
+    return blacklist.read_blocked(spark, f"{_native(spark, sf_dir)}/out")
+
+
+def q_stream_native_kept_clicks(spark, sf_dir):
+    return blacklist.read_kept(spark, f"{_native(spark, sf_dir)}/out").select(
+        "event_id", "user_id", "ads_id", "area", "city", "day")
+
+
+def q_stream_native_user_counts(spark, sf_dir):
+    """K8, K13: the counters, read from the state store."""
+    return blacklist.state_counts(spark, f"{_native(spark, sf_dir)}/checkpoint")
+
+
+def q_stream_native_daily_totals(spark, sf_dir):
+    return totals.read_totals(spark, f"{_native(spark, sf_dir, 'totals')}/out")
+
+
+def q_stream_native_open_totals(spark, sf_dir):
+    """K9: the totals of the days still open at the end, read from the state store."""
+    return totals.state_totals(spark, f"{_native(spark, sf_dir, 'totals')}/checkpoint")
+
+
+def q_stream_native_area_top3(spark, sf_dir):
+    return totals.read_top(spark, f"{_native(spark, sf_dir, 'totals')}/out")
+
+
+def q_stream_native_sliding_hour(spark, sf_dir):
+    return sliding.read_slides(spark, f"{_native(spark, sf_dir, 'sliding')}/out").select(
+        "ads_id", "slide_ms", F.date_format(F.timestamp_millis("minute_ms"), "HH:mm").alias("minute"), "clicks")
+
+
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
     "session_summary": q_session_summary,
@@ -319,6 +376,13 @@ QUERIES: dict[str, Query] = {
     "stream_ads_last_hour": q_stream_ads_last_hour,
     "stream_ads_last_hour_json": q_stream_ads_last_hour_json,
     "stream_state_ads_kept_clicks": q_stream_state_ads_kept_clicks,
+    "stream_native_blacklist": q_stream_native_blacklist,
+    "stream_native_kept_clicks": q_stream_native_kept_clicks,
+    "stream_native_user_counts": q_stream_native_user_counts,
+    "stream_native_daily_totals": q_stream_native_daily_totals,
+    "stream_native_open_totals": q_stream_native_open_totals,
+    "stream_native_area_top3": q_stream_native_area_top3,
+    "stream_native_sliding_hour": q_stream_native_sliding_hour,
 }
 
 

@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # state on disk; processors with more than one state variable or timers need it
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -30,8 +33,7 @@ def build_spark(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shoplens-ckpt-"))
-         .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+         .config("spark.python.unix.domain.socket.enabled", "true"))  # state calls of Python without a port
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

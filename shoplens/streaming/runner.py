@@ -9,10 +9,13 @@ there and stops.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.streaming import ads_stream as S
+from shoplens.streaming import blacklist, sliding, totals
 from shoplens.streaming.replay import read_replay, write_replay
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -43,11 +46,17 @@ def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, thresho
     (``applyInPandasWithState``).
     """
     spark = clicks.sparkSession
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    with state_tasks(spark, state_partitions):
+        return _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1)
+
+
+@contextmanager
+def state_tasks(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """``n`` state partitions (default: the context's parallelism) for the queries started inside."""
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
     try:
-        return _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1)
+        yield
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
@@ -67,3 +76,38 @@ def _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1) ->
                               lateness=None if keep_days is None else "1 day")
     _await(q)
     return out
+
+
+# --- the same over native state: folders ``blacklist``, ``totals``, ``sliding`` with ``out`` and ``checkpoint`` ---
+
+def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
+                         state_partitions: int | None = None, lateness: str | None = None) -> str:
+    """Replay ``clicks`` through the blacklist with one state cell per (day, ad)."""
+    spark = clicks.sparkSession
+    write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
+    with state_tasks(spark, state_partitions):
+        _await(blacklist.start_blacklist_cells(
+            read_replay(spark, os.path.join(folder, "replay")), os.path.join(folder, "blacklist", "out"),
+            os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW))
+    return folder
+
+
+def run_native_totals(spark: SparkSession, folder: str, lateness: str, files_per_trigger: int | None = None,
+                      state_partitions: int | None = None) -> str:
+    """Totals and top ads over the kept clicks that ``run_native_blacklist`` landed."""
+    with state_tasks(spark, state_partitions):
+        kept = blacklist.kept_stream(spark, os.path.join(folder, "blacklist", "out"), files_per_trigger)
+        _await(totals.start_totals(kept, os.path.join(folder, "totals", "out"),
+                                   os.path.join(folder, "totals", "checkpoint"), lateness, trigger=AVAILABLE_NOW))
+    return folder
+
+
+def run_native_sliding(spark: SparkSession, folder: str, slide: str, lateness: str,
+                       files_per_trigger: int | None = None, state_partitions: int | None = None) -> str:
+    """The sliding hour over the same kept clicks."""
+    with state_tasks(spark, state_partitions):
+        kept = blacklist.kept_stream(spark, os.path.join(folder, "blacklist", "out"), files_per_trigger)
+        _await(sliding.start_sliding(kept, os.path.join(folder, "sliding", "out"),
+                                     os.path.join(folder, "sliding", "checkpoint"), slide, lateness=lateness,
+                                     parts=state_partitions or 8, trigger=AVAILABLE_NOW))
+    return folder
