@@ -1,6 +1,6 @@
 """The dynamic blacklist (Q7) as a stateful processor: one state cell per (day, ad) of a user.
 
-``transformWithStateInPandas`` keyed by user. A user's state is a map with one
+``transformWithState`` keyed by user. A user's state is a map with one
 counter per (day, ad), of which a micro-batch reads and writes only the cells it
 touches, and the day of the block, if there is one. The rule is the closed form
 of ``plans.ads``: at a micro-batch, a cell it touches whose count before it is
@@ -17,20 +17,20 @@ What is forgotten is the caller's choice:
 
 A blocked user's flag never expires. Output rows: ``click`` (kept), ``block``,
 ``count`` (the new running count of a touched cell) and ``late``, landed by one
-write per micro-batch that a replay overwrites. A user's rows pass through one
-task in Arrow chunks; memory is bounded by the cells of the batch, not its rows.
+write per micro-batch that a replay overwrites. A user's rows stream through one
+task one by one, between Arrow batches that hold many users; memory is bounded by
+the cells a batch touches, not by its rows.
 """
 
 from __future__ import annotations
 
 import os
 import sys
-import warnings
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -39,10 +39,10 @@ from shoplens.session import prepare
 from shoplens.streaming.totals import seconds
 
 CLICK = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
-OUT = ["kind", *CLICK, "n"]
-OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, ads_id bigint, "
+OUT = Row("kind", "us", "area", "city", "user_id", "ads_id", "event_id", "day", "n")
+OUT_SCHEMA = ("kind string, us bigint, area string, city string, user_id bigint, ads_id bigint, "
               "event_id bigint, day string, n bigint")
-LOG_SCHEMA = OUT_SCHEMA + ", batch_id bigint"
+LOG_SCHEMA = OUT_SCHEMA.replace("us bigint", "ts timestamp") + ", batch_id bigint"
 DAY_MS = 86_400_000
 # the processor goes to the workers by value: they need no installation of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,7 +50,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def day_end(day: str) -> int:
     """The end of a day in epoch milliseconds (UTC)."""
-    return int(pd.Timestamp(day).value // 1_000_000) + DAY_MS
+    return int(datetime.fromisoformat(day).replace(tzinfo=UTC).timestamp()) * 1000 + DAY_MS
 
 
 class Blacklist(StatefulProcessor):
@@ -64,47 +64,36 @@ class Blacklist(StatefulProcessor):
         self.cells = handle.getMapState("cells", "day string, ads_id bigint", "n bigint", ttlDurationMs=self.ttl_ms)
         self.blocked = handle.getValueState("blocked", "day string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # PySpark concatenates output frames, of which pandas warns for all-null columns
-        warnings.simplefilter("ignore", FutureWarning)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if self.blocked.get() is not None:
             for _ in rows:  # blocked before this batch: dropped, not counted
                 pass
             return
         watermark = timerValues.getCurrentWatermarkInMs() if self.timed else None
         touched: dict[tuple, int] = {}
-        for pdf in rows:
-            pdf = pdf.assign(n=None)
-            if self.timed:
-                ends = {d: day_end(d) for d in pdf["day"].unique()}
-                late = pdf["day"].map(ends) <= watermark
-                if late.any():
-                    yield pdf[late].assign(kind="late")[OUT]
-                    pdf = pdf[~late]
-            if len(pdf):
-                for cell, n in pdf.groupby(["day", "ads_id"], dropna=False).size().items():
-                    touched[cell] = touched.get(cell, 0) + int(n)
-                yield pdf.assign(kind="click")[OUT]
-        over, out = False, []
-        for (day, ad), n in touched.items():
-            cell = (day, None if pd.isna(ad) else int(ad))
+        ends: dict[str, int] = {}
+        for r in rows:
+            if r.day not in ends:
+                ends[r.day] = day_end(r.day)
+            late = self.timed and ends[r.day] <= watermark
+            yield OUT("late" if late else "click", r.us, r.area, r.city, r.user_id, r.ads_id, r.event_id, r.day, None)
+            if not late:
+                touched[r.day, r.ads_id] = touched.get((r.day, r.ads_id), 0) + 1
+        over, days = False, {day for day, _ in touched}
+        for cell, n in touched.items():
             known = self.cells.getValue(cell)
             before = known[0] if known else 0
             over = over or before > self.threshold
             self.cells.updateValue(cell, (before + n,))
-            out.append(("count", *cell, before + n))
-        days = {day for day, _ in touched}
+            yield OUT("count", None, None, None, key[0], cell[1], None, cell[0], before + n)
         if self.timed:
             for day in days:
-                self.handle.registerTimer(day_end(day))
+                self.handle.registerTimer(ends[day])
         if over:
             self.blocked.update((max(days),))
-            out.append(("block", max(days), None, None))
-        if out:
-            f = pd.DataFrame(out, columns=["kind", "day", "ads_id", "n"])
-            yield f.assign(ts=pd.NaT, area=None, city=None, user_id=key[0], event_id=None)[OUT]
+            yield OUT("block", None, None, None, key[0], None, None, max(days), None)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = expiredTimerInfo.getExpiryTimeInMs()
         for cell in list(self.cells.keys()):
             if day_end(cell[0]) <= until:
@@ -122,13 +111,14 @@ def blacklist_rows(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, late
         raise ValueError("cells are forgotten by the watermark or by the clock, not both")
     c = clicks.where(F.col("ts").isNotNull())
     if lateness is not None:
-        # a copy of the time without the watermark's mark: Spark would drop every
-        # click older than the lateness, the rule here goes by the end of its day
-        c = c.withWatermark("ts", lateness).withColumn("ts", F.timestamp_micros(F.unix_micros("ts")))
-    c = c.select(*CLICK[:-1], F.date_format("ts", "yyyy-MM-dd").alias("day"))
+        c = c.withWatermark("ts", lateness)
+    # the time goes on as a number, without the watermark's mark: Spark would drop every
+    # click older than the lateness, the rule here goes by the end of its day
+    c = c.select(F.unix_micros("ts").alias("us"), *CLICK[1:-1], F.date_format("ts", "yyyy-MM-dd").alias("day"))
     mode = "EventTime" if lateness is not None else "ProcessingTime" if ttl is not None else "None"
     step = Blacklist(threshold, lateness is not None, None if ttl is None else seconds(ttl) * 1000)
-    return c.groupBy("user_id").transformWithStateInPandas(step, OUT_SCHEMA, "append", mode)
+    out = c.groupBy("user_id").transformWithState(step, OUT_SCHEMA, "append", mode)
+    return out.select("kind", F.timestamp_micros("us").alias("ts"), *CLICK[1:], "n")
 
 
 def start_blacklist_cells(clicks: DataFrame, out_dir: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,

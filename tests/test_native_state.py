@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from shoplens.plans import ads
@@ -112,24 +113,24 @@ class Driver:
         self.step, self.key, self.handle, self.mark, self.out = step, (key,), Handle(), 0, []
         step.init(self.handle)
 
-    def batch(self, chunks, mark):
+    def batch(self, rows, mark):
         """Rows first, then the timers up to the clock, as the engine does."""
         self.mark = max(self.mark, mark)
         clock = Clock(self.mark)
-        got = list(self.step.handleInputRows(self.key, iter(chunks), clock)) if chunks else []
+        got = list(self.step.handleInputRows(self.key, iter(rows), clock)) if rows else []
         for t in sorted(x for x in self.handle.timers if x <= self.mark):
             self.handle.timers.discard(t)
             got += list(self.step.handleExpiredTimer(self.key, clock, Fired(t)))
-        rows = [r for f in got for r in f.itertuples(index=False)]
+        rows = [r for f in got for r in (f.itertuples(index=False) if isinstance(f, pd.DataFrame) else [f])]
         self.out += rows
         return rows
 
 
-def click_frame(clicks):
-    """(ms, ad) clicks of a user as the frame the processor gets."""
-    ts = pd.to_datetime([m for m, _ in clicks], unit="ms")
-    return pd.DataFrame({"ts": ts, "area": "A", "city": "c", "user_id": 1, "ads_id": [a for _, a in clicks],
-                         "event_id": range(len(clicks)), "day": ts.strftime("%Y-%m-%d")})
+def click_rows(clicks):
+    """(ms, ad) clicks of a user as the rows the processor gets."""
+    day = [pd.Timestamp(m, unit="ms").strftime("%Y-%m-%d") for m, _ in clicks]
+    return [Row(us=m * 1000, area="A", city="c", user_id=1, ads_id=a, event_id=i, day=day[i])
+            for i, (m, a) in enumerate(clicks)]
 
 
 # --- Q7 -----------------------------------------------------------------------------
@@ -155,8 +156,7 @@ def test_cells_equal_a_sequential_simulation(batches, threshold):
     d = Driver(blacklist.Blacklist(threshold, False, None), 1)
     got = []
     for b in batches:
-        chunks = [click_frame(b[:2]), click_frame(b[2:])] if len(b) > 2 else [click_frame(b)] if b else []
-        got.append(sum(r.kind == "click" for r in d.batch(chunks, 0)))
+        got.append(sum(r.kind == "click" for r in d.batch(click_rows(b), 0)))
     assert got == simulated(batches, threshold)
 
 
@@ -165,7 +165,7 @@ def test_state_stays_flat_over_200_batches():
     sizes, newest = [], 0
     for i in range(200):  # six hours each, three ads
         mark = newest - HOUR
-        d.batch([click_frame([(BASE + i * 6 * HOUR + k * HOUR, 1 + k % 3) for k in range(5)])], mark)
+        d.batch(click_rows([(BASE + i * 6 * HOUR + k * HOUR, 1 + k % 3) for k in range(5)]), mark)
         newest = BASE + i * 6 * HOUR + 4 * HOUR
         sizes.append(len(d.handle.maps["cells"]) + len(d.handle.timers))
     assert max(sizes[100:]) == max(sizes[8:100]) <= 10
@@ -174,8 +174,8 @@ def test_state_stays_flat_over_200_batches():
 
 def test_a_click_after_its_day_was_given_up_is_late_and_uncounted():
     d = Driver(blacklist.Blacklist(0, True, None), 1)
-    d.batch([click_frame([(BASE + HOUR, 1)])], 0)
-    got = d.batch([click_frame([(BASE + 2 * HOUR, 1), (BASE + 3 * DAY, 1)])], BASE + DAY)  # the day ended at the mark
+    d.batch(click_rows([(BASE + HOUR, 1)]), 0)
+    got = d.batch(click_rows([(BASE + 2 * HOUR, 1), (BASE + 3 * DAY, 1)]), BASE + DAY)  # the day ended at the mark
     assert sorted(r.kind for r in got) == ["click", "count", "late"]
     assert list(d.handle.maps["cells"]) == [("2024-01-04", 1)] and d.handle.maps["blocked"].get() is None
 
