@@ -40,7 +40,7 @@ import warnings
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -56,6 +56,7 @@ CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 DAY_MS = 86_400_000
 SNAPSHOT_EVERY = 10
 CLICK_FILES = 4
+ROWS_PER_FILE = 100_000  # a day's rows of a kind are dealt over as many tasks and files as this asks for
 
 
 def _blacklist_step(threshold: int, keep_days: int | None):
@@ -204,8 +205,9 @@ class Landing:
     day and batch since the last snapshot) and is rebuilt by listing when the
     query starts or replays a batch."""
 
-    def __init__(self, spark: SparkSession, out_dir: str, every: int = SNAPSHOT_EVERY):
-        self.out_dir, self.every = out_dir, every
+    def __init__(self, spark: SparkSession, out_dir: str, every: int = SNAPSHOT_EVERY,
+                 rows_per_file: int = ROWS_PER_FILE):
+        self.out_dir, self.every, self.rows_per_file = out_dir, every, rows_per_file
         self.next: int | None = None
         self.snap: dict[tuple[str, str], int] = {}        # (kind, day) -> newest snapshot
         self.since: list[tuple[int, set[tuple[str, str]]]] = []  # batches after it, their folders
@@ -244,11 +246,16 @@ class Landing:
         rows = spark.read.schema(ROW_SCHEMA).parquet(*[os.path.join(self.out_dir, p) for p in paths])
         return rows.withColumn("day", F.regexp_extract(F.input_file_name(), "/day=([^/]+)/[^/]*$", 1))
 
-    def land(self, spark: SparkSession, out: DataFrame, batch_id: int) -> None:
-        """One write; the clicks of a day go to ``CLICK_FILES`` tasks and files,
-        the aggregated kinds to one per folder, without relying on AQE."""
-        salt = F.when(F.col("kind") == "click",
-                      F.pmod(F.xxhash64("event_id", "user_id", "ts"), F.lit(CLICK_FILES))).otherwise(0)
+    def parts(self, rows: int) -> int:
+        return max(1, -(-rows // self.rows_per_file))
+
+    def land(self, spark: SparkSession, out: DataFrame, batch_id: int, clicks: int, cells: int) -> None:
+        """One write. The rows of a kind and day go to tasks and files by a hash of
+        their key, as many as the batch's clicks and cells (which no aggregated kind
+        has more rows than) ask for, without relying on AQE."""
+        salt = (F.when(F.col("kind") == "click", F.pmod(F.xxhash64("event_id", "user_id", "ts"),
+                                                        F.lit(max(CLICK_FILES, self.parts(clicks)))))
+                .when(F.col("kind").isin("count", "total", "minute", "block"), self.dealt(cells)).otherwise(0))
         path = os.path.join(self.out_dir, "log", f"batch_id={batch_id}")
         (out.repartition("kind", "day", salt).write.mode("overwrite").partitionBy("kind", "day").parquet(path))
         self.since.append((batch_id, self._folders(spark, path)))
@@ -256,6 +263,10 @@ class Landing:
         if self.next % self.every == 0:
             self._snapshot(spark, batch_id)
 
+    def dealt(self, rows: int) -> Column:
+        """The part of an aggregated row by its key."""
+        return F.pmod(F.xxhash64("user_id", "ads_id", "area", "city", "minute_start"), F.lit(self.parts(rows)))
+
     def _snapshot(self, spark: SparkSession, batch_id: int) -> None:
         """Sums of the days touched since the last snapshot, and the blacklist."""
         touched = sorted({d for _, folders in self.since for k, d in folders if k == "total"})
@@ -268,7 +279,10 @@ class Landing:
                   **_same(*TOTAL_KEYS, "clicks"))]),
             blocks=self.before(spark, "block", None), counts=self.before(spark, "count", touched),
             totals=self.before(spark, "total", touched))
-        out.repartition("kind", "day").write.mode("overwrite").partitionBy("kind", "day").parquet(path)
+        # rows before they are summed, from the files' footers: no kind and day has more
+        rows = spark.sql("SELECT (SELECT count(*) FROM _blocks) + (SELECT count(*) FROM _counts) "
+                         "+ (SELECT count(*) FROM _totals)").first()[0]
+        out.repartition("kind", "day", self.dealt(rows)).write.mode("overwrite").partitionBy("kind", "day").parquet(path)
         for key in self._folders(spark, path):
             self.snap[key] = batch_id
         self.since = []
@@ -334,15 +348,17 @@ AD_STATS = [
 ]
 
 
-def _span(cells: DataFrame) -> tuple[list[str], str | None]:
+def _span(cells: DataFrame) -> tuple[list[str], str | None, dict[str, int]]:
     """The days a micro-batch touches (its own time span plus late clicks'
-    days), and a VALUES list with its newest click."""
-    rows = cells.groupBy("day").agg(F.unix_micros(F.max("newest")).alias("us")).collect()
+    days), a VALUES list with its newest click, and its numbers of clicks and cells."""
+    rows = cells.groupBy("day").agg(F.unix_micros(F.max("newest")).alias("us"), F.sum("c").alias("clicks"),
+                                    F.count(F.lit(1)).alias("cells")).collect()
+    size = {k: sum(r[k] for r in rows) for k in ("clicks", "cells")}
     days = {r["day"]: r["us"] for r in rows if r["day"] is not None}
     if not days:
-        return [], None
+        return [], None, size
     us = max(days.values())
-    return sorted(days), f"(SELECT timestamp_micros({us}) AS newest)"
+    return sorted(days), f"(SELECT timestamp_micros({us}) AS newest)", size
 
 
 def _newest(values: str | None) -> list[str]:
@@ -370,13 +386,13 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
         landing.locate(spark, batch_id)
         df = df.persist()
         cells = _sql(spark, CELLS, kept=df.where(F.col("kind") == "click")).persist()
-        days, newest = _span(cells)
+        days, newest, size = _span(cells)
         landing.land(spark, _sql(spark, " UNION ALL ".join([
             _rows("click", "_out WHERE kind = 'click'", **_same(*CLICK_COLUMNS)),
             _rows("block", "_out WHERE kind = 'block'", **_same("user_id", "day")),
             _rows("count", "_out WHERE kind = 'count'", **_same(*COUNT_KEYS, "n")),
             *AD_STATS, *_newest(newest)]),
-            out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id)
+            out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id, **size)
         cells.unpersist()
         df.unpersist()
 
@@ -387,7 +403,8 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
 
 def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                            threshold: int = BLACKLIST_THRESHOLD, trigger: dict | None = None,
-                           snapshot_every: int = SNAPSHOT_EVERY) -> StreamingQuery:
+                           snapshot_every: int = SNAPSHOT_EVERY,
+                           rows_per_file: int = ROWS_PER_FILE) -> StreamingQuery:
     """The streaming job on the JVM only, with its state in the landed log.
 
     Each micro-batch b is a static DataFrame in ``foreachBatch``:
@@ -408,7 +425,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
     spark = clicks.sparkSession
     _guard_start(spark, out_dir, checkpoint)
     _seed(spark, out_dir)
-    landing = Landing(spark, out_dir, snapshot_every)
+    landing = Landing(spark, out_dir, snapshot_every, rows_per_file)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -419,7 +436,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
         blocked = landing.before(spark, "block", None).select("user_id").distinct()
         kept = c.join(blocked, "user_id", "left_anti").persist()
         cells = _sql(spark, CELLS, kept=kept).persist()
-        days, newest = _span(cells)
+        days, newest, size = _span(cells)
         keys = """
             SELECT user_id, ads_id, day, sum(before) AS before, sum(now) AS now
             FROM (SELECT user_id, ads_id, day, n AS before, 0L AS now FROM _counts
@@ -432,7 +449,7 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
             _rows("count", f"({keys}) WHERE now > 0", user_id="user_id", ads_id="ads_id", day="day", n="now"),
             *AD_STATS, *_newest(newest)]),
             kept=kept, cells=cells, counts=landing.before(spark, "count", days),
-            earlier=landing.before(spark, "total", days)), batch_id)
+            earlier=landing.before(spark, "total", days)), batch_id, **size)
         cells.unpersist()
         kept.unpersist()
 

@@ -246,3 +246,28 @@ def test_processing_time_trigger_runs_on(spark):
         q.stop()
     got = {(r.ads_id, r.minute): r.clicks for r in S.read_last_hour(spark, os.path.join(d, "out")).collect()}
     assert got == {(5, "00:00"): 1, (5, "00:01"): 1}
+
+
+def test_a_day_of_aggregates_is_written_by_many_tasks(spark):
+    from shoplens.streaming.replay import read_replay, write_replay
+    d = tempfile.mkdtemp(prefix="run-")
+    c = clicks_df(spark, [(i % 3600 + h * 3600, 100 + i, 1 + i % 5) for h in range(2) for i in range(400)])
+    write_replay(c, os.path.join(d, "replay"), 3600)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        _await(S.start_blacklist_tables(read_replay(spark, os.path.join(d, "replay")), os.path.join(d, "out"),
+                                        os.path.join(d, "ck"), threshold=0, trigger=AVAILABLE_NOW, snapshot_every=2,
+                                        rows_per_file=50))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+    def files(path):
+        return sum(f.endswith(".parquet") for f in os.listdir(os.path.join(d, "out", path)))
+
+    for kind in ("count", "minute"):
+        assert files(f"log/batch_id=0/kind={kind}/day=2024-01-01") >= 3, kind
+    assert files("snap/batch_id=1/kind=count/day=2024-01-01") >= 3
+    assert files("snap/batch_id=1/kind=block/day=all") >= 3
+    out = os.path.join(d, "out")
+    assert _rows(S.read_kept(spark, out), ["event_id"]) == _rows(ads.ads_kept_clicks(c, 3600, 0), ["event_id"])
