@@ -424,4 +424,5 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
     out.update(ads_queries())
     out.update(stream_queries())
     out.update(native_queries())
+    out["stream_lines_ads_parse"] = out["ads_parse"]
     return out

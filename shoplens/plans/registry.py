@@ -24,7 +24,7 @@ from shoplens.sources.sinks import write_table
 from shoplens.sources.tables import ShopTables
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming import blacklist, sliding, totals
-from shoplens.streaming.runner import (run_ads_pipeline, run_native_blacklist, run_native_sliding,
+from shoplens.streaming.runner import (run_ads_pipeline, run_lines, run_native_blacklist, run_native_sliding,
                                        run_native_totals)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +337,19 @@ def q_stream_native_sliding_hour(spark, sf_dir):
         "ads_id", "slide_ms", F.date_format(F.timestamp_millis("minute_ms"), "HH:mm").alias("minute"), "clicks")
 
 
+LINE_BYTES = 256 << 10  # of ad lines a start of the line stream takes
+
+
+def q_stream_lines_ads_parse(spark, sf_dir):
+    """K3: the clicks as files of ad lines, read by byte offsets, parsed and landed."""
+    key = (spark.sparkContext.applicationId, sf_dir, "lines")
+    if key not in _PIPELINES:
+        folder = shared_dir(spark, "stream", f"lines-{uuid.uuid4().hex[:12]}")
+        _PIPELINES[key] = run_lines(format_ads_lines(_ads(spark, sf_dir, P.ADS_MOD)), folder, LINE_BYTES)
+    return spark.read.parquet(_PIPELINES[key]).where("kind = 'good'").select(
+        F.unix_millis("ts").alias("ts_ms"), "area", "city", "user_id", "ads_id")
+
+
 QUERIES: dict[str, Query] = {
     "filter_actions": q_filter_actions,
     "session_summary": q_session_summary,
@@ -376,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "stream_ads_last_hour": q_stream_ads_last_hour,
     "stream_ads_last_hour_json": q_stream_ads_last_hour_json,
     "stream_state_ads_kept_clicks": q_stream_state_ads_kept_clicks,
+    "stream_lines_ads_parse": q_stream_lines_ads_parse,
     "stream_native_blacklist": q_stream_native_blacklist,
     "stream_native_kept_clicks": q_stream_native_kept_clicks,
     "stream_native_user_counts": q_stream_native_user_counts,
