@@ -418,6 +418,7 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
         "area_product_clicks": AREA_PRODUCT_CLICKS,
         "city_remark": CITY_REMARK,
         "area_top3_product": AREA_TOP3_PRODUCT,
+        "area_top3_product_sql": AREA_TOP3_PRODUCT,
     }
     out.update(session_queries(conditions_json))
     out["table_overwrite"] = out["filter_actions"]

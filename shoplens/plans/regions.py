@@ -20,7 +20,7 @@ Plan shape (what makes it hold at scale):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import whole_pct
@@ -93,6 +93,60 @@ def city_remark(city_clicks: DataFrame, top: int = REMARK_TOP_CITIES) -> DataFra
     return agg.select(*keys, "clickcount", remark.alias("cityremark"))
 
 
+# Cities a group's counts hold exactly; the sketch behind them merges on the map side.
+MAX_CITIES = 10_000
+
+
+def register_city_remark(spark: SparkSession) -> None:
+    """The remark as the SQL function ``city_remark(cities, clicks)`` (U2).
+
+    Spark has no SQL function that contains an aggregate, so the aggregate is the
+    mergeable one below it: ``city_counts()`` is the counts per city, partially
+    aggregated before the shuffle. ``clicks`` is the number of clicks with a named
+    city; if the counts do not add up to it (more than ``MAX_CITIES`` cities in a
+    group, where they would be estimates), the function raises an error."""
+    first = """slice(array_sort(cities, (a, b) -> CASE WHEN a.count > b.count THEN -1 WHEN a.count < b.count THEN 1
+                     WHEN a.item < b.item THEN -1 WHEN a.item > b.item THEN 1 ELSE 0 END), 1, {n})"""
+    first = first.format(n=REMARK_TOP_CITIES)
+    share = "CAST(floor(round(CAST(t.count AS DOUBLE) / CAST(clicks AS DOUBLE) * 1000D) / 10) AS DOUBLE)"
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION city_remark(cities ARRAY<STRUCT<item STRING, count BIGINT>>, clicks BIGINT)
+RETURNS STRING
+RETURN CASE
+  WHEN clicks = 0 THEN ''
+  WHEN aggregate(cities, 0L, (s, t) -> s + t.count) <> clicks
+    THEN raise_error('city_remark: the counts of the cities do not add up to the clicks')
+  ELSE array_join(concat(
+    transform({first}, t -> concat(t.item, ':', CAST({share} AS STRING), '%')),
+    CASE WHEN size(cities) > {REMARK_TOP_CITIES} THEN array(concat('{OTHER_CITIES_LABEL}:', CAST(
+      aggregate({first}, 100D, (s, t) -> s - {share}) AS STRING), '%')) ELSE CAST(array() AS ARRAY<STRING>) END), ',')
+END""")
+
+
+def city_counts(name: str = "city_name") -> str:
+    """The two arguments of ``city_remark`` over a column of city names, as SQL."""
+    named = f"FILTER (WHERE {name} <> '')"  # neither null nor empty
+    return f"approx_top_k({name}, {MAX_CITIES}, {MAX_CITIES}) {named}, count(*) {named}"
+
+
+def area_top_products_sql(actions: DataFrame, cities: DataFrame, products: DataFrame, n: int = 3) -> DataFrame:
+    """``area_top_products`` as the three statements an analyst would write, with
+    ``city_remark`` by name over the joined clicks."""
+    spark = actions.sparkSession
+    register_city_remark(spark)
+    joined = spark.sql("""
+        SELECT c.area, c.city_name, p.product_id, p.product_name
+        FROM {v} AS v JOIN {c} AS c ON v.city_id = c.city_id JOIN {p} AS p ON p.product_id = v.click_product_id
+        WHERE v.click_product_id <> -1""", v=actions, c=cities, p=products)
+    counted = spark.sql(f"""
+        SELECT area, product_id, product_name, count(*) AS clickcount, city_remark({city_counts()}) AS cityremark
+        FROM {{t}} GROUP BY area, product_id, product_name""", t=joined)
+    return spark.sql("""
+        SELECT area, product_id, product_name, clickcount, cityremark
+        FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY clickcount DESC) AS rk FROM {t}) WHERE rk <= {n}""",
+                     t=counted, n=n)
+
+
 def area_top_products(actions: DataFrame, cities: DataFrame, products: DataFrame,
                       n: int = 3) -> DataFrame:
     """Products with ``rank() <= n`` by clicks per area (ties share a rank, so

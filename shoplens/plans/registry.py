@@ -53,6 +53,12 @@ def q_area_top3_product(spark, sf_dir):
     return regions.area_top_products(t.actions(), t.cities(), t.products(), n=3)
 
 
+def q_area_top3_product_sql(spark, sf_dir):
+    """U2: the same as statements, with ``city_remark`` as an SQL function."""
+    t = _tables(spark, sf_dir)
+    return regions.area_top_products_sql(t.actions(), t.cities(), t.products(), n=3)
+
+
 # --- Q1-Q5 -------------------------------------------------------------------
 
 CONDITION = Condition(start_date=P.START_DATE, end_date=P.END_DATE, start_age=P.START_AGE,
@@ -366,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "area_product_clicks": q_area_product_clicks,
     "city_remark": q_city_remark,
     "area_top3_product": q_area_top3_product,
+    "area_top3_product_sql": q_area_top3_product_sql,
     "ads_parse": q_ads_parse,
     "ads_parse_bad": q_ads_parse_bad,
     "ads_blacklist": q_ads_blacklist,
