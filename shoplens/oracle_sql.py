@@ -423,6 +423,7 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
     out.update(session_queries(conditions_json))
     out["table_overwrite"] = out["filter_actions"]
     out.update(ads_queries())
+    out["ads_kept_clicks_filtered"] = out["ads_kept_clicks"]
     out.update(stream_queries())
     out.update(native_queries())
     out["stream_lines_ads_parse"] = out["ads_parse"]

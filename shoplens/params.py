@@ -69,3 +69,5 @@ STREAM_BL_ADS_MOD, STREAM_BL_THRESHOLD = 2, 1
 # many hours (a blacklist key must span batches), and a slide every ten minutes.
 NATIVE_BATCH_SECONDS = 187200
 SLIDE, SLIDE_LATENESS, TOTALS_LATENESS = "10 minutes", "30 minutes", "1 day"
+# The blacklist as a bitmap filter: one bucket, sized for this many users at this rate.
+FILTER_KEYS, FILTER_RATE = 2000, 0.01

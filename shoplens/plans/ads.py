@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import pairs_json
+from shoplens.operators import keyfilter
 from shoplens.operators.topn import top_n_per_group
 
 # Fixed values of the reference's streaming job.
@@ -67,6 +68,15 @@ def ads_kept_clicks(clicks: DataFrame, batch_seconds: int = BATCH_SECONDS,
             .drop("blocked_batch"))
 
 
+def ads_kept_clicks_filtered(clicks: DataFrame, blacklist: DataFrame, shape: keyfilter.Shape,
+                             batch_seconds: int = BATCH_SECONDS) -> DataFrame:
+    """``ads_kept_clicks`` with a stored blacklist (user_id, blocked_batch) behind a
+    bitmap filter: only clicks of users the filter lets through are joined with it."""
+    c = with_labels(clicks, batch_seconds)
+    members = keyfilter.build(blacklist, "user_id", shape)
+    return keyfilter.exclude(c, "user_id", blacklist, members, shape, F.col("batch") <= F.col("blocked_batch"))
+
+
 def ads_daily_totals(kept: DataFrame) -> DataFrame:
     """day, area, city, ads_id, clicks: running totals per day (Q8)."""
     if "day" not in kept.columns:

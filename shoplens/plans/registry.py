@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shoplens import oracle_sql
 from shoplens import params as P
+from shoplens.operators import keyfilter
 from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, regions, sessions
 from shoplens.schemas import USER_VISIT_ACTION
@@ -172,6 +173,14 @@ def q_ads_kept_clicks(spark, sf_dir):
                                P.BL_THRESHOLD).select(*KEPT_COLUMNS)
 
 
+def q_ads_kept_clicks_filtered(spark, sf_dir):
+    """F9, K12: the same rows, most of them past a bitmap filter instead of the join."""
+    clicks = _ads(spark, sf_dir, P.BL_ADS_MOD)
+    blocked = ads.ads_blacklist(clicks, P.BL_BATCH_SECONDS, P.BL_THRESHOLD)
+    shape = keyfilter.Shape.for_keys(P.FILTER_KEYS, P.FILTER_RATE)
+    return ads.ads_kept_clicks_filtered(clicks, blocked, shape, P.BL_BATCH_SECONDS).select(*KEPT_COLUMNS)
+
+
 def q_ads_daily_totals(spark, sf_dir):
     return ads.ads_daily_totals(_kept(spark, sf_dir))
 
@@ -377,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "ads_parse_bad": q_ads_parse_bad,
     "ads_blacklist": q_ads_blacklist,
     "ads_kept_clicks": q_ads_kept_clicks,
+    "ads_kept_clicks_filtered": q_ads_kept_clicks_filtered,
     "ads_daily_totals": q_ads_daily_totals,
     "ads_area_top3": q_ads_area_top3,
     "ads_area_top3_json": q_ads_area_top3_json,
