@@ -254,6 +254,14 @@ SELECT '{TASK_ID}' AS task_id, category_id, session_id, click_count FROM (
         FROM filtered WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)
         GROUP BY 1, 2))
 WHERE rn <= 10"""),
+        "action_grains": with_shop(f, """
+SELECT 'session' AS grain, session_id AS key, CAST(NULL AS VARCHAR) AS action, COUNT(*) AS n,
+       min(epoch_ms(CAST(action_time AS TIMESTAMP))) AS first_ms,
+       max(epoch_ms(CAST(action_time AS TIMESTAMP))) AS last_ms
+FROM filtered GROUP BY session_id
+UNION ALL SELECT 'category', category_id, action, COUNT(*), NULL, NULL
+FROM cat_items WHERE action IS NOT NULL GROUP BY category_id, action
+UNION ALL SELECT 'page', CAST(from_page AS VARCHAR), NULL, visit_count, NULL, NULL FROM visits"""),
         "page_visits": with_shop(f, "SELECT from_page AS page_id, visit_count FROM visits"),
         "page_transitions": with_shop(f, "SELECT from_page, to_page, jump_count FROM jumps"),
         "page_convert_rate": with_shop(f, f"""
@@ -355,6 +363,9 @@ WHERE reason IS NOT NULL GROUP BY reason"""),
         "ads_kept_clicks": with_shop(bl, """
 SELECT event_id, user_id, ads_id, area, city, day, ts_ms, batch FROM kept"""),
         "ads_daily_totals": with_shop(d, "SELECT * FROM totals"),
+        "ads_grains": with_shop(d, """
+SELECT day, area, city, ads_id, true AS by_city, clicks FROM totals
+UNION ALL SELECT day, area, NULL, ads_id, false, CAST(SUM(clicks) AS BIGINT) FROM totals GROUP BY day, area, ads_id"""),
         "ads_area_top3": with_shop(d, "SELECT * FROM area_top"),
         "ads_area_top3_json": with_shop(d, TOP_JSON_SELECT),
         "ads_last_hour": with_shop(d, LAST_HOUR_SELECT),

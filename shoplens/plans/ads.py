@@ -88,7 +88,11 @@ def ads_daily_totals(kept: DataFrame) -> DataFrame:
 def ads_area_top(totals: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """day, area, ads_id, clicks, rank: the n most clicked ads per day and
     area, summed over the area's cities (ties by ad id) (Q9)."""
-    per_area = totals.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks"))
+    return top_of_areas(totals.groupBy("day", "area", "ads_id").agg(F.sum("clicks").alias("clicks")), n)
+
+
+def top_of_areas(per_area: DataFrame, n: int = TOP_ADS) -> DataFrame:
+    """``ads_area_top`` of day, area, ads_id, clicks rows, one per key."""
     return top_n_per_group(per_area, ["day", "area"], [F.desc("clicks"), F.asc("ads_id")], n,
                            rank_name="rank")
 

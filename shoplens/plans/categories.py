@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import comma_list, has_list, is_click
@@ -23,8 +23,8 @@ from shoplens.operators.topn import top_n_per_group
 ACTIONS = ("click", "order", "pay")
 
 
-def category_actions(actions: DataFrame) -> DataFrame:
-    """One row per counted (category_id, action); category ids are text."""
+def items_of_action() -> tuple[Column, Column]:
+    """The category ids (text) an action counts for, null or empty if none, and its kind."""
     click = is_click("click_category_id")
     order = ~click & has_list("order_category_ids")
     pay = ~click & ~order & has_list("pay_category_ids")
@@ -33,6 +33,12 @@ def category_actions(actions: DataFrame) -> DataFrame:
            .when(pay, comma_list("pay_category_ids")))
     action = (F.when(click, F.lit("click")).when(order, F.lit("order"))
               .when(pay, F.lit("pay")))
+    return ids, action
+
+
+def category_actions(actions: DataFrame) -> DataFrame:
+    """One row per counted (category_id, action); category ids are text."""
+    ids, action = items_of_action()
     # explode_outer + a filter on the generated column: a row without an
     # action (ids null) or with an empty list gives one null category, which
     # the filter drops. Filtering before the generator would be pushed into
@@ -56,7 +62,12 @@ def category_counts(actions: DataFrame) -> DataFrame:
 
 def category_top(actions: DataFrame, n: int = 10, task_id: str | None = None) -> DataFrame:
     """Top n categories by click, then order, then pay count (ties by id)."""
-    top = (category_counts(actions)
+    return top_of_counts(category_counts(actions), n, task_id)
+
+
+def top_of_counts(counts: DataFrame, n: int = 10, task_id: str | None = None) -> DataFrame:
+    """The top n of category_id, click_count, order_count, pay_count rows."""
+    top = (counts
            .orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"),
                     F.asc("category_id"))
            .limit(n))

@@ -17,7 +17,7 @@ from shoplens import oracle_sql
 from shoplens import params as P
 from shoplens.operators import keyfilter
 from shoplens.params import Condition
-from shoplens.plans import ads, categories, funnel, regions, sessions
+from shoplens.plans import ads, categories, funnel, grains, regions, sessions
 from shoplens.schemas import USER_VISIT_ACTION
 from shoplens.session import prepare, shared_dir
 from shoplens.sources.ads import format_ads_lines, parse_ads_lines
@@ -117,6 +117,11 @@ def q_page_convert_rate(spark, sf_dir):
     return funnel.page_convert_rate(_filtered(spark, sf_dir), CONDITION.target_page_flow, TASK_ID)
 
 
+def q_action_grains(spark, sf_dir):
+    """A3, A8, A12: sessions, categories and flow pages in one pass."""
+    return grains.action_grains(_filtered(spark, sf_dir), CONDITION.target_page_flow)
+
+
 def q_table_overwrite(spark, sf_dir):
     """K6: other rows (the users outside the bounds) are saved to the target
     first; the filtered log then replaces them, date-partitioned, and is read
@@ -185,6 +190,11 @@ def q_ads_daily_totals(spark, sf_dir):
     return ads.ads_daily_totals(_kept(spark, sf_dir))
 
 
+def q_ads_grains(spark, sf_dir):
+    """A17, A18: totals per city and per area in one pass."""
+    return grains.ads_grains(_kept(spark, sf_dir))
+
+
 def q_ads_area_top3(spark, sf_dir):
     return ads.ads_area_top(ads.ads_daily_totals(_kept(spark, sf_dir)), 3)
 
@@ -377,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "page_visits": q_page_visits,
     "page_transitions": q_page_transitions,
     "page_convert_rate": q_page_convert_rate,
+    "action_grains": q_action_grains,
     "table_overwrite": q_table_overwrite,
     "area_product_clicks": q_area_product_clicks,
     "city_remark": q_city_remark,
@@ -388,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "ads_kept_clicks": q_ads_kept_clicks,
     "ads_kept_clicks_filtered": q_ads_kept_clicks_filtered,
     "ads_daily_totals": q_ads_daily_totals,
+    "ads_grains": q_ads_grains,
     "ads_area_top3": q_ads_area_top3,
     "ads_area_top3_json": q_ads_area_top3_json,
     "ads_last_hour": q_ads_last_hour,

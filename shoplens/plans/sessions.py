@@ -91,7 +91,11 @@ def session_stat(actions: DataFrame, cond: Condition | None = None,
     and exactly 5 steps are "le". An empty bucket gives 0.0; no session at
     all gives null ratios.
     """
-    b = session_bounds(actions)
+    return stat_of_bounds(session_bounds(actions), cond, task_id)
+
+
+def stat_of_bounds(b: DataFrame, cond: Condition | None = None, task_id: str | None = None) -> DataFrame:
+    """``session_stat`` of step_length, visit_length rows, one per session."""
     long_ = F.col("visit_length") > VISIT_LENGTH_LIMIT_MS
     many = F.col("step_length") > STEP_LENGTH_LIMIT
     agg = b.agg(F.count(F.lit(1)).alias("n"),
