@@ -54,3 +54,29 @@ def proportional_sample(items: DataFrame, stratum: str, key: str, total: int,
     return (ranked.join(quota, stratum)
             .where(F.col("_rn") <= F.col("quota"))
             .drop("_rn"))
+
+
+def bucket_sample(items: DataFrame, stratum: str, key: str, total: int, seed: str = "0", digits: int = 3) -> DataFrame:
+    """The rows of ``proportional_sample`` from mergeable counts, without a rank over all items.
+
+    An item's place in the draw is its hash; the first ``digits`` hex digits of
+    it are its bucket. The counts per (stratum, bucket) merge on the map side and
+    say, with the quota (known only when all are counted), which buckets lie
+    below the cut and how many items come before each. Only items of those
+    buckets are ranked, each bucket by itself: about ``total`` items and one
+    bucket more per stratum, whatever the number of items. A stratum has at most
+    16**digits counts. Null strata are a stratum of their own."""
+    marked = items.withColumn("_digest", F.md5(F.concat(F.col(key).cast("string"), F.lit(":" + seed))))
+    marked = marked.withColumn("_bucket", F.substring("_digest", 1, digits))
+    counts = marked.groupBy(F.col(stratum).alias("_stratum"), "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    n_all = counts.select(F.sum("_n")).scalar()
+    whole = Window.partitionBy("_stratum")
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = counts.select("_stratum", "_bucket", before.alias("_before"), F.sum("_n").over(whole).alias("_rows"))
+    share = F.try_divide(F.col("_rows").cast("double"), n_all.cast("double")) * F.lit(float(total))
+    cuts = (cuts.withColumn("quota", F.least(F.round(share).cast("bigint"), F.col("_rows")))
+            .where(F.col("_before") < F.col("quota")).withColumnRenamed("_bucket", "_at"))
+    same = marked[stratum].eqNullSafe(cuts["_stratum"]) & (marked["_bucket"] == cuts["_at"])
+    inside = Window.partitionBy("_stratum", "_at").orderBy("_digest")
+    return (marked.join(cuts, same).withColumn("_rn", F.col("_before") + F.row_number().over(inside))
+            .where(F.col("_rn") <= F.col("quota")).select(*items.columns, "quota"))

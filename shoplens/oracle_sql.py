@@ -433,6 +433,7 @@ def build_oracle(conditions_json: str) -> dict[str, str]:
     }
     out.update(session_queries(conditions_json))
     out["table_overwrite"] = out["filter_actions"]
+    out["session_sample_buckets"] = out["session_sample"]
     out.update(ads_queries())
     out["ads_kept_clicks_filtered"] = out["ads_kept_clicks"]
     out.update(stream_queries())

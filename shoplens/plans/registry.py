@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shoplens import oracle_sql
 from shoplens import params as P
 from shoplens.operators import keyfilter
+from shoplens.operators.topn import bucket_sample
 from shoplens.params import Condition
 from shoplens.plans import ads, categories, funnel, grains, regions, sessions
 from shoplens.schemas import USER_VISIT_ACTION
@@ -92,6 +93,11 @@ def q_session_sample(spark, sf_dir):
     return sessions.session_sample(_filtered(spark, sf_dir), seed=P.SAMPLE_SEED, task_id=TASK_ID)
 
 
+def q_session_sample_buckets(spark, sf_dir):
+    """W5 from mergeable counts: the same sessions."""
+    return sessions.session_sample(_filtered(spark, sf_dir), seed=P.SAMPLE_SEED, task_id=TASK_ID, draw=bucket_sample)
+
+
 def q_category_action_counts(spark, sf_dir):
     return categories.category_action_counts(_filtered(spark, sf_dir))
 
@@ -381,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "session_stat": q_session_stat,
     "session_quota": q_session_quota,
     "session_sample": q_session_sample,
+    "session_sample_buckets": q_session_sample_buckets,
     "category_action_counts": q_category_action_counts,
     "category_top10": q_category_top10,
     "category_session_top10": q_category_session_top10,

@@ -166,10 +166,11 @@ def session_quota(actions: DataFrame, total: int = SAMPLE_SIZE) -> DataFrame:
 
 
 def session_sample(actions: DataFrame, total: int = SAMPLE_SIZE, seed: str = "0",
-                   task_id: str | None = None) -> DataFrame:
-    """The proportional sample of session summaries (random_session_info)."""
+                   task_id: str | None = None, draw=proportional_sample) -> DataFrame:
+    """The proportional sample of session summaries (random_session_info);
+    ``draw``: ``proportional_sample`` or, with the same rows, ``bucket_sample``."""
     b = session_bounds(actions).withColumn("day_hour", F.substring("start_time", 1, 13))
-    drawn = proportional_sample(b, "day_hour", "session_id", total, seed)
+    drawn = draw(b, "day_hour", "session_id", total, seed)
     # Proven size bound: sum over hours of round(n_h / n * total) is at most
     # total + (number of start hours) / 2, whatever the log size.
     ids = F.broadcast(drawn.select("session_id"))
