@@ -17,7 +17,7 @@ What is forgotten is the caller's choice:
 
 A blocked user's flag never expires. Output rows: ``click`` (kept), ``block``,
 ``count`` (the new running count of a touched cell) and ``late``, landed by one
-write per micro-batch that a replay overwrites. A user's rows stream through one
+write per micro-batch, once. A user's rows stream through one
 task one by one, between Arrow batches that hold many users; memory is bounded by
 the cells a batch touches, not by its rows.
 """
@@ -36,6 +36,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from shoplens.plans.ads import BLACKLIST_THRESHOLD
 from shoplens.session import prepare
+from shoplens.streaming.landing import land_once
 from shoplens.streaming.totals import seconds
 
 CLICK = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
@@ -129,7 +130,7 @@ def start_blacklist_cells(clicks: DataFrame, out_dir: str, checkpoint: str, thre
     prepare(clicks.sparkSession)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").partitionBy("kind").parquet(os.path.join(out_dir, "log", f"batch_id={batch_id}"))
+        land_once(df, os.path.join(out_dir, "log", f"batch_id={batch_id}"))
 
     return (blacklist_rows(clicks, threshold, lateness, ttl).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).foreachBatch(sink)

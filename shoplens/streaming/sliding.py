@@ -40,6 +40,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from shoplens.functions import pairs_json
 from shoplens.session import prepare
+from shoplens.streaming.landing import land_once
 from shoplens.streaming.totals import seconds
 
 MINUTE_MS = 60_000
@@ -195,7 +196,7 @@ def start_sliding(clicks: DataFrame, out_dir: str, checkpoint: str, slide: str =
     prepare(clicks.sparkSession)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").partitionBy("kind").parquet(os.path.join(out_dir, "log", f"batch_id={batch_id}"))
+        land_once(df, os.path.join(out_dir, "log", f"batch_id={batch_id}"))
 
     return (sliding_rows(clicks, slide, length, lateness, arrival, parts).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).foreachBatch(sink)

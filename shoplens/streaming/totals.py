@@ -35,6 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.plans.ads import TOP_ADS
 from shoplens.session import prepare
+from shoplens.streaming.landing import exists
 
 KEYS = ["day", "area", "city", "ads_id"]
 GRAINS = ("city", "area")
@@ -135,7 +136,7 @@ def start_totals(clicks: DataFrame, out_dir: str, checkpoint: str, lateness: str
         closed = spark.sql(f"SELECT date_format(timestamp_micros({watermark(spark, batch_id - 2)}) "
                            "- INTERVAL 1 DAY, 'yyyy-MM-dd')").first()[0]
         before = os.path.join(out_dir, "log", f"batch_id={batch_id - 1}", "kind=top")
-        lists = (spark.read.schema(TOP_SCHEMA).parquet(before) if _exists(spark, before)
+        lists = (spark.read.schema(TOP_SCHEMA).parquet(before) if exists(spark, before)
                  else spark.createDataFrame([], TOP_SCHEMA))
         df.createOrReplaceTempView("_totals_batch")
         lists.createOrReplaceTempView("_totals_top")
@@ -149,11 +150,6 @@ def start_totals(clicks: DataFrame, out_dir: str, checkpoint: str, lateness: str
             .foreachBatch(sink).trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def dropped_keys(query: StreamingQuery) -> int:
     """Keys of late clicks that the query's state refused, from its own metrics
     (the last progress reports that Spark keeps)."""

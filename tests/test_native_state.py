@@ -407,3 +407,16 @@ def test_sliding_stream_by_arrival_runs_on_the_clock(spark):
 def test_a_slide_that_does_not_fit_minutes_is_refused(spark):
     with pytest.raises(ValueError):
         sliding.sliding_rows(stream_of(spark, "/root/testdata/sf0.001"), "7 seconds")
+
+
+def test_a_complete_batch_is_not_written_again(spark):
+    from shoplens.streaming.landing import land_once
+    path = run_dir() + "/batch_id=0"
+    df = spark.range(3).selectExpr("id", "'click' as kind")
+    land_once(df, path)
+    names = sorted(os.listdir(path + "/kind=click"))
+    land_once(df, path)
+    assert sorted(os.listdir(path + "/kind=click")) == names
+    os.unlink(path + "/_SUCCESS")  # a try that did not come to its end
+    land_once(df, path)
+    assert sorted(os.listdir(path + "/kind=click")) != names and spark.read.parquet(path).count() == 3
