@@ -39,23 +39,51 @@ led as (
     + case when word_chars < 2 * n_words or word_chars > 25 * n_words then 16 else 0 end
     + case when 4 * n_shouts > n_words then 32 else 0 end as int) as failures from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failures & 3) <> 0 as base_failed, failures = 0 as kept, failures from led
+       (failures & 3) <> 0 as base_failed, failures = 0 as kept, failures,
+       case failures when 1 then 'min_words' when 2 then 'repeat_words' when 4 then 'symbols' when 8 then 'dup_lines'
+                     when 16 then 'word_length' when 32 then 'shouting' end as alone,
+       case when failures in (1, 2, 4, 8, 16, 32) then count(*) over (partition by failures) end as alone_docs,
+       case when failures in (1, 2, 4, 8, 16, 32)
+            then cast(sum(n_words) over (partition by failures) as bigint) end as alone_words
+from led
 """
 
 OP10_SQL = r"""
 with p as (
-  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+  select page_id, url, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 d as (
-  select page_id, octet_length(encode(html)) as n,
+  select page_id, url, html, octet_length(encode(html)) as n,
          list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            cast((cast('0x' || substr(h, cast(5 * (i // 4) + 1 as bigint), 5) as bigint)
                  >> cast(5 * (3 - i % 4) as bigint)) & 31 as bigint) + 1, 1)), 'string_agg', '') as digest
   from p),
-f as (select *, min(page_id) over (partition by digest) as first from d)
-select page_id, cast(n as bigint) as payload_bytes, digest as payload_digest,
+f as (
+  select *, first_value(page_id) over w as first, first_value(url) over w as first_url
+  from d window w as (partition by digest order by page_id)),
+i as (
+  select *, md5(concat(coalesce(cast(page_id as varchar), '-'), chr(10), coalesce(url, '-'), chr(10), '1')) as own,
+         md5(concat(coalesce(cast(first as varchar), '-'), chr(10), coalesce(first_url, '-'), chr(10), '1')) as other
+  from f),
+t as (
+  select *, page_id <> first as again, chr(13) || chr(10) as nl,
+         concat('<urn:uuid:', own[1:8], '-', own[9:12], '-', own[13:16], '-', own[17:20], '-', own[21:32], '>') as own_id,
+         concat('<urn:uuid:', other[1:8], '-', other[9:12], '-', other[13:16], '-', other[17:20], '-', other[21:32], '>') as other_id
+  from i),
+r as (
+  select *, concat('WARC/1.1', nl, 'WARC-Type: ', if(again, 'revisit', 'response'), nl, 'WARC-Record-ID: ', own_id, nl,
+      'WARC-Date: 1970-01-01T00:00:00Z', nl,
+      if(url is null, '', 'WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A') || nl),
+      'WARC-Payload-Digest: sha1:', digest, nl,
+      if(again, 'WARC-Refers-To: ' || other_id || nl
+        || 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl
+        || 'Refers-To-Page: ' || first || nl, ''),
+      'Page: ', page_id, nl, 'Content-Type: text/html; charset=utf-8', nl,
+      'Content-Length: ', if(again, 0, n), nl, nl, if(again, '', html), nl, nl) as record
+  from t)
+select page_id, cast(octet_length(encode(record)) as bigint) as record_bytes, sha256(record) as record_sha256, cast(n as bigint) as payload_bytes, digest as payload_digest,
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id = first then null else first end as refers_to
-from f
+from r
 """
 
 OP12_SQL = r"""

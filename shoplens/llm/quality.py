@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import map_arrow, read, schema_with, text_batches
+from shoplens.llm.common import map_arrow, read, schema_with, staged, text_batches
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -120,9 +120,20 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_ledger(docs, prefix="__").where(passes(V1, "__")).select(*docs.columns)
 
 
+def alone(policy: Policy):
+    """Column: the one rule of the policy that a text fails, null if none or more."""
+    order, bits = list(RULES), F.col("failures").bitwiseAND(F.lit(policy.mask))
+    return F.coalesce(*[F.when(bits == (1 << order.index(r)), F.lit(r)) for r in policy.rules])
+
+
 def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of all documents with the verdicts of the base rules and policy v1."""
-    led = with_ledger(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return led.select("doc_id", *MEASURES[:5],
-                      (~passes(BASE)).alias("base_failed"),
-                      (passes(BASE) & passes(V1)).alias("kept"), "failures")
+    """Ledger of all documents with the verdicts of the base rules and policy v1,
+    and for a document that one rule alone rejects, that rule with its ablation:
+    the documents and words that policy v1 would regain without it."""
+    led = staged(spark, with_ledger(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "ledger")
+    # one row per rule of the policy
+    without = ablation(led, V1).select(F.col("rule").alias("alone"), F.col("failed_alone").alias("alone_docs"),
+                                       F.col("words_regained").alias("alone_words"))
+    return led.withColumn("alone", alone(V1)).join(F.broadcast(without), "alone", "left").select(
+        "doc_id", *MEASURES[:5], (~passes(BASE)).alias("base_failed"), (passes(BASE) & passes(V1)).alias("kept"),
+        "failures", "alone", "alone_docs", "alone_words")

@@ -26,6 +26,8 @@ from shoplens.session import shared_dir
 
 MIN_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"  # pages carry no fetch time
+# fixed value: what a revisit of WARC/1.1 with an equal payload must name
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32_HEX, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -85,6 +87,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> No
         ("WARC-Target-URI", safe),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
         ("WARC-Refers-To", F.when(revisit, record_id(F.col("first_page"), F.col("first_url"), one))),
+        ("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         ("Refers-To-Page", F.when(revisit, F.col("first_page"))),
         ("Page", F.col("page_id")),
         ("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -105,18 +108,21 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed headers joined with what their payloads measure."""
+    """Parsed headers joined with what their payloads measure, and ``record``, the
+    original record; where it is not asked for, no payload is shuffled."""
     head = F.decode("header", "UTF-8")
     records = (spark.read.schema("digest string, header binary").parquet(os.path.join(path, "records"))
                .select("digest", "header", *[field(head, name).alias(out) for name, out in (
                    ("WARC-Type", "record_type"), ("Page", "page"), ("Refers-To-Page", "refers"),
                    ("WARC-Payload-Digest", "said"))]))
-    payloads = read_payloads(spark, path).select("digest", "sha1", "n_bytes")
+    payloads = read_payloads(spark, path)
+    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     said = F.when(F.col("said") == F.concat(F.lit("sha1:"), "sha1"), F.col("sha1")).otherwise(
         F.raise_error(F.lit("a header's payload digest does not match the stored payload")))
     return records.join(payloads, "digest").select(
         F.col("page").cast("long").alias("page_id"), F.col("n_bytes").alias("payload_bytes"),
-        said.alias("payload_digest"), "record_type", F.col("refers").cast("long").alias("refers_to"), "header")
+        said.alias("payload_digest"), "record_type", F.col("refers").cast("long").alias("refers_to"), "header",
+        F.concat("header", block, F.lit(b"\r\n\r\n")).alias("record"))
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
@@ -131,8 +137,10 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op10_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written to an archive in the shared folder and read back."""
+    """All pages written to an archive in the shared folder and read back, with the
+    size and digest of every rebuilt record."""
     path = os.path.join(shared_dir(spark), "llm", f"warc-{uuid.uuid4().hex}")
     write_archive(read(spark, sf_dir, "pages"), path)
     return read_records(spark, path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        F.octet_length("record").cast("long").alias("record_bytes"), F.sha2("record", 256).alias("record_sha256"))

@@ -319,3 +319,40 @@ def test_ordered_rank_splits_a_hot_group(spark):
     df = spark.range(20_000).selectExpr("'g' as g", "cast(id / 4 as long) as k", "id as row")
     ranked = merkle.ordered_rank(spark, df, "g", ["k", "row"])
     assert ranked.where("idx <> row or n <> 20000").count() == 0
+
+
+# --- the halves of earlier operators that their queries now show ----------------------------
+
+def test_op3_shows_the_ablation_of_the_rule_that_alone_rejects(spark, folder):
+    from shoplens.llm import quality
+    got = run(spark, folder, "op3_rule_ledger")
+    order = list(quality.RULES)
+    for r in got:
+        bits = [i for i in range(len(order)) if r["failures"] >> i & 1]
+        if len(bits) != 1:
+            assert r["alone"] is None and r["alone_docs"] is None and r["alone_words"] is None
+            continue
+        same = [x for x in got if x["failures"] == r["failures"]]
+        assert (r["alone"], r["alone_docs"], r["alone_words"]) == (order[bits[0]], len(same), sum(x["n_words"] for x in same))
+    assert len({r["alone"] for r in got}) > 2
+
+
+def test_op10_rebuilds_every_record(spark, tmp_path):
+    pages = [(1, "u1", "<p>a</p>", "x", 1), (2, "u\r\n2", "<p>a</p>", "x", 1), (3, None, "é", "x", 1), (4, "u4", None, "x", 1)]
+    got = {r["page_id"]: r for r in run(spark, write(spark, tmp_path, pages=pages), "op10_content_addressed_warc")}
+
+    def uuid(page, url):
+        h = hashlib.md5(f"{page}\n{url or '-'}\n1".encode()).hexdigest()
+        return f"<urn:uuid:{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}>"
+
+    for page, url, html, *_ in pages:
+        r, body, again = got[page], (html or "").encode(), page == 2
+        lines = ["WARC/1.1", f"WARC-Type: {'revisit' if again else 'response'}", f"WARC-Record-ID: {uuid(page, url)}",
+                 "WARC-Date: 1970-01-01T00:00:00Z"]
+        lines += [f"WARC-Target-URI: {url}".replace("\r", "%0D").replace("\n", "%0A")] if url else []
+        lines += [f"WARC-Payload-Digest: sha1:{r['payload_digest']}"]
+        lines += [f"WARC-Refers-To: {uuid(1, 'u1')}",
+                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "Refers-To-Page: 1"] if again else []
+        lines += [f"Page: {page}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {0 if again else len(body)}", "", ""]
+        record = "\r\n".join(lines).encode() + (b"" if again else body) + b"\r\n\r\n"
+        assert (r["record_bytes"], r["record_sha256"]) == (len(record), hashlib.sha256(record).hexdigest())
