@@ -6,7 +6,9 @@ deleted, and the two neighbouring ranks are refreshed, until no pair can merge.
 Words longer than ``SHORT`` parts take the same merges from a heap, so a very
 long word does not cost its length squared. Splitting and normalisation follow
 the file: special strings are cut out first, then NFC and lower case, then the
-split pattern; each word's last byte carries the end-of-word suffix.
+split pattern; each word's last byte carries the end-of-word suffix. Characters
+newer than Python's Unicode tables are asked of the tokenizers library, whose
+tables are newer (``known_points``). Repeated rows each give their ids.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from shoplens.llm.common import map_arrow, read, schema_with, text_batches
 from shoplens.llm.packing import byte_alphabet
@@ -30,6 +33,40 @@ TOKENIZER = "word_bpe_49k.json"
 SHORT = 96
 CACHED_WORDS = 200_000
 NEVER = 1 << 30
+SPACE, LETTER, NUMBER, OTHER = range(4)  # how the split pattern takes a character
+_PATTERN = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_STAND_INS = {SPACE: " ", LETTER: "\u00e9", NUMBER: "1", OTHER: "!"}  # known ones that no contraction holds
+
+
+@lru_cache(maxsize=1)
+def known_points() -> np.ndarray:
+    """Whether Python's Unicode tables have each code point. For those, the
+    library and Python agree on normalisation and classes; for the others,
+    which the library may know, it is asked."""
+    return np.array([unicodedata.category(chr(c)) != "Cn" for c in range(0x110000)])
+
+
+def newer_points(text: str) -> np.ndarray:
+    """The code points of a text that Python's tables have not."""
+    if text.isascii():
+        return np.zeros(0, np.uint32)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return points[~known_points()[points]]
+
+
+@lru_cache(maxsize=1)
+def _library():
+    return (normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]),
+            pre_tokenizers.Split(Regex(_PATTERN), "removed", invert=True))
+
+
+@lru_cache(maxsize=1 << 16)
+def newer_kind(point: int) -> int:
+    """The class that the library's split gives a code point Python's tables have not."""
+    split = _library()[1].pre_tokenize_str
+    if len(split(f"a{chr(point)}a")) == 1:
+        return LETTER
+    return {1: OTHER, 2: SPACE, 3: NUMBER}[len(split(f"!{chr(point)}!"))]
 
 
 class WordBPE(dict):
@@ -111,9 +148,17 @@ class WordBPE(dict):
     def encode(self, text: str) -> bytes:
         pieces = self.split.split(text) if "<|" in text else [text]
         return b"".join([self.special_ids[p] if p in self.special_ids
-                         else b"".join(map(self.__getitem__, self.words.findall(normalised(p))))
+                         else b"".join(map(self.__getitem__, self.words_of(normalised(p))))
                          for p in pieces])
 
+    def words_of(self, text: str) -> list[str]:
+        """The words of a normalised text; a newer character is cut like a known one of its class."""
+        newer = set(newer_points(text).tolist())
+        if not newer:
+            return self.words.findall(text)
+        like = text.translate({c: _STAND_INS[newer_kind(c)] for c in newer})
+        return [text[m.start():m.end()] for m in self.words.finditer(like)]
+
     def decode(self, ids: np.ndarray) -> str:
         """The file names no decoder, so tokens are joined with spaces."""
         return " ".join(map(self.token.__getitem__, ids.tolist()))
@@ -121,6 +166,8 @@ class WordBPE(dict):
 
 def normalised(text: str) -> str:
     """NFC, then each character in lower case by itself (a final sigma is no exception)."""
+    if len(newer_points(text)):
+        return _library()[0].normalize_str(text)
     text = unicodedata.normalize("NFC", text)
     return text.replace("Σ", "σ").lower()
 

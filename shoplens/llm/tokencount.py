@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import map_arrow, read, schema_with, text_batches
-from shoplens.llm.rankbpe import WordBPE, normalised
+from shoplens.llm.rankbpe import LETTER, NUMBER, OTHER, SPACE, WordBPE, known_points, newer_kind, normalised
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -36,7 +36,7 @@ CHUNK = 64
 MAX_TRANSITIONS = 1_000_000
 MAX_WORDS = 200_000
 
-SPACE, LETTER, NUMBER, OTHER, APOSTROPHE_2, APOSTROPHE_3 = range(6)
+APOSTROPHE_2, APOSTROPHE_3, UNKNOWN = 4, 5, 6
 BETWEEN, IN_LETTERS, IN_OTHER, ONE_MORE, TWO_MORE = range(5)
 # white space of the split pattern (fixed values: the Unicode property White_Space)
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -66,20 +66,27 @@ STEP, BEGINS = split_tables()
 
 @lru_cache(maxsize=1)
 def char_classes() -> np.ndarray:
-    """Class of every code point."""
+    """Class of every code point; those that Python's tables have not are filled in as they are met."""
     table = np.full(0x110000, OTHER, dtype=np.uint8)
     kinds = {"L": LETTER, "N": NUMBER}
     for c in range(0x110000):
         kind = kinds.get(unicodedata.category(chr(c))[0])
         if kind is not None:
             table[c] = kind
+    table[~known_points()] = UNKNOWN
     table[WHITE] = SPACE
     return table
 
 
 def classify(points: np.ndarray) -> np.ndarray:
     """Classes of the characters; an apostrophe that opens a contraction has a class of its own."""
-    kinds = char_classes()[points]
+    table = char_classes()
+    kinds = table[points]
+    newer = points[kinds == UNKNOWN]
+    if len(newer):
+        for c in np.unique(newer).tolist():
+            table[c] = newer_kind(c)
+        kinds = table[points]
     at = np.flatnonzero(points == ord("'"))
     if len(at):
         padded = np.append(points, [0, 0])
