@@ -19,7 +19,8 @@ segment distances name, after all 64 bits are compared.
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
+FOREST_NODES = 1_000_000  # fingerprints whose classes a task remembers while it thins its links
+HOT_SHARE = 1000  # a class with more than one in so many fingerprints is hot: there are fewer such classes
 MASK_A, MASK_B, MASK_R = ((1 << 23) - 1) << 41, ((1 << 23) - 1) << 18, (1 << 18) - 1
 
 
@@ -162,6 +165,48 @@ def near_pairs(fps: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
+def forest(pairs: Iterator[tuple[int, int]], limit: int = FOREST_NODES) -> Iterator[tuple[int, int]]:
+    """The pairs that join two classes not yet joined by earlier ones: a spanning
+    forest, fewer than one pair per node. Past ``limit`` nodes the memory starts
+    afresh, which leaves more pairs in but never loses a class."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for a, b in pairs:
+        if len(parent) > limit:
+            parent.clear()
+        a_top, b_top = root(a), root(b)
+        if a_top != b_top:
+            parent[max(a_top, b_top)] = min(a_top, b_top)
+            yield a, b
+
+
+def thinned(pairs: DataFrame) -> DataFrame:
+    """(a, b) links with the same classes as ``pairs``, a spanning forest of what
+    each task verifies: a dense class of n members writes at most n - 1 links a
+    task, not the square of n."""
+    def run(batches):
+        # batch by batch, so the verified pairs themselves are never held
+        for part in _chunks(forest((a, b) for batch in batches for a, b in
+                                   zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))):
+            a, b = zip(*part)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return map_arrow(pairs.select("a", "b"), run, "a long, b long")
+
+
+def _chunks(rows: Iterator[tuple], size: int = 10_000) -> Iterator[list[tuple]]:
+    while part := list(islice(rows, size)):
+        yield part
+
+
 def components(spark: SparkSession, pairs: DataFrame) -> DataFrame:
     """(node, label) for every node of ``pairs`` but the labels themselves: the
     smallest node reachable. Large-star and small-star steps in turn, each round
@@ -188,13 +233,22 @@ def components(spark: SparkSession, pairs: DataFrame) -> DataFrame:
 def classes(spark: SparkSession, fingerprints: DataFrame, key: str = "doc_id") -> DataFrame:
     """(fp, label, component_id) for every different fingerprint of a stored
     (key, fp) table: the smallest fingerprint and the smallest key reachable
-    over links of at most 4 bits; the key is null only where none is set."""
+    over links of at most 4 bits; the key is null only where none is set. Rows
+    of hot classes (at most HOT_SHARE of them) get their class's key by
+    broadcast, so no class is dealt to one task."""
     reps = staged(spark, fingerprints.groupBy("fp").agg(F.min(key).alias("rep")), "fingerprints")
-    links = components(spark, near_pairs(reps.select("fp")))
-    labelled = (reps.join(links, reps["fp"] == links["node"], "left")
-                .select("fp", "rep", F.coalesce("label", "fp").alias("label")))
-    best = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
-    return labelled.join(best, "label").select("fp", "label", "component_id")
+    links = components(spark, thinned(near_pairs(reps.select("fp"))))
+    labelled = staged(spark, reps.join(links, reps["fp"] == links["node"], "left")
+                      .select("fp", "rep", F.coalesce("label", "fp").alias("label")), "labels")
+    best = labelled.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    total = labelled.agg(F.count(F.lit(1))).scalar()
+    is_hot = F.col("members") * HOT_SHARE > total
+    best = staged(spark, best, "classes")
+    hot, other = (best.where(x).drop("members") for x in (is_hot, ~is_hot))
+    names = ["fp", "label", "component_id"]
+    of_hot = labelled.join(F.broadcast(hot), "label").select(*names)
+    rest = labelled.join(F.broadcast(hot.select("label")), "label", "left_anti")
+    return of_hot.unionByName(rest.join(other, "label").select(*names))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -200,6 +200,34 @@ def test_near_pairs_equal_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == want and len(want) > 100
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=60), st.sampled_from([3, 1000]))
+def test_forest_keeps_the_classes(pairs, limit):
+    def labels(links):
+        of = {x: x for x in range(13)}
+        for _ in range(13):
+            for a, b in links:
+                of[a] = of[b] = min(of[a], of[b])
+        return of
+
+    kept = list(golay.forest(iter(pairs), limit))
+    assert labels(kept) == labels(pairs)
+    assert limit < 1000 or len(kept) < 13
+
+
+def test_a_dense_class_writes_few_links(spark):
+    """All vectors within 2 bits of a centre: 2,081 members, every pair within 4 bits."""
+    centre = 0x1234_5678_9ABC_DEF0
+    near = [centre] + [centre ^ 1 << i for i in range(64)] + [centre ^ 1 << i ^ 1 << j for i, j in combinations(range(64), 2)]
+    fps = np.array(near, dtype=np.uint64).view(np.int64).tolist()
+    table = spark.createDataFrame([(i, f) for i, f in enumerate(fps)] + [(5000, 0)], "doc_id long, fp long")
+    links = golay.thinned(golay.near_pairs(table.select("fp")))
+    parts = links.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert parts and all(r["count"] < len(fps) for r in parts)
+    got = golay.classes(spark, table).collect()
+    assert sorted((r.component_id, r.fp == 0) for r in got) == [(0, False)] * len(fps) + [(5000, True)]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, x) for x in range(6, 40)] + [(50, 51), (51, 52), (50, 52)]
     got = dict(map(tuple, golay.components(spark, spark.createDataFrame(edges, "a long, b long")).collect()))
