@@ -21,6 +21,9 @@ from pyspark.sql.window import Window
 from shoplens.llm.common import WordHasher, map_arrow, mix, read, schema_with, staged, text_batches, word_hashes
 
 BITS = 256
+# the search: differing bits of two fingerprints whose terms' weights have a cosine c are about BITS * acos(c) / pi,
+# so 7 bits are a cosine of 0.996; 8 blocks of 32 bits then make 8 tables, each led by another block
+RADIUS, BLOCKS = 7, 8
 _TERMS_AT_ONCE = 512  # their unpacked bits stay in a core's cache
 _HASHER = WordHasher()
 
@@ -151,27 +154,78 @@ def block_keys(fps: DataFrame, radius: int, blocks: int, column: str = "fingerpr
     return fps.select(column, F.explode(F.array(*tables)).alias("k")).select(column, "k.*")
 
 
-def near_fingerprints(fps: DataFrame, radius: int = 6, blocks: int = 8,
+def _words(fingerprint) -> list:
+    """The 64-bit words of a fingerprint column, as longs."""
+    return [F.conv(F.hex(F.substring(fingerprint, 8 * k + 1, 8)), 16, -10).cast("long") for k in range(BITS // 64)]
+
+
+def _first_table(table, differ: list, radius: int, blocks: int):
+    """Column: ``table`` is the first one whose kept blocks are all without a
+    differing bit (``differ``: the words of a XOR b), so a pair counts once."""
+    width = BITS // blocks
+
+    def same(block: int):
+        at, size = divmod(block * width, 64)
+        if width >= 64:
+            return F.greatest(*[differ[at + i] != 0 for i in range(width // 64)], F.lit(False)) == F.lit(False)
+        mask = (1 << width) - 1
+        return F.shiftrightunsigned(differ[at], 64 - width - size).bitwiseAND(F.lit(mask)) == 0
+
+    first = F.lit(False)
+    for t, kept in enumerate(combinations(range(blocks), blocks - radius)):
+        clear = table == t
+        for block in range(kept[-1]):
+            if block not in kept:
+                clear = clear & ~same(block)
+        first = first | clear
+    return first
+
+
+def near_words(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, column: str = "fingerprint") -> DataFrame:
+    """All pairs (a < b as words, bits) of different fingerprints within ``radius``
+    bits; a and b are structs of 64-bit words. Copies and nulls are taken out first;
+    candidates meet in a block table on the whole permuted prefix, are verified bit
+    by bit in the join, and count in their first common table only, so nothing is
+    shuffled after the join. Complete for every radius below ``blocks`` (pigeonhole)."""
+    keys = block_keys(fps.select(column).where(F.col(column).isNotNull()).distinct(), radius, blocks, column)
+    names = [f"w{k}" for k in range(BITS // 64)]
+
+    def side(prefix: str) -> DataFrame:
+        return keys.select("table", "prefix", *[w.alias(n) for w, n in zip(_words(F.col(column)), names)]).select(
+            "table", "prefix", F.struct(*names).alias(prefix))
+
+    differ = [F.col(f"a.{n}").bitwiseXOR(F.col(f"b.{n}")) for n in names]
+    bits = sum((F.bit_count(x) for x in differ), F.lit(0))
+    near = (F.col("a") < F.col("b")) & (bits <= radius) & _first_table(F.col("table"), differ, radius, blocks)
+    return side("a").join(side("b"), ["table", "prefix"]).where(near).select("a", "b", bits.cast("int").alias("bits"))
+
+
+def _joined(words):
+    """The binary fingerprint of a struct of words."""
+    return F.concat(*[F.unhex(F.lpad(F.hex(words[f"w{k}"]), 16, "0")) for k in range(BITS // 64)])
+
+
+def near_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
                       column: str = "fingerprint") -> DataFrame:
-    """All pairs (a < b, bits) of different fingerprints within ``radius`` bits.
+    """``near_words`` with the fingerprints as binary columns a < b (bytewise)."""
+    x, y = _joined(F.col("a")), _joined(F.col("b"))
+    pairs = near_words(fps, radius, blocks, column).select(x.alias("x"), y.alias("y"), "bits")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "bits")
 
-    Copies are collapsed first; candidates meet in a block table on the whole
-    permuted prefix, are verified bit by bit in the join, and a pair is kept
-    once. Complete for every radius below ``blocks`` (pigeonhole).
-    """
-    keys = block_keys(fps.select(column).where(F.col(column).isNotNull()).distinct(),
-                      radius, blocks, column)
-    a = keys.withColumnRenamed(column, "a")
-    b = keys.withColumnRenamed(column, "b")
-    bits = F.round((1.0 - likeness(F.col("a"), F.col("b"))) * BITS).cast("int")
-    return (a.join(b, ["table", "prefix"]).where((F.col("a") < F.col("b")) & (bits <= radius))
-            .select("a", "b", bits.alias("bits")).distinct())
+
+def near_counts(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, column: str = "fingerprint") -> DataFrame:
+    """(column, near): how many other fingerprints lie within ``radius`` bits, for
+    those that have one. Counted per task before the shuffle: no pair is written."""
+    ends = near_words(fps, radius, blocks, column).select(F.explode(F.array("a", "b")).alias("at"))
+    return (ends.groupBy("at").agg(F.count(F.lit(1)).alias("near"))
+            .select(_joined(F.col("at")).alias(column), "near"))
 
 
 def op1_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its text with the last half replaced
-    by the next document's beginning. Null texts read as empty; with one
-    document the next is itself; repeated rows each give a row."""
+    by the next document's beginning, with the likenesses and the number of other
+    fingerprints of the table within RADIUS bits. Null texts read as empty; with
+    one document the next is itself; repeated rows each give a row."""
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(docs, "doc_id", ["text", "fp"],
@@ -183,8 +237,12 @@ def op1_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "fp", "next_fp",
                        edited.alias("edited"))
     rows = with_fingerprint(rows, "edited", "edited_fp")
-    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       F.lower(F.hex("fp")).alias("fingerprint"),
-                       F.lower(F.hex("edited_fp")).alias("edited_fingerprint"),
-                       likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-                       likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+    found = staged(spark, rows.select("doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+                                      "fp", "edited_fp", likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+                                      likeness(F.col("fp"), F.col("next_fp")).alias("near_next")), "found")
+    # (stored: by its file size Spark sees beforehand whether this table can be broadcast)
+    near = staged(spark, near_counts(found, column="fp"), "near")
+    return found.join(near, "fp", "left").select(
+        "doc_id", "n_chars", *[F.lower(F.hex(c)).alias(name) for c, name in (
+            ("edited_sha256", "edited_sha256"), ("fp", "fingerprint"), ("edited_fp", "edited_fingerprint"))],
+        "near_edited", "near_next", F.coalesce("near", F.lit(0)).alias("near_fingerprints"))

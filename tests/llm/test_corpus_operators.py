@@ -234,9 +234,10 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {**{i: 100 for i in range(101, 161)}, **{x: 5 for x in range(6, 40)}, 51: 50, 52: 50}
 
 
-def test_near_fingerprints_equal_brute_force(spark):
+@pytest.mark.parametrize("radius,blocks", [(7, 8), (6, 8), (3, 4)])
+def test_near_fingerprints_equal_brute_force(spark, radius, blocks):
     rng = np.random.default_rng(8)
-    fps = [rng.bytes(32) for _ in range(10)]
+    fps = [rng.bytes(32) for _ in range(10)] + [bytes(32), b"\xff" * 32]
     for f in list(fps):
         for _ in range(8):
             x = bytearray(f)
@@ -245,10 +246,12 @@ def test_near_fingerprints_equal_brute_force(spark):
             fps.append(bytes(x))
     fps = sorted(set(fps))
     want = {(a, b): d for a, b in combinations(fps, 2)
-            if (d := (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()) <= 6}
+            if (d := (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()) <= radius}
     frame = spark.createDataFrame([(bytearray(f),) for f in fps * 2] + [(None,)], "fingerprint binary")
-    got = {(bytes(r["a"]), bytes(r["b"])): r["bits"] for r in fingerprints.near_fingerprints(frame).collect()}
-    assert got == want and want
+    rows = fingerprints.near_fingerprints(frame, radius, blocks).collect()
+    assert {(bytes(r["a"]), bytes(r["b"])): r["bits"] for r in rows} == want and len(rows) == len(want) > 0
+    near = {bytes(r["fingerprint"]): r["near"] for r in fingerprints.near_counts(frame, radius, blocks).collect()}
+    assert near == Counter(x for pair in want for x in pair)
 
 
 @pytest.mark.parametrize("with_null", [False, True])

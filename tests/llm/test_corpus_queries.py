@@ -71,6 +71,10 @@ def test_op1(spark, folder, docs):
             t, n = unique[a], len(unique[a])
             edited = t[:n - n // 2] + unique[b][:n // 2]
             assert by_id[a]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+    every = {int(r["fingerprint"], 16) for r in got}
+    for r in got:
+        f = int(r["fingerprint"], 16)
+        assert r["near_fingerprints"] == sum(0 < (f ^ x).bit_count() <= 7 for x in every)
     seen = {}
     for r in got:
         if r["doc_id"] in unique:
