@@ -189,15 +189,15 @@ def near_words(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, colum
     shuffled after the join. Complete for every radius below ``blocks`` (pigeonhole)."""
     keys = block_keys(fps.select(column).where(F.col(column).isNotNull()).distinct(), radius, blocks, column)
     names = [f"w{k}" for k in range(BITS // 64)]
-
-    def side(prefix: str) -> DataFrame:
-        return keys.select("table", "prefix", *[w.alias(n) for w, n in zip(_words(F.col(column)), names)]).select(
-            "table", "prefix", F.struct(*names).alias(prefix))
-
-    differ = [F.col(f"a.{n}").bitwiseXOR(F.col(f"b.{n}")) for n in names]
-    bits = sum((F.bit_count(x) for x in differ), F.lit(0))
-    near = (F.col("a") < F.col("b")) & (bits <= radius) & _first_table(F.col("table"), differ, radius, blocks)
-    return side("a").join(side("b"), ["table", "prefix"]).where(near).select("a", "b", bits.cast("int").alias("bits"))
+    # both sides are the same plan, so their exchange is written once
+    sides = keys.select("table", "prefix", *[w.alias(n) for w, n in zip(_words(F.col(column)), names)])
+    x, y = sides.alias("x"), sides.alias("y")
+    a, b = (F.struct(*[F.col(f"{side}.{n}").alias(n) for n in names]) for side in "xy")
+    differ = [F.col(f"x.{n}").bitwiseXOR(F.col(f"y.{n}")) for n in names]
+    bits = sum((F.bit_count(d) for d in differ), F.lit(0))
+    meet = (F.col("x.table") == F.col("y.table")) & (F.col("x.prefix") == F.col("y.prefix"))
+    near = (a < b) & (bits <= radius) & _first_table(F.col("x.table"), differ, radius, blocks)
+    return x.join(y, meet).where(near).select(a.alias("a"), b.alias("b"), bits.cast("int").alias("bits"))
 
 
 def _joined(words):
