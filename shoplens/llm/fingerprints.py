@@ -189,7 +189,6 @@ def near_words(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, colum
     shuffled after the join. Complete for every radius below ``blocks`` (pigeonhole)."""
     keys = block_keys(fps.select(column).where(F.col(column).isNotNull()).distinct(), radius, blocks, column)
     names = [f"w{k}" for k in range(BITS // 64)]
-    # both sides are the same plan, so their exchange is written once
     sides = keys.select("table", "prefix", *[w.alias(n) for w, n in zip(_words(F.col(column)), names)])
     x, y = sides.alias("x"), sides.alias("y")
     a, b = (F.struct(*[F.col(f"{side}.{n}").alias(n) for n in names]) for side in "xy")
