@@ -148,7 +148,9 @@ def with_simhash(df: DataFrame, text: str = "text", out: str = "fp", shingle: in
 
 def near_pairs(fps: DataFrame) -> DataFrame:
     """Pairs (a < b) of different fingerprints at most 4 bits apart; ``fps`` has
-    each fingerprint once in its only column. A pair may come more than once."""
+    each fingerprint once in its only column. A pair may come more than once.
+    The keys are sorted and merged whatever their estimate, which knows the rows of
+    ``fps`` but not that each gives about 117 keys: a small table would be broadcast."""
     def run(batches):
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)
@@ -160,8 +162,9 @@ def near_pairs(fps: DataFrame) -> DataFrame:
     keys = map_arrow(fps, run, "key long, fp long")
     a, b = keys.select("key", F.col("fp").alias("a")), keys.select("key", F.col("fp").alias("b"))
     x = F.col("a").bitwiseXOR(F.col("b"))
-    return (a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.bit_count(x) <= MAX_BITS)
-                   & (F.shiftright(a["key"], 56) == family_of(x)))
+    return (a.hint("merge").join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b"))
+                                 & (F.bit_count(x) <= MAX_BITS)
+                                 & (F.shiftright(a["key"], 56) == family_of(x)))
             .select("a", "b"))
 
 

@@ -200,6 +200,12 @@ def test_near_pairs_equal_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == want and len(want) > 100
 
 
+def test_keys_of_a_small_table_are_not_broadcast(spark):
+    """A table under the broadcast threshold gives 117 times its rows as keys."""
+    plan = golay.near_pairs(spark.range(1000).select(F.xxhash64("id").alias("fp")))._jdf.queryExecution().executedPlan()
+    assert "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=60), st.sampled_from([3, 1000]))
 def test_forest_keeps_the_classes(pairs, limit):
