@@ -83,23 +83,24 @@ def _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1) ->
 
 def run_lines(lines: DataFrame, folder: str, max_bytes: int) -> str:
     """Land ``value`` lines as files and take them through the offset-addressed
-    source, ``max_bytes`` a start: every start resumes from the checkpoint and ends
-    after its part, until one finds nothing. Returns the folder of clicks (kind
-    good) and bad lines with their reason (kind bad)."""
+    source, ``max_bytes`` a micro-batch, in one query that goes on from part to part
+    until it finds nothing. Returns the folder of clicks (kind good) and bad lines
+    with their reason (kind bad)."""
     spark = lines.sparkSession
     source, ckpt = os.path.join(folder, "lines"), os.path.join(folder, "checkpoints")
     lines.select("value").where("value is not null").write.mode("overwrite").text(source)
-    while True:
-        value = read_line_stream(spark, source, "earliest", max_bytes, os.path.join(ckpt, "positions.json")).select("value")
-        good, bad = parse_ads_lines(value)
-        both = good.select("*", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason")).union(
-            bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in good.columns], "line", "reason"))
-        q = (both.withColumn("kind", F.when(F.col("reason").isNull(), "good").otherwise("bad")).writeStream
-             .format("parquet").partitionBy("kind").option("path", os.path.join(folder, "clicks"))
-             .option("checkpointLocation", os.path.join(ckpt, "lines")).trigger(**AVAILABLE_NOW).start())
-        _await(q)
-        if not sum(p["numInputRows"] for p in q.recentProgress):
-            return os.path.join(folder, "clicks")
+    value = read_line_stream(spark, source, "earliest", max_bytes, os.path.join(ckpt, "positions.json")).select("value")
+    good, bad = parse_ads_lines(value)
+    both = good.select("*", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason")).union(
+        bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in good.columns], "line", "reason"))
+    q = (both.withColumn("kind", F.when(F.col("reason").isNull(), "good").otherwise("bad")).writeStream
+         .format("parquet").partitionBy("kind").option("path", os.path.join(folder, "clicks"))
+         .option("checkpointLocation", os.path.join(ckpt, "lines")).trigger(processingTime="0 seconds").start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return os.path.join(folder, "clicks")
 
 
 # --- the same over native state: folders ``blacklist``, ``totals``, ``sliding`` with ``out`` and ``checkpoint`` ---

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shoplens.sources.line_log import Folder, LineStream, Range, read_line_stream, register
+from shoplens.streaming import runner
 
 
 def run_dir():
@@ -138,6 +139,20 @@ def test_stream_restarts_from_its_offsets(spark):
     assert got.select("file", "position").distinct().count() == 61
 
 
+def test_parts_are_taken_by_one_query(spark, monkeypatch):
+    """A start a part costs more than the part; the micro-batches stay as small."""
+    reads = []
+    monkeypatch.setattr(runner, "read_line_stream", lambda *a: reads.append(a) or read_line_stream(*a))
+    d = run_dir()
+    lines = [f"{i} A c {i} 1" for i in range(40)] + ["bad"]
+    out = runner.run_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), d, 100)
+    got = spark.read.parquet(out)
+    assert sorted(r.user_id for r in got.where("kind = 'good'").collect()) == list(range(40))
+    assert [r.line for r in got.where("kind = 'bad'").collect()] == ["bad"]
+    batches = [x for x in os.listdir(d + "/checkpoints/lines/commits") if x.isdigit()]
+    assert len(reads) == 1 and len(batches) >= 4
+
+
 def test_batch_read(spark):
     d = run_dir()
     put(d, "a", "ä\nb\n".encode())
