@@ -39,6 +39,7 @@ import os
 import warnings
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,33 +77,32 @@ def _blacklist_step(threshold: int, keep_days: int | None):
             totals = dict(zip(keys, counts))
         else:
             totals, blocked, last_ms = {}, False, 0
+        # a user has few rows in a micro-batch: plain loops and columns added in
+        # place, as every step of pandas costs more than the rows it takes
         batch: dict[str, int] = {}
         newest_day = None
         for pdf in chunks:
             if blocked:  # blocked before this batch: drop, do not count
                 continue
             last_ms = max(last_ms, int(pdf["ts"].max().value // 1_000_000))
-            k = pdf["ads_id"].astype("int64").astype(str) + "|" + pdf["day"]
-            for kk, n in k.value_counts().items():
-                batch[kk] = batch.get(kk, 0) + int(n)
-            d = pdf["day"].max()
-            newest_day = d if newest_day is None or d > newest_day else newest_day
-            yield pdf.assign(kind="click", n=None)[["kind", *CLICK_COLUMNS, "n"]]
+            for ad, day in zip(pdf["ads_id"].tolist(), pdf["day"].tolist()):
+                kk = f"{ad}|{day}"
+                batch[kk] = batch.get(kk, 0) + 1
+                newest_day = day if newest_day is None or day > newest_day else newest_day
+            pdf["kind"], pdf["n"] = "click", None
+            yield pdf
         if not blocked and batch:
-            if any(totals.get(kk, 0) > threshold for kk in batch):
-                blocked = True
-                yield pd.DataFrame({
-                    "kind": ["block"], "ts": [pd.NaT], "area": [None], "city": [None],
-                    "user_id": [int(key[0])], "ads_id": [None], "event_id": [None],
-                    "day": [newest_day], "n": [None]})
+            blocked = any(totals.get(kk, 0) > threshold for kk in batch)
+            # what this batch adds to user_ads_count_perday, and the block
+            cells = [(int(ad), day, n) for (ad, day), n in ((kk.split("|", 1), n) for kk, n in batch.items())]
+            rows = [*cells, (None, newest_day, None)] if blocked else cells
+            ads, days, ns = (np.array(x, dtype=object) for x in zip(*rows))
+            none = np.full(len(rows), None)
+            yield pd.DataFrame({
+                "kind": np.array(["count"] * len(cells) + ["block"] * blocked, dtype=object), "ts": pd.NaT, "area": none,
+                "city": none, "user_id": int(key[0]), "ads_id": ads, "event_id": none, "day": days, "n": ns})
             for kk, n in batch.items():
                 totals[kk] = totals.get(kk, 0) + n
-            # what this batch adds to user_ads_count_perday
-            ads, days = zip(*(kk.split("|", 1) for kk in batch))
-            yield pd.DataFrame({
-                "kind": "count", "ts": pd.NaT, "area": None, "city": None,
-                "user_id": int(key[0]), "ads_id": [int(a) for a in ads], "event_id": None,
-                "day": list(days), "n": list(batch.values())})
             if newest_day is not None and keep_days is not None:
                 cut = (pd.Timestamp(newest_day) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
                 totals = {kk: n for kk, n in totals.items() if kk.split("|", 1)[1] >= cut}
