@@ -23,6 +23,8 @@ from shoplens.streaming.replay import read_replay, write_replay
 
 AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
+# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with Python state
+TABLE_ROWS, STATE_ROWS = 25_000, 1_000
 
 
 def _await(q) -> None:
@@ -49,8 +51,19 @@ def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, thresho
     (``applyInPandasWithState``).
     """
     spark = clicks.sparkSession
-    with state_tasks(spark, state_partitions):
-        return _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1)
+    windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
+    rows = TABLE_ROWS if stage1 == "tables" else STATE_ROWS
+    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, rows)):
+        return _run(spark, folder, threshold, keep_days, stage1)
+
+
+def replay_tasks(spark: SparkSession, folder: str, windows: int, least: int | None, rows_per_task: int) -> int:
+    """Tasks per shuffle of a replay: one per ``rows_per_task`` clicks of its mean
+    micro-batch (counted in the files' footers), at least ``least`` (default: the
+    context's parallelism) and at most three per core, as each may be a state store."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.read.parquet(os.path.join(folder, "replay", "files")).count() if windows else 0
+    return max(least or cores, min(-(-rows // max(1, windows * rows_per_task)), 3 * cores))
 
 
 @contextmanager
@@ -64,12 +77,10 @@ def state_tasks(spark: SparkSession, n: int | None) -> Iterator[None]:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def _run(spark, clicks, folder, batch_seconds, threshold, keep_days, stage1) -> str:
-    replay = os.path.join(folder, "replay")
+def _run(spark, folder, threshold, keep_days, stage1) -> str:
     out = os.path.join(folder, "out")
     ckpt = os.path.join(folder, "checkpoints")
-    write_replay(clicks, replay, batch_seconds)
-    src = read_replay(spark, replay)
+    src = read_replay(spark, os.path.join(folder, "replay"))
     if stage1 == "tables":
         q = S.start_blacklist_tables(src, out, os.path.join(ckpt, "blacklist"), threshold,
                                      trigger=AVAILABLE_NOW)
@@ -109,8 +120,8 @@ def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, thr
                          state_partitions: int | None = None, lateness: str | None = None) -> str:
     """Replay ``clicks`` through the blacklist with one state cell per (day, ad)."""
     spark = clicks.sparkSession
-    write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
-    with state_tasks(spark, state_partitions):
+    windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
+    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, STATE_ROWS)):
         _await(blacklist.start_blacklist_cells(
             read_replay(spark, os.path.join(folder, "replay")), os.path.join(folder, "blacklist", "out"),
             os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW))

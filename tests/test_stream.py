@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,3 +272,39 @@ def test_a_day_of_aggregates_is_written_by_many_tasks(spark):
     assert files("snap/batch_id=1/kind=block/day=all") >= 3
     out = os.path.join(d, "out")
     assert _rows(S.read_kept(spark, out), ["event_id"]) == _rows(ads.ads_kept_clicks(c, 3600, 0), ["event_id"])
+
+
+def test_tasks_of_a_replay_follow_its_micro_batches(spark, monkeypatch):
+    from shoplens.streaming import runner
+    d = tempfile.mkdtemp(prefix="run-")
+    monkeypatch.setattr(runner, "TABLE_ROWS", 10)
+    run_ads_pipeline(clicks_df(spark, [(i * 120, i, 1) for i in range(60)]), d, 3600, 20, state_partitions=2)
+    with open(os.path.join(d, "checkpoints", "blacklist", "offsets", "0")) as f:
+        assert '"spark.sql.shuffle.partitions":"3"' in f.read()  # 30 clicks each
+    cores = spark.sparkContext.defaultParallelism
+    assert [runner.replay_tasks(spark, d, 2, 2, n) for n in (1, 8, 30, 1000)] == [min(30, 3 * cores), 4, 2, 2]
+    assert runner.replay_tasks(spark, d, 0, None, 10) == cores
+
+
+def test_a_user_costs_one_frame_more_than_its_chunks():
+    """The state form by hand: counts and the block of a micro-batch come together."""
+    class State:
+        hasTimedOut, exists = False, False
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def chunk(*ads):
+        return pd.DataFrame({"ts": pd.Timestamp("2024-01-01"), "area": "A", "city": "c", "user_id": 7, "ads_id": ads,
+                             "event_id": range(len(ads)), "day": "2024-01-01"})
+
+    step, state = S._blacklist_step(1, None), State()
+    first = list(step((7,), iter([chunk(1, 1), chunk(2)]), state))
+    assert [f["kind"].tolist() for f in first] == [["click"] * 2, ["click"], ["count"] * 2]
+    assert sorted(zip(first[2]["ads_id"], first[2]["day"], first[2]["n"])) == [(1, "2024-01-01", 2), (2, "2024-01-01", 1)]
+    assert sorted(zip(*state.get[:2])) == [("1|2024-01-01", 2), ("2|2024-01-01", 1)] and not state.get[2]
+    second = list(step((7,), iter([chunk(1)]), state))
+    assert [f["kind"].tolist() for f in second] == [["click"], ["count", "block"]]
+    assert second[1]["n"].tolist() == [1, None] and second[1]["day"].tolist() == ["2024-01-01"] * 2
+    assert state.get[:3] == ([], [], True)
+    assert list(step((7,), iter([chunk(1)]), state)) == []
