@@ -124,12 +124,13 @@ def blacklist_rows(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, late
 
 def start_blacklist_cells(clicks: DataFrame, out_dir: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,
                           lateness: str | None = None, ttl: str | None = None,
-                          trigger: dict | None = None) -> StreamingQuery:
+                          trigger: dict | None = None, files: int | None = None) -> StreamingQuery:
     """The streaming job: rows landed under ``log/batch_id=<b>/kind=<k>``, a file per
-    state partition and kind."""
+    state partition and kind, or ``files`` by user (for readers that count files)."""
     prepare(clicks.sparkSession)
 
     def sink(df: DataFrame, batch_id: int) -> None:
+        df = df if files is None else df.repartition(files, "user_id")
         land_once(df, os.path.join(out_dir, "log", f"batch_id={batch_id}"))
 
     return (blacklist_rows(clicks, threshold, lateness, ttl).writeStream.outputMode("append")

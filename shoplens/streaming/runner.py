@@ -118,13 +118,16 @@ def run_lines(lines: DataFrame, folder: str, max_bytes: int) -> str:
 
 def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
                          state_partitions: int | None = None, lateness: str | None = None) -> str:
-    """Replay ``clicks`` through the blacklist with one state cell per (day, ad)."""
+    """Replay ``clicks`` through the blacklist with one state cell per (day, ad). The
+    landed files stay ``state_partitions`` a micro-batch, however many tasks made them:
+    the later queries take files by number, and a window cut between two of their
+    micro-batches would make its second part late."""
     spark = clicks.sparkSession
     windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
     with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, STATE_ROWS)):
         _await(blacklist.start_blacklist_cells(
             read_replay(spark, os.path.join(folder, "replay")), os.path.join(folder, "blacklist", "out"),
-            os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW))
+            os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW, files=state_partitions))
     return folder
 
 

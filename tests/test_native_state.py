@@ -420,3 +420,16 @@ def test_a_complete_batch_is_not_written_again(spark):
     os.unlink(path + "/_SUCCESS")  # a try that did not come to its end
     land_once(df, path)
     assert sorted(os.listdir(path + "/kind=click")) != names and spark.read.parquet(path).count() == 3
+
+
+def test_more_tasks_land_no_more_files(spark, monkeypatch):
+    """Later queries count files: a micro-batch lands as many as before, by user."""
+    from shoplens.streaming import runner
+    monkeypatch.setattr(runner, "STATE_ROWS", 5)
+    d = run_dir()
+    run_native_blacklist(clicks_df(spark, [(i * 60, i, 1) for i in range(60)]), d, 3600, 20, 2)
+    with open(d + "/blacklist/checkpoint/offsets/0") as f:
+        assert '"spark.sql.shuffle.partitions":"12"' in f.read()
+    landed = os.listdir(d + "/blacklist/out/log/batch_id=0/kind=click")
+    assert len([x for x in landed if x.endswith(".parquet")]) == 2
+    assert blacklist.read_kept(spark, d + "/blacklist/out").count() == 60
