@@ -23,8 +23,8 @@ from shoplens.streaming.replay import read_replay, write_replay
 
 AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
-# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with Python state
-TABLE_ROWS, STATE_ROWS = 25_000, 1_000
+# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with a state cell per (day, ad), with pandas state
+TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 10_000, 1_000
 
 
 def _await(q) -> None:
@@ -124,7 +124,7 @@ def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, thr
     micro-batches would make its second part late."""
     spark = clicks.sparkSession
     windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
-    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, STATE_ROWS)):
+    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, CELL_ROWS)):
         _await(blacklist.start_blacklist_cells(
             read_replay(spark, os.path.join(folder, "replay")), os.path.join(folder, "blacklist", "out"),
             os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW, files=state_partitions))

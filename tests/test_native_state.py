@@ -425,7 +425,7 @@ def test_a_complete_batch_is_not_written_again(spark):
 def test_more_tasks_land_no_more_files(spark, monkeypatch):
     """Later queries count files: a micro-batch lands as many as before, by user."""
     from shoplens.streaming import runner
-    monkeypatch.setattr(runner, "STATE_ROWS", 5)
+    monkeypatch.setattr(runner, "CELL_ROWS", 5)
     d = run_dir()
     run_native_blacklist(clicks_df(spark, [(i * 60, i, 1) for i in range(60)]), d, 3600, 20, 2)
     with open(d + "/blacklist/checkpoint/offsets/0") as f:
