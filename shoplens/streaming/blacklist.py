@@ -1,10 +1,17 @@
-"""The dynamic blacklist (Q7) as a stateful processor: one state cell per (day, ad) of a user.
+"""The dynamic blacklist (Q7) as a stateful processor: one counter per (day, ad) of a user.
 
-``transformWithState`` keyed by user. A user's state is a map with one
-counter per (day, ad), of which a micro-batch reads and writes only the cells it
-touches, and the day of the block, if there is one. The rule is the closed form
-of ``plans.ads``: at a micro-batch, a cell it touches whose count before it is
-over the threshold blocks the user for good; the clicks of that batch are kept.
+The rule is the closed form of ``plans.ads``: at a micro-batch, a cell (user, day,
+ad) it touches whose count before it is over the threshold blocks the user for
+good; the clicks of that batch are kept. The state has one of two layouts:
+
+- by share (default): ``transformWithStateInPandas`` keyed by one of ``shares``
+  hash parts of the users, with a map from day to the share's cells of that day and
+  one value with its blocked users. A micro-batch makes two state calls per share
+  and day it touches, whatever the number of users and cells;
+- by user (``shares=None``, and with ``ttl``): ``transformWithState`` keyed by user,
+  with a map cell per (day, ad), of which a micro-batch reads and writes those it
+  touches, and the day of the block. Every cell costs two calls of some tenths of a
+  millisecond.
 
 What is forgotten is the caller's choice:
 
@@ -17,18 +24,22 @@ What is forgotten is the caller's choice:
 
 A blocked user's flag never expires. Output rows: ``click`` (kept), ``block``,
 ``count`` (the new running count of a touched cell) and ``late``, landed by one
-write per micro-batch, once. A user's rows stream through one
-task one by one, between Arrow batches that hold many users; memory is bounded by
-the cells a batch touches, not by its rows.
+write per micro-batch, once. The rows of a user or share stream through one task,
+one by one or Arrow chunk by chunk; memory is bounded by the cells of a share's
+touched days, not by its rows. The number of shares belongs to the checkpoint, as
+the number of state partitions does; another one is refused.
 """
 
 from __future__ import annotations
 
 import os
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from datetime import UTC, datetime
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +47,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from shoplens.plans.ads import BLACKLIST_THRESHOLD
 from shoplens.session import prepare
-from shoplens.streaming.landing import land_once
+from shoplens.streaming.landing import land_once, mark_once
 from shoplens.streaming.totals import seconds
 
 CLICK = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
@@ -45,6 +56,10 @@ OUT_SCHEMA = ("kind string, us bigint, area string, city string, user_id bigint,
               "event_id bigint, day string, n bigint")
 LOG_SCHEMA = OUT_SCHEMA.replace("us bigint", "ts timestamp") + ", batch_id bigint"
 DAY_MS = 86_400_000
+SHARES = 128  # parts of the users; each is a state key
+# pandas has no null integers: between Spark and the shares a null is 0 and its bit set
+NULL_BIT = {"user_id": 1, "ads_id": 2, "event_id": 4, "us": 8, "n": 16}
+SHARE_OUT = [*OUT_SCHEMA.replace(" bigint", "").replace(" string", "").split(", "), "nulls"]
 # the processor goes to the workers by value: they need no installation of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -105,8 +120,104 @@ class Blacklist(StatefulProcessor):
         pass
 
 
+def _with_nulls(pdf: pd.DataFrame, name: str) -> list:
+    values, missing = pdf[name].tolist(), (pdf["nulls"].to_numpy() & NULL_BIT[name]) > 0
+    return [None if no else v for v, no in zip(values, missing.tolist())] if missing.any() else values
+
+
+class BlacklistShare(StatefulProcessor):
+    """The state of a share of the users; ``timed``: cells of a day end with a timer."""
+
+    def __init__(self, threshold: int, timed: bool):
+        self.threshold, self.timed = threshold, timed
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.cells = handle.getMapState("cells", "day string", "users array<bigint>, ads array<bigint>, counts array<bigint>")
+        self.blocked = handle.getValueState("blocked", "users array<bigint>, days array<string>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        blocked = dict(zip(*(self.blocked.get() or ((), ()))))
+        watermark = timerValues.getCurrentWatermarkInMs() if self.timed else None
+        ends: dict[str, int] = {}
+        touched: dict[str, Counter] = {}
+        for pdf in rows:
+            users = _with_nulls(pdf, "user_id")
+            fresh = np.array([u not in blocked for u in users], dtype=bool)
+            if not fresh.all():  # blocked before this batch: dropped, not counted
+                pdf = pdf[fresh]
+                users = _with_nulls(pdf, "user_id")
+            if not users:
+                continue
+            days = pdf["day"].tolist()
+            ends |= {day: day_end(day) for day in set(days) - ends.keys()}
+            gone = {day for day, end in ends.items() if self.timed and end <= watermark}
+            kinds = ["late" if day in gone else "click" for day in days] if gone else "click"
+            yield pdf.assign(kind=kinds, n=0, nulls=pdf["nulls"] | NULL_BIT["n"])[SHARE_OUT]
+            for (day, *cell), n in Counter(zip(days, users, _with_nulls(pdf, "ads_id"))).items():
+                if day not in gone:
+                    touched.setdefault(day, Counter())[tuple(cell)] += n
+        over, newest = set(), {}
+        for day, cells in touched.items():
+            users, ads, counts = self.cells.getValue((day,)) or ((), (), ())
+            known = dict(zip(zip(users, ads), counts))
+            for cell, n in cells.items():
+                before = known.get(cell, 0)
+                if before > self.threshold:
+                    over.add(cell[0])
+                newest[cell[0]] = max(day, newest.get(cell[0], day))
+                known[cell] = before + n
+            self.cells.updateValue((day,), ([u for u, _ in known], [a for _, a in known], list(known.values())))
+            yield self._frame("count", day, [(*cell, known[cell]) for cell in cells])
+            if self.timed:
+                self.handle.registerTimer(ends[day])
+        if over:
+            blocked |= {u: newest[u] for u in over}
+            self.blocked.update((list(blocked), list(blocked.values())))
+            for day in sorted({newest[u] for u in over}):
+                yield self._frame("block", day, [(u, None, None) for u in over if newest[u] == day])
+
+    @staticmethod
+    def _frame(kind: str, day: str, rows: list[tuple]) -> pd.DataFrame:
+        """Rows of (user, ad, n) of one kind and day."""
+        out = {"kind": kind, "us": 0, "area": None, "city": None, "event_id": 0, "day": day}
+        nulls = np.full(len(rows), NULL_BIT["event_id"] | NULL_BIT["us"])
+        for name, values in zip(("user_id", "ads_id", "n"), zip(*rows)):
+            nulls |= np.array([NULL_BIT[name] if v is None else 0 for v in values])
+            out[name] = np.array([0 if v is None else v for v in values], dtype=np.int64)
+        return pd.DataFrame({**out, "nulls": nulls})[SHARE_OUT]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        until = expiredTimerInfo.getExpiryTimeInMs()
+        for cell in list(self.cells.keys()):
+            if day_end(cell[0]) <= until:
+                self.cells.removeKey(cell)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _share_rows(clicks: DataFrame, threshold: int, timed: bool, shares: int) -> DataFrame:
+    """Output rows by shares of the users; ``clicks`` with ``us`` and ``day``."""
+    ids = ["user_id", "ads_id", "event_id"]
+    nulls = [F.when(F.col(c).isNull(), NULL_BIT[c]).otherwise(0) for c in ids]
+    c = clicks.select(F.pmod(F.xxhash64("user_id"), F.lit(shares)).alias("share"), "us", "area", "city", "day",
+                      *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ids],
+                      sum(nulls[1:], nulls[0]).cast("bigint").alias("nulls"))
+    out = c.groupBy("share").transformWithStateInPandas(
+        BlacklistShare(threshold, timed), OUT_SCHEMA + ", nulls bigint", "append", "EventTime" if timed else "None")
+    return out.select(*[F.when(F.col("nulls").bitwiseAND(NULL_BIT[c]) == 0, F.col(c)).alias(c) if c in NULL_BIT else c
+                        for c in SHARE_OUT[:-1]])
+
+
+def by_share(shares: int | None, ttl: str | None) -> bool:
+    """Whether the state is laid out by share: a clock expires whole state values, so with it every cell is one."""
+    return shares is not None and ttl is None
+
+
 def blacklist_rows(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, lateness: str | None = None,
-                   ttl: str | None = None) -> DataFrame:
+                   ttl: str | None = None, shares: int | None = SHARES) -> DataFrame:
     """The stream of output rows of a stream of clicks."""
     if lateness is not None and ttl is not None:
         raise ValueError("cells are forgotten by the watermark or by the clock, not both")
@@ -116,24 +227,30 @@ def blacklist_rows(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, late
     # the time goes on as a number, without the watermark's mark: Spark would drop every
     # click older than the lateness, the rule here goes by the end of its day
     c = c.select(F.unix_micros("ts").alias("us"), *CLICK[1:-1], F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    mode = "EventTime" if lateness is not None else "ProcessingTime" if ttl is not None else "None"
-    step = Blacklist(threshold, lateness is not None, None if ttl is None else seconds(ttl) * 1000)
-    out = c.groupBy("user_id").transformWithState(step, OUT_SCHEMA, "append", mode)
+    if by_share(shares, ttl):
+        out = _share_rows(c, threshold, lateness is not None, shares)
+    else:
+        mode = "EventTime" if lateness is not None else "ProcessingTime" if ttl is not None else "None"
+        step = Blacklist(threshold, lateness is not None, None if ttl is None else seconds(ttl) * 1000)
+        out = c.groupBy("user_id").transformWithState(step, OUT_SCHEMA, "append", mode)
     return out.select("kind", F.timestamp_micros("us").alias("ts"), *CLICK[1:], "n")
 
 
 def start_blacklist_cells(clicks: DataFrame, out_dir: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,
                           lateness: str | None = None, ttl: str | None = None,
-                          trigger: dict | None = None, files: int | None = None) -> StreamingQuery:
+                          trigger: dict | None = None, files: int | None = None,
+                          shares: int | None = SHARES) -> StreamingQuery:
     """The streaming job: rows landed under ``log/batch_id=<b>/kind=<k>``, a file per
     state partition and kind, or ``files`` by user (for readers that count files)."""
-    prepare(clicks.sparkSession)
+    spark = prepare(clicks.sparkSession)
+    if by_share(shares, ttl):
+        mark_once(spark, checkpoint, "shares", str(shares))
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df = df if files is None else df.repartition(files, "user_id")
         land_once(df, os.path.join(out_dir, "log", f"batch_id={batch_id}"))
 
-    return (blacklist_rows(clicks, threshold, lateness, ttl).writeStream.outputMode("append")
+    return (blacklist_rows(clicks, threshold, lateness, ttl, shares).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).foreachBatch(sink)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
@@ -166,17 +283,29 @@ def kept_stream(spark: SparkSession, out_dir: str, files_per_trigger: int | None
     return reader.parquet(os.path.join(out_dir, "log", "*", "kind=click"))
 
 
-def state_counts(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
-    """user_id, ads_id, day, n from the state store, without the log; a filter on
-    the user is a point lookup."""
-    reader = spark.read.format("statestore").option("stateVarName", "cells")
+def _state(spark: SparkSession, checkpoint: str, name: str, batch_id: int | None = None) -> tuple[DataFrame, bool]:
+    """A state variable, and whether it is laid out by share."""
+    reader = spark.read.format("statestore").option("stateVarName", name)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    return reader.load(checkpoint).select("key.user_id", "user_map_key.ads_id", "user_map_key.day",
-                                          F.col("user_map_value.n").alias("n"))
+    s = reader.load(checkpoint)
+    return s, "share" in s.schema["key"].dataType.names
+
+
+def state_counts(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """user_id, ads_id, day, n from the state store, without the log."""
+    s, shared = _state(spark, checkpoint, "cells", batch_id)
+    if shared:
+        v = F.col("user_map_value")
+        s = s.select(F.col("user_map_key.day").alias("day"), F.inline(F.arrays_zip(
+            v["users"].alias("user_id"), v["ads"].alias("ads_id"), v["counts"].alias("n"))))
+        return s.select("user_id", "ads_id", "day", "n")
+    return s.select("key.user_id", "user_map_key.ads_id", "user_map_key.day", F.col("user_map_value.n").alias("n"))
 
 
 def state_blocked(spark: SparkSession, checkpoint: str) -> DataFrame:
     """user_id, blocked_day from the state store."""
-    s = spark.read.format("statestore").option("stateVarName", "blocked").load(checkpoint)
+    s, shared = _state(spark, checkpoint, "blocked")
+    if shared:
+        return s.select(F.inline(F.arrays_zip(F.col("value.users").alias("user_id"), F.col("value.days").alias("blocked_day"))))
     return s.select("key.user_id", F.col("value.day").alias("blocked_day"))

@@ -19,3 +19,14 @@ def land_once(df: DataFrame, path: str) -> None:
         df.write.format("noop").mode("overwrite").save()
     else:
         df.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+
+def mark_once(spark: SparkSession, folder: str, name: str, value: str) -> None:
+    """Note in a folder (of a checkpoint) what it was started with; refuse another value."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    known = [x.split("=", 1)[1] for x in marks if x.startswith(f"{name}=")]
+    if known and known != [value]:
+        raise RuntimeError(f"{folder} was started with {name}={known[0]}, not {value}")
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{name}={value}"))

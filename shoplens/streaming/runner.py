@@ -23,8 +23,8 @@ from shoplens.streaming.replay import read_replay, write_replay
 
 AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
-# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with a state cell per (day, ad), with pandas state
-TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 10_000, 1_000
+# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share, with state by user
+TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 40_000, 1_000
 
 
 def _await(q) -> None:
@@ -118,7 +118,7 @@ def run_lines(lines: DataFrame, folder: str, max_bytes: int) -> str:
 
 def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, threshold: int,
                          state_partitions: int | None = None, lateness: str | None = None) -> str:
-    """Replay ``clicks`` through the blacklist with one state cell per (day, ad). The
+    """Replay ``clicks`` through the blacklist with state by share of the users. The
     landed files stay ``state_partitions`` a micro-batch, however many tasks made them:
     the later queries take files by number, and a window cut between two of their
     micro-batches would make its second part late."""

@@ -217,6 +217,83 @@ def test_ttl_and_lateness_exclude_each_other(spark):
         blacklist.blacklist_rows(stream_of(spark, "/root/testdata/sf0.001"), lateness="1 hour", ttl="1 hour")
 
 
+class Calls(Map):
+    """A map that counts its state calls."""
+    made = 0
+
+    def getValue(self, k):
+        self.made += 1
+        return super().getValue(k)
+
+    def updateValue(self, k, v):
+        self.made += 1
+        super().updateValue(k, v)
+
+
+def share_frame(clicks):
+    """(ms, user, ad, event) clicks as a chunk of a share; None is 0 with its bit set."""
+    ids = [[0 if c[i] is None else c[i] for c in clicks] for i in (1, 2, 3)]
+    bits = [sum(bit for bit, v in zip((1, 2, 4), c[1:]) if v is None) for c in clicks]
+    return pd.DataFrame({"share": 0, "us": [c[0] * 1000 for c in clicks], "area": "A", "city": None,
+                         "day": [pd.Timestamp(c[0], unit="ms").strftime("%Y-%m-%d") for c in clicks],
+                         "user_id": ids[0], "ads_id": ids[1], "event_id": ids[2], "nulls": bits})
+
+
+def plain_rows(rows):
+    """Output rows of a share or a user alike, in any order."""
+    names = ["kind", "us", "user_id", "ads_id", "event_id", "day", "n"]
+    nulls = lambda r, c: getattr(r, "nulls", 0) & blacklist.NULL_BIT.get(c, 0)
+    return sorted((tuple(None if nulls(r, c) else getattr(r, c) for c in names) for r in rows), key=str)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4 * DAY), st.sampled_from([None, 0, 1, 2**60 + 1]),
+                                   st.sampled_from([None, 0, 5]), st.sampled_from([None, 7, 2**60 + 1])), max_size=8), max_size=6),
+       st.integers(0, 2), st.booleans())
+def test_a_share_gives_the_rows_of_its_users(batches, threshold, timed):
+    share = Driver(blacklist.BlacklistShare(threshold, timed), 0)
+    users, mark = {}, 0
+    for batch in batches:
+        got = share.batch([share_frame(batch[:3]), *([share_frame(batch[3:])] if batch[3:] else [])] if batch else [], mark)
+        want = []
+        for u in {*users, *(c[1] for c in batch)}:
+            d = users.setdefault(u, Driver(blacklist.Blacklist(threshold, timed, None), u))
+            mine = [c for c in batch if c[1] == u]
+            days = share_frame(mine)["day"].tolist() if mine else []
+            want += d.batch([Row(us=c[0] * 1000, area="A", city=None, user_id=u, ads_id=c[2], event_id=c[3], day=day)
+                             for c, day in zip(mine, days)], mark)
+        assert plain_rows(got) == plain_rows(want)
+        mark = max([mark, *(c[0] - DAY for c in batch)])
+    cells = {(day, u, a): n for (day,), v in share.handle.maps["cells"].items() for u, a, n in zip(*v)}
+    assert cells == {(*cell[:1], u, cell[1]): n[0] for u, d in users.items() for cell, n in d.handle.maps["cells"].items()}
+
+
+def test_state_calls_of_a_batch_follow_shares_and_days_not_cells():
+    d = Driver(blacklist.BlacklistShare(10**6, False), 0)
+    d.step.cells = d.handle.maps["cells"] = Calls()
+    for _ in range(2):
+        d.batch([share_frame([(BASE + day * DAY + u, u, u % 7, u) for u in range(500) for day in range(2)])], 0)
+    assert d.step.cells.made == 2 * 2 * 2  # one read and one write per batch and day, for 1,000 cells
+    assert sum(r.n == 2 for r in d.out if r.kind == "count") == 1000
+
+
+def test_both_layouts_of_the_state_give_the_same(spark):
+    d = run_dir()
+    rows = [[(BASE + i * 8 * HOUR + k, k % 11 or None, k % 3 or None) for k in range(60)] for i in range(4)]
+    for i, batch in enumerate(rows):
+        put(spark, d + "/src", i, batch)
+    found = []
+    for name, shares in (("user", None), ("share", 3)):
+        out, ck = f"{d}/{name}", f"{d}/ck_{name}"
+        _await(blacklist.start_blacklist_cells(stream_of(spark, d + "/src"), out, ck, 1, trigger=AVAILABLE_NOW, shares=shares))
+        log = spark.read.schema(blacklist.LOG_SCHEMA).parquet(out + "/log").drop("city")
+        found.append([sorted(map(str, f.collect())) for f in (
+            log.select(sorted(log.columns)), blacklist.state_counts(spark, ck), blacklist.state_blocked(spark, ck))])
+    assert found[0] == found[1] and len(found[0][2]) > 2
+    with pytest.raises(RuntimeError, match="shares=3"):
+        blacklist.start_blacklist_cells(stream_of(spark, d + "/src"), d + "/share", d + "/ck_share", 1, trigger=AVAILABLE_NOW)
+
+
 # --- Q8, Q9, late clicks ---------------------------------------------------------------
 
 LATE_BATCHES = [[(HOUR, 1)], [(2 * HOUR, 1), (DAY + HOUR, 2)], [(3 * HOUR, 1), (3 * DAY, 1)],
