@@ -249,15 +249,16 @@ class Landing:
     def parts(self, rows: int) -> int:
         return max(1, -(-rows // self.rows_per_file))
 
-    def land(self, spark: SparkSession, out: DataFrame, batch_id: int, clicks: int, cells: int) -> None:
-        """One write. The rows of a kind and day go to tasks and files by a hash of
-        their key, as many as the batch's clicks and cells (which no aggregated kind
-        has more rows than) ask for, without relying on AQE."""
-        salt = (F.when(F.col("kind") == "click", F.pmod(F.xxhash64("event_id", "user_id", "ts"),
-                                                        F.lit(max(CLICK_FILES, self.parts(clicks)))))
-                .when(F.col("kind").isin("count", "total", "minute", "block"), self.dealt(cells)).otherwise(0))
+    def land(self, spark: SparkSession, out: DataFrame, batch_id: int, clicks: int) -> None:
+        """One write, in as many tasks and files of a kind and day as the batch's clicks
+        (which no aggregated kind has more rows than) ask for, without relying on AQE:
+        clicks stay in the tasks that hold them, other rows are dealt by their key."""
+        is_click = F.col("kind") == "click"
+        kept = out.where(is_click).coalesce(max(CLICK_FILES, self.parts(clicks)))
+        salt = F.when(F.col("kind").isin("count", "total", "minute", "block"), self.dealt(clicks)).otherwise(0)
+        rest = out.where(~is_click).repartition("kind", "day", salt)
         path = os.path.join(self.out_dir, "log", f"batch_id={batch_id}")
-        (out.repartition("kind", "day", salt).write.mode("overwrite").partitionBy("kind", "day").parquet(path))
+        kept.union(rest).write.mode("overwrite").partitionBy("kind", "day").parquet(path)
         self.since.append((batch_id, self._folders(spark, path)))
         self.next = batch_id + 1
         if self.next % self.every == 0:
@@ -325,10 +326,16 @@ def _no_aqe(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "false")
 
 
+# a kept click with what it counts for; every kind aggregates these before its own shuffle
 CELLS = """
-SELECT user_id, ads_id, day, area, city, date_trunc('minute', ts) AS minute_start,
-       count(*) AS c, max(ts) AS newest
-FROM _kept GROUP BY ALL"""
+SELECT user_id, ads_id, day, area, city, date_trunc('minute', ts) AS minute_start, 1L AS c, ts AS newest
+FROM _kept"""
+
+# (user, ad, day) of one micro-batch, with the counts before it and its own
+KEYS = """
+SELECT user_id, ads_id, day, sum(before) AS before, sum(now) AS now
+FROM (SELECT user_id, ads_id, day, n AS before, 0L AS now FROM _counts
+      UNION ALL SELECT user_id, ads_id, day, 0L, c FROM _cells) GROUP BY ALL HAVING sum(now) > 0"""
 
 # Q8-Q10 rows of one micro-batch, from its cells and the totals before it of
 # the days it touches (``earlier``)
@@ -348,17 +355,16 @@ AD_STATS = [
 ]
 
 
-def _span(cells: DataFrame) -> tuple[list[str], str | None, dict[str, int]]:
+def _span(cells: DataFrame) -> tuple[list[str], str | None, int]:
     """The days a micro-batch touches (its own time span plus late clicks'
-    days), a VALUES list with its newest click, and its numbers of clicks and cells."""
-    rows = cells.groupBy("day").agg(F.unix_micros(F.max("newest")).alias("us"), F.sum("c").alias("clicks"),
-                                    F.count(F.lit(1)).alias("cells")).collect()
-    size = {k: sum(r[k] for r in rows) for k in ("clicks", "cells")}
+    days), a VALUES list with its newest click, and its number of kept clicks."""
+    rows = cells.groupBy("day").agg(F.unix_micros(F.max("newest")).alias("us"), F.sum("c").alias("clicks")).collect()
+    clicks = sum(r["clicks"] for r in rows)
     days = {r["day"]: r["us"] for r in rows if r["day"] is not None}
     if not days:
-        return [], None, size
+        return [], None, clicks
     us = max(days.values())
-    return sorted(days), f"(SELECT timestamp_micros({us}) AS newest)", size
+    return sorted(days), f"(SELECT timestamp_micros({us}) AS newest)", clicks
 
 
 def _newest(values: str | None) -> list[str]:
@@ -385,15 +391,14 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
         _no_aqe(spark)
         landing.locate(spark, batch_id)
         df = df.persist()
-        cells = _sql(spark, CELLS, kept=df.where(F.col("kind") == "click")).persist()
-        days, newest, size = _span(cells)
+        cells = _sql(spark, CELLS, kept=df.where(F.col("kind") == "click"))
+        days, newest, clicks = _span(cells)
         landing.land(spark, _sql(spark, " UNION ALL ".join([
             _rows("click", "_out WHERE kind = 'click'", **_same(*CLICK_COLUMNS)),
             _rows("block", "_out WHERE kind = 'block'", **_same("user_id", "day")),
             _rows("count", "_out WHERE kind = 'count'", **_same(*COUNT_KEYS, "n")),
             *AD_STATS, *_newest(newest)]),
-            out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id, **size)
-        cells.unpersist()
+            out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id, clicks)
         df.unpersist()
 
     w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
@@ -412,8 +417,8 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
     1. the users blocked before b are the newest blacklist snapshot and the
        blocks since (a broadcast when the file statistics are under the
        threshold, else a shuffle join); the batch's clicks of others are kept;
-    2. kept clicks are counted into cells with partial aggregation, so a user
-       holding a third of the batch is few rows per task before any shuffle;
+    2. every count of kept clicks is aggregated before its shuffle, so a user
+       holding a third of the batch is few rows per task; clicks are not shuffled;
     3. the counts before b of the touched days and the batch's own are summed
        side by side per (user, ad, day): a key of this batch whose count before
        it exceeds the threshold blocks its user;
@@ -435,22 +440,19 @@ def start_blacklist_tables(clicks: DataFrame, out_dir: str, checkpoint: str,
                          F.date_format("ts", "yyyy-MM-dd").alias("day"))
         blocked = landing.before(spark, "block", None).select("user_id").distinct()
         kept = c.join(blocked, "user_id", "left_anti").persist()
-        cells = _sql(spark, CELLS, kept=kept).persist()
-        days, newest, size = _span(cells)
-        keys = """
-            SELECT user_id, ads_id, day, sum(before) AS before, sum(now) AS now
-            FROM (SELECT user_id, ads_id, day, n AS before, 0L AS now FROM _counts
-                  UNION ALL SELECT user_id, ads_id, day, 0L, c FROM _cells) GROUP BY ALL"""
+        cells = _sql(spark, CELLS, kept=kept)
+        days, newest, clicks = _span(cells)
+        # blocks and counts both come from these: kept, or the counts before are read and shuffled for each
+        keys = _sql(spark, KEYS, counts=landing.before(spark, "count", days), cells=cells).persist()
         landing.land(spark, _sql(spark, " UNION ALL ".join([
             _rows("click", "_kept", **_same(*CLICK_COLUMNS)),
-            _rows("block", f"""(SELECT user_id, max(day) AS day FROM ({keys}) WHERE now > 0
+            _rows("block", f"""(SELECT user_id, CAST(max(CAST(day AS date)) AS string) AS day FROM _keys
                                 GROUP BY user_id HAVING max(before) > {int(threshold)})""",
                   **_same("user_id", "day")),
-            _rows("count", f"({keys}) WHERE now > 0", user_id="user_id", ads_id="ads_id", day="day", n="now"),
+            _rows("count", "_keys", user_id="user_id", ads_id="ads_id", day="day", n="now"),
             *AD_STATS, *_newest(newest)]),
-            kept=kept, cells=cells, counts=landing.before(spark, "count", days),
-            earlier=landing.before(spark, "total", days)), batch_id, **size)
-        cells.unpersist()
+            kept=kept, cells=cells, keys=keys, earlier=landing.before(spark, "total", days)), batch_id, clicks)
+        keys.unpersist()
         kept.unpersist()
 
     w = (clicks.writeStream.outputMode("append").option("checkpointLocation", checkpoint)

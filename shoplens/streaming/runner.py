@@ -23,6 +23,7 @@ from shoplens.streaming.replay import read_replay, write_replay
 
 AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
+SPLIT_BYTES = 256 << 10  # least bytes of a file that a task reads (Spark's own 4 MiB is a whole window)
 # clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share, with state by user
 TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 40_000, 1_000
 
@@ -68,13 +69,18 @@ def replay_tasks(spark: SparkSession, folder: str, windows: int, least: int | No
 
 @contextmanager
 def state_tasks(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """``n`` state partitions (default: the context's parallelism) for the queries started inside."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
+    """``n`` state partitions (default: the context's parallelism) for the queries started
+    inside, and reads of files small enough for a micro-batch to have several tasks."""
+    new = {"spark.sql.shuffle.partitions": str(n or spark.sparkContext.defaultParallelism),
+           "spark.sql.files.openCostInBytes": str(SPLIT_BYTES)}
+    old = {k: spark.conf.get(k) for k in new}
     try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def _run(spark, folder, threshold, keep_days, stage1) -> str:

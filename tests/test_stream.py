@@ -308,3 +308,30 @@ def test_a_user_costs_one_frame_more_than_its_chunks():
     assert second[1]["n"].tolist() == [1, None] and second[1]["day"].tolist() == ["2024-01-01"] * 2
     assert state.get[:3] == ([], [], True)
     assert list(step((7,), iter([chunk(1)]), state)) == []
+
+
+def test_clicks_of_a_micro_batch_are_landed_by_the_tasks_that_hold_them(spark):
+    """They are not dealt by a shuffle: eight parts in order become four files in order."""
+    d = tempfile.mkdtemp(prefix="run-")
+    rows = spark.range(0, 800, 1, 8).withColumnRenamed("id", "event_id").withColumn("ts", F.lit(0).cast("timestamp"))
+    click = [F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in S.LOG_FIELDS]
+    out = rows.select(*click, F.lit("click").alias("kind"), F.lit("1970-01-01").alias("day"))
+    S.Landing(spark, d).land(spark, out, 0, 800)
+    files = spark.read.parquet(d + "/log/batch_id=0").groupBy(F.input_file_name().alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("event_id") - F.min("event_id") + 1).alias("span")).collect()
+    assert [(f.n, f.span) for f in files] == [(200, 200)] * S.CLICK_FILES
+
+
+def test_a_window_of_a_replay_is_read_by_several_tasks(spark):
+    from shoplens.streaming.replay import write_replay
+    from shoplens.streaming.runner import state_tasks
+    d = tempfile.mkdtemp(prefix="run-")
+    ids = spark.range(300_000)
+    clicks = ids.select(F.timestamp_millis(F.col("id")).alias("ts"), F.lit("A").alias("area"), F.lit("c").alias("city"),
+                        F.xxhash64("id").alias("user_id"), (F.col("id") % 3).alias("ads_id"), F.col("id").alias("event_id"))
+    assert write_replay(clicks, d, 3600) == 1
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    with state_tasks(spark, 2):
+        read = spark.read.parquet(d + "/files/*").groupBy(F.spark_partition_id()).count().collect()
+    assert len(read) > 1 and sum(r["count"] for r in read) == 300_000
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == old
