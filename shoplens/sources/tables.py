@@ -118,8 +118,11 @@ def ads_log(events: DataFrame, cities: DataFrame, ads_mod: int = 6) -> DataFrame
         (k % ads_mod + 1).alias("ads_id"),
         F.col("event_id"),
     )
-    city = cities.select("city_id", F.col("city_name").alias("city"), "area")
-    return (clicks.join(city, "city_id")
+    city = cities.where(F.col("city_id").isNotNull()).select(
+        F.col("city_id").alias("_city_id"), F.col("city_name").alias("city"), "area")
+    # null-safe, with no null on the right: the same rows as by "=", for which Spark
+    # would parse the JSON of every event a second time to filter null keys out
+    return (clicks.join(city, F.col("city_id").eqNullSafe(F.col("_city_id")))
             .select("ts", "area", "city", "user_id", "ads_id", "event_id"))
 
 

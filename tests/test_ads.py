@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shoplens.plans import ads
 from shoplens.sources.ads import format_ads_lines, parse_ads_lines
-from shoplens.sources.tables import ShopTables
+from shoplens.sources.tables import ShopTables, ads_log
 
 CLICKS = "ts timestamp, area string, city string, user_id long, ads_id long, event_id long"
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -101,3 +101,16 @@ def test_totals_top_and_last_hour(spark):
     assert j.top_ads == '[{"1":3},{"3":3},{"2":1}]'
     lh = ads.ads_last_hour(kept).collect()
     assert [(r.ads_id, r.minute, r.clicks) for r in lh] == [(1, "05:00", 1)]
+
+
+def test_the_click_stream_parses_an_event_once_and_drops_clicks_without_a_city(spark):
+    day = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame(
+        [(1, day, 3, '{"k": 4}'), (2, day, 3, '{"k": 5}'), (3, day, 3, "{}"), (4, day, None, '{"k": 4}'), (5, day, 3, None)],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, props string")
+    cities = spark.createDataFrame([(7, "x", "A"), (7, "y", "A"), (0, "z", "B"), (None, "n", "B")],
+                                   "city_id bigint, city_name string, area string")
+    got = ads_log(events, cities, 2)
+    assert sorted((r.event_id, r.city, r.ads_id) for r in got.collect()) == [(1, "x", 1), (1, "y", 1)]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("get_json_object" in x for x in lines if "Filter" in x or "Join" in x)
