@@ -34,9 +34,11 @@ from __future__ import annotations
 
 import os
 import sys
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from datetime import UTC, datetime
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -125,6 +127,12 @@ def _with_nulls(pdf: pd.DataFrame, name: str) -> list:
     return [None if no else v for v, no in zip(values, missing.tolist())] if missing.any() else values
 
 
+def _longs(values: Iterable[int | None]) -> array | list:
+    """A value of a state array: as one block where no value is null, for Spark looks at each item of a list."""
+    values = list(values)
+    return values if None in values else array("l", values)
+
+
 class BlacklistShare(StatefulProcessor):
     """The state of a share of the users; ``timed``: cells of a day end with a timer."""
 
@@ -140,13 +148,13 @@ class BlacklistShare(StatefulProcessor):
         blocked = dict(zip(*(self.blocked.get() or ((), ()))))
         watermark = timerValues.getCurrentWatermarkInMs() if self.timed else None
         ends: dict[str, int] = {}
-        touched: dict[str, Counter] = {}
+        touched: dict[str, Counter] = defaultdict(Counter)
         for pdf in rows:
             users = _with_nulls(pdf, "user_id")
-            fresh = np.array([u not in blocked for u in users], dtype=bool)
-            if not fresh.all():  # blocked before this batch: dropped, not counted
-                pdf = pdf[fresh]
-                users = _with_nulls(pdf, "user_id")
+            if blocked:  # blocked before this batch: dropped, not counted
+                fresh = [u not in blocked for u in users]
+                if not all(fresh):
+                    pdf, users = pdf[np.array(fresh)], list(compress(users, fresh))
             if not users:
                 continue
             days = pdf["day"].tolist()
@@ -156,8 +164,8 @@ class BlacklistShare(StatefulProcessor):
             yield pdf.assign(kind=kinds, n=0, nulls=pdf["nulls"] | NULL_BIT["n"])[SHARE_OUT]
             for (day, *cell), n in Counter(zip(days, users, _with_nulls(pdf, "ads_id"))).items():
                 if day not in gone:
-                    touched.setdefault(day, Counter())[tuple(cell)] += n
-        over, newest = set(), {}
+                    touched[day][tuple(cell)] += n
+        over, newest, counted = set(), {}, []
         for day, cells in touched.items():
             users, ads, counts = self.cells.getValue((day,)) or ((), (), ())
             known = dict(zip(zip(users, ads), counts))
@@ -165,26 +173,30 @@ class BlacklistShare(StatefulProcessor):
                 before = known.get(cell, 0)
                 if before > self.threshold:
                     over.add(cell[0])
-                newest[cell[0]] = max(day, newest.get(cell[0], day))
                 known[cell] = before + n
-            self.cells.updateValue((day,), ([u for u, _ in known], [a for _, a in known], list(known.values())))
-            yield self._frame("count", day, [(*cell, known[cell]) for cell in cells])
+                counted.append(("count", day, *cell, before + n))
+            for user in {u for u, _ in cells}:
+                newest[user] = max(day, newest.get(user, day))
+            self.cells.updateValue((day,), (_longs([u for u, _ in known]), _longs([a for _, a in known]), _longs(known.values())))
             if self.timed:
                 self.handle.registerTimer(ends[day])
         if over:
             blocked |= {u: newest[u] for u in over}
-            self.blocked.update((list(blocked), list(blocked.values())))
-            for day in sorted({newest[u] for u in over}):
-                yield self._frame("block", day, [(u, None, None) for u in over if newest[u] == day])
+            self.blocked.update((_longs(blocked), list(blocked.values())))
+        if counted:
+            yield self._frame(counted + [("block", newest[u], u, None, None) for u in over])
 
     @staticmethod
-    def _frame(kind: str, day: str, rows: list[tuple]) -> pd.DataFrame:
-        """Rows of (user, ad, n) of one kind and day."""
-        out = {"kind": kind, "us": 0, "area": None, "city": None, "event_id": 0, "day": day}
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        """Rows of (kind, day, user, ad, n)."""
+        kinds, days, *numbers = zip(*rows)
+        out = {"kind": kinds, "us": 0, "area": None, "city": None, "event_id": 0, "day": days}
         nulls = np.full(len(rows), NULL_BIT["event_id"] | NULL_BIT["us"])
-        for name, values in zip(("user_id", "ads_id", "n"), zip(*rows)):
-            nulls |= np.array([NULL_BIT[name] if v is None else 0 for v in values])
-            out[name] = np.array([0 if v is None else v for v in values], dtype=np.int64)
+        for name, values in zip(("user_id", "ads_id", "n"), numbers):
+            if None in values:
+                nulls |= np.array([NULL_BIT[name] if v is None else 0 for v in values])
+                values = [0 if v is None else v for v in values]
+            out[name] = np.array(values, dtype=np.int64)
         return pd.DataFrame({**out, "nulls": nulls})[SHARE_OUT]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:

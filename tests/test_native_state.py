@@ -3,6 +3,7 @@
 import os
 import tempfile
 import time
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -277,6 +278,18 @@ def test_state_calls_of_a_batch_follow_shares_and_days_not_cells():
     assert sum(r.n == 2 for r in d.out if r.kind == "count") == 1000
 
 
+def test_a_share_answers_a_chunk_by_two_frames_and_stores_blocks_of_numbers():
+    d = Driver(blacklist.BlacklistShare(0, False), 0)
+    chunk = share_frame([(BASE + day * DAY + u, u, 1, u) for u in range(50) for day in range(4)])
+    for kinds in ({"click", "count"}, {"click", "count", "block"}):
+        got = list(d.step.handleInputRows((0,), iter([chunk]), Clock(0)))
+        assert len(got) == 2 and set(pd.concat(got)["kind"]) == kinds  # whatever the number of days
+    users, ads_ids, counts = d.handle.maps["cells"][("2024-01-01",)]
+    assert all(isinstance(x, array) for x in (users, ads_ids, counts)) and set(counts) == {2}
+    d.batch([share_frame([(BASE, None, None, 1)])], 0)  # a null has no place in a block
+    assert d.handle.maps["cells"][("2024-01-01",)][0][-1] is None
+
+
 def test_both_layouts_of_the_state_give_the_same(spark):
     d = run_dir()
     rows = [[(BASE + i * 8 * HOUR + k, k % 11 or None, k % 3 or None) for k in range(60)] for i in range(4)]
