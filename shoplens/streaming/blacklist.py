@@ -7,7 +7,9 @@ good; the clicks of that batch are kept. The state has one of two layouts:
 - by share (default): ``transformWithStateInPandas`` keyed by one of ``shares``
   hash parts of the users, with a map from day to the share's cells of that day and
   one value with its blocked users. A micro-batch makes two state calls per share
-  and day it touches, whatever the number of users and cells;
+  and day it touches, whatever the number of users and cells. The clicks come to it
+  in blocks, one per share and task that read them (``packed``): a row costs Spark
+  more than all that is done for a click;
 - by user (``shares=None``, and with ``ttl``): ``transformWithState`` keyed by user,
   with a map cell per (day, ad), of which a micro-batch reads and writes those it
   touches, and the day of the block. Every cell costs two calls of some tenths of a
@@ -25,7 +27,7 @@ What is forgotten is the caller's choice:
 A blocked user's flag never expires. Output rows: ``click`` (kept), ``block``,
 ``count`` (the new running count of a touched cell) and ``late``, landed by one
 write per micro-batch, once. The rows of a user or share stream through one task,
-one by one or Arrow chunk by chunk; memory is bounded by the cells of a share's
+one by one or in chunks of some thousands; memory is bounded by the cells of a share's
 touched days, not by its rows. The number of shares belongs to the checkpoint, as
 the number of state partitions does; another one is refused.
 """
@@ -35,15 +37,16 @@ from __future__ import annotations
 import os
 import sys
 from array import array
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from datetime import UTC, datetime
 from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -59,6 +62,8 @@ OUT_SCHEMA = ("kind string, us bigint, area string, city string, user_id bigint,
 LOG_SCHEMA = OUT_SCHEMA.replace("us bigint", "ts timestamp") + ", batch_id bigint"
 DAY_MS = 86_400_000
 SHARES = 128  # parts of the users; each is a state key
+PACK_ROWS = 100_000  # clicks of a task that are dealt into blocks at once
+CHUNK_ROWS = 10_000  # clicks of a share that are worked on at once, but for one block
 # pandas has no null integers: between Spark and the shares a null is 0 and its bit set
 NULL_BIT = {"user_id": 1, "ads_id": 2, "event_id": 4, "us": 8, "n": 16}
 SHARE_OUT = [*OUT_SCHEMA.replace(" bigint", "").replace(" string", "").split(", "), "nulls"]
@@ -148,7 +153,7 @@ class BlacklistShare(StatefulProcessor):
         blocked = dict(zip(*(self.blocked.get() or ((), ()))))
         watermark = timerValues.getCurrentWatermarkInMs() if self.timed else None
         ends: dict[str, int] = {}
-        touched: dict[str, Counter] = defaultdict(Counter)
+        touched: Counter = Counter()
         for pdf in rows:
             users = _with_nulls(pdf, "user_id")
             if blocked:  # blocked before this batch: dropped, not counted
@@ -162,36 +167,42 @@ class BlacklistShare(StatefulProcessor):
             gone = {day for day, end in ends.items() if self.timed and end <= watermark}
             kinds = ["late" if day in gone else "click" for day in days] if gone else "click"
             yield pdf.assign(kind=kinds, n=0, nulls=pdf["nulls"] | NULL_BIT["n"])[SHARE_OUT]
-            for (day, *cell), n in Counter(zip(days, users, _with_nulls(pdf, "ads_id"))).items():
-                if day not in gone:
-                    touched[day][tuple(cell)] += n
-        over, newest, counted = set(), {}, []
-        for day, cells in touched.items():
-            users, ads, counts = self.cells.getValue((day,)) or ((), (), ())
-            known = dict(zip(zip(users, ads), counts))
-            for cell, n in cells.items():
-                before = known.get(cell, 0)
-                if before > self.threshold:
-                    over.add(cell[0])
-                known[cell] = before + n
-                counted.append(("count", day, *cell, before + n))
-            for user in {u for u, _ in cells}:
-                newest[user] = max(day, newest.get(user, day))
-            self.cells.updateValue((day,), (_longs([u for u, _ in known]), _longs([a for _, a in known]), _longs(known.values())))
+            cells = zip(days, users, _with_nulls(pdf, "ads_id"))
+            touched.update((c for c in cells if c[0] not in gone) if gone else cells)
+        if not touched:
+            return
+        over, known, counts = set(), {}, []
+        for (day, user, ad), n in touched.items():
+            if day not in known:
+                users, ads, before = self.cells.getValue((day,)) or ((), (), ())
+                known[day] = dict(zip(zip(users, ads), before))
+            before = known[day].get((user, ad), 0)
+            if before > self.threshold:
+                over.add(user)
+            known[day][user, ad] = before + n
+            counts.append(before + n)
+        for day, cells in known.items():
+            users, ads = zip(*cells)
+            self.cells.updateValue((day,), (_longs(users), _longs(ads), _longs(cells.values())))
             if self.timed:
                 self.handle.registerTimer(ends[day])
+        days, users, ads = map(list, zip(*touched))
+        newest: dict[int | None, str] = {}
         if over:
-            blocked |= {u: newest[u] for u in over}
+            for day, user in zip(days, users):
+                if user in over:
+                    newest[user] = max(day, newest.get(user, day))
+            blocked |= newest
             self.blocked.update((_longs(blocked), list(blocked.values())))
-        if counted:
-            yield self._frame(counted + [("block", newest[u], u, None, None) for u in over])
+        no = [None] * len(newest)
+        yield self._frame(["count"] * len(counts) + ["block"] * len(newest), days + [*newest.values()],
+                          users + [*newest], ads + no, counts + no)
 
     @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
+    def _frame(kinds: list, days: list, *numbers: list) -> pd.DataFrame:
         """Rows of (kind, day, user, ad, n)."""
-        kinds, days, *numbers = zip(*rows)
         out = {"kind": kinds, "us": 0, "area": None, "city": None, "event_id": 0, "day": days}
-        nulls = np.full(len(rows), NULL_BIT["event_id"] | NULL_BIT["us"])
+        nulls = np.full(len(kinds), NULL_BIT["event_id"] | NULL_BIT["us"])
         for name, values in zip(("user_id", "ads_id", "n"), numbers):
             if None in values:
                 nulls |= np.array([NULL_BIT[name] if v is None else 0 for v in values])
@@ -210,6 +221,54 @@ class BlacklistShare(StatefulProcessor):
         pass
 
 
+class PackedShare(BlacklistShare):
+    """The same over blocks of clicks: Spark hands a processor its rows one by one, whatever they hold."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        return super().handleInputRows(key, unpacked(rows), timerValues)
+
+
+def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(share, clicks): the clicks of a task as one block, an Arrow stream, per share and ``PACK_ROWS`` clicks."""
+    held, n = [], 0
+    for batch in batches:
+        held, n = held + [batch], n + batch.num_rows
+        if n >= PACK_ROWS:
+            yield _blocks(held)
+            held, n = [], 0
+    if n:
+        yield _blocks(held)
+
+
+def _blocks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    t = pa.Table.from_batches(batches)
+    share = t["share"].to_numpy()
+    order = np.argsort(share, kind="stable")
+    t = t.drop_columns("share").take(pa.array(order)).combine_chunks()
+    shares, starts = np.unique(share[order], return_index=True)
+    blocks = []
+    for start, end in zip(starts, [*starts[1:], len(order)]):
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, t.schema) as w:
+            w.write_table(t.slice(start, end - start))
+        blocks.append(out.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(shares, pa.int64()), pa.array(blocks, pa.binary())], ["share", "clicks"])
+
+
+def unpacked(rows: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The clicks of a share's blocks, in chunks of ``CHUNK_ROWS`` and at most one block more."""
+    held, n = [], 0
+    for pdf in rows:
+        for block in pdf["clicks"]:
+            held.append(pa.ipc.open_stream(block).read_all())
+            n += held[-1].num_rows
+            if n >= CHUNK_ROWS:
+                yield pa.concat_tables(held).to_pandas()
+                held, n = [], 0
+    if n:
+        yield pa.concat_tables(held).to_pandas()
+
+
 def _share_rows(clicks: DataFrame, threshold: int, timed: bool, shares: int) -> DataFrame:
     """Output rows by shares of the users; ``clicks`` with ``us`` and ``day``."""
     ids = ["user_id", "ads_id", "event_id"]
@@ -217,8 +276,8 @@ def _share_rows(clicks: DataFrame, threshold: int, timed: bool, shares: int) ->
     c = clicks.select(F.pmod(F.xxhash64("user_id"), F.lit(shares)).alias("share"), "us", "area", "city", "day",
                       *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ids],
                       sum(nulls[1:], nulls[0]).cast("bigint").alias("nulls"))
-    out = c.groupBy("share").transformWithStateInPandas(
-        BlacklistShare(threshold, timed), OUT_SCHEMA + ", nulls bigint", "append", "EventTime" if timed else "None")
+    out = c.mapInArrow(packed, "share bigint, clicks binary").groupBy("share").transformWithStateInPandas(
+        PackedShare(threshold, timed), OUT_SCHEMA + ", nulls bigint", "append", "EventTime" if timed else "None")
     return out.select(*[F.when(F.col("nulls").bitwiseAND(NULL_BIT[c]) == 0, F.col(c)).alias(c) if c in NULL_BIT else c
                         for c in SHARE_OUT[:-1]])
 
@@ -248,18 +307,24 @@ def blacklist_rows(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD, late
     return out.select("kind", F.timestamp_micros("us").alias("ts"), *CLICK[1:], "n")
 
 
+def landing_task(files: int) -> Column:
+    """The task that lands a row: one of ``files`` by user for the clicks, one of as many others for the rest."""
+    return F.pmod(F.hash("user_id"), F.lit(files)) + F.when(F.col("kind") == "click", 0).otherwise(files)
+
+
 def start_blacklist_cells(clicks: DataFrame, out_dir: str, checkpoint: str, threshold: int = BLACKLIST_THRESHOLD,
                           lateness: str | None = None, ttl: str | None = None,
                           trigger: dict | None = None, files: int | None = None,
                           shares: int | None = SHARES) -> StreamingQuery:
     """The streaming job: rows landed under ``log/batch_id=<b>/kind=<k>``, a file per
-    state partition and kind, or ``files`` by user (for readers that count files)."""
+    state partition and kind, or ``files`` of clicks by user (for readers that count files)
+    and, by other tasks, as many of the other kinds."""
     spark = prepare(clicks.sparkSession)
     if by_share(shares, ttl):
         mark_once(spark, checkpoint, "shares", str(shares))
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df = df if files is None else df.repartition(files, "user_id")
+        df = df if files is None else df.repartitionById(2 * files, landing_task(files))
         land_once(df, os.path.join(out_dir, "log", f"batch_id={batch_id}"))
 
     return (blacklist_rows(clicks, threshold, lateness, ttl, shares).writeStream.outputMode("append")

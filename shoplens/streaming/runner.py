@@ -24,8 +24,9 @@ from shoplens.streaming.replay import read_replay, write_replay
 AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
 SPLIT_BYTES = 256 << 10  # least bytes of a file that a task reads (Spark's own 4 MiB is a whole window)
+PACK_SPLIT_BYTES = 2 << 20  # the same where a task packs clicks: each starts a Python worker, for little work a click
 # clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share, with state by user
-TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 40_000, 1_000
+TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 80_000, 1_000
 
 
 def _await(q) -> None:
@@ -68,11 +69,11 @@ def replay_tasks(spark: SparkSession, folder: str, windows: int, least: int | No
 
 
 @contextmanager
-def state_tasks(spark: SparkSession, n: int | None) -> Iterator[None]:
+def state_tasks(spark: SparkSession, n: int | None, split_bytes: int = SPLIT_BYTES) -> Iterator[None]:
     """``n`` state partitions (default: the context's parallelism) for the queries started
     inside, and reads of files small enough for a micro-batch to have several tasks."""
     new = {"spark.sql.shuffle.partitions": str(n or spark.sparkContext.defaultParallelism),
-           "spark.sql.files.openCostInBytes": str(SPLIT_BYTES)}
+           "spark.sql.files.openCostInBytes": str(split_bytes)}
     old = {k: spark.conf.get(k) for k in new}
     try:
         for k, v in new.items():
@@ -130,7 +131,7 @@ def run_native_blacklist(clicks: DataFrame, folder: str, batch_seconds: int, thr
     micro-batches would make its second part late."""
     spark = clicks.sparkSession
     windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
-    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, CELL_ROWS)):
+    with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, CELL_ROWS), PACK_SPLIT_BYTES):
         _await(blacklist.start_blacklist_cells(
             read_replay(spark, os.path.join(folder, "replay")), os.path.join(folder, "blacklist", "out"),
             os.path.join(folder, "blacklist", "checkpoint"), threshold, lateness, trigger=AVAILABLE_NOW, files=state_partitions))

@@ -7,6 +7,7 @@ from array import array
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -290,6 +291,30 @@ def test_a_share_answers_a_chunk_by_two_frames_and_stores_blocks_of_numbers():
     assert d.handle.maps["cells"][("2024-01-01",)][0][-1] is None
 
 
+def share_batch(frame, share):
+    """A chunk as Spark gives it to the packing: with strings that may be null, and its share."""
+    return pa.RecordBatch.from_pandas(frame.assign(share=share), schema=pa.schema(
+        [(c, pa.string() if c in ("area", "city", "day") else pa.int64()) for c in frame.columns]), preserve_index=False)
+
+
+def test_a_task_gives_the_state_a_block_per_share_not_a_row_per_click(monkeypatch):
+    clicks = [(BASE + k, None if k == 3 else k, k % 2, 2**60 + k) for k in range(400)]
+    shares = np.array([k % 7 for k in range(400)])
+    batches = [share_batch(share_frame(clicks[i:i + 100]), shares[i:i + 100]) for i in range(0, 400, 100)]
+    blocks = pd.concat(b.to_pandas() for b in blacklist.packed(batches))
+    assert blocks["share"].tolist() == list(range(7))
+    for share, mine in blocks.groupby("share"):
+        want = share_frame([c for c, x in zip(clicks, shares) if x == share]).drop(columns="share")
+        pd.testing.assert_frame_equal(pd.concat(blacklist.unpacked([mine]))[want.columns], want, check_dtype=False)
+    packed, plain = (Driver(cls(0, False), 0) for cls in (blacklist.PackedShare, blacklist.BlacklistShare))
+    for _ in range(2):
+        assert plain_rows(packed.batch([blocks], 0)) == plain_rows(plain.batch([share_frame(clicks)], 0))
+    monkeypatch.setattr(blacklist, "PACK_ROWS", 150)
+    assert len(list(blacklist.packed(batches))) == 2 and not list(blacklist.packed([]))
+    monkeypatch.setattr(blacklist, "CHUNK_ROWS", 60)  # whatever the share holds, no more than a block over this
+    assert [len(f) for f in blacklist.unpacked([blocks])] == [115, 114, 114, 57]
+
+
 def test_both_layouts_of_the_state_give_the_same(spark):
     d = run_dir()
     rows = [[(BASE + i * 8 * HOUR + k, k % 11 or None, k % 3 or None) for k in range(60)] for i in range(4)]
@@ -523,3 +548,14 @@ def test_more_tasks_land_no_more_files(spark, monkeypatch):
     landed = os.listdir(d + "/blacklist/out/log/batch_id=0/kind=click")
     assert len([x for x in landed if x.endswith(".parquet")]) == 2
     assert blacklist.read_kept(spark, d + "/blacklist/out").count() == 60
+
+
+def test_counts_are_landed_by_other_tasks_than_the_clicks(spark):
+    d = run_dir()
+    run_native_blacklist(clicks_df(spark, [(i, i, 1) for i in range(60)]), d, 3600, 20, 2)
+    tasks = {kind: {x.split("-")[1] for x in os.listdir(f"{d}/blacklist/out/log/batch_id=0/kind={kind}") if x.endswith(".parquet")}
+             for kind in ("click", "count")}
+    assert tasks == {"click": {"00000", "00001"}, "count": {"00002", "00003"}}
+    users = spark.read.parquet(d + "/blacklist/out/log/batch_id=0/kind=click").groupBy(F.input_file_name()).agg(
+        F.collect_set(F.expr("pmod(hash(user_id), 2)")).alias("parts")).collect()
+    assert sorted(r.parts for r in users) == [[0], [1]]  # of the clicks, the same users in a file as ever
