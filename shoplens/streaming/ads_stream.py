@@ -9,10 +9,14 @@ Q7, the blacklist, in one of two forms:
 
 - ``start_blacklist_tables`` (default): JVM only, ``foreachBatch`` over the
   micro-batch as a static DataFrame, the state in the landed tables.
-- ``start_blacklist``: ``groupBy("user_id").applyInPandasWithState``; the
-  state of a user is the running count per (ad, day) and a blocked flag; the
-  user's rows stream through one task in Arrow chunks (memory per key, not
-  per row).
+- ``start_blacklist``: ``applyInPandasWithState``, whose calls cost milliseconds
+  whatever they hold. By default it is grouped by one of ``shares`` hash parts of
+  the users; the state of a share is a block of running counts per (user, ad) for
+  each day, of which a micro-batch opens those it touches, and the blocked users.
+  With ``lateness`` or ``keep_days``, and with ``shares=None``, it is grouped by
+  user, as a timeout ends whole states: the running count per (ad, day) and a
+  blocked flag. The rows of a share or user stream through one task in Arrow
+  chunks (memory per key, not per row).
 
 Kinds of rows: ``click`` (kept), ``block`` (user, day), and increments of one
 batch: ``count`` per (user, ad, day), ``total`` per (day, area, city, ad) and
@@ -36,11 +40,14 @@ caller asks the state form for one (``lateness`` and ``keep_days``).
 from __future__ import annotations
 
 import os
+import sys
 import warnings
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,15 +56,22 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from shoplens.functions import pairs_json
 from shoplens.plans.ads import BLACKLIST_THRESHOLD, TOP_ADS
 from shoplens.sources.ads import parse_ads_lines
+from shoplens.streaming.blacklist import NULL_BIT, SHARE_OUT, SHARES, share_clicks, without_null_bits
+from shoplens.streaming.landing import mark_once
 
 STATE_SCHEMA = "keys array<string>, counts array<bigint>, blocked boolean, last_ms bigint"
 OUT_SCHEMA = ("kind string, ts timestamp, area string, city string, user_id bigint, "
               "ads_id bigint, event_id bigint, day string, n bigint")
+# the state of a share: each day's cells as rows of (user, ad, null bits, n), the blocked as (user, null bit)
+SHARE_STATE_SCHEMA = "days array<string>, cells array<binary>, blocked binary"
+SHARE_OUT_SCHEMA = OUT_SCHEMA.replace("ts timestamp", "us bigint") + ", nulls bigint"
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id", "event_id", "day"]
 DAY_MS = 86_400_000
 SNAPSHOT_EVERY = 10
 CLICK_FILES = 4
 ROWS_PER_FILE = 100_000  # a day's rows of a kind are dealt over as many tasks and files as this asks for
+# the steps go to the workers by value: they need no installation of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _blacklist_step(threshold: int, keep_days: int | None):
@@ -117,6 +131,71 @@ def _blacklist_step(threshold: int, keep_days: int | None):
     return step
 
 
+def _block(rows: Iterable[tuple[int, ...]]) -> bytes:
+    return np.array(list(rows), dtype=np.int64).tobytes()
+
+
+def _unblock(block: bytes, columns: int) -> np.ndarray:
+    return np.frombuffer(block, dtype=np.int64).reshape(-1, columns)
+
+
+def _share_step(threshold: int):
+    """The per-share state function of stage 1. A user is (id, null bit) and a cell
+    (id, ad, null bits), as in the clicks: pandas has no null integers."""
+    of_user, of_cell = NULL_BIT["user_id"], NULL_BIT["user_id"] | NULL_BIT["ads_id"]
+
+    def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        warnings.simplefilter("ignore", FutureWarning)  # as in _blacklist_step
+        days, blocks, out = state.get if state.exists else ((), (), b"")
+        cells = dict(zip(days, blocks))
+        blocked = set(map(tuple, _unblock(out, 2).tolist()))
+        batch: Counter = Counter()
+        for pdf in chunks:
+            if blocked:  # blocked before this batch: drop, do not count
+                users = zip(pdf["user_id"].tolist(), (pdf["nulls"] & of_user).tolist())
+                pdf = pdf[np.fromiter((u not in blocked for u in users), dtype=bool, count=len(pdf))]
+            batch.update(zip(pdf["day"].tolist(), pdf["user_id"].tolist(), pdf["ads_id"].tolist(),
+                             (pdf["nulls"] & of_cell).tolist()))
+            yield pdf.assign(kind="click", n=0, nulls=pdf["nulls"] | NULL_BIT["n"])[SHARE_OUT]
+        if not batch:
+            return
+        over, by_day = set(), {}
+        for (day, *cell), n in batch.items():
+            by_day.setdefault(day, []).append((*cell, n))
+        for day, rows in by_day.items():
+            known = {(user, ad, no): n for user, ad, no, n in _unblock(cells.get(day, b""), 4).tolist()}
+            for user, ad, no, n in rows:
+                before = known.get((user, ad, no), 0)
+                if before > threshold:
+                    over.add((user, no & of_user))
+                known[user, ad, no] = before + n
+            cells[day] = _block((*cell, n) for cell, n in known.items())
+        # what this batch adds to user_ads_count_perday, and the blocks
+        newest: dict[tuple[int, int], str | None] = {}
+        for day, user, _, no in batch if over else ():
+            if (who := (user, no & of_user)) in over and (who not in newest or (day or "") > (newest[who] or "")):
+                newest[who] = day
+        days, users, ads, nulls = map(list, zip(*batch, *((day, user, 0, no | NULL_BIT["ads_id"] | NULL_BIT["n"])
+                                                          for (user, no), day in newest.items())))
+        yield pd.DataFrame({
+            "kind": ["count"] * len(batch) + ["block"] * len(newest), "us": 0, "area": None, "city": None, "user_id": users,
+            "ads_id": ads, "event_id": 0, "day": days, "n": [*batch.values()] + [0] * len(newest),
+            "nulls": np.array(nulls) | NULL_BIT["us"] | NULL_BIT["event_id"]})[SHARE_OUT]
+        if over:  # a blocked user keeps only its place among the blocked, for good
+            ids = np.array([user for user, no in over if not no], dtype=np.int64)
+            for day in list(cells):
+                c = _unblock(cells[day], 4)
+                is_null = (c[:, 2] & of_user) > 0
+                left = c[~np.where(is_null, (0, of_user) in over, np.isin(c[:, 0], ids))]
+                if not len(left):
+                    del cells[day]
+                elif len(left) < len(c):
+                    cells[day] = left.tobytes()
+        state.update((list(cells.keys()), list(cells.values()), out + _block(over) if over else out))
+
+    return step
+
+
 def clicks_from_lines(lines: DataFrame, bad_dir: str | None = None,
                       checkpoint: str | None = None) -> tuple[DataFrame, StreamingQuery | None]:
     """Parse a stream of ad lines (Kafka ``value`` or text files).
@@ -135,8 +214,14 @@ def clicks_from_lines(lines: DataFrame, bad_dir: str | None = None,
     return good.withColumn("event_id", F.lit(None).cast("bigint")), q
 
 
+def by_share(shares: int | None, keep_days: int | None, lateness: str | None) -> bool:
+    """Whether the state lies by share of the users: forgetting ends the state of a user."""
+    return shares is not None and keep_days is None and lateness is None
+
+
 def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
-                     keep_days: int | None = None, lateness: str | None = None) -> DataFrame:
+                     keep_days: int | None = None, lateness: str | None = None,
+                     shares: int | None = SHARES) -> DataFrame:
     """Stage-1 transformation: rows of kind 'click' (kept), 'block' and 'count'.
 
     By default nothing is dropped or forgotten. ``lateness`` sets a watermark:
@@ -146,6 +231,11 @@ def blacklist_stream(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD,
     """
     if keep_days is not None and lateness is None:
         raise ValueError("keep_days needs a lateness: its timeout follows the watermark")
+    if by_share(shares, keep_days, lateness):
+        c = clicks.select(F.unix_micros("ts").alias("us"), *CLICK_COLUMNS[1:-1], F.date_format("ts", "yyyy-MM-dd").alias("day"))
+        out = share_clicks(c, shares, ["user_id", "ads_id", "event_id", "us"]).groupBy("share").applyInPandasWithState(
+            _share_step(threshold), SHARE_OUT_SCHEMA, SHARE_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        return without_null_bits(out).select("kind", F.timestamp_micros("us").alias("ts"), *CLICK_COLUMNS[1:], "n")
     c = clicks if lateness is None else clicks.withWatermark("ts", lateness)
     c = c.select(*[x for x in CLICK_COLUMNS if x != "day"],
                  F.date_format("ts", "yyyy-MM-dd").alias("day"))
@@ -375,14 +465,17 @@ def _newest(values: str | None) -> list[str]:
 def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
                     threshold: int = BLACKLIST_THRESHOLD, keep_days: int | None = None,
                     trigger: dict | None = None, lateness: str | None = None,
-                    snapshot_every: int = SNAPSHOT_EVERY) -> StreamingQuery:
+                    snapshot_every: int = SNAPSHOT_EVERY, shares: int | None = SHARES) -> StreamingQuery:
     """The streaming job with Spark-managed state (``applyInPandasWithState``).
 
     Lands kept clicks, newly blocked users, the batch's counts per (user, ad,
-    day), and the Q8-Q10 rows in one write per micro-batch.
+    day), and the Q8-Q10 rows in one write per micro-batch. The number of shares
+    belongs to the checkpoint; another one is refused.
     """
     spark = clicks.sparkSession
     _guard_start(spark, out_dir, checkpoint)
+    if by_share(shares, keep_days, lateness):
+        mark_once(spark, checkpoint, "shares", str(shares))
     _seed(spark, out_dir)
     landing = Landing(spark, out_dir, snapshot_every)
 
@@ -401,7 +494,7 @@ def start_blacklist(clicks: DataFrame, out_dir: str, checkpoint: str,
             out=df, cells=cells, earlier=landing.before(spark, "total", days)), batch_id, clicks)
         df.unpersist()
 
-    w = (blacklist_stream(clicks, threshold, keep_days, lateness).writeStream
+    w = (blacklist_stream(clicks, threshold, keep_days, lateness, shares).writeStream
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

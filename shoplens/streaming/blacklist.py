@@ -269,19 +269,28 @@ def unpacked(rows: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pa.concat_tables(held).to_pandas()
 
 
-def _share_rows(clicks: DataFrame, threshold: int, timed: bool, shares: int) -> DataFrame:
-    """Output rows by shares of the users; ``clicks`` with ``us`` and ``day``."""
-    ids = ["user_id", "ads_id", "event_id"]
+def share_clicks(clicks: DataFrame, shares: int, ids: list[str]) -> DataFrame:
+    """Clicks (``us``, ``day``) with the share of their user; nulls in ``ids`` are 0 and bits."""
     nulls = [F.when(F.col(c).isNull(), NULL_BIT[c]).otherwise(0) for c in ids]
-    c = clicks.select(F.pmod(F.xxhash64("user_id"), F.lit(shares)).alias("share"), "us", "area", "city", "day",
-                      *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ids],
-                      sum(nulls[1:], nulls[0]).cast("bigint").alias("nulls"))
-    out = c.mapInArrow(packed, "share bigint, clicks binary").groupBy("share").transformWithStateInPandas(
-        PackedShare(threshold, timed), OUT_SCHEMA + ", nulls bigint", "append", "EventTime" if timed else "None")
+    return clicks.select(F.pmod(F.xxhash64("user_id"), F.lit(shares)).alias("share"),
+                         *[c for c in ("us", "area", "city", "day") if c not in ids],
+                         *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ids],
+                         sum(nulls[1:], nulls[0]).cast("bigint").alias("nulls"))
+
+
+def without_null_bits(out: DataFrame) -> DataFrame:
+    """Output rows of a share with their nulls again."""
     return out.select(*[F.when(F.col("nulls").bitwiseAND(NULL_BIT[c]) == 0, F.col(c)).alias(c) if c in NULL_BIT else c
                         for c in SHARE_OUT[:-1]])
 
 
+def _share_rows(clicks: DataFrame, threshold: int, timed: bool, shares: int) -> DataFrame:
+    """Output rows by shares of the users; ``clicks`` with ``us`` and ``day``."""
+    c = share_clicks(clicks, shares, ["user_id", "ads_id", "event_id"])
+    return without_null_bits(c.mapInArrow(packed, "share bigint, clicks binary").groupBy("share").transformWithStateInPandas(
+        PackedShare(threshold, timed), OUT_SCHEMA + ", nulls bigint", "append", "EventTime" if timed else "None"))
+
+
 def by_share(shares: int | None, ttl: str | None) -> bool:
     """Whether the state is laid out by share: a clock expires whole state values, so with it every cell is one."""
     return shares is not None and ttl is None

@@ -25,8 +25,8 @@ AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
 SPLIT_BYTES = 256 << 10  # least bytes of a file that a task reads (Spark's own 4 MiB is a whole window)
 PACK_SPLIT_BYTES = 2 << 20  # the same where a task packs clicks: each starts a Python worker, for little work a click
-# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share, with state by user
-TABLE_ROWS, CELL_ROWS, STATE_ROWS = 25_000, 80_000, 1_000
+# clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share (cells, pandas), by user
+TABLE_ROWS, CELL_ROWS, SHARE_ROWS, STATE_ROWS = 25_000, 80_000, 10_000, 1_000
 
 
 def _await(q) -> None:
@@ -54,7 +54,7 @@ def run_ads_pipeline(clicks: DataFrame, folder: str, batch_seconds: int, thresho
     """
     spark = clicks.sparkSession
     windows = write_replay(clicks, os.path.join(folder, "replay"), batch_seconds)
-    rows = TABLE_ROWS if stage1 == "tables" else STATE_ROWS
+    rows = TABLE_ROWS if stage1 == "tables" else SHARE_ROWS if keep_days is None else STATE_ROWS
     with state_tasks(spark, replay_tasks(spark, folder, windows, state_partitions, rows)):
         return _run(spark, folder, threshold, keep_days, stage1)
 

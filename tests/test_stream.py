@@ -335,3 +335,77 @@ def test_a_window_of_a_replay_is_read_by_several_tasks(spark):
         read = spark.read.parquet(d + "/files/*").groupBy(F.spark_partition_id()).count().collect()
     assert len(read) > 1 and sum(r["count"] for r in read) == 300_000
     assert spark.conf.get("spark.sql.files.openCostInBytes") == old
+
+
+class ShareState:
+    """A state of the pandas form by hand."""
+    hasTimedOut, exists = False, False
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def _share_step_rows(step, state, clicks):
+    """(kind, user, ad, event, day, n) of (user, ad, event, day) clicks in chunks of two; None: null."""
+    names = ["user_id", "ads_id", "event_id"]
+    frames = []
+    for at in range(0, len(clicks), 2):
+        rows = clicks[at:at + 2]
+        ids = {n: [r[i] or 0 for r in rows] for i, n in enumerate(names)}
+        nulls = [sum(S.NULL_BIT[n] for n, v in zip(names, r) if v is None) for r in rows]
+        frames.append(pd.DataFrame({"share": 0, "us": 5, "area": "A", "city": "c", "day": [r[3] for r in rows], **ids, "nulls": nulls}))
+    out = list(step((0,), iter(frames), state))
+    return [(r.kind, *(None if r.nulls & S.NULL_BIT[n] else getattr(r, n) for n in names), r.day,
+             None if r.nulls & S.NULL_BIT["n"] else r.n) for f in out for r in f.itertuples()]
+
+
+def test_a_share_of_users_equals_its_users_one_by_one():
+    import random
+    for seed in range(40):
+        rnd = random.Random(seed)
+        step, state, counts, blocked = S._share_step(1), ShareState(), {}, {}
+        for b in range(8):
+            clicks = [(rnd.choice([1, 2, 3, 2**60 + 1, None]), rnd.choice([1, 2, None]), rnd.choice([2**60 + 1, 7, None]),
+                       f"2024-01-{rnd.randint(max(1, b - 2), b + 1):02d}") for _ in range(rnd.randint(0, 7))]
+            kept = [c for c in clicks if c[0] not in blocked]
+            now = {}
+            for user, ad, _, day in kept:
+                now[user, ad, day] = now.get((user, ad, day), 0) + 1
+            over = {user for (user, ad, day) in now if counts.get((user, ad, day), 0) > 1}
+            newest = {user: max(day for u, _, day in now if u == user) for user in over}
+            expected = ([("click", *c, None) for c in kept] + [("count", u, a, None, d, n) for (u, a, d), n in now.items()]
+                        + [("block", u, None, None, d, None) for u, d in newest.items()])
+            key = lambda r: tuple(map(str, r))
+            assert sorted(_share_step_rows(step, state, clicks), key=key) == sorted(expected, key=key), (seed, b)
+            for cell, n in now.items():
+                counts[cell] = counts.get(cell, 0) + n
+            blocked |= newest
+        if state.exists:  # a blocked user's cells are given up, of all days
+            days, blocks, out = state.get
+            left = {(None if no & 1 else u, None if no & 2 else a, d): n for d, c in zip(days, blocks)
+                    for u, a, no, n in S._unblock(c, 4).tolist()}
+            assert left == {cell: n for cell, n in counts.items() if cell[0] not in blocked}
+            assert {None if no else u for u, no in S._unblock(out, 2).tolist()} == set(blocked)
+
+
+def test_the_state_form_has_a_state_per_share_not_per_user(spark):
+    """Spark's calls cost milliseconds a state: 400 users of a micro-batch made 400."""
+    from shoplens.streaming.replay import read_replay, write_replay
+    d = tempfile.mkdtemp(prefix="run-")
+    rows = [(b * 3600 + u, u, 1 + u % 2) for b in range(3) for u in range(400) if u % 4 or b < 2]
+    c = clicks_df(spark, rows)
+    write_replay(c, os.path.join(d, "replay"), 3600)
+    start = lambda shares: S.start_blacklist(
+        read_replay(spark, os.path.join(d, "replay")), os.path.join(d, "out"), os.path.join(d, "ck"), threshold=0,
+        trigger=AVAILABLE_NOW, **shares)
+    q = start({})
+    _await(q)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p.get("stateOperators")]
+    assert 0 < max(states) <= S.SHARES < 400
+    out = os.path.join(d, "out")
+    kept = ads.ads_kept_clicks(c, 3600, 0)
+    assert _rows(S.read_kept(spark, out), ["event_id"]) == _rows(kept, ["event_id"])
+    assert len(_rows(S.read_blocked(spark, out), ["user_id"])) == 400
+    assert {r.n for r in S.read_user_ad_counts(spark, out).collect()} == {2}
+    with pytest.raises(RuntimeError, match="shares=128, not 64"):
+        start({"shares": 64})
