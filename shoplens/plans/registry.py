@@ -26,7 +26,7 @@ from shoplens.sources.sinks import write_table
 from shoplens.sources.tables import ShopTables
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming import blacklist, sliding, totals
-from shoplens.streaming.runner import (run_ads_pipeline, run_lines, run_native_blacklist, run_native_sliding,
+from shoplens.streaming.runner import (read_lines, run_ads_pipeline, run_lines, run_native_blacklist, run_native_sliding,
                                        run_native_totals)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,7 +377,7 @@ def q_stream_lines_ads_parse(spark, sf_dir):
     if key not in _PIPELINES:
         folder = shared_dir(spark, "stream", f"lines-{uuid.uuid4().hex[:12]}")
         _PIPELINES[key] = run_lines(format_ads_lines(_ads(spark, sf_dir, P.ADS_MOD)), folder, LINE_BYTES)
-    return spark.read.parquet(_PIPELINES[key]).where("kind = 'good'").select(
+    return read_lines(spark, _PIPELINES[key]).where("kind = 'good'").select(
         F.unix_millis("ts").alias("ts_ms"), "area", "city", "user_id", "ads_id")
 
 

@@ -19,7 +19,9 @@ Options:
   query stands. It belongs to one query, as its checkpoint does. It is written
   before Spark sees an offset, so it is never behind the checkpoint: a plan that
   Spark did not come to makes the next micro-batch larger, never a gap;
-- ``rangeBytes``: the most one task reads (default 16 MiB).
+- ``rangeBytes``: the most one task reads (default 16 MiB);
+- ``files``: a JSON list of names; only these files are read, so that several queries
+  share a folder as consumers share a topic's partitions.
 
 Only whole lines are offered: bytes after the last line feed wait for it. Files
 may grow; a file that shrinks below its offset is an error, a file that vanishes
@@ -48,6 +50,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 SCHEMA = "value string, file string, position bigint"
 RANGE_BYTES = 16 << 20
 BLOCK = 1 << 20
+SLACK = 4 << 10  # read after the end of a range, for the rest of its last line
 # the source goes to the workers by value: they need no installation of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -60,8 +63,8 @@ class Range(InputPartition):
 class Folder:
     """The files of a folder: sizes, whole lines, ranges."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, files: str | None = None):
+        self.path, self.files = path, None if files is None else set(json.loads(files))
 
     def _open(self) -> tuple[pafs.FileSystem, str]:
         return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", self.path))
@@ -70,7 +73,7 @@ class Folder:
         system, root = self._open()
         found = system.get_file_info(pafs.FileSelector(root, allow_not_found=True))
         return {f.base_name: f.size for f in sorted(found, key=lambda f: f.base_name)
-                if f.is_file and f.base_name[0] not in "._"}
+                if f.is_file and f.base_name[0] not in "._" and (self.files is None or f.base_name in self.files)}
 
     def line_end(self, file: str, start: int, limit: int, size: int) -> int:
         """The end of the last whole line of ``file`` in start..limit; if the first
@@ -125,7 +128,7 @@ class Folder:
                     at += len(block)
             read = at
             while at < part.end:
-                block = f.read_at(BLOCK, read)
+                block = f.read_at(min(BLOCK, max(0, part.end - read) + max(SLACK, len(rest))), read)
                 read += len(block)
                 parts = (rest + block).split(b"\n")
                 rest = parts.pop()
@@ -145,7 +148,7 @@ class Folder:
 
 class LineStream(DataSourceStreamReader):
     def __init__(self, options: dict):
-        self.folder = Folder(options["path"])
+        self.folder = Folder(options["path"], options.get("files"))
         self.starting = options.get("startingOffsets", "latest")
         if self.starting not in ("latest", "earliest"):
             raise ValueError("startingOffsets is latest or earliest")
@@ -199,7 +202,7 @@ class LineStream(DataSourceStreamReader):
 
 class LineBatch(DataSourceReader):
     def __init__(self, options: dict):
-        self.folder, self.step = Folder(options["path"]), int(options.get("rangeBytes", RANGE_BYTES))
+        self.folder, self.step = Folder(options["path"], options.get("files")), int(options.get("rangeBytes", RANGE_BYTES))
 
     def partitions(self) -> Sequence[InputPartition]:
         return self.folder.ranges({}, self.folder.plan({}, None), self.step)
@@ -228,8 +231,9 @@ def register(spark: SparkSession) -> None:
 
 
 def read_line_stream(spark: SparkSession, path: str, starting: str = "latest", max_bytes: int | None = None,
-                     positions: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The folder as a stream of value, file, position."""
+                     positions: str | None = None, range_bytes: int = RANGE_BYTES,
+                     files: Sequence[str] | None = None) -> DataFrame:
+    """The folder, or some of its files, as a stream of value, file, position."""
     register(spark)
     reader = (spark.readStream.format("adlines").option("path", path).option("startingOffsets", starting)
               .option("rangeBytes", range_bytes))
@@ -237,4 +241,6 @@ def read_line_stream(spark: SparkSession, path: str, starting: str = "latest", m
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if positions is not None:
         reader = reader.option("positions", positions)
+    if files is not None:
+        reader = reader.option("files", json.dumps(list(files)))
     return reader.load()

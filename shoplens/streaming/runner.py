@@ -11,12 +11,12 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shoplens.sources.ads import parse_ads_lines
-from shoplens.sources.line_log import read_line_stream
+from shoplens.sources.ads import landed_ads_lines
+from shoplens.sources.line_log import RANGE_BYTES, Folder, read_line_stream
 from shoplens.streaming import ads_stream as S
 from shoplens.streaming import blacklist, sliding, totals
 from shoplens.streaming.replay import read_replay, write_replay
@@ -25,6 +25,8 @@ AVAILABLE_NOW = {"availableNow": True}
 QUERY_TIMEOUT_S = 3600
 SPLIT_BYTES = 256 << 10  # least bytes of a file that a task reads (Spark's own 4 MiB is a whole window)
 PACK_SPLIT_BYTES = 2 << 20  # the same where a task packs clicks: each starts a Python worker, for little work a click
+LINE_QUERIES = 4  # that take the files of lines side by side; each keeps a Python process beside the driver
+LINE_FILE_ROWS = 250_000  # lines of a file at most, so that there are files for all queries whatever read the table
 # clicks of a micro-batch for which a replay has one more task per shuffle: on the JVM, with state by share (cells, pandas), by user
 TABLE_ROWS, CELL_ROWS, SHARE_ROWS, STATE_ROWS = 25_000, 80_000, 10_000, 1_000
 
@@ -101,24 +103,48 @@ def _run(spark, folder, threshold, keep_days, stage1) -> str:
 
 def run_lines(lines: DataFrame, folder: str, max_bytes: int) -> str:
     """Land ``value`` lines as files and take them through the offset-addressed
-    source, ``max_bytes`` a micro-batch, in one query that goes on from part to part
-    until it finds nothing. Returns the folder of clicks (kind good) and bad lines
-    with their reason (kind bad)."""
+    source, ``max_bytes`` a micro-batch. The files are dealt to at most ``LINE_QUERIES``
+    queries, each of which goes on from part to part until it finds nothing: a micro-batch
+    is one small task, and its time is the driver's and the checkpoint's, so a single query
+    leaves the cluster idle. Returns the folder of clicks (kind good) and bad lines with
+    their reason (kind bad); read it with ``read_lines``."""
     spark = lines.sparkSession
-    source, ckpt = os.path.join(folder, "lines"), os.path.join(folder, "checkpoints")
-    lines.select("value").where("value is not null").write.mode("overwrite").text(source)
-    value = read_line_stream(spark, source, "earliest", max_bytes, os.path.join(ckpt, "positions.json")).select("value")
-    good, bad = parse_ads_lines(value)
-    both = good.select("*", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason")).union(
-        bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in good.columns], "line", "reason"))
-    q = (both.withColumn("kind", F.when(F.col("reason").isNull(), "good").otherwise("bad")).writeStream
-         .format("parquet").partitionBy("kind").option("path", os.path.join(folder, "clicks"))
-         .option("checkpointLocation", os.path.join(ckpt, "lines")).trigger(processingTime="0 seconds").start())
+    source, ckpt, out = (os.path.join(folder, x) for x in ("lines", "checkpoints", "clicks"))
+    (lines.select("value").where("value is not null").write.mode("overwrite")
+     .option("maxRecordsPerFile", LINE_FILE_ROWS).text(source))
+    shares = dealt(Folder(source).sizes(), LINE_QUERIES)
+    queries = []
     try:
-        q.processAllAvailable()
+        for i, files in enumerate(shares):
+            tag, part = (f"-{i}", f"query={i}") if len(shares) > 1 else ("", "")
+            value = read_line_stream(spark, source, "earliest", max_bytes, os.path.join(ckpt, f"positions{tag}.json"),
+                                     RANGE_BYTES, files)
+            queries.append(landed_ads_lines(value).writeStream.format("parquet").partitionBy("kind")
+                           .option("path", os.path.join(out, part)).option("checkpointLocation", os.path.join(ckpt, f"lines{tag}"))
+                           .trigger(processingTime="0 seconds").start())
+        for q in queries:
+            q.processAllAvailable()
     finally:
-        q.stop()
-    return os.path.join(folder, "clicks")
+        for q in queries:
+            q.stop()
+    return out
+
+
+def dealt(sizes: dict[str, int], parts: int) -> list[list[str]]:
+    """Files in at most ``parts`` lists of about equal bytes, at least one list."""
+    full = sorted((f for f in sizes if sizes[f]), key=lambda f: (-sizes[f], f))
+    lists: list[list[str]] = [[] for _ in range(max(1, min(parts, len(full))))]
+    for f in full:
+        min(lists, key=lambda x: sum(sizes[y] for y in x)).append(f)
+    return lists
+
+
+def read_lines(spark: SparkSession, out: str) -> DataFrame:
+    """What ``run_lines`` landed, by the log of each of its queries."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(out)
+    names = [x.getPath().getName() for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    folders = [os.path.join(out, n) for n in sorted(names) if n.startswith("query=")] or [out]
+    return reduce(DataFrame.unionByName, [spark.read.parquet(f) for f in folders])
 
 
 # --- the same over native state: folders ``blacklist``, ``totals``, ``sliding`` with ``out`` and ``checkpoint`` ---

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from shoplens.sources.ads import landed_ads_lines
 from shoplens.sources.line_log import Folder, LineStream, Range, read_line_stream, register
 from shoplens.streaming import runner
 
@@ -153,6 +154,80 @@ def test_parts_are_taken_by_one_query(spark, monkeypatch):
     assert len(reads) == 1 and len(batches) >= 4
 
 
+def test_files_are_dealt_to_queries_side_by_side_and_read_once(spark, monkeypatch):
+    """A micro-batch is one small task: by a single query the job takes as long on any cluster."""
+    reads, inputs = [], []
+
+    def read(*a):
+        reads.append(a)
+        return read_line_stream(*a)
+
+    monkeypatch.setattr(runner, "read_line_stream", read)
+    monkeypatch.setattr(runner, "LINE_FILE_ROWS", 10)
+    real = runner.landed_ads_lines
+    monkeypatch.setattr(runner, "landed_ads_lines", lambda v: inputs.append(1) or real(v))
+    d = run_dir()
+    lines = [f"{i} A c {i} 1" for i in range(60)] + ["bad", "6 A c x 1"]
+    out = runner.run_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), d, 50)
+    files = [f for f in os.listdir(d + "/lines") if f[0] not in "._"]
+    assert len(files) == 7 and len(reads) == len(inputs) == runner.LINE_QUERIES
+    assert sorted(f for a in reads for f in a[-1]) == sorted(files)
+    got = runner.read_lines(spark, out)
+    assert sorted(r.user_id for r in got.where("kind = 'good'").collect()) == list(range(60))
+    assert sorted((r.line, r.reason, r.ts, r.user_id) for r in got.where("kind = 'bad'").collect()) == [
+        ("6 A c x 1", "user is not an integer", None, None), ("bad", "fewer than 5 fields", None, None)]
+    for i in range(len(reads)):
+        assert len([x for x in os.listdir(d + f"/checkpoints/lines-{i}/commits") if x.isdigit()]) >= 3
+
+
+def test_a_line_is_read_once_by_the_landing_stream(spark):
+    d = run_dir()
+    put(d + "/in", "a", b"1 A c 1 1\n2 A c 2 1\nbad\n")
+    q = (landed_ads_lines(read_line_stream(spark, d + "/in", "earliest").select("value")).writeStream.format("parquet")
+         .partitionBy("kind").option("path", d + "/out").option("checkpointLocation", d + "/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(90)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3  # twice as many by two frames
+    assert {(r.kind, r.user_id, r.line) for r in spark.read.parquet(d + "/out").collect()} == {
+        ("good", 1, None), ("good", 2, None), ("bad", None, "bad")}
+
+
+def test_files_are_dealt_by_size():
+    sizes = {"a": 5, "b": 4, "c": 3, "d": 0, "e": 2}
+    assert runner.dealt(sizes, 2) == [["a", "e"], ["b", "c"]]
+    assert runner.dealt(sizes, 9) == [["a"], ["b"], ["c"], ["e"]] and runner.dealt({"d": 0}, 4) == [[]]
+
+
+def test_a_range_is_read_to_little_more_than_its_end(monkeypatch):
+    import pyarrow as pa
+    d, taken = run_dir(), []
+    put(d, "a", b"0123456789\n" * 100_000)
+    opened = Folder._open
+
+    class File:
+        def __init__(self, name):
+            self.file = pa.OSFile(name)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *e):
+            self.file.close()
+
+        def read_at(self, n, at):
+            block = self.file.read_at(n, at)
+            taken.append(len(block))
+            return block
+
+    class System:
+        def open_input_file(self, name):
+            return File(name)
+
+    monkeypatch.setattr(Folder, "_open", lambda self: (System(), opened(self)[1]))
+    assert len(lines_of(d, [Range("a", 0, 11_000)])) == 1000
+    assert sum(taken) <= 11_000 + 8192  # a block of 1 MiB before
+
+
 def test_batch_read(spark):
     d = run_dir()
     put(d, "a", "ä\nb\n".encode())
